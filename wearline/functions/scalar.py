@@ -99,7 +99,26 @@ def sample_hash(engine_id: Column, cycle: Column, seed: int = C.SEED) -> Column:
     ) % F.lit(C.HASH_MOD)
 
 
-def round_out(c: Column, digits: int = 6) -> Column:
-    """Round for presentation; -0.0 becomes 0.0."""
-    r = F.round(c, digits)
+def _quantize(c: Column, bits: int) -> Column:
+    scale = float(2 ** bits)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
+def round_out(c: Column, bits: int = 20) -> Column:
+    """Quantize for presentation to binary steps: 2^-bits below 1e3, 2^-10 below
+    1e6, 2^-2 below 1e15; larger, NaN and inf values pass unchanged.
+
+    Engines sum in different orders, so results differ in the last bits. Values
+    built from decimal data (prices, averages over n rows) often sit exactly on a
+    decimal rounding tie, where such last-bit noise flips a decimal rounding;
+    they almost never sit on a binary half-step. Scaling by a power of two is
+    exact, so equal inputs quantize equally in any engine. -0.0 becomes 0.0.
+    """
+    a = F.abs(c)
+    r = (
+        F.when(a < 1e3, _quantize(c, bits))
+        .when(a < 1e6, _quantize(c, min(bits, 10)))
+        .when(a < 1e15, _quantize(c, 2))
+        .otherwise(c)
+    )
     return F.when(r == 0, F.lit(0.0)).otherwise(r)

@@ -9,12 +9,12 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..functions.scalar import round_out
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
+def finish(df: DataFrame, bits: int = 20) -> DataFrame:
     """Round every floating column for presentation (engines differ in the last bits)."""
     cols = []
     for fld in df.schema.fields:
         if isinstance(fld.dataType, (DoubleType, FloatType)):
-            cols.append(round_out(F.col(fld.name).cast("double"), digits).alias(fld.name))
+            cols.append(round_out(F.col(fld.name).cast("double"), bits).alias(fld.name))
         else:
             cols.append(F.col(fld.name))
     return df.select(*cols)

@@ -21,8 +21,16 @@ def d(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def r6(expr: str, digits: int = 6) -> str:
-    return f"(CASE WHEN round({expr}, {digits}) = 0 THEN {d(0)} ELSE round({expr}, {digits}) END)"
+def r6(expr: str, bits: int = 20) -> str:
+    """Same presentation quantization as the Spark side (binary steps by magnitude)."""
+    e = f"({expr})"
+
+    def q(k: int) -> str:
+        return f"(floor({e} * {d(2 ** k)} + {d(0.5)}) / {d(2 ** k)})"
+
+    r = (f"(CASE WHEN abs({e}) < 1e3 THEN {q(bits)} WHEN abs({e}) < 1e6 THEN {q(min(bits, 10))} "
+         f"WHEN abs({e}) < 1e15 THEN {q(2)} ELSE {e} END)")
+    return f"(CASE WHEN {r} = 0 THEN {d(0)} ELSE {r} END)"
 
 
 def cap(expr: str, c: float) -> str:
@@ -164,3 +172,193 @@ ORACLE["fleet_health"] = with_(
         {action_sql(status_sql('fc.p', True), True)} AS action
     FROM fc JOIN top ON fc.engine_id = top.engine_id""",
 )
+
+
+# --- labels and splits -------------------------------------------------------
+
+ORACLE["rul_train"] = with_(li_ctes(), f"SELECT engine_id, cycle, life, {r6('rul')} AS rul FROM lab")
+
+ORACLE["rul_raw_vs_capped"] = with_(
+    li_ctes(),
+    f"SELECT engine_id, cycle, {r6('CAST(life - cycle AS DOUBLE)')} AS rul_raw, {r6('rul')} AS rul FROM lab",
+)
+
+ORACLE["rul_test"] = with_(li_ctes(), f"SELECT engine_id, cycle, life, {r6('rul')} AS rul FROM tlab")
+
+ORACLE["entity_split"] = with_(li_ctes(), "SELECT DISTINCT engine_id, split FROM lab")
+
+ORACLE["split_leakage"] = with_(
+    li_ctes(),
+    """SELECT CAST(count(*) AS BIGINT) AS n_overlap FROM (
+         SELECT engine_id FROM lab WHERE split = 'train' INTERSECT SELECT engine_id FROM lab WHERE split = 'val')""",
+)
+
+ORACLE["split_bounds"] = with_(
+    li_ctes(),
+    "SELECT split, min(engine_id) AS min_engine, max(engine_id) AS max_engine FROM lab WHERE split IS NOT NULL GROUP BY split",
+)
+
+ORACLE["split_counts"] = with_(
+    li_ctes(),
+    """SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT engine_id) AS BIGINT) AS n_engines
+       FROM lab WHERE split IS NOT NULL GROUP BY split""",
+)
+
+
+# --- scaling and statistics --------------------------------------------------
+
+def unpivot_sql(src: str, fields: dict[str, str]) -> str:
+    """One row per feature from a one-row source: fields maps out-name -> template with {f}."""
+    parts = []
+    for i, f in enumerate(F6):
+        cols = ", ".join(f"{r6(t.format(f=f))} AS {name}" for name, t in fields.items())
+        parts.append(f"SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, {cols} FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["scaler_fit"] = with_(li_ctes(), unpivot_sql("sc", {"mu": "mu_{f}", "sigma": "sd_{f}"}))
+
+ORACLE["feature_stats"] = with_(
+    li_ctes() + [li_stats_cte()],
+    unpivot_sql("zst", {"mean": "mean_{f}", "std": "std_{f}", "min": "min_{f}", "max": "max_{f}"}),
+)
+
+ORACLE["scaled_features"] = with_(
+    li_ctes(), f"SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in F6)} FROM ztst"
+)
+
+
+def near_constant_sql() -> str:
+    parts = []
+    for i, f in enumerate(F6):
+        parts.append(
+            f"""SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, {r6(f'stddev_samp({f})')} AS std,
+                count(DISTINCT {f}) <= 2 AS at_most_two_values,
+                (coalesce(stddev_samp({f}) < 1e-6, false) OR count(DISTINCT {f}) <= 2) AS uninformative
+              FROM tr"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["near_constant_features"] = with_(li_ctes(), near_constant_sql())
+
+# linestatus (two values) and setting (constant) are the uninformative ones
+ORACLE["feature_projection"] = with_(
+    li_ctes(),
+    f"SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in ('quantity', 'extendedprice', 'discount', 'tax'))} FROM f",
+)
+
+
+def signature_sql() -> str:
+    parts = []
+    for i, f in enumerate(F6):
+        m, s = f"avg({f})", f"stddev_samp({f})"
+        parts.append(
+            f"""SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, {r6(m)} AS mean, {r6(s)} AS std,
+                abs({m}) < 1e-2 AS centred, (abs({s} - 1) < 1e-1 OR {s} < 1e-6) AS unit_or_constant,
+                (abs({m}) < 1e-2 AND (abs({s} - 1) < 1e-1 OR {s} < 1e-6)) AS passed
+              FROM ztr"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["scaled_signature"] = with_(li_ctes(), signature_sql())
+
+
+def violations_sql(src: str, processed: bool) -> str:
+    rules = [
+        ("engine_id_missing", "engine_id IS NULL"),
+        ("engine_id_below_1", "engine_id < 1"),
+        ("cycle_missing", "cycle IS NULL"),
+        ("cycle_below_1", "cycle < 1"),
+    ] + [(f"{f}_missing", f"{f} IS NULL") for f in F6]
+    if processed:
+        rules += [("rul_missing", "rul IS NULL OR isnan(rul)"),
+                  ("rul_out_of_range", f"rul < 0 OR rul > {d(LI.cap)}")]
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, CAST(count(*) FILTER (WHERE {p}) AS BIGINT) AS n_violations FROM {src}"
+        for n, p in rules
+    )
+
+
+ORACLE["raw_violations"] = with_(li_ctes(), violations_sql("f", False))
+ORACLE["processed_violations"] = with_(li_ctes(), violations_sql("tlab", True))
+
+
+# --- histories and windows ---------------------------------------------------
+
+ORACLE["fleet_roster"] = with_(li_ctes(), "SELECT DISTINCT engine_id FROM tst ORDER BY engine_id")
+
+ORACLE["engine_life"] = with_(
+    li_ctes(),
+    f"""SELECT CAST(count(*) AS BIGINT) AS n_engines, min(life) AS min_life, max(life) AS max_life,
+        {r6('avg(life)')} AS mean_life FROM lv""",
+)
+
+ORACLE["engine_history"] = with_(
+    li_ctes(),
+    f"""SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in F6)} FROM f
+        WHERE engine_id = (SELECT min(engine_id) FROM f) ORDER BY cycle""",
+)
+
+ORACLE["last_reading"] = with_(
+    li_ctes(),
+    f"SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in F6)}, {r6('rul')} AS rul FROM ztst WHERE cycle = life",
+)
+
+
+def orders_ctes() -> list[str]:
+    return [
+        """fo AS (SELECT CAST(o_custkey + 1 AS BIGINT) AS engine_id,
+             CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS cycle,
+             CAST(o_totalprice AS DOUBLE) AS totalprice FROM orders)""",
+    ]
+
+
+def orders_last_sql(policy: str) -> str:
+    Lo = C.ORDERS_FLEET.window
+    body = f"""SELECT engine_id, CAST(count(*) AS BIGINT) AS n_rows, min(cycle) AS first_cycle, max(cycle) AS last_cycle,
+                 avg(totalprice) AS m FROM (
+                   SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle DESC) AS rn FROM fo) q
+               WHERE rn <= {Lo} GROUP BY engine_id"""
+    if policy == "skip":
+        return with_(orders_ctes() + [f"g AS ({body})"],
+                     f"SELECT engine_id, n_rows, first_cycle, last_cycle, {r6('m')} AS totalprice_mean FROM g WHERE n_rows >= {Lo}")
+    if policy == "partial":
+        return with_(orders_ctes() + [f"g AS ({body})"],
+                     f"SELECT engine_id, n_rows, first_cycle, last_cycle, {r6('m')} AS totalprice_mean FROM g")
+    return with_(orders_ctes() + [f"g AS ({body})"],
+                 f"""SELECT engine_id, n_rows, first_cycle, last_cycle,
+                       CASE WHEN n_rows >= {Lo} THEN {r6('m')} END AS totalprice_mean,
+                       CASE WHEN n_rows >= {Lo} THEN NULL ELSE 'short history' END AS error FROM g""")
+
+
+ORACLE["last_window_skip"] = orders_last_sql("skip")
+ORACLE["last_window_partial"] = orders_last_sql("partial")
+ORACLE["last_window_error"] = orders_last_sql("error")
+
+ORACLE["sliding_windows"] = with_(
+    li_ctes(),
+    f"""SELECT engine_id, end_cycle, window_rows, start_cycle, {r6('qsum')} AS quantity_sum, {r6('rul')} AS target FROM (
+          SELECT engine_id, cycle AS end_cycle, CAST(count(*) OVER w AS BIGINT) AS window_rows,
+                 min(cycle) OVER w AS start_cycle, sum(quantity) OVER w AS qsum, rul
+          FROM lab WINDOW w AS (PARTITION BY engine_id ORDER BY cycle ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW)) q
+        WHERE end_cycle >= {L}""",
+)
+
+
+def window_features_sql() -> str:
+    cols = []
+    for f in F6:
+        cols += [f"{r6(f)} AS {f}_last", f"{r6(f'avg({f}) OVER w')} AS {f}_mean",
+                 f"{r6(f'stddev_pop({f}) OVER w')} AS {f}_std",
+                 f"{r6(f'regr_slope({f}, CAST(cycle AS DOUBLE)) OVER w')} AS {f}_slope"]
+    return with_(
+        li_ctes(),
+        f"""SELECT * FROM (SELECT engine_id, cycle, {sql_list(cols)}, {r6('rul')} AS rul
+              FROM lab WINDOW w AS (PARTITION BY engine_id ORDER BY cycle ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW)) q
+            WHERE cycle >= {L}""",
+    )
+
+
+ORACLE["window_features"] = window_features_sql()

@@ -16,6 +16,7 @@ from .. import config as C
 from ..functions import scalar as X
 from ..operators import attribution as A
 from ..operators import labels as LB
+from ..operators import quality as Q
 from ..operators import scaling as S
 from ..operators import windows as W
 from ..operators.forecast import forecast_windows
@@ -61,3 +62,185 @@ def health_cards(run: FleetRun) -> DataFrame:
 @query("fleet_health")
 def q_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(health_cards(FleetRun(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# Labels and splits
+# --------------------------------------------------------------------------
+
+
+@query("rul_train")
+def q_rul_train(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(run.labelled.select("engine_id", "cycle", "life", "rul"))
+
+
+@query("rul_raw_vs_capped")
+def q_rul_raw_vs_capped(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(LB.label_raw_and_capped(run.rows, run.spec.cap).select("engine_id", "cycle", "rul_raw", "rul"))
+
+
+@query("rul_test")
+def q_rul_test(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(run.test.select("engine_id", "cycle", "life", "rul"))
+
+
+@query("entity_split")
+def q_entity_split(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    roster = run.rows.select("engine_id").distinct()
+    return LB.assign_split(roster, *run.ranges)
+
+
+@query("split_leakage")
+def q_split_leakage(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return LB.split_leakage(run.labelled).agg(F.count(F.lit(1)).cast("bigint").alias("n_overlap"))
+
+
+@query("split_bounds")
+def q_split_bounds(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return LB.split_bounds(run.labelled).select("split", "min_engine", "max_engine")
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return LB.split_bounds(run.labelled).select("split", "n_rows", "n_engines")
+
+
+# --------------------------------------------------------------------------
+# Scaling and statistics
+# --------------------------------------------------------------------------
+
+
+@query("scaler_fit")
+def q_scaler_fit(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(S.scaler_fit(run.train, run.features))
+
+
+@query("feature_stats")
+def q_feature_stats(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(S.feature_stats(run.scaled(run.train), run.features))
+
+
+@query("scaled_features")
+def q_scaled_features(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(run.scaled(run.test).select("engine_id", "cycle", *run.features))
+
+
+@query("near_constant_features")
+def q_near_constant(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(Q.uninformative_features(run.train, run.features))
+
+
+@query("feature_projection")
+def q_feature_projection(spark, sf_dir):
+    """Drop the uninformative columns (found by B12 on train) and keep feature order (B1, B2)."""
+    run = FleetRun(spark, sf_dir)
+    flagged = [r["feature"] for r in Q.uninformative_features(run.train, run.features).collect() if r["uninformative"]]
+    kept = [f for f in run.features if f not in flagged]
+    return finish(run.rows.drop(*flagged).select("engine_id", "cycle", *kept))
+
+
+@query("scaled_signature")
+def q_scaled_signature(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(Q.scaled_signature(run.scaled(run.train), run.features))
+
+
+@query("raw_violations")
+def q_raw_violations(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return Q.violation_counts(run.rows, Q.raw_rules(run.features))
+
+
+@query("processed_violations")
+def q_processed_violations(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return Q.violation_counts(run.test, Q.processed_rules(run.features, run.spec.cap))
+
+
+# --------------------------------------------------------------------------
+# Histories and windows
+# --------------------------------------------------------------------------
+
+
+@query("fleet_roster")
+def q_fleet_roster(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return run.test.select("engine_id").distinct().orderBy("engine_id")
+
+
+@query("engine_life")
+def q_engine_life(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(W.fleet_life_summary(run.rows))
+
+
+@query("engine_history")
+def q_engine_history(spark, sf_dir):
+    """Cycle-ordered history of the first engine by id."""
+    run = FleetRun(spark, sf_dir)
+    first = run.rows.agg(F.min("engine_id")).first()[0]
+    hist = run.rows.filter(F.col("engine_id") == F.lit(first)).orderBy("cycle")
+    return finish(hist.select("engine_id", "cycle", *run.features))
+
+
+@query("last_reading")
+def q_last_reading(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    last = W.last_reading(run.scaled(run.test))
+    return finish(last.select("engine_id", "cycle", *run.features, "rul"))
+
+
+def _orders_last(spark, sf_dir, policy):
+    run = FleetRun(spark, sf_dir, "orders")
+    out = W.last_window(run.rows, run.spec, policy=policy)
+    cols = ["engine_id", "n_rows", "first_cycle", "last_cycle"] + [f"{f}_mean" for f in run.features]
+    if policy == "error":
+        cols.append("error")
+    return finish(out.select(*cols))
+
+
+@query("last_window_skip")
+def q_last_window_skip(spark, sf_dir):
+    return _orders_last(spark, sf_dir, "skip")
+
+
+@query("last_window_partial")
+def q_last_window_partial(spark, sf_dir):
+    return _orders_last(spark, sf_dir, "partial")
+
+
+@query("last_window_error")
+def q_last_window_error(spark, sf_dir):
+    return _orders_last(spark, sf_dir, "error")
+
+
+@query("sliding_windows")
+def q_sliding_windows(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    wins = W.sliding_windows(run.labelled, run.spec, target="rul")
+    first = run.features[0]
+    return finish(wins.select(
+        "engine_id",
+        F.col("cycle").alias("end_cycle"),
+        F.size("window").cast("bigint").alias("window_rows"),
+        F.col("window")[0]["cycle"].alias("start_cycle"),
+        F.aggregate("window", F.lit(0.0), lambda acc, r: acc + r[first]).alias(f"{first}_sum"),
+        F.col("rul").alias("target"),
+    ))
+
+
+@query("window_features")
+def q_window_features(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(W.window_features(run.labelled, run.spec))
