@@ -95,7 +95,8 @@ def last_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def last_window(
-    df: DataFrame, spec: FleetSpec, policy: str = "skip", arrays: bool = False, last: bool = False
+    df: DataFrame, spec: FleetSpec, policy: str = "skip", arrays: bool = False, last: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Last L-cycle window per engine with a short-history policy (D3).
 
@@ -104,7 +105,8 @@ def last_window(
     ``error``: they are kept with ``error`` = 'short history' and no summary.
     Output per engine: n_rows, first_cycle, last_cycle, ``<f>_mean`` and, with
     ``arrays``, ``window`` = array<struct<cycle, features>> sorted by cycle;
-    with ``last``, ``last`` = struct of the features at the last cycle (D4).
+    with ``last``, ``last`` = struct of the features at the last cycle (D4);
+    every column in ``carry`` is taken from the last cycle too (e.g. its label).
     """
     if policy not in ("skip", "partial", "error"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -119,6 +121,7 @@ def last_window(
         aggs.append(F.array_sort(F.collect_list(reading)).alias("window"))
     if last:
         aggs.append(F.max_by(F.struct(*[F.col(f) for f in spec.features]), F.col("cycle")).alias("last"))
+    aggs += [F.max_by(F.col(c), F.col("cycle")).alias(c) for c in carry]
     out = rows.groupBy("engine_id").agg(*aggs)
     full = F.col("n_rows") >= spec.window
     if policy == "skip":

@@ -83,6 +83,17 @@ class FleetRun:
         truth = LB.synthetic_truth(self.rows)
         return LB.label_test_rul(LB.truncate_for_test(self.rows), truth, self.spec.cap)
 
+    @cached_property
+    def test_z(self) -> DataFrame:
+        return self.scaled(self.test)
+
+    def last_windows(self, policy: str = "skip") -> DataFrame:
+        """Per test engine: last-window means, last reading (struct) and its label."""
+        return W.last_window(self.test_z, self.spec, policy=policy, last=True, carry=("rul",))
+
+    def warning_scores(self, prefix: str = "last.") -> dict:
+        return A.warning_score_columns(self.spec, self.stats, self.importance, prefix=prefix)
+
     @cached_property
     def background(self) -> DataFrame:
         """Readings of the sampled background windows (at most n x L rows)."""

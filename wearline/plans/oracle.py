@@ -362,3 +362,222 @@ def window_features_sql() -> str:
 
 
 ORACLE["window_features"] = window_features_sql()
+
+
+# --- forecasts, metrics, gates -----------------------------------------------
+
+def full_ctes() -> list[str]:
+    return li_ctes() + li_importance_ctes() + [li_stats_cte()]
+
+
+def last_win_cte(name: str, min_rows: int | None) -> str:
+    having = f"HAVING count(*) >= {min_rows}" if min_rows else ""
+    return f"""{name} AS (SELECT engine_id, CAST(count(*) AS BIGINT) AS n_rows, max(cycle) AS last_cycle,
+                 {forecast_sql('avg({f})')} AS p
+               FROM ztst WHERE cycle > life - {L} GROUP BY engine_id {having})"""
+
+
+PAIRS = [
+    last_win_cte("g", L),
+    "lastrow AS (SELECT engine_id, rul FROM ztst WHERE cycle = life)",
+    "pairs AS (SELECT g.engine_id, g.p, lastrow.rul AS a FROM g JOIN lastrow ON g.engine_id = lastrow.engine_id WHERE lastrow.rul IS NOT NULL)",
+]
+
+
+def penalty_sql(e: str) -> str:
+    return (f"CASE WHEN {e} < 0 THEN exp(-({e}) / {d(C.EARLY_DIVISOR)}) - 1 "
+            f"ELSE exp(({e}) / {d(C.LATE_DIVISOR)}) - 1 END")
+
+
+METRICS = PAIRS + [
+    f"""m AS (SELECT sqrt(avg((p - a) * (p - a))) AS rmse, avg(abs(p - a)) AS mae,
+              sum({penalty_sql('p - a')}) AS score, CAST(count(*) AS BIGINT) AS n FROM pairs)""",
+]
+
+ORACLE["prediction_pairs"] = with_(
+    li_ctes() + PAIRS,
+    f"SELECT engine_id, {r6('p')} AS predicted_rul, {r6('a')} AS actual_rul, {r6('p - a')} AS error, {r6('abs(p - a)')} AS abs_error FROM pairs",
+)
+
+ORACLE["forecast_metrics"] = with_(
+    li_ctes() + METRICS, f"SELECT {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('score')} AS score, n FROM m"
+)
+
+ORACLE["quality_gate"] = with_(
+    li_ctes() + METRICS,
+    f"""SELECT 'rmse' AS gate, {r6('rmse')} AS value, {d(C.RMSE_GATE)} AS threshold, coalesce(rmse <= {d(C.RMSE_GATE)}, false) AS passed FROM m
+        UNION ALL SELECT 'score', {r6('score')}, {d(0)}, coalesce(isfinite(score) AND score > 0, false) FROM m
+        UNION ALL SELECT 'engines', {r6('CAST(n AS DOUBLE)')}, {d(C.MIN_SCORED_ENGINES)}, n >= {C.MIN_SCORED_ENGINES} FROM m""",
+)
+
+ORACLE["batch_forecast"] = with_(
+    li_ctes() + [last_win_cte("g", L)], f"SELECT engine_id, last_cycle, {r6('p')} AS predicted_rul FROM g"
+)
+
+ORACLE["degradation_curve"] = with_(
+    li_ctes(),
+    f"""SELECT engine_id, cycle, {r6('rul')} AS true_rul, {r6('p')} AS predicted_rul FROM (
+          SELECT engine_id, cycle, rul, {forecast_sql('avg({f}) OVER w')} AS p
+          FROM ztst WINDOW w AS (PARTITION BY engine_id ORDER BY cycle ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW)) q
+        WHERE cycle >= {L}""",
+)
+
+ORACLE["most_critical"] = with_(
+    li_ctes() + [last_win_cte("g", None)],
+    f"""SELECT engine_id, {r6('pc')} AS predicted_rul FROM (
+          SELECT engine_id, CASE WHEN p < 0 THEN {d(0)} ELSE p END AS pc FROM g) q
+        ORDER BY pc, engine_id LIMIT 1""",
+)
+
+ORACLE["engine_sample"] = with_(
+    li_ctes(),
+    f"""SELECT engine_id FROM (SELECT DISTINCT engine_id FROM tst) q
+        ORDER BY (engine_id * {C.HASH_ID} + {LI.seed}) % {C.HASH_MOD}, engine_id LIMIT 5""",
+)
+
+
+# --- bands, records, text ------------------------------------------------------
+
+ORACLE["health_bands"] = with_(
+    li_ctes() + [last_win_cte("g", None)],
+    f"""SELECT engine_id, {r6('p')} AS predicted_rul, {r6('pc')} AS clamped_rul,
+          {status_sql('p', False)} AS status, {status_sql('pc', True)} AS dashboard_status,
+          {r6(f'least(pc / {d(C.RUL_CAP)} * 100, 100)')} AS life_pct
+        FROM (SELECT *, CASE WHEN p < 0 THEN {d(0)} ELSE p END AS pc FROM g) q""",
+)
+
+
+def sentence_sql(eid: str, p: str, status: str, top: str | None = None) -> str:
+    base = (f"'{C.SUMMARY_PREFIX}' || CAST({eid} AS VARCHAR) || '{C.SUMMARY_MIDDLE}' || "
+            f"printf('%.0f', round_even({p}, 0)) || '{C.SUMMARY_STATUS}' || upper({status}) || '. ' || "
+            f"({action_sql(status, False)})")
+    if top is None:
+        return base
+    return f"CASE WHEN {top} IS NULL OR {top} = '' THEN {base} ELSE {base} || '{C.SUMMARY_SIGNAL}' || {top} || '.' END"
+
+
+def flags_sql(src: str) -> tuple[str, str, str]:
+    """(n_flags, flagged list, any) for rows of ``src`` joined with zst."""
+    conds = [f"(NOT isnan({src}.{f}) AND ({src}.{f} < zst.min_{f} OR {src}.{f} > zst.max_{f}))" for f in F6]
+    n = " + ".join(f"CAST({c} AS BIGINT)" for c in conds)
+    names = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{f}' END" for c, f in zip(conds, F6)) + ")"
+    return f"({n})", names, "(" + " OR ".join(conds) + ")"
+
+
+_n, _names, _any = flags_sql("lr")
+SCORED = full_ctes() + [
+    last_win_cte("g", L),
+    f"""rec AS (SELECT g.engine_id, g.p, {_names} AS flagged_features, {_any} AS any_flag
+          FROM g JOIN ztst lr ON g.engine_id = lr.engine_id AND lr.cycle = lr.life CROSS JOIN zst)""",
+]
+
+ORACLE["scored_records"] = with_(
+    SCORED,
+    f"""SELECT engine_id, {r6('p')} AS predicted_rul, {status_sql('p', False)} AS health_status,
+          {r6(f'1 - least(abs(p) / {d(C.RUL_CAP)}, 1)')} AS confidence,
+          {sentence_sql('engine_id', 'p', status_sql('p', False))} AS nl_summary,
+          flagged_features, any_flag FROM rec""",
+)
+
+_n2, _names2, _any2 = flags_sql("z")
+ORACLE["range_flags"] = with_(
+    full_ctes(),
+    f"SELECT z.engine_id, z.cycle, {_n2} AS n_flags, {_names2} AS flagged_features, {_any2} AS any_flag FROM ztst z CROSS JOIN zst",
+)
+
+ORACLE["scoring_counters"] = with_(
+    SCORED,
+    f"""SELECT CAST(count(*) FILTER (WHERE NOT isnan(p)) AS BIGINT) AS total_predictions,
+          CAST(count(*) FILTER (WHERE any_flag) AS BIGINT) AS drift_events,
+          {r6('arg_max(p, engine_id)')} AS last_prediction FROM rec""",
+)
+
+WARN = full_ctes() + [
+    "lastz AS (SELECT * FROM ztst WHERE cycle = life)",
+    f"ws AS ({warning_long_sql('lastz')})",
+    """rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY engine_id ORDER BY score DESC, pos) AS BIGINT) AS rnk,
+              max(score) OVER (PARTITION BY engine_id) AS peak FROM ws)""",
+]
+
+ORACLE["maintenance_summary"] = with_(
+    WARN + [last_win_cte("g", L)],
+    f"""SELECT g.engine_id, {sentence_sql('g.engine_id', 'g.p', status_sql('g.p', False), 'rk.feature')} AS nl_summary
+        FROM g JOIN rk ON g.engine_id = rk.engine_id AND rk.rnk = 1""",
+)
+
+ORACLE["warning_scores"] = with_(WARN, f"SELECT engine_id, feature, pos, {r6('score')} AS score FROM ws")
+
+ORACLE["top_signal"] = with_(
+    WARN, f"SELECT engine_id, feature, {display_sql('feature')} AS signal FROM rk WHERE rnk = 1"
+)
+
+ORACLE["top3_signals"] = with_(
+    WARN,
+    f"""SELECT engine_id, rnk AS rank, feature, {r6('score')} AS score,
+          {r6(f'least(score / CASE WHEN peak = 0 THEN {d(1)} ELSE peak END, 1)')} AS relative
+        FROM rk WHERE rnk <= 3""",
+)
+
+ORACLE["signal_ranking"] = with_(
+    WARN, f"SELECT engine_id, feature, rnk AS rank, {r6('score')} AS score, rnk = 1 AS is_top FROM rk"
+)
+
+ORACLE["labelled_signals"] = with_(
+    WARN, f"SELECT engine_id, {display_sql('feature')} AS signal, {r6('score')} AS score FROM ws"
+)
+
+
+def unpivot_rows_sql(src: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT engine_id, cycle, '{f}' AS feature, {f} AS value FROM {src}" for f in F6
+    )
+
+
+ORACLE["signal_trend"] = with_(
+    WARN + [f"lng AS ({unpivot_rows_sql('ztst')})"],
+    f"""SELECT l.engine_id, l.cycle, l.feature, rk.rnk AS rank, {r6('l.value')} AS value
+        FROM lng l JOIN rk ON l.engine_id = rk.engine_id AND l.feature = rk.feature WHERE rk.rnk <= 3""",
+)
+
+ORACLE["background_sample"] = with_(li_ctes() + li_importance_ctes(), "SELECT engine_id, end_cycle FROM bg")
+
+ORACLE["importance_baseline"] = with_(
+    li_ctes() + li_importance_ctes(),
+    " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, {r6(f'i_{f}')} AS importance FROM imp"
+        for i, f in enumerate(F6)
+    ),
+)
+
+
+def attribution_ctes() -> list[str]:
+    absphi = sql_list(f"avg(abs({d(LI.weight(f) / L)} * (r.{f} - m.m_{f}))) AS a_{f}" for f in F6)
+    total = " + ".join(f"a_{f}" for f in F6)
+    longs = " UNION ALL ".join(
+        f"SELECT engine_id, '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, a_{f} / greatest({total}, 1e-9) AS attribution FROM pa"
+        for i, f in enumerate(F6)
+    )
+    return [
+        f"lwr AS (SELECT *, CAST(cycle - life + {L} AS INTEGER) AS step FROM ztst WHERE cycle > life - {L} AND life >= {L})",
+        f"pa AS (SELECT r.engine_id, {absphi} FROM lwr r JOIN bgm m ON r.step = m.step GROUP BY r.engine_id)",
+        f"att AS ({longs})",
+    ]
+
+
+ORACLE["linear_attribution"] = with_(
+    li_ctes() + li_importance_ctes() + attribution_ctes(),
+    f"SELECT engine_id, feature, pos, {r6('attribution')} AS attribution FROM att",
+)
+
+ORACLE["explained_records"] = with_(
+    li_ctes() + li_importance_ctes() + attribution_ctes() + [
+        last_win_cte("g", L),
+        """t3 AS (SELECT engine_id, string_agg(feature, ',' ORDER BY rn) AS top_features,
+                  min(CASE WHEN rn = 1 THEN feature END) AS top1
+                FROM (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY attribution DESC, pos) AS rn FROM att) q
+                WHERE rn <= 3 GROUP BY engine_id)""",
+    ],
+    f"""SELECT g.engine_id, {r6('g.p')} AS predicted_rul, t3.top_features,
+          {sentence_sql('g.engine_id', 'g.p', status_sql('g.p', False), 't3.top1')} AS nl_summary
+        FROM g JOIN t3 ON g.engine_id = t3.engine_id""",
+)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import scalar as X
 from ..operators import attribution as A
 from ..operators import labels as LB
+from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators import scaling as S
 from ..operators import windows as W
@@ -244,3 +245,286 @@ def q_sliding_windows(spark, sf_dir):
 def q_window_features(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
     return finish(W.window_features(run.labelled, run.spec))
+
+
+# --------------------------------------------------------------------------
+# Forecasts, metrics and gates
+# --------------------------------------------------------------------------
+
+
+def prediction_pairs(run: FleetRun) -> DataFrame:
+    """Service forecast (unclamped) of each engine's last full window beside the
+    label of its last reading; engines without a label cannot be scored (C4)."""
+    win = forecast_windows(run.last_windows("skip"), run.spec)
+    pairs = win.filter(F.col("rul").isNotNull()).select(
+        "engine_id", "predicted_rul", F.col("rul").alias("actual_rul")
+    )
+    return M.pair_errors(pairs)
+
+
+@query("prediction_pairs")
+def q_prediction_pairs(spark, sf_dir):
+    return finish(prediction_pairs(FleetRun(spark, sf_dir)))
+
+
+@query("forecast_metrics")
+def q_forecast_metrics(spark, sf_dir):
+    return finish(M.forecast_metrics(prediction_pairs(FleetRun(spark, sf_dir))))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    return finish(M.quality_gate(M.forecast_metrics(prediction_pairs(FleetRun(spark, sf_dir)))))
+
+
+@query("batch_forecast")
+def q_batch_forecast(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    win = forecast_windows(run.last_windows("skip"), run.spec)
+    return finish(win.select("engine_id", "last_cycle", "predicted_rul"))
+
+
+@query("degradation_curve")
+def q_degradation_curve(spark, sf_dir):
+    """Forecast and true label at every cycle >= L of every test engine."""
+    run = FleetRun(spark, sf_dir)
+    w = W.frame(run.spec)
+    frames = W.with_frames(run.test_z, run.spec, {f"{f}_mean": F.avg(f).over(w) for f in run.features})
+    scored = forecast_windows(frames, run.spec)
+    return finish(scored.select("engine_id", "cycle", F.col("rul").alias("true_rul"), "predicted_rul"))
+
+
+def dashboard_forecasts(run: FleetRun) -> DataFrame:
+    """Clamped forecasts on the last, possibly partial, window of every engine."""
+    return forecast_windows(run.last_windows("partial"), run.spec, clamp=True)
+
+
+@query("most_critical")
+def q_most_critical(spark, sf_dir):
+    """Engine with the lowest forecast; the lower id wins a tie."""
+    run = FleetRun(spark, sf_dir)
+    top = dashboard_forecasts(run).orderBy("predicted_rul", "engine_id").limit(1)
+    return finish(top.select("engine_id", "predicted_rul"))
+
+
+@query("engine_sample")
+def q_engine_sample(spark, sf_dir):
+    """Five engines drawn reproducibly with the shared arithmetic hash."""
+    run = FleetRun(spark, sf_dir)
+    roster = run.test.select("engine_id").distinct()
+    h = (F.col("engine_id") * F.lit(C.HASH_ID) + F.lit(run.spec.seed)) % F.lit(C.HASH_MOD)
+    return roster.withColumn("h", h).orderBy("h", "engine_id").limit(5).select("engine_id")
+
+
+# --------------------------------------------------------------------------
+# Bands, records and text
+# --------------------------------------------------------------------------
+
+
+@query("health_bands")
+def q_health_bands(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    raw = forecast_windows(run.last_windows("partial"), run.spec)
+    p = F.col("predicted_rul")
+    clamped = X.clamp_non_negative(p)
+    return finish(raw.select(
+        "engine_id", p.alias("predicted_rul"), clamped.alias("clamped_rul"),
+        X.health_band(p).alias("status"), X.health_band(clamped, upper=True).alias("dashboard_status"),
+        X.life_percent(clamped, C.RUL_CAP).alias("life_pct"),
+    ))
+
+
+def flag_columns(run: FleetRun, prefix: str = "last.") -> dict:
+    """Range flag per feature: strictly outside the train [min, max]; NaN is not flagged (F8)."""
+    out = {}
+    for f in run.features:
+        s = run.stats[f]
+        x = F.col(prefix + f)
+        out[f] = F.coalesce(~F.isnan(x) & ((x < F.lit(float(s["min"]))) | (x > F.lit(float(s["max"])))), F.lit(False))
+    return out
+
+
+def flag_summary(run: FleetRun, flags: dict) -> dict:
+    names = F.filter(F.array(*[F.when(flags[f], F.lit(f)) for f in run.features]), lambda x: x.isNotNull())
+    return {
+        "drift_flags": F.map_from_arrays(F.array(*[F.lit(f) for f in run.features]), F.array(*[flags[f] for f in run.features])),
+        "flagged": names,
+        "any_flag": F.exists(F.array(*[flags[f] for f in run.features]), lambda v: v),
+    }
+
+
+def scored_records(run: FleetRun) -> DataFrame:
+    """Service record per engine: flags (before scoring), forecast, status,
+    confidence and sentence (I7). ``drift_flags`` is a map feature -> flagged."""
+    win = forecast_windows(run.last_windows("skip"), run.spec)
+    fl = flag_summary(run, flag_columns(run))
+    p = F.col("predicted_rul")
+    status = X.health_band(p)
+    return win.select(
+        "engine_id", p.alias("predicted_rul"),
+        status.alias("health_status"),
+        X.confidence(p, C.RUL_CAP).alias("confidence"),
+        X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status)).alias("nl_summary"),
+        fl["drift_flags"].alias("drift_flags"),
+        fl["flagged"].alias("flagged"),
+        fl["any_flag"].alias("any_flag"),
+    )
+
+
+@query("scored_records")
+def q_scored_records(spark, sf_dir):
+    rec = scored_records(FleetRun(spark, sf_dir))
+    return finish(rec.select(
+        "engine_id", "predicted_rul", "health_status", "confidence", "nl_summary",
+        F.array_join("flagged", ",").alias("flagged_features"), "any_flag",
+    ))
+
+
+@query("range_flags")
+def q_range_flags(spark, sf_dir):
+    """Per test reading: number of features outside the train range."""
+    run = FleetRun(spark, sf_dir)
+    flags = flag_columns(run, prefix="")
+    fl = flag_summary(run, flags)
+    return run.test_z.select(
+        "engine_id", "cycle",
+        F.size(fl["flagged"]).cast("bigint").alias("n_flags"),
+        F.array_join(fl["flagged"], ",").alias("flagged_features"),
+        fl["any_flag"].alias("any_flag"),
+    )
+
+
+@query("scoring_counters")
+def q_scoring_counters(spark, sf_dir):
+    """Total scored, drift events and the last forecast in scoring order."""
+    rec = scored_records(FleetRun(spark, sf_dir))
+    ok = ~F.isnan("predicted_rul")
+    return finish(rec.agg(
+        F.count_if(ok).cast("bigint").alias("total_predictions"),
+        F.count_if(F.col("any_flag")).cast("bigint").alias("drift_events"),
+        F.max_by("predicted_rul", "engine_id").alias("last_prediction"),
+    ))
+
+
+@query("maintenance_summary")
+def q_maintenance_summary(spark, sf_dir):
+    """Sentence per engine with the service wording and its top warning signal."""
+    run = FleetRun(spark, sf_dir)
+    win = forecast_windows(run.last_windows("skip"), run.spec)
+    top = A.top_feature(run.spec, run.warning_scores())
+    p = F.col("predicted_rul")
+    status = X.health_band(p)
+    return win.select(
+        "engine_id",
+        X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status), top).alias("nl_summary"),
+    )
+
+
+# --------------------------------------------------------------------------
+# Attribution, signals and ranking
+# --------------------------------------------------------------------------
+
+
+def warning_long(run: FleetRun) -> DataFrame:
+    last = W.last_reading(run.test_z)
+    return A.long_scores(last, run.spec, run.warning_scores(prefix=""))
+
+
+@query("warning_scores")
+def q_warning_scores(spark, sf_dir):
+    return finish(warning_long(FleetRun(spark, sf_dir)))
+
+
+@query("top_signal")
+def q_top_signal(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    last = W.last_reading(run.test_z)
+    top = A.top_feature(run.spec, run.warning_scores(prefix=""))
+    return last.select("engine_id", top.alias("feature"), A.display_name(run.spec, top).alias("signal"))
+
+
+def ranked_signals(run: FleetRun) -> DataFrame:
+    """Every engine's features ranked by warning score, ties in feature order.
+    An engine has one row per feature, so the per-engine window is bounded."""
+    long = warning_long(run)
+    w = Window.partitionBy("engine_id").orderBy(F.col("score").desc(), F.col("pos"))
+    peak = F.max("score").over(Window.partitionBy("engine_id"))
+    return long.withColumn("rank", F.row_number().over(w).cast("bigint")).withColumn("peak", peak)
+
+
+@query("top3_signals")
+def q_top3_signals(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    r = ranked_signals(run).filter(F.col("rank") <= 3)
+    peak = F.when(F.col("peak") == 0, F.lit(1.0)).otherwise(F.col("peak"))
+    rel = F.least(F.col("score") / peak, F.lit(1.0))
+    return finish(r.select("engine_id", "rank", "feature", "score", rel.alias("relative")))
+
+
+@query("signal_ranking")
+def q_signal_ranking(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    r = ranked_signals(run)
+    return finish(r.select("engine_id", "feature", "rank", "score", (F.col("rank") == 1).alias("is_top")))
+
+
+@query("labelled_signals")
+def q_labelled_signals(spark, sf_dir):
+    """Warning contributions with display names, raw name when none."""
+    run = FleetRun(spark, sf_dir)
+    long = warning_long(run)
+    return finish(long.select("engine_id", A.display_name(run.spec, F.col("feature")).alias("signal"), "score"))
+
+
+@query("signal_trend")
+def q_signal_trend(spark, sf_dir):
+    """Scaled readings over the whole life of each engine's top-3 warning features."""
+    run = FleetRun(spark, sf_dir)
+    top3 = ranked_signals(run).filter(F.col("rank") <= 3).select("engine_id", "feature", "rank")
+    hist = run.test_z.select(
+        "engine_id", "cycle",
+        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in run.features])),
+    )
+    return finish(hist.join(top3, ["engine_id", "feature"]).select("engine_id", "cycle", "feature", "rank", "value"))
+
+
+@query("background_sample")
+def q_background_sample(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return A.background_ends(run.scaled(run.train), run.spec)
+
+
+@query("importance_baseline")
+def q_importance_baseline(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(A.importance_baseline(run.background, run.spec, run.step_means))
+
+
+def last_full_window_attribution(run: FleetRun) -> DataFrame:
+    rows = run.last_window_rows(run.test_z).filter(F.col("life") >= run.spec.window)
+    return A.window_attribution(rows, run.spec, run.step_means)
+
+
+@query("linear_attribution")
+def q_linear_attribution(spark, sf_dir):
+    return finish(last_full_window_attribution(FleetRun(spark, sf_dir)))
+
+
+@query("explained_records")
+def q_explained_records(spark, sf_dir):
+    """Forecast, attribution top-3 and sentence with the top signal per engine (I8)."""
+    run = FleetRun(spark, sf_dir)
+    attr = last_full_window_attribution(run)
+    top3 = attr.groupBy("engine_id").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("attribution")).alias("a"), "pos", "feature"))), 1, 3).alias("t")
+    ).select("engine_id", F.transform("t", lambda x: x["feature"]).alias("top_features"))
+    win = forecast_windows(run.last_windows("skip"), run.spec)
+    j = win.select("engine_id", "predicted_rul").join(top3, "engine_id")
+    p = F.col("predicted_rul")
+    status = X.health_band(p)
+    top = F.col("top_features")[0]
+    return finish(j.select(
+        "engine_id", p.alias("predicted_rul"),
+        F.array_join("top_features", ",").alias("top_features"),
+        X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status), top).alias("nl_summary"),
+    ))
