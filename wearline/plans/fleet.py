@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import attribution as A
+from ..operators import drift as D
 from ..operators import labels as LB
 from ..operators import scaling as S
 from ..operators import windows as W
@@ -114,3 +115,8 @@ class FleetRun:
         """Readings of each engine's last L cycles, with ``step`` 1..L."""
         rows = W.last_rows(df, self.spec.window)
         return rows.withColumn("step", (F.col("cycle") - F.col("life") + F.lit(self.spec.window)).cast("int"))
+
+    @cached_property
+    def reference(self) -> dict[str, dict]:
+        """Stored drift reference built from the standardised train rows (H2)."""
+        return D.build_reference(self.scaled(self.train), self.features)

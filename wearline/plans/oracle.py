@@ -581,3 +581,186 @@ ORACLE["explained_records"] = with_(
           {sentence_sql('g.engine_id', 'g.p', status_sql('g.p', False), 't3.top1')} AS nl_summary
         FROM g JOIN t3 ON g.engine_id = t3.engine_id""",
 )
+
+
+# --- quantiles, histograms, drift ---------------------------------------------------
+
+DEC = "[" + ", ".join(repr(i / C.PSI_BINS) for i in range(C.PSI_BINS + 1)) + "]"
+
+
+def long_sql(src: str, extra: str = "") -> str:
+    """(feature, x[, extra cols]) rows of a wide source."""
+    ex = f", {extra}" if extra else ""
+    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x{ex} FROM {src}" for f in F6)
+
+
+def quantiles_sql(src: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, quantile_cont({f}, {DEC}) AS q FROM {src}"
+        for i, f in enumerate(F6)
+    )
+
+
+ORACLE["quantile_edges"] = with_(
+    li_ctes() + [f"qs AS ({quantiles_sql('ztr')})"],
+    f"SELECT feature, pos, CAST(g.i AS INTEGER) AS q, {r6('qs.q[g.i + 1]')} AS edge FROM qs CROSS JOIN range(11) g(i)",
+)
+
+ORACLE["histogram_edges"] = with_(
+    li_ctes() + [
+        f"qs AS ({quantiles_sql('ztr')})",
+        f"al AS ({long_sql('ztst')})",
+        """ab AS (SELECT al.feature, CASE WHEN x >= q[1] AND x <= q[11]
+                   THEN least(len(list_filter(q, lambda v: v <= x)) - 1, 9) END AS bin
+                 FROM al JOIN qs ON al.feature = qs.feature)""",
+        "cnt AS (SELECT feature, bin, count(*) AS n FROM ab WHERE bin IS NOT NULL GROUP BY feature, bin)",
+    ],
+    """SELECT qs.feature, CAST(g.b AS INTEGER) AS bin, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+       FROM qs CROSS JOIN range(10) g(b) LEFT JOIN cnt ON cnt.feature = qs.feature AND cnt.bin = g.b""",
+)
+
+
+def equal_width_sql(src: str, col: str, k: int) -> str:
+    return f"""(SELECT CAST(g.b AS INTEGER) AS bin, mn + (g.b - 1) * ((mx - mn) / {k}) AS lower,
+                 mn + g.b * ((mx - mn) / {k}) AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+               FROM (SELECT CAST(min({col}) AS DOUBLE) AS mn, CAST(max({col}) AS DOUBLE) AS mx FROM {src}) r
+               CROSS JOIN range(1, {k + 1}) g(b)
+               LEFT JOIN (SELECT bk, count(*) AS n FROM (
+                   SELECT CASE WHEN mx > mn THEN least(CAST(floor({k} * (CAST({col} AS DOUBLE) - mn) / (mx - mn)) AS BIGINT) + 1, {k}) ELSE 1 END AS bk
+                   FROM {src} CROSS JOIN (SELECT CAST(min({col}) AS DOUBLE) AS mn, CAST(max({col}) AS DOUBLE) AS mx FROM {src}) r2) q
+                 GROUP BY bk) c ON c.bk = g.b)"""
+
+
+ORACLE["life_histogram"] = with_(
+    li_ctes(), f"SELECT bin, {r6('lower')} AS lower, {r6('upper')} AS upper, n FROM {equal_width_sql('lv', 'life', 20)} h"
+)
+
+ORACLE["rul_histogram"] = with_(
+    li_ctes() + ["rr AS (SELECT CAST(life - cycle AS DOUBLE) AS rul_raw, rul FROM lab)"],
+    f"""SELECT bin, {r6('lower')} AS lower, {r6('upper')} AS upper, n, 'raw' AS label FROM {equal_width_sql('rr', 'rul_raw', 40)} h1
+        UNION ALL
+        SELECT bin, {r6('lower')} AS lower, {r6('upper')} AS upper, n, 'capped' AS label FROM {equal_width_sql('rr', 'rul', 40)} h2""",
+)
+
+ORACLE["psi_train_vs_test"] = with_(
+    li_ctes() + [
+        f"qs AS ({quantiles_sql('ztr')})",
+        f"qw AS (SELECT feature, list_concat([q[1] - {d(C.PSI_EPS)}], q[2:10], [q[11] + {d(C.PSI_EPS)}]) AS e FROM qs)",
+        f"el AS ({long_sql('ztr')})",
+        f"al AS ({long_sql('ztst')})",
+        """eb AS (SELECT el.feature, CASE WHEN x >= e[1] AND x <= e[11] THEN least(len(list_filter(e, lambda v: v <= x)) - 1, 9) END AS bin
+                 FROM el JOIN qw ON el.feature = qw.feature)""",
+        """ab AS (SELECT al.feature, CASE WHEN x >= e[1] AND x <= e[11] THEN least(len(list_filter(e, lambda v: v <= x)) - 1, 9) END AS bin
+                 FROM al JOIN qw ON al.feature = qw.feature)""",
+        """grid AS (SELECT qw.feature, g.b AS bin FROM qw CROSS JOIN range(10) g(b))""",
+        """ec AS (SELECT grid.feature, grid.bin, count(eb.bin) AS n FROM grid LEFT JOIN eb ON eb.feature = grid.feature AND eb.bin = grid.bin GROUP BY grid.feature, grid.bin)""",
+        """ac AS (SELECT grid.feature, grid.bin, count(ab.bin) AS n FROM grid LEFT JOIN ab ON ab.feature = grid.feature AND ab.bin = grid.bin GROUP BY grid.feature, grid.bin)""",
+        f"""es AS (SELECT feature, bin, greatest(n / greatest(sum(n) OVER (PARTITION BY feature), 1), {d(C.PSI_EPS)}) AS p FROM ec)""",
+        f"""ash AS (SELECT feature, bin, greatest(n / greatest(sum(n) OVER (PARTITION BY feature), 1), {d(C.PSI_EPS)}) AS p FROM ac)""",
+    ],
+    f"""SELECT es.feature, {r6('sum((ash.p - es.p) * ln(ash.p / es.p))')} AS psi
+        FROM es JOIN ash ON es.feature = ash.feature AND es.bin = ash.bin GROUP BY es.feature""",
+)
+
+
+def reference_ctes() -> list[str]:
+    """ri: interior edges per feature; rs: floored train shares per bin."""
+    return [
+        f"qs AS ({quantiles_sql('ztr')})",
+        """ri AS (SELECT feature, pos, CASE WHEN len(u) > 2 THEN u[2:len(u) - 1] ELSE [] END AS e
+                 FROM (SELECT feature, pos, list_sort(list_distinct(q)) AS u FROM qs) q)""",
+        f"el AS ({long_sql('ztr')})",
+        """eb AS (SELECT el.feature, len(list_filter(e, lambda v: v <= x)) AS bin FROM el JOIN ri ON el.feature = ri.feature)""",
+        """rgrid AS (SELECT ri.feature, ri.pos, ri.e, g.b AS bin FROM ri CROSS JOIN range(10) g(b) WHERE g.b <= len(ri.e))""",
+        """rc AS (SELECT rgrid.feature, rgrid.pos, rgrid.e, rgrid.bin, count(eb.bin) AS n FROM rgrid
+                 LEFT JOIN eb ON eb.feature = rgrid.feature AND eb.bin = rgrid.bin GROUP BY ALL)""",
+        f"""rs AS (SELECT feature, pos, e, bin, greatest(n / sum(n) OVER (PARTITION BY feature), {d(C.PSI_EPS)}) AS ref_pct,
+                   count(*) OVER (PARTITION BY feature) AS nbins FROM rc)""",
+    ]
+
+
+ORACLE["drift_reference"] = with_(
+    li_ctes() + reference_ctes(),
+    f"""SELECT feature, pos, CAST(bin AS INTEGER) AS bin,
+          {r6('CASE WHEN bin > 0 THEN e[bin] END')} AS lower_edge,
+          {r6('CASE WHEN bin < len(e) THEN e[bin + 1] END')} AS upper_edge,
+          {r6('ref_pct')} AS ref_pct FROM rs""",
+)
+
+
+def cohort_psi_sql(src: str, by: str | None) -> list[str]:
+    """CTEs ending in cp(by?, feature, psi) for cohort rows of ``src`` vs the stored reference."""
+    key = f"{by}, " if by else ""
+    keysel = f"s.{by}, " if by else ""
+    cohorts = f"(SELECT DISTINCT {by} FROM {src})" if by else "(SELECT 1 AS one)"
+    join_key = f"ac.{by} = gg.{by} AND " if by else ""
+    grp = f"gg.{by}, " if by else ""
+    part = f"PARTITION BY {by}, feature" if by else "PARTITION BY feature"
+    ext = by if by else ""
+    return reference_ctes() + [
+        f"al AS ({long_sql(src, ext) if by else long_sql(src)})",
+        f"""ab AS (SELECT {('al.' + by + ', ') if by else ''}al.feature, len(list_filter(ri.e, lambda v: v <= x)) AS bin
+                 FROM al JOIN ri ON al.feature = ri.feature WHERE NOT isnan(x))""",
+        f"ac AS (SELECT {key}feature, bin, count(*) AS n FROM ab GROUP BY ALL)",
+        f"""gg AS (SELECT {('c.' + by + ', ') if by else ''}rs.feature, rs.bin, rs.ref_pct, rs.nbins FROM {cohorts} c CROSS JOIN rs)""",
+        f"""cj AS (SELECT {grp}gg.feature, gg.bin, gg.ref_pct, gg.nbins, coalesce(ac.n, 0) AS n FROM gg
+                 LEFT JOIN ac ON {join_key}ac.feature = gg.feature AND ac.bin = gg.bin)""",
+        f"""cs AS (SELECT *, greatest(n / greatest(sum(n) OVER ({part}), 1), {d(C.PSI_EPS)}) AS p FROM cj)""",
+        f"""cp AS (SELECT {key}feature, CASE WHEN max(nbins) < 2 THEN {d(0)}
+                    ELSE sum((p - ref_pct) * ln(p / ref_pct)) END AS psi FROM cs GROUP BY ALL)""",
+    ]
+
+
+def severity_sql(e: str) -> str:
+    return (f"CASE WHEN {e} < {d(C.PSI_MODERATE)} THEN 'stable' WHEN {e} <= {d(C.PSI_ALARM)} "
+            f"THEN 'moderate' ELSE 'significant' END")
+
+
+ORACLE["drift_fleet"] = with_(
+    li_ctes() + cohort_psi_sql("ztst", None),
+    f"""SELECT cp.feature, ri.pos, {display_sql('cp.feature')} AS signal, {r6('cp.psi')} AS psi, {severity_sql('cp.psi')} AS severity
+        FROM cp JOIN ri ON cp.feature = ri.feature ORDER BY cp.psi DESC""",
+)
+
+ORACLE["drift_by_engine"] = with_(
+    li_ctes() + cohort_psi_sql("ztst", "engine_id"),
+    f"SELECT engine_id, feature, {r6('psi')} AS psi FROM cp",
+)
+
+ORACLE["drift_recent"] = with_(
+    li_ctes() + [f"recent AS (SELECT * FROM ztst WHERE cycle > life - {C.DRIFT_RECENT})"] + cohort_psi_sql("recent", "engine_id"),
+    f"SELECT engine_id, feature, {r6('psi')} AS psi FROM cp",
+)
+
+ORACLE["drift_alarms"] = with_(
+    li_ctes() + cohort_psi_sql("ztst", None),
+    f"""SELECT CAST(count(*) AS BIGINT) AS n_alarms,
+          coalesce(string_agg({display_sql('cp.feature')}, ', ' ORDER BY cp.psi DESC, ri.pos), '') AS alarms
+        FROM cp JOIN ri ON cp.feature = ri.feature WHERE cp.psi > {d(C.PSI_ALARM)}""",
+)
+
+
+def gaussian_psi_sql() -> str:
+    zs = "[" + ", ".join(repr(z) for z in __import__("wearline.operators.drift", fromlist=["x"]).NORMAL_DECILES) + "]"
+    ge = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, list_transform({zs}, lambda z: mean_{f} + greatest(coalesce(std_{f}, 0), {d(C.PSI_EPS)}) * z) AS e FROM zst"
+        for f in F6
+    )
+    return with_(
+        full_ctes() + [
+            f"ge AS ({ge})",
+            f"recent AS (SELECT * FROM ztst WHERE cycle > life - {L})",
+            f"al AS ({long_sql('recent', 'engine_id')})",
+            "ab AS (SELECT al.engine_id, al.feature, len(list_filter(ge.e, lambda v: v <= x)) AS bin FROM al JOIN ge ON al.feature = ge.feature)",
+            "ac AS (SELECT engine_id, feature, bin, count(*) AS n FROM ab GROUP BY ALL)",
+            f"gg AS (SELECT c.engine_id, ge.feature, g.b AS bin FROM (SELECT DISTINCT engine_id FROM recent) c CROSS JOIN ge CROSS JOIN range({C.PSI_BINS}) g(b))",
+            """cj AS (SELECT gg.*, coalesce(ac.n, 0) AS n FROM gg LEFT JOIN ac
+                     ON ac.engine_id = gg.engine_id AND ac.feature = gg.feature AND ac.bin = gg.bin)""",
+            f"cs AS (SELECT *, greatest(n / greatest(sum(n) OVER (PARTITION BY engine_id, feature), 1), {d(C.PSI_EPS)}) AS p FROM cj)",
+        ],
+        f"""SELECT engine_id, feature, {r6(f'sum((p - {d(1 / C.PSI_BINS)}) * ln(p / {d(1 / C.PSI_BINS)}))')} AS psi
+            FROM cs GROUP BY engine_id, feature""",
+    )
+
+
+ORACLE["psi_gaussian"] = gaussian_psi_sql()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalar as X
 from ..operators import attribution as A
+from ..operators import drift as D
 from ..operators import labels as LB
 from ..operators import metrics as M
 from ..operators import quality as Q
@@ -528,3 +529,113 @@ def q_explained_records(spark, sf_dir):
         F.array_join("top_features", ",").alias("top_features"),
         X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status), top).alias("nl_summary"),
     ))
+
+
+# --------------------------------------------------------------------------
+# Quantiles, histograms and drift
+# --------------------------------------------------------------------------
+
+
+@query("quantile_edges")
+def q_quantile_edges(spark, sf_dir):
+    """Decile edges of every standardised train feature."""
+    run = FleetRun(spark, sf_dir)
+    p = F.array(*[F.lit(float(x)) for x in D.DECILES])
+    wide = run.scaled(run.train).agg(*[F.percentile(F.col(f), p).alias(f) for f in run.features])
+    rows = [F.struct(F.lit(f).alias("feature"), F.lit(i + 1).cast("bigint").alias("pos"), F.col(f).alias("edges"))
+            for i, f in enumerate(run.features)]
+    long = wide.select(F.inline(F.array(*rows)))
+    return finish(long.select("feature", "pos", F.posexplode("edges").alias("q", "edge")))
+
+
+@query("histogram_edges")
+def q_histogram_edges(spark, sf_dir):
+    """Test readings binned on the train deciles: half-open bins, last closed,
+    values outside the edges not counted (E8)."""
+    run = FleetRun(spark, sf_dir)
+    edges = D.quantile_edges(run.scaled(run.train), run.features)
+    bins = {f: (D.bin_of(F.col(f), edges[f]), len(edges[f]) - 1) for f in run.features}
+    return D.count_bins(run.test_z, bins)
+
+
+@query("life_histogram")
+def q_life_histogram(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(D.equal_width_histogram(W.engine_lives(run.rows), "life", 20))
+
+
+@query("rul_histogram")
+def q_rul_histogram(spark, sf_dir):
+    """40 equal-width bins of the uncapped and the capped train label."""
+    run = FleetRun(spark, sf_dir)
+    lab = LB.label_raw_and_capped(run.rows, run.spec.cap)
+    raw = D.equal_width_histogram(lab, "rul_raw", 40).withColumn("label", F.lit("raw"))
+    capped = D.equal_width_histogram(lab, "rul", 40).withColumn("label", F.lit("capped"))
+    return finish(raw.unionByName(capped))
+
+
+@query("psi_train_vs_test")
+def q_psi_train_vs_test(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    return finish(D.psi_samples(run.scaled(run.train), run.test_z, run.features))
+
+
+@query("drift_reference")
+def q_drift_reference(spark, sf_dir):
+    run = FleetRun(spark, sf_dir)
+    train_z = run.scaled(run.train)
+    interior = D.reference_edges(train_z, run.features)
+    return finish(D.reference_shares(train_z, interior, run.features))
+
+
+def drift_fleet(run: FleetRun) -> DataFrame:
+    psi = D.psi_against_reference(run.test_z, run.reference, run.features)
+    pos = F.lit(None).cast("bigint")
+    for i, f in enumerate(run.features):
+        pos = F.when(F.col("feature") == f, F.lit(i + 1).cast("bigint")).otherwise(pos)
+    return psi.select(
+        "feature", pos.alias("pos"), A.display_name(run.spec, F.col("feature")).alias("signal"),
+        "psi", X.psi_severity(F.col("psi")).alias("severity"),
+    )
+
+
+@query("drift_fleet")
+def q_drift_fleet(spark, sf_dir):
+    """PSI of the whole test fleet per feature against the stored reference (H3, H4)."""
+    return finish(drift_fleet(FleetRun(spark, sf_dir)).orderBy(F.col("psi").desc()))
+
+
+@query("drift_by_engine")
+def q_drift_by_engine(spark, sf_dir):
+    """PSI per engine and feature; all engines in one grouped pass (H4)."""
+    run = FleetRun(spark, sf_dir)
+    return finish(D.psi_against_reference(run.test_z, run.reference, run.features, by=("engine_id",)))
+
+
+@query("drift_recent")
+def q_drift_recent(spark, sf_dir):
+    """PSI of each engine's most recent 500 readings (H7)."""
+    run = FleetRun(spark, sf_dir)
+    recent = W.last_rows(run.test_z, C.DRIFT_RECENT)
+    return finish(D.psi_against_reference(recent, run.reference, run.features, by=("engine_id",)))
+
+
+@query("psi_gaussian")
+def q_psi_gaussian(spark, sf_dir):
+    """PSI of each engine's last window against N(mean, std) deciles of the train stats (H5)."""
+    run = FleetRun(spark, sf_dir)
+    recent = W.last_rows(run.test_z, run.spec.window)
+    ref = D.gaussian_reference(run.stats, run.features)
+    return finish(D.psi_against_reference(recent, ref, run.features, by=("engine_id",)))
+
+
+@query("drift_alarms")
+def q_drift_alarms(spark, sf_dir):
+    """Features drifted past 0.2: count and their names, most drifted first."""
+    table = drift_fleet(FleetRun(spark, sf_dir))
+    alarms = table.filter(F.col("psi") > C.PSI_ALARM)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("psi")).alias("k"), "pos", "signal")))
+    return alarms.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_alarms"),
+        F.array_join(F.transform(ordered, lambda x: x["signal"]), ", ").alias("alarms"),
+    )
