@@ -70,16 +70,25 @@ def count_bins(df: DataFrame, bins: dict[str, tuple[Column, int]], by: Sequence[
     """(by..., feature, bin, n): per-bin counts in one aggregate pass.
 
     ``bins`` maps feature -> (bin column, number of bins); empty bins get 0.
+    Bin indices are projected once, so the aggregate holds only small
+    ``count_if(bin == k)`` terms and stays inside generated code.
     """
+    names = list(bins)
+    proj = [F.col(c) for c in by] + [b.alias(f"_b{fi}") for fi, (b, _) in enumerate(bins.values())]
+    if when is not None:
+        proj.append(when.alias("_w"))
+    binned = df.select(*proj)
     aggs = []
-    for fi, (f, (b, nb)) in enumerate(bins.items()):
-        for k in range(nb):
-            cond = (b == k) if when is None else ((b == k) & when)
+    for fi, f in enumerate(names):
+        for k in range(bins[f][1]):
+            cond = F.col(f"_b{fi}") == k
+            if when is not None:
+                cond = cond & F.col("_w")
             aggs.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{fi}_{k}"))
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    wide = binned.groupBy(*by).agg(*aggs) if by else binned.agg(*aggs)
     rows = [
         F.struct(F.lit(f).alias("feature"), F.lit(k).alias("bin"), F.col(f"c{fi}_{k}").cast("bigint").alias("n"))
-        for fi, (f, (_, nb)) in enumerate(bins.items()) for k in range(nb)
+        for fi, f in enumerate(names) for k in range(bins[f][1])
     ]
     return wide.select(*by, F.inline(F.array(*rows)))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import cap_at
+from .joins import join_lookup
 
 
 def with_life(df: DataFrame, key: str = "engine_id", cycle: str = "cycle") -> DataFrame:
@@ -97,7 +98,10 @@ def synthetic_truth(df: DataFrame) -> DataFrame:
 
 
 def label_test_rul(test: DataFrame, truth: DataFrame, cap: float = C.RUL_CAP, out: str = "rul") -> DataFrame:
-    """rul = min(final_rul + life - cycle, cap); engines without truth keep null."""
-    d = with_life(test).join(truth, "engine_id", "left")
+    """rul = min(final_rul + life - cycle, cap); engines without truth keep null.
+
+    The truth table has one row per engine: broadcast after a size check.
+    """
+    d = join_lookup(with_life(test), truth, "engine_id", "left")
     remaining = F.col("final_rul") + (F.col("life") - F.col("cycle")).cast("double")
     return d.withColumn(out, cap_at(remaining, cap)).drop("final_rul")

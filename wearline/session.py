@@ -45,22 +45,32 @@ def apply_plan_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def _configured_dir(spark: SparkSession) -> str | None:
+    sc = spark.sparkContext
+    return sc.getConf().get("spark.checkpoint.dir", None) or None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the checkpoint folder, based on the shared ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is. Only
     when nothing is set (local tests) a scratch folder is created here.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="wearline-ckpt-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        sc.setCheckpointDir(_configured_dir(spark) or tempfile.mkdtemp(prefix="wearline-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` (not the per-app subfolder)."""
+    root = _configured_dir(spark)
+    if root:
+        return root.rstrip("/")
+    ckpt = ensure_checkpoint_dir(spark).rstrip("/")
+    return ckpt.rsplit("/", 1)[0] if "/" in ckpt else ckpt
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for written intermediate tables under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    """A path for written tables under the shared checkpoint folder."""
+    return f"{shared_root(spark)}/wearline-tables/{name}"

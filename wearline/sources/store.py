@@ -51,12 +51,38 @@ def materialized(
     """Read table ``name`` for these sources, building and writing it if absent."""
     root = scratch_path(spark, f"{name}-{_fingerprint(sources)}")
     pointer = f"{root}/_CURRENT"
-    if _exists(spark, pointer):
-        current = spark.read.text(pointer).first()[0].strip()
+    current = _read_pointer(spark, pointer)
+    if current and _exists(spark, current):
         return spark.read.parquet(current)
     target = f"{root}/{uuid.uuid4().hex}"
     build().write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(pointer)
+    _write_pointer(spark, pointer, target)
     return spark.read.parquet(target)
+
+
+def _read_pointer(spark: SparkSession, pointer: str) -> str | None:
+    fs, jpath = _fs(spark, pointer)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return line.strip() if line else None
+
+
+def _write_pointer(spark: SparkSession, pointer: str, target: str) -> None:
+    """Publish ``target``: write a temporary marker, then rename it into place."""
+    fs, jpath = _fs(spark, pointer)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pointer}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(target.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(jpath):
+        fs.delete(jpath, False)
+    fs.rename(tmp, jpath)
