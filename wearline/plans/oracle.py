@@ -764,3 +764,54 @@ def gaussian_psi_sql() -> str:
 
 
 ORACLE["psi_gaussian"] = gaussian_psi_sql()
+
+
+# --- written tables, requests, guards -------------------------------------------
+
+ORACLE["splits_roundtrip"] = with_(
+    li_ctes() + [
+        f"zval AS (SELECT engine_id, cycle, life, rul, {sql_list(f'({f} - sc.mu_{f}) / sc.sd_{f} AS {f}' for f in F6)} FROM lab CROSS JOIN sc WHERE split = 'val')",
+        "allz AS (SELECT 'train' AS split, engine_id, rul FROM ztr UNION ALL SELECT 'val', engine_id, rul FROM zval UNION ALL SELECT 'test', engine_id, rul FROM ztst)",
+    ],
+    f"""SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT engine_id) AS BIGINT) AS n_engines,
+          {r6('sum(rul)')} AS rul_sum FROM allz GROUP BY split""",
+)
+
+ORACLE["last_window_table"] = with_(
+    li_ctes(),
+    f"""SELECT engine_id, CAST(count(*) AS BIGINT) AS n_rows, min(cycle) AS first_cycle, max(cycle) AS last_cycle,
+          {sql_list(f'{r6(f"avg({f})")} AS {f}_mean' for f in F6)}
+        FROM tst WHERE cycle > life - {L} GROUP BY engine_id""",
+)
+
+_LO = C.ORDERS_FLEET.window
+ORDERS_WIN = orders_ctes() + [
+    f"""ow AS (SELECT engine_id, CAST(count(*) AS BIGINT) AS n, avg(totalprice) AS m FROM (
+          SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle DESC) AS rn FROM fo) q
+        WHERE rn <= {_LO} GROUP BY engine_id)""",
+]
+
+ORACLE["request_violations"] = with_(
+    ORDERS_WIN,
+    f"""SELECT engine_id, n AS n_rows, n = {_LO} AS valid,
+          CASE WHEN engine_id < 1 THEN 'engine_id must be >= 1'
+               WHEN n <> {_LO} THEN 'sensor_window must have {_LO} rows, got ' || CAST(n AS VARCHAR) END AS reason
+        FROM ow""",
+)
+
+_OF = C.ORDERS_FLEET
+ORACLE["guarded_windows"] = with_(
+    ORDERS_WIN,
+    f"""SELECT engine_id, CASE WHEN n <> {_LO} THEN 'shape mismatch' END AS reason,
+          CASE WHEN n = {_LO} THEN {r6(f'{d(_OF.bias)} + {d(_OF.weight("totalprice"))} * m')} END AS predicted_rul,
+          CAST(NULL AS VARCHAR) AS output_reason
+        FROM ow""",
+)
+
+ORACLE["window_input_stats"] = with_(
+    li_ctes() + [
+        f"lw AS (SELECT * FROM ztst WHERE cycle > life - {L} AND life >= {L})",
+        f"vals AS ({' UNION ALL '.join(f'SELECT engine_id, {f} AS x FROM lw' for f in F6)})",
+    ],
+    f"SELECT engine_id, {r6('avg(x)')} AS mean, {r6('stddev_pop(x)')} AS std FROM vals GROUP BY engine_id",
+)

@@ -22,6 +22,8 @@ from ..operators import quality as Q
 from ..operators import scaling as S
 from ..operators import windows as W
 from ..operators.forecast import forecast_windows
+from ..sources.artefacts import window_requests
+from ..sources.store import materialized
 from .common import finish
 from .fleet import FleetRun
 
@@ -639,3 +641,93 @@ def q_drift_alarms(spark, sf_dir):
         F.count(F.lit(1)).cast("bigint").alias("n_alarms"),
         F.array_join(F.transform(ordered, lambda x: x["signal"]), ", ").alias("alarms"),
     )
+
+
+# --------------------------------------------------------------------------
+# Written tables, requests and guards
+# --------------------------------------------------------------------------
+
+
+def _source(sf_dir: str, table: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{table}.parquet"
+
+
+@query("splits_roundtrip")
+def q_splits_roundtrip(spark, sf_dir):
+    """Processed train / val / test written as one parquet table partitioned by
+    split, read back and summarised per split (A5)."""
+    run = FleetRun(spark, sf_dir)
+
+    def build():
+        cols = ["engine_id", "cycle", *run.features, "rul", "split"]
+        trval = run.scaled(run.labelled.filter(F.col("split").isNotNull())).select(*cols)
+        test = run.test_z.withColumn("split", F.lit("test")).select(*cols)
+        return trval.unionByName(test)
+
+    back = materialized(spark, "splits-lineitem", [_source(sf_dir, "lineitem")], build, partition_by=("split",))
+    return finish(back.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+        F.countDistinct("engine_id").cast("bigint").alias("n_engines"),
+        F.sum("rul").alias("rul_sum"),
+    ))
+
+
+@query("last_window_table")
+def q_last_window_table(spark, sf_dir):
+    """Raw (unscaled) last windows kept for serving, written and read back."""
+    run = FleetRun(spark, sf_dir)
+
+    def build():
+        return W.last_window(run.test, run.spec, policy="partial")
+
+    back = materialized(spark, "last-windows-lineitem", [_source(sf_dir, "lineitem")], build)
+    cols = ["engine_id", "n_rows", "first_cycle", "last_cycle"] + [f"{f}_mean" for f in run.features]
+    return finish(back.select(*cols))
+
+
+def orders_requests(spark, sf_dir) -> tuple[FleetRun, DataFrame]:
+    """Scoring requests built from each customer's last (possibly short) window."""
+    run = FleetRun(spark, sf_dir, "orders")
+    wins = W.last_window(run.rows, run.spec, policy="partial", arrays=True)
+    return run, window_requests(wins, run.features)
+
+
+@query("request_violations")
+def q_request_violations(spark, sf_dir):
+    """Request validation: id >= 1, exactly L rows, each with all features."""
+    run, req = orders_requests(spark, sf_dir)
+    reason = Q.request_reason(F.col("sensor_window"), F.col("engine_id"), run.spec.window, len(run.features))
+    return req.select(
+        "engine_id", F.size("sensor_window").cast("bigint").alias("n_rows"),
+        reason.isNull().alias("valid"), reason.alias("reason"),
+    )
+
+
+@query("guarded_windows")
+def q_guarded_windows(spark, sf_dir):
+    """Shape and finiteness guard before scoring, finiteness after; rejected
+    windows keep their reason and get no score (B10)."""
+    run, req = orders_requests(spark, sf_dir)
+    w = F.col("sensor_window")
+    reason = Q.guard_reason(w, run.spec.window, len(run.features))
+    def column_of(i):
+        return lambda r: r[i]
+
+    means = {f"{f}_mean": F.aggregate(F.transform(w, column_of(i)), F.lit(0.0), lambda a, x: a + x) / F.size(w)
+             for i, f in enumerate(run.features)}
+    ok = reason.isNull()
+    scored = req.select("engine_id", reason.alias("reason"), *[F.when(ok, v).alias(k) for k, v in means.items()])
+    scored = forecast_windows(scored, run.spec)
+    pred = F.when(F.col("reason").isNull(), F.col("predicted_rul"))
+    out = scored.select("engine_id", "reason", pred.alias("predicted_rul"))
+    return finish(out.withColumn("output_reason", F.when(F.col("reason").isNull(), Q.output_reason(F.col("predicted_rul")))))
+
+
+@query("window_input_stats")
+def q_window_input_stats(spark, sf_dir):
+    """Mean and population std of all values of each scored window."""
+    run = FleetRun(spark, sf_dir)
+    wins = W.last_window(run.test_z, run.spec, policy="skip", arrays=True)
+    req = window_requests(wins, run.features)
+    mean, std = Q.window_mean_std(F.col("sensor_window"))
+    return finish(req.select("engine_id", mean.alias("mean"), std.alias("std")))

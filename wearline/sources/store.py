@@ -47,6 +47,7 @@ def materialized(
     name: str,
     sources: list[str],
     build: Callable[[], DataFrame],
+    partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Read table ``name`` for these sources, building and writing it if absent."""
     root = scratch_path(spark, f"{name}-{_fingerprint(sources)}")
@@ -55,7 +56,10 @@ def materialized(
     if current and _exists(spark, current):
         return spark.read.parquet(current)
     target = f"{root}/{uuid.uuid4().hex}"
-    build().write.mode("overwrite").parquet(target)
+    writer = build().write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(target)
     _write_pointer(spark, pointer, target)
     return spark.read.parquet(target)
 
