@@ -815,3 +815,9 @@ ORACLE["window_input_stats"] = with_(
     ],
     f"SELECT engine_id, {r6('avg(x)')} AS mean, {r6('stddev_pop(x)')} AS std FROM vals GROUP BY engine_id",
 )
+
+ORACLE["pluggable_scorer"] = with_(
+    li_ctes() + [last_win_cte("g", None)],
+    f"""SELECT engine_id, CASE WHEN n_rows <> {L} THEN 'shape mismatch' END AS reason,
+          CASE WHEN n_rows = {L} THEN {r6('p')} END AS predicted_rul, CAST(NULL AS VARCHAR) AS output_reason FROM g""",
+)

@@ -731,3 +731,51 @@ def q_window_input_stats(spark, sf_dir):
     req = window_requests(wins, run.features)
     mean, std = Q.window_mean_std(F.col("sensor_window"))
     return finish(req.select("engine_id", mean.alias("mean"), std.alias("std")))
+
+
+# --------------------------------------------------------------------------
+# Fitted forecasters and the pluggable scorer (I1, I3, I6, L1): rows-only
+# --------------------------------------------------------------------------
+
+
+def _model_windows(run: FleetRun) -> tuple[DataFrame, DataFrame]:
+    """Train/val windows (with ``is_val``) and each test engine's last full window."""
+    lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
+    val_lo, val_hi = run.ranges[1]
+    wins = W.window_features(lab, run.spec).withColumn("is_val", F.col("engine_id").between(val_lo, val_hi))
+    test = W.window_features(run.test_z, run.spec)
+    last = test.join(run.test_z.filter(F.col("cycle") == F.col("life")).select("engine_id", "cycle"), ["engine_id", "cycle"])
+    return wins, last
+
+
+def _fitted(spark, sf_dir, kind):
+    from ..operators import models as ML
+
+    run = FleetRun(spark, sf_dir)
+    wins, last = _model_windows(run)
+    model = ML.fit_forecaster(wins, run.spec, kind=kind, max_iter=20 if kind == "linear" else 10)
+    return finish(ML.predict(model, last, run.spec).select("engine_id", "cycle", "predicted_rul"))
+
+
+@query("forecast_linear")
+def q_forecast_linear(spark, sf_dir):
+    """Linear forecaster fitted on train windows, applied to last test windows."""
+    return _fitted(spark, sf_dir, "linear")
+
+
+@query("forecast_gbt")
+def q_forecast_gbt(spark, sf_dir):
+    """Boosted trees, validation engines decide when to stop."""
+    return _fitted(spark, sf_dir, "gbt")
+
+
+@query("pluggable_scorer")
+def q_pluggable_scorer(spark, sf_dir):
+    """Any vectorised scorer over window arrays, guarded before and after (L1)."""
+    from ..operators import models as ML
+
+    run = FleetRun(spark, sf_dir)
+    wins = W.last_window(run.test_z, run.spec, policy="partial", arrays=True)
+    req = window_requests(wins, run.features)
+    scored = ML.guarded_score(req, ML.linear_scorer(run.spec), run.spec.window, len(run.features))
+    return finish(scored.select("engine_id", "reason", "predicted_rul", "output_reason"))

@@ -74,3 +74,39 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written tables under the shared checkpoint folder."""
     return f"{shared_root(spark)}/wearline-tables/{name}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once per application).
+
+    Pandas-based operators (``mapInPandas``, ``applyInPandasWithState``) pickle
+    functions by module reference, so workers must import ``wearline``. The
+    package is zipped into the shared folder and added with ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import wearline
+
+    pkg = os.path.dirname(os.path.abspath(wearline.__file__))
+    root = shared_root(spark)
+    local_root = root[len("file:"):] if root.startswith("file:") else root
+    base = local_root if "://" not in local_root else tempfile.mkdtemp(prefix="wearline-pkg-")
+    out_dir = os.path.join(base, "wearline-pkg", app)
+    os.makedirs(out_dir, exist_ok=True)
+    zpath = os.path.join(out_dir, "wearline.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
