@@ -821,3 +821,49 @@ ORACLE["pluggable_scorer"] = with_(
     f"""SELECT engine_id, CASE WHEN n_rows <> {L} THEN 'shape mismatch' END AS reason,
           CASE WHEN n_rows = {L} THEN {r6('p')} END AS predicted_rul, CAST(NULL AS VARCHAR) AS output_reason FROM g""",
 )
+
+
+# --- streaming (batch-equivalent SQL over the events table) ------------------------
+
+EV = C.EVENTS_FLEET
+EVF = EV.features
+
+
+def events_ctes() -> list[str]:
+    mu_sd = []
+    for f in EVF:
+        sd = f"stddev_pop({f})"
+        mu_sd.append(f"avg({f}) AS mu_{f}")
+        mu_sd.append(f"CASE WHEN {sd} IS NULL OR {sd} <= 1e-9 * greatest(1, abs(avg({f}))) THEN {d(1)} ELSE {sd} END AS sd_{f}")
+    return [
+        f"""fe AS (SELECT CAST(user_id + 1 AS BIGINT) AS engine_id,
+              CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS cycle,
+              CAST(value AS DOUBLE) AS value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+              CAST(hour(ts) AS DOUBLE) AS hour, CASE WHEN event_type = 'error' THEN {d(1)} ELSE {d(0)} END AS is_error
+            FROM events)""",
+        "fev AS (SELECT engine_id, max(cycle) AS life FROM fe GROUP BY engine_id)",
+        f"esc AS (SELECT {sql_list(mu_sd)} FROM fe WHERE engine_id <= (SELECT CAST(floor({EV.train_fraction} * max(engine_id)) AS BIGINT) FROM fe))",
+        f"zfe AS (SELECT fe.engine_id, fe.cycle, fev.life, {sql_list(f'({f} - esc.mu_{f}) / esc.sd_{f} AS {f}' for f in EVF)} FROM fe JOIN fev ON fe.engine_id = fev.engine_id CROSS JOIN esc)",
+    ]
+
+
+def ev_forecast(fmt: str) -> str:
+    return "(" + " + ".join([d(EV.bias)] + [f"{d(EV.weight(f))} * {fmt.format(f=f)}" for f in EVF if EV.weight(f)]) + ")"
+
+
+ORACLE["stream_scoring"] = with_(
+    events_ctes(),
+    f"""SELECT engine_id, max(life) AS n_seen, {r6(ev_forecast('avg({f})'))} AS predicted_rul
+        FROM zfe WHERE cycle > life - {EV.window} AND life >= {EV.window} GROUP BY engine_id""",
+)
+
+ORACLE["stream_counters"] = f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       CAST(count(*) AS BIGINT) AS n_readings,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS n_errors,
+       {r6('max(value)')} AS max_value, {r6('arg_max(value, (ts, event_id))')} AS last_value
+FROM events GROUP BY date_trunc('hour', ts)"""
+
+ORACLE["stream_dedup"] = "SELECT CAST(user_id + 1 AS BIGINT) AS engine_id, CAST(count(*) AS BIGINT) AS n_readings FROM events GROUP BY user_id"
+
+ORACLE["stream_quarantine"] = "SELECT CAST(count(*) AS BIGINT) AS n_good, CAST(0 AS BIGINT) AS n_rejected FROM events"

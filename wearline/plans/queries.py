@@ -7,6 +7,7 @@ and exponential sums to 4) so that independent engines agree.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -779,3 +780,88 @@ def q_pluggable_scorer(spark, sf_dir):
     req = window_requests(wins, run.features)
     scored = ML.guarded_score(req, ML.linear_scorer(run.spec), run.spec.window, len(run.features))
     return finish(scored.select("engine_id", "reason", "predicted_rul", "output_reason"))
+
+
+# --------------------------------------------------------------------------
+# Structured Streaming (K1, K2, K4, K5, K6): streams over the events table,
+# run to completion with trigger(availableNow) and read back from their sinks
+# --------------------------------------------------------------------------
+
+
+@query("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """Latest full-window forecast per engine from the stateful stream (K1)."""
+    from ..streaming import scoring as ST
+
+    run = FleetRun(spark, sf_dir, "events")
+    stream = ST.standardise_stream(ST.readings(ST.event_stream(spark, sf_dir)), run.scaler, run.features)
+    out = ST.run_available(ST.score_stream(stream, run.spec), "scoring")
+    rows = spark.read.parquet(out)
+    latest = rows.groupBy("engine_id").agg(F.max_by(F.struct("n_seen", "predicted_rul"), "n_seen").alias("r"))
+    return finish(latest.select("engine_id", F.col("r.n_seen").alias("n_seen"), F.col("r.predicted_rul").alias("predicted_rul")))
+
+
+@query("stream_counters")
+def q_stream_counters(spark, sf_dir):
+    """Hourly counters maintained in update mode; the last update per window wins (K4)."""
+    from ..streaming import scoring as ST
+
+    from ..session import scratch_path
+    import uuid
+
+    counters = ST.hourly_counters(ST.readings(ST.event_stream(spark, sf_dir)))
+    sink = scratch_path(spark, f"streams/counters/{uuid.uuid4().hex}/out")
+
+    def keep(batch, epoch):
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(sink)
+
+    ST.run_available(counters, "counters", mode="update", foreach=keep)
+    rows = spark.read.parquet(sink)
+    last = rows.groupBy("window").agg(F.max_by(F.struct("n_readings", "n_errors", "max_value", "last_value"), "epoch").alias("r"))
+    return finish(last.select(
+        F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "r.n_readings", "r.n_errors", "r.max_value", "r.last_value",
+    ))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Every event delivered twice; repeats dropped within the watermark (K6)."""
+    from ..streaming import scoring as ST
+
+    dedup = ST.drop_repeats(ST.readings(ST.event_stream(spark, sf_dir, copies=2)))
+    out = ST.run_available(dedup, "dedup")
+    return spark.read.parquet(out).groupBy("engine_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_readings"))
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """Stateless validation routing clean and rejected readings to two sinks (K2)."""
+    from ..streaming import scoring as ST
+    from ..session import scratch_path
+    import uuid
+
+    run = FleetRun(spark, sf_dir, "events")
+    base = scratch_path(spark, f"streams/quarantine/{uuid.uuid4().hex}")
+    rules = [("engine_id_below_1", F.col("engine_id") < 1)] + [(f"{f}_missing", F.col(f).isNull()) for f in run.features]
+    ST.run_available(ST.readings(ST.event_stream(spark, sf_dir)), "quarantine",
+                     foreach=ST.quarantine_to(None, rules, f"{base}/good", f"{base}/bad"))
+    routed = spark.read.parquet(f"{base}/good").select(F.lit(True).alias("ok"))
+    if os.path.exists(f"{base}/bad".replace("file:", "")):
+        routed = routed.unionByName(spark.read.parquet(f"{base}/bad").select(F.lit(False).alias("ok")))
+    return routed.agg(F.count_if("ok").cast("bigint").alias("n_good"),
+                      F.count_if(~F.col("ok")).cast("bigint").alias("n_rejected"))
+
+
+@query("stream_drift")
+def q_stream_drift(spark, sf_dir):
+    """PSI of every micro-batch against the stored reference, with alarms (K5)."""
+    from ..streaming import scoring as ST
+    from ..session import scratch_path
+    import uuid
+
+    run = FleetRun(spark, sf_dir, "events")
+    stream = ST.standardise_stream(ST.readings(ST.event_stream(spark, sf_dir)), run.scaler, run.features)
+    path = scratch_path(spark, f"streams/drift/{uuid.uuid4().hex}/out")
+    ST.run_available(stream, "drift", foreach=ST.drift_to(run.reference, run.features, path, C.PSI_ALARM))
+    return finish(spark.read.parquet(path).select("epoch", "feature", "psi", "alarm"))
