@@ -66,7 +66,7 @@ def materialized(
 
 def _read_pointer(spark: SparkSession, pointer: str) -> str | None:
     fs, jpath = _fs(spark, pointer)
-    if not fs.exists(jpath):
+    if not fs.exists(jpath) or not fs.getFileStatus(jpath).isFile():
         return None
     stream = fs.open(jpath)
     try:
@@ -88,5 +88,5 @@ def _write_pointer(spark: SparkSession, pointer: str, target: str) -> None:
     finally:
         out.close()
     if fs.exists(jpath):
-        fs.delete(jpath, False)
+        fs.delete(jpath, True)
     fs.rename(tmp, jpath)
