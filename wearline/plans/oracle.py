@@ -867,3 +867,7 @@ FROM events GROUP BY date_trunc('hour', ts)"""
 ORACLE["stream_dedup"] = "SELECT CAST(user_id + 1 AS BIGINT) AS engine_id, CAST(count(*) AS BIGINT) AS n_readings FROM events GROUP BY user_id"
 
 ORACLE["stream_quarantine"] = "SELECT CAST(count(*) AS BIGINT) AS n_good, CAST(0 AS BIGINT) AS n_rejected FROM events"
+
+ORACLE["telemetry_scan"] = with_(
+    li_ctes(), f"SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in F6)} FROM f"
+)

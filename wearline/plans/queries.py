@@ -865,3 +865,24 @@ def q_stream_drift(spark, sf_dir):
     path = scratch_path(spark, f"streams/drift/{uuid.uuid4().hex}/out")
     ST.run_available(stream, "drift", foreach=ST.drift_to(run.reference, run.features, path, C.PSI_ALARM))
     return finish(spark.read.parquet(path).select("epoch", "feature", "psi", "alarm"))
+
+
+@query("telemetry_scan")
+def q_telemetry_scan(spark, sf_dir):
+    """The lineitem fleet written once as raw whitespace text (mixed blanks and
+    tabs, two trailing NaN fields, no header), then scanned back (A1, A2)."""
+    from ..sources.store import written_path
+    from ..sources.telemetry import read_telemetry_text
+
+    run = FleetRun(spark, sf_dir)
+    names = ["engine_id", "cycle", *run.features]
+
+    def build():
+        fields = [F.col("engine_id").cast("string"), F.col("cycle").cast("string")] + \
+                 [F.col(f).cast("string") for f in run.features] + [F.lit("NaN"), F.lit("NaN")]
+        line = F.concat(F.lit(" "), F.concat_ws(" \t ", *fields), F.lit("  "))
+        return run.rows.select(line.alias("value"))
+
+    path = written_path(spark, "text-lineitem", [_source(sf_dir, "lineitem")], build, fmt="text")
+    scanned = read_telemetry_text(spark, path, names=names)
+    return finish(scanned.select(*names))

@@ -42,26 +42,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def materialized(
+def written_path(
     spark: SparkSession,
     name: str,
     sources: list[str],
     build: Callable[[], DataFrame],
     partition_by: tuple[str, ...] = (),
-) -> DataFrame:
-    """Read table ``name`` for these sources, building and writing it if absent."""
+    fmt: str = "parquet",
+) -> str:
+    """Path of table ``name`` for these sources, building and writing it if absent."""
     root = scratch_path(spark, f"{name}-{_fingerprint(sources)}")
     pointer = f"{root}/_CURRENT"
     current = _read_pointer(spark, pointer)
     if current and _exists(spark, current):
-        return spark.read.parquet(current)
+        return current
     target = f"{root}/{uuid.uuid4().hex}"
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    writer.format(fmt).save(target)
     _write_pointer(spark, pointer, target)
-    return spark.read.parquet(target)
+    return target
+
+
+def materialized(
+    spark: SparkSession,
+    name: str,
+    sources: list[str],
+    build: Callable[[], DataFrame],
+    partition_by: tuple[str, ...] = (),
+) -> DataFrame:
+    """Read table ``name`` for these sources, building and writing it if absent."""
+    return spark.read.parquet(written_path(spark, name, sources, build, partition_by))
 
 
 def _read_pointer(spark: SparkSession, pointer: str) -> str | None:
