@@ -29,7 +29,7 @@ def write_events(tmp_path, n_users=3, n_events=40, chunks=4, repeat=False):
     if repeat:
         parts = parts + parts[:1]
     for j, p in enumerate(parts):
-        p.to_parquet(d / f"events_{j:03d}.parquet", index=False)
+        p.to_parquet(d / f"events_{j:03d}.parquet", index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
     return str(d), df
 
 
