@@ -744,7 +744,8 @@ def _model_windows(run: FleetRun) -> tuple[DataFrame, DataFrame]:
     lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
     val_lo, val_hi = run.ranges[1]
     wins = W.window_features(lab, run.spec).withColumn("is_val", F.col("engine_id").between(val_lo, val_hi))
-    test = W.window_features(run.test_z, run.spec)
+    # only the last L readings feed an engine's last full window
+    test = W.window_features(W.last_rows(run.test_z, run.spec.window), run.spec)
     last = test.join(run.test_z.filter(F.col("cycle") == F.col("life")).select("engine_id", "cycle"), ["engine_id", "cycle"])
     return wins, last
 

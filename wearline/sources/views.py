@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENTS_FLEET, LINEITEM_FLEET, ORDERS_FLEET, FleetSpec
 from ..operators.sequence import number_within
-from .store import materialized
+from .store import written_path
 from .tables import read_table
 
 
@@ -81,13 +81,19 @@ FLEET_SOURCES = {
 }
 
 
-def fleet_view(spark: SparkSession, sf_dir: str, name: str) -> tuple[FleetSpec, DataFrame]:
-    """The fleet's view, derived once per source snapshot and read back."""
-    spec, fn = FLEET_VIEWS[name]
+def fleet_view_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path of the fleet's written view (immutable; derived once per source snapshot)."""
+    _, fn = FLEET_VIEWS[name]
     source = f"{sf_dir.rstrip('/')}/{FLEET_SOURCES[name]}.parquet"
 
     def build() -> DataFrame:
         # sorted files give tight engine_id ranges per row group for pushdown
         return fn(spark, sf_dir).sortWithinPartitions("engine_id", "cycle")
 
-    return spec, materialized(spark, f"fleet-{name}", [source], build)
+    return written_path(spark, f"fleet-{name}", [source], build)
+
+
+def fleet_view(spark: SparkSession, sf_dir: str, name: str) -> tuple[FleetSpec, DataFrame]:
+    """The fleet's view, derived once per source snapshot and read back."""
+    spec, _ = FLEET_VIEWS[name]
+    return spec, spark.read.parquet(fleet_view_path(spark, sf_dir, name))
