@@ -871,3 +871,14 @@ ORACLE["stream_quarantine"] = "SELECT CAST(count(*) AS BIGINT) AS n_good, CAST(0
 ORACLE["telemetry_scan"] = with_(
     li_ctes(), f"SELECT engine_id, cycle, {sql_list(f'{r6(f)} AS {f}' for f in F6)} FROM f"
 )
+
+ORACLE["weighted_loss"] = with_(
+    li_ctes() + [
+        f"zl AS (SELECT engine_id, cycle, life, rul, split, {sql_list(f'({f} - sc.mu_{f}) / sc.sd_{f} AS {f}' for f in F6)} FROM lab CROSS JOIN sc WHERE split IS NOT NULL)",
+        f"""fr AS (SELECT split, engine_id, cycle, rul, {forecast_sql('avg({f}) OVER w')} AS p FROM zl
+              WINDOW w AS (PARTITION BY engine_id ORDER BY cycle ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW))""",
+        f"""bl AS (SELECT split, (engine_id * {C.HASH_ID} + cycle * {C.HASH_CYCLE} + {LI.seed}) % {C.HASH_MOD} % 64 AS step,
+              avg((p - rul) * (p - rul)) AS loss, count(*) AS n FROM fr WHERE cycle >= {L} GROUP BY ALL)""",
+    ],
+    f"SELECT split, {r6('sum(loss * n) / greatest(sum(n), 1)')} AS loss, CAST(sum(n) AS BIGINT) AS n FROM bl GROUP BY split",
+)

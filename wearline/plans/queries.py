@@ -887,3 +887,19 @@ def q_telemetry_scan(spark, sf_dir):
     path = written_path(spark, "text-lineitem", [_source(sf_dir, "lineitem")], build, fmt="text")
     scanned = read_telemetry_text(spark, path, names=names)
     return finish(scanned.select(*names))
+
+
+@query("weighted_loss")
+def q_weighted_loss(spark, sf_dir):
+    """Squared loss of the given forecaster per batch of full windows (64 hash
+    batches), combined per split as sum(loss * n) / max(sum(n), 1) (E10, A10 form)."""
+    run = FleetRun(spark, sf_dir)
+    lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
+    w = W.frame(run.spec)
+    frames = W.with_frames(lab, run.spec, {f"{f}_mean": F.avg(f).over(w) for f in run.features})
+    scored = forecast_windows(frames, run.spec)
+    batch = X.sample_hash(F.col("engine_id"), F.col("cycle"), run.spec.seed) % F.lit(64)
+    err = F.col("predicted_rul") - F.col("rul")
+    log = scored.groupBy("split", batch.alias("step")).agg(
+        F.avg(err * err).alias("loss"), F.count(F.lit(1)).cast("bigint").alias("n"))
+    return finish(M.weighted_loss(log, by="split"))
