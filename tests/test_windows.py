@@ -25,15 +25,16 @@ def test_sliding_window_count_and_short_engine(spark):
     assert [x["cycle"] for x in r["window"]] == list(range(11, 41))
 
 
-def test_blocks_do_not_change_results(spark):
+def test_blocks_and_methods_agree(spark):
     df = history(spark, {1: 300, 2: 75})
     small = replace(SPEC, block=32)
-    a = W.window_features(df, SPEC).orderBy("engine_id", "cycle").collect()
-    b = W.window_features(df, small).orderBy("engine_id", "cycle").collect()
-    assert len(a) == len(b) == (300 - 29) + (75 - 29)
-    for x, y in zip(a, b):
-        for k in x.asDict():
-            assert abs((x[k] or 0) - (y[k] or 0)) < 1e-9, k
+    a = W.window_features(df, SPEC, method="frames").orderBy("engine_id", "cycle").collect()
+    for spec, method in ((small, "frames"), (SPEC, "numpy"), (small, "numpy"), (small, "lags")):
+        b = W.window_features(df, spec, method=method).orderBy("engine_id", "cycle").collect()
+        assert len(a) == len(b) == (300 - 29) + (75 - 29)
+        for x, y in zip(a, b):
+            for k in x.asDict():
+                assert abs((x[k] or 0) - (y[k] or 0)) <= 1e-9 * max(1.0, abs(x[k] or 0)), (method, k)
 
 
 def test_last_window_policies(spark):

@@ -99,11 +99,6 @@ def sample_hash(engine_id: Column, cycle: Column, seed: int = C.SEED) -> Column:
     ) % F.lit(C.HASH_MOD)
 
 
-def _quantize(c: Column, bits: int) -> Column:
-    scale = float(2 ** bits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-
-
 def round_out(c: Column, bits: int = 20) -> Column:
     """Quantize for presentation to binary steps: 2^-bits below 1e3, 2^-10 below
     1e6, 2^-2 below 1e15; larger, NaN and inf values pass unchanged.
@@ -115,10 +110,10 @@ def round_out(c: Column, bits: int = 20) -> Column:
     exact, so equal inputs quantize equally in any engine. -0.0 becomes 0.0.
     """
     a = F.abs(c)
-    r = (
-        F.when(a < 1e3, _quantize(c, bits))
-        .when(a < 1e6, _quantize(c, min(bits, 10)))
-        .when(a < 1e15, _quantize(c, 2))
-        .otherwise(c)
+    scale = (
+        F.when(a < 1e3, F.lit(float(2 ** bits)))
+        .when(a < 1e6, F.lit(float(2 ** min(bits, 10))))
+        .when(a < 1e15, F.lit(4.0))
     )
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+    r = F.floor(c * scale + F.lit(0.5)).cast("double") / scale
+    return F.when(r == 0, F.lit(0.0)).when(r.isNull(), c).otherwise(r)

@@ -1,13 +1,12 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Every query reads the driver's tables (through a fleet view derived from them)
-and runs over whole tables. Floating outputs are rounded to 6 decimals (PSI
-and exponential sums to 4) so that independent engines agree.
+and runs over whole tables. Floating outputs are quantized to binary steps
+(``functions.scalar.round_out``) so that independent engines agree.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalar as X
 from ..operators import attribution as A
+from ..operators.joins import join_lookup
 from ..operators import drift as D
 from ..operators import labels as LB
 from ..operators import metrics as M
@@ -482,14 +482,21 @@ def q_labelled_signals(spark, sf_dir):
 
 @query("signal_trend")
 def q_signal_trend(spark, sf_dir):
-    """Scaled readings over the whole life of each engine's top-3 warning features."""
-    run = FleetRun(spark, sf_dir)
-    top3 = ranked_signals(run).filter(F.col("rank") <= 3).select("engine_id", "feature", "rank")
-    hist = run.test_z.select(
-        "engine_id", "cycle",
-        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in run.features])),
-    )
-    return finish(hist.join(top3, ["engine_id", "feature"]).select("engine_id", "cycle", "feature", "rank", "value"))
+    """Scaled readings over the whole life of each engine's top-3 warning features.
+
+    The top-3 table has one row per engine (an array of 3 names); it joins the
+    readings through the size-checked lookup, and each reading then yields its
+    3 values by name, so readings are never exploded before a shuffle.
+    """
+    run = FleetRun(spark, sf_dir)
+    top3 = ranked_signals(run).filter(F.col("rank") <= 3).groupBy("engine_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "feature"))).alias("top3"))
+    joined = join_lookup(run.test_z, top3, "engine_id")
+    picked = joined.select("engine_id", "cycle", *run.features, F.inline("top3"))
+    value = F.lit(None).cast("double")
+    for f in run.features:
+        value = F.when(F.col("feature") == f, F.col(f)).otherwise(value)
+    return finish(picked.select("engine_id", "cycle", "feature", "rank", value.alias("value")))
 
 
 @query("background_sample")
@@ -847,8 +854,10 @@ def q_stream_quarantine(spark, sf_dir):
     rules = [("engine_id_below_1", F.col("engine_id") < 1)] + [(f"{f}_missing", F.col(f).isNull()) for f in run.features]
     ST.run_available(ST.readings(ST.event_stream(spark, sf_dir)), "quarantine",
                      foreach=ST.quarantine_to(None, rules, f"{base}/good", f"{base}/bad"))
+    from ..sources.store import _exists
+
     routed = spark.read.parquet(f"{base}/good").select(F.lit(True).alias("ok"))
-    if os.path.exists(f"{base}/bad".replace("file:", "")):
+    if _exists(spark, f"{base}/bad"):
         routed = routed.unionByName(spark.read.parquet(f"{base}/bad").select(F.lit(False).alias("ok")))
     return routed.agg(F.count_if("ok").cast("bigint").alias("n_good"),
                       F.count_if(~F.col("ok")).cast("bigint").alias("n_rejected"))

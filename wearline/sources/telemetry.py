@@ -85,9 +85,10 @@ def checksum_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     data = spark.read.format("binaryFile").load(list(paths)).select(
         F.col("path"), F.sha2(F.col("content"), 256).alias("actual")
     )
+    from .store import _exists
+
     side_paths = [f"{p}.sha256" for p in paths]
-    import os
-    existing = [p for p in side_paths if os.path.exists(p.replace("file:", ""))]
+    existing = [p for p in side_paths if _exists(spark, p)]
     if existing:
         side = spark.read.text(existing, wholetext=True).select(
             F.regexp_replace(F.col("_metadata.file_path"), r"\.sha256$", "").alias("path"),
