@@ -912,3 +912,25 @@ def q_weighted_loss(spark, sf_dir):
     log = scored.groupBy("split", batch.alias("step")).agg(
         F.avg(err * err).alias("loss"), F.count(F.lit(1)).cast("bigint").alias("n"))
     return finish(M.weighted_loss(log, by="split"))
+
+
+@query("training_curve")
+def q_training_curve(spark, sf_dir):
+    """Validation loss after each boosting iteration, best so far, iterations
+    since the last strict improvement and the early-stop step at patience 3
+    (I6, E12); the curve is also appended to the run log (A10)."""
+    import uuid
+
+    from ..operators import models as ML
+    from ..session import scratch_path
+    from ..sources.artefacts import append_run_log, read_run_log
+
+    run = FleetRun(spark, sf_dir)
+    wins, _ = _model_windows(run)
+    model = ML.fit_forecaster(wins, run.spec, kind="gbt", max_iter=10)
+    curve = ML.training_curve(model, wins.filter(F.col("is_val")), run.spec)
+    run_id = uuid.uuid4().hex
+    log_path = scratch_path(spark, f"runs/{run_id}")
+    append_run_log(spark, [(run_id, step, "val_loss", loss) for step, loss in curve], log_path)
+    losses = read_run_log(spark, log_path).select("step", F.col("value").alias("loss"))
+    return finish(M.early_stop_series(losses, patience=3))

@@ -82,10 +82,14 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per application).
 
-    Pandas-based operators (``mapInPandas``, ``applyInPandasWithState``) pickle
-    functions by module reference, so workers must import ``wearline``. The
-    package is zipped into the shared folder and added with ``addPyFile``.
+    Pandas-based operators (``mapInPandas``, ``applyInPandas``,
+    ``applyInPandasWithState``) pickle functions by module reference, so workers
+    must import ``wearline``. The package is zipped in memory, written through
+    the Hadoop filesystem into the shared folder and added with ``addPyFile``
+    (no machine-local temporary folder). On a cluster that ships the package
+    with ``--py-files`` this is a harmless extra copy.
     """
+    import io
     import os
     import zipfile
 
@@ -96,17 +100,21 @@ def ship_package(spark: SparkSession) -> None:
     import wearline
 
     pkg = os.path.dirname(os.path.abspath(wearline.__file__))
-    root = shared_root(spark)
-    local_root = root[len("file:"):] if root.startswith("file:") else root
-    base = local_root if "://" not in local_root else tempfile.mkdtemp(prefix="wearline-pkg-")
-    out_dir = os.path.join(base, "wearline-pkg", app)
-    os.makedirs(out_dir, exist_ok=True)
-    zpath = os.path.join(out_dir, "wearline.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
+    target = f"{shared_root(spark)}/wearline-pkg/{app}/wearline.zip"
+    jvm = sc._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
