@@ -147,10 +147,18 @@ def output_reason(pred: Column) -> Column:
 
 
 def window_mean_std(window: Column) -> tuple[Column, Column]:
-    """Mean and population std of all values of an array<array<double>>."""
-    flat = F.flatten(window)
-    n = F.size(flat).cast("double")
-    s = F.aggregate(flat, F.lit(0.0), lambda acc, x: acc + x)
-    mean = s / n
-    ss = F.aggregate(flat, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return mean, F.sqrt(ss / n)
+    """Mean and population std of all values of an array<array<double>>.
+
+    One pass with Welford's update inside a single ``aggregate`` (an outer mean
+    captured in a second lambda would be re-evaluated for every element).
+    """
+    init = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, x):
+        n = acc["n"] + 1.0
+        delta = x - acc["m"]
+        m = acc["m"] + delta / n
+        return F.struct(n.alias("n"), m.alias("m"), (acc["s"] + delta * (x - m)).alias("s"))
+
+    res = F.aggregate(F.flatten(window), init, step)
+    return res["m"], F.sqrt(res["s"] / res["n"])
