@@ -214,9 +214,14 @@ def last_window(
         reading = F.struct(F.col("cycle"), *[F.col(f) for f in spec.features])
         aggs.append(F.array_sort(F.collect_list(reading)).alias("window"))
     if last:
-        aggs.append(F.max_by(F.struct(*[F.col(f) for f in spec.features]), F.col("cycle")).alias("last"))
+        # per-feature max_by keeps fixed-width buffers (hash aggregation);
+        # a struct-valued max_by would force a sort-based aggregate
+        aggs += [F.max_by(F.col(f), F.col("cycle")).alias(f"__last_{f}") for f in spec.features]
     aggs += [F.max_by(F.col(c), F.col("cycle")).alias(c) for c in carry]
     out = rows.groupBy("engine_id").agg(*aggs)
+    if last:
+        out = out.withColumn("last", F.struct(*[F.col(f"__last_{f}").alias(f) for f in spec.features])).drop(
+            *[f"__last_{f}" for f in spec.features])
     full = F.col("n_rows") >= spec.window
     if policy == "skip":
         return out.filter(full)
