@@ -588,16 +588,16 @@ ORACLE["explained_records"] = with_(
 DEC = "[" + ", ".join(repr(i / C.PSI_BINS) for i in range(C.PSI_BINS + 1)) + "]"
 
 
-def long_sql(src: str, extra: str = "") -> str:
+def long_sql(src: str, extra: str = "", feats=F6) -> str:
     """(feature, x[, extra cols]) rows of a wide source."""
     ex = f", {extra}" if extra else ""
-    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x{ex} FROM {src}" for f in F6)
+    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x{ex} FROM {src}" for f in feats)
 
 
-def quantiles_sql(src: str) -> str:
+def quantiles_sql(src: str, feats=F6) -> str:
     return " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST({i + 1} AS BIGINT) AS pos, quantile_cont({f}, {DEC}) AS q FROM {src}"
-        for i, f in enumerate(F6)
+        for i, f in enumerate(feats)
     )
 
 
@@ -663,13 +663,13 @@ ORACLE["psi_train_vs_test"] = with_(
 )
 
 
-def reference_ctes() -> list[str]:
+def reference_ctes(train: str = "ztr", feats=F6) -> list[str]:
     """ri: interior edges per feature; rs: floored train shares per bin."""
     return [
-        f"qs AS ({quantiles_sql('ztr')})",
+        f"qs AS ({quantiles_sql(train, feats)})",
         """ri AS (SELECT feature, pos, CASE WHEN len(u) > 2 THEN u[2:len(u) - 1] ELSE [] END AS e
                  FROM (SELECT feature, pos, list_sort(list_distinct(q)) AS u FROM qs) q)""",
-        f"el AS ({long_sql('ztr')})",
+        f"el AS ({long_sql(train, feats=feats)})",
         """eb AS (SELECT el.feature, len(list_filter(e, lambda v: v <= x)) AS bin FROM el JOIN ri ON el.feature = ri.feature)""",
         """rgrid AS (SELECT ri.feature, ri.pos, ri.e, g.b AS bin FROM ri CROSS JOIN range(10) g(b) WHERE g.b <= len(ri.e))""",
         """rc AS (SELECT rgrid.feature, rgrid.pos, rgrid.e, rgrid.bin, count(eb.bin) AS n FROM rgrid
@@ -688,7 +688,7 @@ ORACLE["drift_reference"] = with_(
 )
 
 
-def cohort_psi_sql(src: str, by: str | None) -> list[str]:
+def cohort_psi_sql(src: str, by: str | None, train: str = "ztr", feats=F6) -> list[str]:
     """CTEs ending in cp(by?, feature, psi) for cohort rows of ``src`` vs the stored reference."""
     key = f"{by}, " if by else ""
     keysel = f"s.{by}, " if by else ""
@@ -697,8 +697,8 @@ def cohort_psi_sql(src: str, by: str | None) -> list[str]:
     grp = f"gg.{by}, " if by else ""
     part = f"PARTITION BY {by}, feature" if by else "PARTITION BY feature"
     ext = by if by else ""
-    return reference_ctes() + [
-        f"al AS ({long_sql(src, ext) if by else long_sql(src)})",
+    return reference_ctes(train, feats) + [
+        f"al AS ({long_sql(src, ext, feats) if by else long_sql(src, feats=feats)})",
         f"""ab AS (SELECT {('al.' + by + ', ') if by else ''}al.feature, len(list_filter(ri.e, lambda v: v <= x)) AS bin
                  FROM al JOIN ri ON al.feature = ri.feature WHERE NOT isnan(x))""",
         f"ac AS (SELECT {key}feature, bin, count(*) AS n FROM ab GROUP BY ALL)",
@@ -882,3 +882,11 @@ ORACLE["weighted_loss"] = with_(
     ],
     f"SELECT split, {r6('sum(loss * n) / greatest(sum(n), 1)')} AS loss, CAST(sum(n) AS BIGINT) AS n FROM bl GROUP BY split",
 )
+
+
+ORACLE["stream_drift"] = with_(
+    events_ctes() + [
+        "zfe_tr AS (SELECT * FROM zfe WHERE engine_id <= (SELECT CAST(floor(%r * max(engine_id)) AS BIGINT) FROM fe))" % EV.train_fraction,
+    ] + cohort_psi_sql("zfe", None, train="zfe_tr", feats=EVF),
+    f"SELECT CAST(0 AS BIGINT) AS epoch, feature, {r6('psi')} AS psi, psi > {d(C.PSI_ALARM)} AS alarm FROM cp",
+)

@@ -168,7 +168,7 @@ def drift_to(ref: dict, features: Sequence[str], path: str, threshold: float):
     appended with the batch id and an alarm flag (K5)."""
     def write(batch: DataFrame, epoch: int) -> None:
         psi = psi_against_reference(batch, ref, features)
-        psi.withColumn("epoch", F.lit(epoch)).withColumn("alarm", F.col("psi") > threshold) \
+        psi.withColumn("epoch", F.lit(epoch).cast("bigint")).withColumn("alarm", F.col("psi") > threshold) \
             .write.mode("append").parquet(path)
     return write
 
