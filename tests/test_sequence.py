@@ -28,3 +28,15 @@ def test_fleet_view_cycles_are_dense(spark, sf_small):
         F.max("life").alias("life"),
     ).filter("mx != n OR d != n OR life != n")
     assert bad.count() == 0
+
+
+def test_lookup_join_is_size_checked(spark):
+    from wearline.operators.joins import join_lookup
+
+    big = spark.range(2000).withColumnRenamed("id", "k")
+    small = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    under = join_lookup(big, small, "k", "left", max_rows=100)
+    over = join_lookup(big, small, "k", "left", max_rows=10)
+    assert "BroadcastHashJoin" in under._jdf.queryExecution().executedPlan().toString()
+    assert under.count() == over.count() == 2000
+    assert sorted(r.v for r in under.filter("v IS NOT NULL").collect()) == [2 * i for i in range(50)]

@@ -108,10 +108,11 @@ def psi_sum(df: DataFrame, by: Sequence[str] = (), actual: str = "p_act", expect
 # --- H1: sample versus sample -----------------------------------------------------
 
 def psi_samples(expected: DataFrame, actual: DataFrame, features: Sequence[str],
-                accuracy: int | None = None) -> DataFrame:
+                accuracy: int | None = None, deciles: dict[str, list[float]] | None = None) -> DataFrame:
     """PSI of ``actual`` against deciles of ``expected``; outer edges widened by 1e-6;
-    values of ``actual`` outside the expected range are not counted (H1)."""
-    q = quantile_edges(expected, features, accuracy=accuracy)
+    values of ``actual`` outside the expected range are not counted (H1).
+    ``deciles`` may pass the expected deciles when already known."""
+    q = deciles or quantile_edges(expected, features, accuracy=accuracy)
     edges = {}
     for f in features:
         e = list(q[f])
@@ -127,9 +128,10 @@ def psi_samples(expected: DataFrame, actual: DataFrame, features: Sequence[str],
 
 # --- H2: stored drift reference ------------------------------------------------------
 
-def reference_edges(expected: DataFrame, features: Sequence[str], accuracy: int | None = None) -> dict[str, list[float]]:
+def reference_edges(expected: DataFrame, features: Sequence[str], accuracy: int | None = None,
+                    deciles: dict[str, list[float]] | None = None) -> dict[str, list[float]]:
     """Interior edges: unique deciles without the outermost two (H2)."""
-    q = quantile_edges(expected, features, accuracy=accuracy)
+    q = deciles or quantile_edges(expected, features, accuracy=accuracy)
     interior = {}
     for f in features:
         uniq = sorted(set(q[f]))
@@ -160,9 +162,10 @@ def reference_shares(expected: DataFrame, interior: dict[str, list[float]], feat
                          upper.alias("upper_edge"), F.col("p").alias("ref_pct"))
 
 
-def build_reference(expected: DataFrame, features: Sequence[str], accuracy: int | None = None) -> dict[str, dict]:
+def build_reference(expected: DataFrame, features: Sequence[str], accuracy: int | None = None,
+                    deciles: dict[str, list[float]] | None = None) -> dict[str, dict]:
     """feature -> {edges: interior edges, ref_pct: floored shares}; bounded, collected."""
-    interior = reference_edges(expected, features, accuracy)
+    interior = reference_edges(expected, features, accuracy, deciles)
     ref = {f: {"edges": interior[f], "ref_pct": [0.0] * (len(interior[f]) + 1)} for f in features}
     for r in reference_shares(expected, interior, features).collect():
         ref[r["feature"]]["ref_pct"][r["bin"]] = float(r["ref_pct"])

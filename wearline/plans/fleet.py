@@ -139,4 +139,9 @@ class FleetRun:
     @derived
     def reference(self) -> dict[str, dict]:
         """Stored drift reference built from the standardised train rows (H2)."""
-        return D.build_reference(self.scaled(self.train), self.features)
+        return D.build_reference(self.scaled(self.train), self.features, deciles=self.train_deciles)
+
+    @derived
+    def train_deciles(self) -> dict[str, list[float]]:
+        """Exact decile edges of every standardised train feature."""
+        return D.quantile_edges(self.scaled(self.train), self.features)

@@ -563,7 +563,7 @@ def q_histogram_edges(spark, sf_dir):
     """Test readings binned on the train deciles: half-open bins, last closed,
     values outside the edges not counted (E8)."""
     run = FleetRun(spark, sf_dir)
-    edges = D.quantile_edges(run.scaled(run.train), run.features)
+    edges = run.train_deciles
     bins = {f: (D.bin_of(F.col(f), edges[f]), len(edges[f]) - 1) for f in run.features}
     return D.count_bins(run.test_z, bins)
 
@@ -587,14 +587,14 @@ def q_rul_histogram(spark, sf_dir):
 @query("psi_train_vs_test")
 def q_psi_train_vs_test(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
-    return finish(D.psi_samples(run.scaled(run.train), run.test_z, run.features))
+    return finish(D.psi_samples(run.scaled(run.train), run.test_z, run.features, deciles=run.train_deciles))
 
 
 @query("drift_reference")
 def q_drift_reference(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
     train_z = run.scaled(run.train)
-    interior = D.reference_edges(train_z, run.features)
+    interior = D.reference_edges(train_z, run.features, deciles=run.train_deciles)
     return finish(D.reference_shares(train_z, interior, run.features))
 
 
