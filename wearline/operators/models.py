@@ -47,10 +47,11 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
                                maxIter=max_iter, standardization=True)
         return Pipeline(stages=[asm, est]).fit(data.fillna(0.0, subset=cols))
     if kind == "gbt":
-        est = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
-                           maxIter=max_iter, maxDepth=4, seed=spec.seed, stepSize=0.2)
+        params = dict(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
+                      maxIter=max_iter, maxDepth=4, seed=spec.seed, stepSize=0.2)
         if validation:
-            est = est.setValidationIndicatorCol(validation).setValidationTol(0.001)
+            params.update(validationIndicatorCol=validation, validationTol=0.001)
+        est = GBTRegressor(**params)
         return Pipeline(stages=[asm, est]).fit(windows.fillna(0.0, subset=cols))
     raise ValueError(f"unknown model kind {kind!r}")
 
