@@ -43,8 +43,11 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
     if kind == "linear":
         data = windows.filter(~F.col(validation)) if validation else windows
+        # few features: exact normal equations in one distributed pass
+        # (``max_iter`` applies to the iterative solver, used above 4096 features)
+        solver = "normal" if len(cols) <= 4096 else "l-bfgs"
         est = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
-                               maxIter=max_iter, standardization=True)
+                               maxIter=max_iter, standardization=True, solver=solver)
         return Pipeline(stages=[asm, est]).fit(data.fillna(0.0, subset=cols))
     if kind == "gbt":
         params = dict(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
