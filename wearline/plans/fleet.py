@@ -9,7 +9,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config as C
 from ..operators import attribution as A
 from ..operators import drift as D
 from ..operators import labels as LB
