@@ -82,3 +82,16 @@ def test_equal_width_histogram_folds_max(spark):
     got = D.equal_width_histogram(df, "x", 5).orderBy("bin").collect()
     want, _ = np.histogram([0.0, 1.0, 2.0, 10.0], bins=5)
     assert [r.n for r in got] == list(want)
+
+
+def test_ranked_quantiles_equal_numpy_and_aggregate(spark):
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=3001)
+    b = np.round(rng.uniform(size=3001) * 7)  # many ties
+    df = frame(spark, a=a, b=b)
+    ranked = D.quantile_edges(df, ["a", "b"], method="ranked")
+    agg = D.quantile_edges(df, ["a", "b"], method="aggregate")
+    for f, x in (("a", a), ("b", b)):
+        want = np.quantile(x, np.linspace(0, 1, 11))
+        assert np.allclose(ranked[f], want, rtol=0, atol=1e-12)
+        assert np.allclose(agg[f], want, rtol=0, atol=1e-12)

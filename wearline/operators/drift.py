@@ -24,21 +24,66 @@ DECILES = [i / C.PSI_BINS for i in range(C.PSI_BINS + 1)]
 NORMAL_DECILES = [NormalDist().inv_cdf(i / C.PSI_BINS) for i in range(1, C.PSI_BINS)]
 
 
+# Above this many rows the exact quantiles are found by ranking (no value map).
+EXACT_MAP_ROWS = 5_000_000
+
+
 def quantile_edges(df: DataFrame, features: Sequence[str], probs: Sequence[float] = DECILES,
-                   accuracy: int | None = None) -> dict[str, list[float]]:
+                   accuracy: int | None = None, method: str = "auto") -> dict[str, list[float]]:
     """Quantiles per feature with linear interpolation (numpy's default).
 
-    One aggregate row holds an array per feature. ``accuracy`` switches to
-    ``percentile_approx`` for very large cohorts, where the exact form would
-    hold a value -> count map per feature.
+    ``method``:
+    * ``"aggregate"``: Spark's exact ``percentile``; its buffer is a value ->
+      count map per feature, merged in one task, so it is used only below
+      ``EXACT_MAP_ROWS`` rows (``"auto"`` checks the count).
+    * ``"ranked"``: exact and fully distributed. Values are ranked per feature
+      with the skew-safe range numbering (a feature is cut into many ranges),
+      and only the rows at the needed ranks (2 per probability) are kept.
+    * ``accuracy`` given: ``percentile_approx`` (bounded sketch).
     """
-    p = F.array(*[F.lit(float(x)) for x in probs])
-    if accuracy is None:
-        aggs = [F.percentile(F.col(f), p).alias(f) for f in features]
-    else:
-        aggs = [F.percentile_approx(F.col(f), p, accuracy).alias(f) for f in features]
-    row = df.agg(*aggs).first()
-    return {f: [float(v) for v in (row[f] or [])] for f in features}
+    if accuracy is not None:
+        p = F.array(*[F.lit(float(x)) for x in probs])
+        row = df.agg(*[F.percentile_approx(F.col(f), p, accuracy).alias(f) for f in features]).first()
+        return {f: [float(v) for v in (row[f] or [])] for f in features}
+    if method == "auto":
+        method = "aggregate" if df.limit(EXACT_MAP_ROWS + 1).count() <= EXACT_MAP_ROWS else "ranked"
+    if method == "aggregate":
+        p = F.array(*[F.lit(float(x)) for x in probs])
+        row = df.agg(*[F.percentile(F.col(f), p).alias(f) for f in features]).first()
+        return {f: [float(v) for v in (row[f] or [])] for f in features}
+    if method != "ranked":
+        raise ValueError(f"unknown quantile method {method!r}")
+    return _ranked_quantiles(df, features, probs)
+
+
+def _ranked_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    from .sequence import number_within
+
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    long = df.select(F.inline(pairs)).filter(F.col("x").isNotNull())
+    ranked = number_within(long, "feature", ["x"], out="rank", total="n")
+    pos = [F.floor((F.col("n") - 1) * F.lit(float(q))) for q in probs] + \
+          [F.ceil((F.col("n") - 1) * F.lit(float(q))) for q in probs]
+    picked = ranked.filter(F.array_contains(F.array(*pos), F.col("rank") - 1)).select("feature", "rank", "x", "n")
+    got: dict[str, dict[int, float]] = {f: {} for f in features}
+    sizes: dict[str, int] = {}
+    for r in picked.collect():
+        got[r["feature"]][int(r["rank"]) - 1] = float(r["x"])
+        sizes[r["feature"]] = int(r["n"])
+    out = {}
+    for f in features:
+        if f not in sizes:
+            out[f] = []
+            continue
+        n, vals = sizes[f], got[f]
+        edges = []
+        for q in probs:
+            h = (n - 1) * q
+            lo, hi = int(h // 1), int(-(-h // 1))
+            a, b = vals[lo], vals[hi]
+            edges.append(a if lo == hi else a + (b - a) * (h - lo))
+        out[f] = edges
+    return out
 
 
 def bin_of(x: Column, edges: Sequence[float]) -> Column:

@@ -548,14 +548,12 @@ def q_explained_records(spark, sf_dir):
 
 @query("quantile_edges")
 def q_quantile_edges(spark, sf_dir):
-    """Decile edges of every standardised train feature."""
-    run = FleetRun(spark, sf_dir)
-    p = F.array(*[F.lit(float(x)) for x in D.DECILES])
-    wide = run.scaled(run.train).agg(*[F.percentile(F.col(f), p).alias(f) for f in run.features])
-    rows = [F.struct(F.lit(f).alias("feature"), F.lit(i + 1).cast("bigint").alias("pos"), F.col(f).alias("edges"))
-            for i, f in enumerate(run.features)]
-    long = wide.select(F.inline(F.array(*rows)))
-    return finish(long.select("feature", "pos", F.posexplode("edges").alias("q", "edge")))
+    """Decile edges of every standardised train feature (E7), found by the
+    size-selected exact method (value map when small, distributed ranks above)."""
+    run = FleetRun(spark, sf_dir)
+    q = run.train_deciles
+    rows = [(f, i + 1, k, float(v)) for i, f in enumerate(run.features) for k, v in enumerate(q[f])]
+    return finish(spark.createDataFrame(rows, "feature string, pos bigint, q int, edge double"))
 
 
 @query("histogram_edges")
