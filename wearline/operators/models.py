@@ -13,6 +13,7 @@ import os
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -37,7 +38,12 @@ def summary_columns(spec: FleetSpec) -> list[str]:
 def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", label: str = "rul",
                    validation: str | None = "is_val", max_iter: int = 20) -> PipelineModel:
     """Fit on train windows; validation windows (``validation`` true) decide when
-    a boosted model stops (``validationIndicatorCol``). Seeded (I1)."""
+    a boosted model stops (``validationIndicatorCol``). Seeded (I1).
+
+    The estimators pass over their input several times (statistics, splits,
+    iterations), so the window features are persisted (memory and disk,
+    recomputed from lineage if an executor is lost) for the fit only.
+    """
     cols = summary_columns(spec)
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
     if kind == "linear":
@@ -47,15 +53,20 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
         solver = "normal" if len(cols) <= 4096 else "l-bfgs"
         est = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
                                maxIter=max_iter, standardization=True, solver=solver)
-        return Pipeline(stages=[asm, est]).fit(data.fillna(0.0, subset=cols))
-    if kind == "gbt":
+    elif kind == "gbt":
+        data = windows
         params = dict(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
                       maxIter=max_iter, maxDepth=4, seed=spec.seed, stepSize=0.2)
         if validation:
             params.update(validationIndicatorCol=validation, validationTol=0.001)
         est = GBTRegressor(**params)
-        return Pipeline(stages=[asm, est]).fit(windows.fillna(0.0, subset=cols))
-    raise ValueError(f"unknown model kind {kind!r}")
+    else:
+        raise ValueError(f"unknown model kind {kind!r}")
+    data = data.fillna(0.0, subset=cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[asm, est]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: PipelineModel, windows: DataFrame, spec: FleetSpec) -> DataFrame:
