@@ -118,3 +118,13 @@ def test_run_log_append(spark, tmp_path):
     AR.append_run_log(spark, [("r1", 1, "val_loss", 3.0)], p)
     AR.append_run_log(spark, [("r1", 2, "val_loss", 2.0)], p)
     assert AR.read_run_log(spark, p).count() == 2
+
+
+def test_short_rows_pad_with_null_and_fail_validation(spark, tmp_path):
+    p = str(tmp_path / "short.txt")
+    write_raw(p, 1, 3, trailing_nan=False)
+    with open(p, "a") as fh:
+        fh.write("1 4 0.5\n")
+    df = TX.read_telemetry_text(spark, p)
+    counts = {r.rule: r.n_violations for r in Q.violation_counts(df, Q.raw_rules(RAW_COLUMNS[2:])).collect()}
+    assert counts["sensor_21_missing"] == 1 and counts["cycle_missing"] == 0

@@ -875,15 +875,10 @@ def q_stream_drift(spark, sf_dir):
     return finish(spark.read.parquet(path).select("epoch", "feature", "psi", "alarm"))
 
 
-@query("telemetry_scan")
-def q_telemetry_scan(spark, sf_dir):
+def raw_text_path(spark, sf_dir, run: FleetRun) -> str:
     """The lineitem fleet written once as raw whitespace text (mixed blanks and
-    tabs, two trailing NaN fields, no header), then scanned back (A1, A2)."""
+    tabs, two trailing NaN fields, no header), like the original raw files."""
     from ..sources.store import written_path
-    from ..sources.telemetry import read_telemetry_text
-
-    run = FleetRun(spark, sf_dir)
-    names = ["engine_id", "cycle", *run.features]
 
     def build():
         fields = [F.col("engine_id").cast("string"), F.col("cycle").cast("string")] + \
@@ -891,45 +886,31 @@ def q_telemetry_scan(spark, sf_dir):
         line = F.concat(F.lit(" "), F.concat_ws(" \t ", *fields), F.lit("  "))
         return run.rows.select(line.alias("value"))
 
-    path = written_path(spark, "text-lineitem", [_source(sf_dir, "lineitem")], build, fmt="text")
-    scanned = read_telemetry_text(spark, path, names=names)
-    return finish(scanned.select(*names))
+    return written_path(spark, "text-lineitem", [_source(sf_dir, "lineitem")], build, fmt="text")
+
 
+@query("telemetry_scan")
+def q_telemetry_scan(spark, sf_dir):
+    """The raw text scanned back: empty tokens dropped, all-NaN columns dropped,
+    arity checked, ids and cycles typed (A1, A2)."""
+    from ..sources.telemetry import read_telemetry_text
 
-@query("weighted_loss")
-def q_weighted_loss(spark, sf_dir):
-    """Squared loss of the given forecaster per batch of full windows (64 hash
-    batches), combined per split as sum(loss * n) / max(sum(n), 1) (E10, A10 form)."""
     run = FleetRun(spark, sf_dir)
-    lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
-    w = W.frame(run.spec)
-    frames = W.with_frames(lab, run.spec, {f"{f}_mean": F.avg(f).over(w) for f in run.features})
-    scored = forecast_windows(frames, run.spec)
-    batch = X.sample_hash(F.col("engine_id"), F.col("cycle"), run.spec.seed) % F.lit(64)
-    err = F.col("predicted_rul") - F.col("rul")
-    log = scored.groupBy("split", batch.alias("step")).agg(
-        F.avg(err * err).alias("loss"), F.count(F.lit(1)).cast("bigint").alias("n"))
-    return finish(M.weighted_loss(log, by="split"))
-
-
-@query("training_curve")
-def q_training_curve(spark, sf_dir):
-    """Validation loss after each boosting iteration, best so far, iterations
-    since the last strict improvement and the early-stop step at patience 3
-    (I6, E12); the curve is also appended to the run log (A10)."""
-    import uuid
+    names = ["engine_id", "cycle", *run.features]
+    scanned = read_telemetry_text(spark, raw_text_path(spark, sf_dir, run), names=names, glob="*.txt")
+    return finish(scanned.select(*names))
 
-    from ..operators import models as ML
-    from ..session import scratch_path
-    from ..sources.artefacts import append_run_log, read_run_log
-
-    run = FleetRun(spark, sf_dir)
-    wins, _ = _model_windows(run)
-    # a fixed number of trees on train windows; validation loss after each tree
-    model = ML.fit_forecaster(wins.filter(~F.col("is_val")), run.spec, kind="gbt", validation=None, max_iter=10)
-    curve = ML.training_curve(model, wins.filter(F.col("is_val")), run.spec)
-    run_id = uuid.uuid4().hex
-    log_path = scratch_path(spark, f"runs/{run_id}")
-    append_run_log(spark, [(run_id, step, "val_loss", loss) for step, loss in curve], log_path)
-    losses = read_run_log(spark, log_path).select("step", F.col("value").alias("loss"))
-    return finish(M.early_stop_series(losses, patience=3))
+
+@query("checksum_manifest")
+def q_checksum_manifest(spark, sf_dir):
+    """Checksum-verified ingest over the fleet's raw text files (A4): sidecars
+    are published once when the text is written; every file is then verified
+    (status ok / missing / mismatch)."""
+    from ..sources.telemetry import checksum_manifest, list_files, publish_checksums
+
+    run = FleetRun(spark, sf_dir)
+    files = list_files(spark, raw_text_path(spark, sf_dir, run), suffix=".txt")
+    publish_checksums(spark, files)
+    m = checksum_manifest(spark, files)
+    return m.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "status",
+                    (F.col("expected") == F.col("actual")).alias("verified"))

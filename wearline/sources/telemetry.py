@@ -30,19 +30,22 @@ def _tokens(lines: DataFrame) -> DataFrame:
 
 
 def read_telemetry_text(spark: SparkSession, paths: str | Sequence[str],
-                        names: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+                        names: Sequence[str] = RAW_COLUMNS, glob: str | None = None) -> DataFrame:
     """Whitespace-separated readings without header (A1, A2).
 
     Columns missing (null or NaN) in every row are dropped; exactly
     ``len(names)`` must remain. ``engine_id``/``cycle`` become bigint (a value
     that is not a whole number becomes null and fails validation), the rest
     double. One aggregate decides the width and the all-missing positions.
+    Short rows are padded with null (and then fail validation). ``glob``
+    restricts a folder to its data files (e.g. "*.txt", leaving sidecars out).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("source"), "value")
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(paths).select(F.col("_metadata.file_path").alias("source"), "value")
     toks = _tokens(lines)
     width = toks.agg(F.max(F.size("t"))).first()[0] or 0
-    vals = [F.col("t")[i].try_cast("double") for i in range(width)]
+    vals = [F.get(F.col("t"), i).try_cast("double") for i in range(width)]
     present = toks.agg(*[F.count_if(v.isNotNull() & ~F.isnan(v)).alias(f"p{i}") for i, v in enumerate(vals)]).first()
     keep = [i for i in range(width) if present[f"p{i}"] > 0]
     if len(keep) != len(names):
@@ -109,3 +112,35 @@ def verify_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
             raise DataLoadError(f"missing checksum sidecar for {r.path}")
         if r.status == "mismatch":
             raise ChecksumError(f"checksum mismatch for {r.path}")
+
+
+def publish_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Write a ``<file>.sha256`` sidecar ("<hex>  <name>") next to every file
+    that has none; digests are computed by Spark, one task per file."""
+    from .store import _exists, _fs
+
+    missing = [p for p in paths if not _exists(spark, f"{p}.sha256")]
+    if not missing:
+        return
+    digests = spark.read.format("binaryFile").load(missing).select(
+        "path", F.sha2(F.col("content"), 256).alias("d")).collect()
+    for r in digests:
+        fs, jpath = _fs(spark, f"{r.path}.sha256")
+        out = fs.create(jpath, True)
+        try:
+            out.write(bytearray(f"{r.d}  {r.path.rsplit('/', 1)[-1]}\n".encode()))
+        finally:
+            out.close()
+
+
+def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+    """Data files of a written table (driver-side listing of metadata only)."""
+    from .store import _fs
+
+    fs, jpath = _fs(spark, folder)
+    out = []
+    for st in fs.listStatus(jpath):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
+            out.append(st.getPath().toString())
+    return sorted(out)
