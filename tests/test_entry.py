@@ -15,7 +15,8 @@ def test_entry_runs(spark, sf_small):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.queries()) >= 50
+    assert len(E.queries()) >= 75 and len(E.oracle_sql()) >= 71
+    assert {"weighted_loss", "training_curve", "telemetry_scan", "checksum_manifest", "fleet_health"} <= set(E.queries())
 
 
 def test_every_query_plans(spark, sf_small):
