@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .ngram_join import op1_ngram_jaccard_join
 from .quality_rules import OP2_SQL, op2_quality_rules
 
 REGISTRY = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
 }
