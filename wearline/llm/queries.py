@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .mixing import OP5_SQL, op5_mixing
 from .ngram_join import op1_ngram_jaccard_join
 from .quality_rules import OP2_SQL, op2_quality_rules
 from .token_counts import op10_token_counts
@@ -11,9 +12,11 @@ REGISTRY = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_mixing": op5_mixing,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
     "op2_quality_rules": OP2_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op5_mixing": OP5_SQL,
 }
