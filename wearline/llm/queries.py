@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .language_id import op3_language_id
 from .mixing import OP5_SQL, op5_mixing
 from .ngram_join import op1_ngram_jaccard_join
+from .quality_classifier import op8_quality_classifier
 from .quality_rules import OP2_SQL, op2_quality_rules
 from .token_counts import op10_token_counts
 
 REGISTRY = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
