@@ -8,6 +8,7 @@ from .mixing import OP5_SQL, op5_mixing
 from .ngram_join import op1_ngram_jaccard_join
 from .quality_classifier import op8_quality_classifier
 from .quality_rules import OP2_SQL, op2_quality_rules
+from .secret_scan import OP6_SQL, op6_secret_scan
 from .token_counts import op10_token_counts
 
 REGISTRY = {
@@ -16,6 +17,7 @@ REGISTRY = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
+    "op6_secret_scan": op6_secret_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
@@ -23,4 +25,5 @@ ORACLE = {
     "op2_quality_rules": OP2_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op5_mixing": OP5_SQL,
+    "op6_secret_scan": OP6_SQL,
 }
