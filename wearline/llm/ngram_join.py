@@ -16,10 +16,12 @@ Such sets differ in at most k = (|A| + |B|) / 9 shingles, and |B| <= 5/4 |A|.
    its hash: an order on which both partners agree, so at least one common segment
    is indexed by both whatever the costs are. Empty segments come last in that order.
 4. Documents that share a signature become candidates. Of a signature's documents, the
-   least one is verified against the others first; components of the links found so far then
-   leave only pairs across components to verify, in ``components`` rounds, so a group
-   of copies is never expanded into all its pairs while no link between components is lost.
-5. Verification intersects the two shingle sets in full.
+   one is verified against the others first, by turns the least and the greatest, as long as
+   at least one in ``STAR_SHARE`` such pairs links; components of the links found so far then
+   leave only pairs across components, all of which are verified, so a group of
+   copies isn't expanded into all its pairs and no link between components is lost.
+5. Verification: sizes and parities of ``PARITY_BITS`` bits rule pairs out (they bound the
+   difference from below), then the two shingle sets are intersected in full.
 
 Identical sets are one class from the start. A bitmap of 2**23 bits (fixed size) tells tasks
 which texts may be candidates before their sets are shuffled; a join on the id decides.
@@ -48,7 +50,8 @@ COST_ROWS = 100_000
 MIN_COST = 16
 CHANCE = 0.02
 SLOTS = 1 << 23
-STAR_ROUNDS = 2
+PARITY_BITS = 1024
+STAR_SHARE = 5
 
 
 def band_starts(largest: int) -> list[int]:
@@ -212,20 +215,42 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(np.array([carried]))
 
 
+def _hits(bits: np.ndarray, ids: pa.Array) -> pa.Array:
+    """Which ids a bitmap may hold."""
+    slot = (mix(np.asarray(ids.fill_null(0)).astype(np.uint64), 7) % np.uint64(SLOTS)).astype(np.int64)
+    hit = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return pa.array(hit & ~np.asarray(ids.is_null()))
+
+
+def _parity(doc: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
+    """Per text PARITY_BITS bits: whether an odd number of its shingles falls on the bit."""
+    spot = doc * PARITY_BITS + (mix(s, 8) % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=n * PARITY_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _sets(bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
         for b in batches:
-            ids = np.asarray(b.column(0).fill_null(0)).astype(np.uint64)
-            slot = (mix(ids, 7) % np.uint64(SLOTS)).astype(np.int64)
-            hit = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-            hit &= ~np.asarray(b.column(0).is_null())
-            b = b.filter(pa.array(hit))
+            b = b.filter(_hits(bitmap.value, b.column(0)))
             for lo, hi, data, off in blocks(b.column(1)):
                 doc, s = shingle_sets(data, off)
-                at = np.searchsorted(doc, np.arange(hi - lo + 1))
-                sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(s.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).cast(pa.int64()), sets], ["doc_id", "shingles"])
+                n = hi - lo
+                at = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+                words = np.arange(n + 1, dtype=np.int32) * (PARITY_BITS // 64)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, n).cast(pa.int64()), pa.array(np.diff(at)),
+                     pa.ListArray.from_arrays(pa.array(words), pa.array(_parity(doc, s, n))),
+                     pa.ListArray.from_arrays(pa.array(at), pa.array(s.view(np.int64)))],
+                    ["doc_id", "n", "parity", "shingles"])
+
+    return run
+
+
+def _only(bitmap):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(_hits(bitmap.value, b.column(0)))
 
     return run
 
@@ -233,31 +258,40 @@ def _sets(bitmap):
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         slot = (mix(b.column(0).to_numpy().astype(np.uint64), 7) % np.uint64(SLOTS)).astype(np.int64)
-        with np.errstate(over="ignore"):
-            bit = np.uint64(1) << (slot & 63).astype(np.uint64)
+        bit = np.uint64(1) << (slot & 63).astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array((slot >> 6).astype(np.int64)), pa.array(bit.view(np.int64))], ["word", "bit"])
 
 
-def _candidate_sets(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """Shingle sets of the documents in ``shared`` (one row per text)."""
-    spark = texts.sparkSession
-    wanted = shared.select("doc_id").distinct()
-    words = (wanted.mapInArrow(_slots, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit"))
+def _bitmap(ids: DataFrame):
+    """A broadcast bitmap of SLOTS bits (1 MB at every size) that holds the ids."""
+    words = (ids.mapInArrow(_slots, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit"))
              .collect())  # at most SLOTS / 64 rows
     bits = np.zeros(SLOTS // 64, np.uint64)
     for r in words:
         bits[r["word"]] = np.uint64(r["bit"] & 0xFFFFFFFFFFFFFFFF)
-    sets = texts.mapInArrow(_sets(spark.sparkContext.broadcast(bits)), "doc_id long, shingles array<long>")
-    return written(sets.join(wanted, "doc_id", "left_semi"), "sets")
+    return ids.sparkSession.sparkContext.broadcast(bits)
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that link: whole sets intersected."""
-    a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    sized = pairs.join(a, "u").join(b, "v").withColumn("both", common)
-    return sized.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
+    """The pairs (u, v) that link.
+
+    Sizes and parities settle most pairs: sets differ at least in as many shingles as
+    parity bits, and linked sets in few enough. The others have their whole sets intersected.
+    """
+    def side(name: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    sized = pairs.join(side("u", "n", "parity"), "u").join(side("v", "n", "parity"), "v")
+    apart = F.aggregate(F.zip_with("u_parity", "v_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    total = F.col("u_n") + F.col("v_n")  # |A| + |B| - apart >= 2 |A n B|, and linked: |A n B| >= total * p / (100 + p)
+    maybe = (100 + percent) * (total - apart) >= 2 * percent * total
+    left = written(sized.filter(maybe).select("u", "v"), "pairs")
+    bits = _bitmap(left.select("u").union(left.select("v")))
+    whole = sets.select("doc_id", "shingles").mapInArrow(_only(bits), "doc_id long, shingles array<long>")
+    a = whole.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
+    b = whole.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
+    both = left.join(a, "u").join(b, "v").withColumn("both", F.size(F.array_intersect("a", "b")))
+    return both.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,18 +317,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = written(index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, "sig long, doc_id long"), "shared")
     member = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["h1", "h2"])
     member = written(member.select("doc_id", "class_id"), "members")
-    shared = written(shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id")).distinct(), "shared")
-    sets = _candidate_sets(texts, shared)
+    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id")).distinct()
+    rows = _open_rows(written(shared, "shared"), None)
+    bits = _bitmap(rows.select("doc_id"))
+    sets = written(texts.mapInArrow(_sets(bits), "doc_id long, n int, parity array<long>, shingles array<long>"), "sets")
     links = member.filter("doc_id != class_id").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
     links = written(links.distinct(), "links")
-    label = None
-    for turn in range(STAR_ROUNDS + 1):
-        open_rows = shared.withColumn("label", F.col("doc_id")) if label is None else _open_rows(shared, label)
-        pairs = _star(open_rows, turn % 2 == 0) if turn < STAR_ROUNDS else _across(open_rows)
-        found = written(verify(pairs, sets, percent), "found")
+    tried, turn, across = None, 0, False
+    while True:
+        pairs = _across(rows) if across else _star(rows, turn % 2 == 0)
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+        found = written(verify(pairs, sets, percent).distinct(), "found")
         links = written(links.unionByName(found), "links")
         label = components(links)
-        shared = open_rows.select("sig", "doc_id")
+        if across:
+            break
+        turn, tried = turn + 1, pairs if tried is None else tried.unionByName(pairs)
+        across = found.count() * STAR_SHARE < pairs.count()
+        rows = _open_rows(rows.select("sig", "doc_id"), label)
     ids = member.select(F.col("doc_id").alias("node")).distinct().join(label, "node", "left")
     ids = ids.select(F.col("node").alias("doc_id"), F.coalesce("label", "node").alias("component_id"))
     out = profile.select("doc_id", "n_shingles", "h1", "h2").join(ids, "doc_id", "left")
@@ -303,10 +344,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def _open_rows(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """Index rows of signatures that still meet in more than one component."""
-    rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    rows = rows.select("sig", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+def _open_rows(shared: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Index rows of signatures that (still) meet in more than one component."""
+    rows = shared.withColumn("label", F.col("doc_id"))
+    if label is not None:
+        rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        rows = rows.select("sig", "doc_id", F.coalesce("label", "doc_id").alias("label"))
     several = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
     return written(rows.join(several.select("sig"), "sig", "left_semi"), "open")
 
