@@ -9,6 +9,7 @@ from .ngram_join import op1_ngram_jaccard_join
 from .quality_classifier import op8_quality_classifier
 from .quality_rules import OP2_SQL, op2_quality_rules
 from .secret_scan import OP6_SQL, op6_secret_scan
+from .sentencepiece_codec import op7_sentencepiece
 from .token_counts import op10_token_counts
 
 REGISTRY = {
@@ -18,6 +19,7 @@ REGISTRY = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
     "op6_secret_scan": op6_secret_scan,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
