@@ -31,6 +31,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,10 @@ from pyspark.sql import functions as F
 from .common import documents, python_ready, written
 
 CHUNK = 32_768
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 SPACE = "▁"
 FREE = (0, 0)
+NEVER = float("-inf")
 _MADE: dict[int, Codec] = {}
 
 State = tuple[int, int]  # how far a piece reaches beyond a boundary, and its length; FREE where pieces can't cross
@@ -69,15 +71,18 @@ class Codec:
                 self.score[piece], self.id[piece] = sp.get_score(i), i
                 self.raw.append(piece.encode())
         self.longest = max(map(len, self.id), default=1)
+        # a piece that its own merges don't reach never stands in an encoding
+        self.id = {p: i for p, i in self.id.items() if len(p) == 1 or len(self.merged(list(p))) == 1}
+        self.begins = {p[:n] for p in self.id for n in range(1, len(p) + 1)}
         self.prefix = SPACE if sp.encode("a", out_type=str)[0].startswith(SPACE) else ""
         self.spaced = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id)  # a space mark only starts pieces
         apart = "".join(c for c in "\n\t\r" if not any(c in p for p in self.id))
         hard = re.escape(apart)
         self.apart = set(apart)
         self.stretch = re.compile(f"{SPACE}+[^{SPACE}{hard}]*|[^{SPACE}{hard}]+" + (f"|[{hard}]" if hard else "")) if self.spaced else None
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
-        self.known: dict[str, array] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.n_fits = 0
+        self.known: dict[str, bytes] = {}
 
     @classmethod
     def made(cls, model: bytes) -> Codec:
@@ -87,36 +92,44 @@ class Codec:
             _MADE[key] = cls(model)
         return _MADE[key]
 
-    def merged(self, parts: list[str]) -> list[str]:
-        """Merge neighbours by score, the best first, the leftmost among equals."""
+    def merged(self, parts: list[str], seam: int = -1) -> list[str]:
+        """Merge neighbours by score, the best first, the leftmost among equals.
+
+        Ends with an empty list as soon as a merge would cross the ``seam`` (after that many parts).
+        """
         score = self.score
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                return parts
+        best = [score.get(a + b, NEVER) for a, b in pairwise(parts)]
+        while best:
+            top = max(best)
+            if top == NEVER:
+                break
+            at = best.index(top)
+            if at == seam - 1:
+                return []
+            seam -= at < seam
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del best[at]
+            if at < len(best):
+                best[at] = score.get(parts[at] + parts[at + 1], NEVER)
+            if at:
+                best[at - 1] = score.get(parts[at - 1] + parts[at], NEVER)
+        return parts
 
     def piece(self, s: str) -> bool:
-        """Whether ``s`` can stand as one piece of an encoding: a piece its merges reach, or one character outside the vocabulary."""
-        w = self.whole.get(s)
-        if w is None:
-            w = len(s) == 1 or (s in self.id and len(self.merged(list(s))) == 1)
-            if len(self.whole) > REMEMBERED:
-                self.whole.clear()
-            self.whole[s] = w
-        return w
+        """Whether ``s`` can stand as one piece: a piece of the vocabulary, or one character outside it."""
+        return s in self.id or len(s) == 1
 
     def fit(self, a: str, b: str) -> bool:
-        f = self.fits.get((a, b))
+        """Whether merging the characters of both gives just the two pieces (remembered)."""
+        row = self.fits.get(a)
+        f = None if row is None else row.get(b)
         if f is None:
-            f = self.merged([*a, *b]) == [a, b]
-            if len(self.fits) > REMEMBERED:
+            f = self.merged([*a, *b], len(a)) == [a, b]
+            if self.n_fits > REMEMBERED:
                 self.fits.clear()
-            self.fits[a, b] = f
+                self.n_fits = 0
+            self.fits.setdefault(a, {})[b] = f
+            self.n_fits += 1
         return f
 
     def cut(self, text: str, p: int) -> bool:
@@ -128,13 +141,25 @@ class Codec:
 
     def solve(self, s: str) -> list[str]:
         """Pieces of a stretch with free ends: per place, the one piece that ends the path to it."""
-        n, longest, ids, fit = len(s), self.longest, self.id, self.fit
+        n, ids, begins, fits, unknown = len(s), self.id, self.begins, self.fits, {}
         back = [""] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
+        for j in range(n):
+            before = back[j]
+            if j and not before:
+                continue  # no path comes here
+            fit = fits.get(before, unknown)
+            i = j + 1
+            t = s[j]
+            while True:
+                if not back[i] and (t in ids or i == j + 1):
+                    f = fit.get(t) if j else True
+                    if self.fit(before, t) if f is None else f:
+                        back[i] = t
+                if i == n:
+                    break
+                i += 1
                 t = s[j:i]
-                if (t in ids or i - j == 1) and self.piece(t) and (j == 0 or (back[j] and fit(back[j], t))):
-                    back[i] = t
+                if t not in begins:
                     break
         out, i = [], n
         while i:
@@ -154,13 +179,13 @@ class Codec:
                 out.append(i)
         return out
 
-    def encode(self, s: str) -> array:
-        """Ids of a text with free ends; ``s`` is normalised."""
-        out, known = array("i"), self.known
+    def encode(self, s: str) -> bytearray:
+        """Ids (32 bits each) of a text with free ends; ``s`` is normalised."""
+        out, known = bytearray(), self.known
         for part in self.stretch.findall(s) if self.stretch else [s]:
             got = known.get(part)
             if got is None:
-                got = array("i", self.ids(self.solve(part)))
+                got = self.packed(self.solve(part))
                 if len(part) <= 64:
                     if len(known) > REMEMBERED:
                         known.clear()
@@ -168,6 +193,9 @@ class Codec:
             out += got
         return out
 
+    def packed(self, pieces: list[str]) -> bytes:
+        return array("i", self.ids(pieces)).tobytes()
+
     def states(self, text: str, p: int) -> list[State]:
         """Pieces that cover position p or end there."""
         if self.cut(text, p):
@@ -201,7 +229,7 @@ class Codec:
                 if i > j + 1 and self.cut(text, i - 1):
                     break
                 t = text[j:i]
-                if not ((t in self.id or i == j + 1) and self.piece(t)):
+                if not self.piece(t):
                     continue
                 bits = 0
                 for size, mask in at[j].items():
@@ -253,20 +281,20 @@ class Codec:
             size = next(n for n in at[end] if n == 0 or self.cut(text, end) or self.fit(text[end - n:end], t))
         return out[::-1]
 
-    def between(self, text: str, a: int, x: State, b: int, y: State) -> array:
+    def between(self, text: str, a: int, x: State, b: int, y: State) -> bytearray:
         """Ids of the pieces that begin after entry state x and up to exit state y."""
         first, last = self.edges(text, a, b)
         if first is None:
-            return array("i", self.ids(self.path(text, a, x, b, y)))
-        out = array("i", self.ids(self.path(text, a, x, first, FREE)) if a + x[0] < first else [])
+            return bytearray(self.packed(self.path(text, a, x, b, y)))
+        out = bytearray(self.packed(self.path(text, a, x, first, FREE)) if a + x[0] < first else b"")
         out += self.encode(text[first:last])
         if last < b:
-            out += array("i", self.ids(self.path(text, last, FREE, b, y)))
+            out += self.packed(self.path(text, last, FREE, b, y))
         return out
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: bytes | bytearray) -> str:
         """Text of ids, normalised form (space marks, with the first one)."""
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
+        return b"".join(map(self.raw.__getitem__, memoryview(ids).cast("i"))).decode("utf-8", "replace")
 
     def normal(self, text: str | None) -> str:
         return self.prefix + text.replace(" ", SPACE) if text else ""
@@ -278,12 +306,9 @@ class Codec:
 _IDS = "doc_id long, ids array<int>, round_trip boolean"
 
 
-def _lists(parts: list[array]) -> pa.ListArray:
-    at = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int32)
-    whole = array("i")
-    for p in parts:
-        whole += p
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(whole, np.int32) if len(whole) else np.zeros(0, np.int32)))
+def _lists(parts: list[bytearray]) -> pa.ListArray:
+    at = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
 def _whole(model):
@@ -420,7 +445,7 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.made(model.value)
         for b in batches:
-            texts = [codec.plain(codec.decode(x.values.to_numpy().tolist() if x.is_valid else [])) for x in b.column(1)]
+            texts = [codec.plain(codec.decode(np.asarray(x.values, np.int32).tobytes() if x.is_valid else b"")) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, "doc_id long, text string")
