@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import documents, python_ready
 
@@ -203,9 +204,9 @@ def identify(docs: DataFrame, model: ByteNet | None, text_col: str = "text") ->
     python_ready(spark)
     keep = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
     given = docs.select(*keep, F.col(text_col).cast("string").alias(text_col))
-    fields = ", ".join(f"`{c}` {t}" for c, t in given.dtypes if c != text_col)
-    return given.mapInArrow(_predict(spark.sparkContext.broadcast(model)),
-                            ", ".join(x for x in (fields, "lang_pred string, score double") if x))
+    kept = [f for f in given.schema.fields if f.name != text_col]
+    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return given.mapInArrow(_predict(spark.sparkContext.broadcast(model)), schema)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -104,23 +104,47 @@ def thresholds(sized: DataFrame, budget: DataFrame, bits: int = BITS) -> DataFra
     return written(done, "thresholds")
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                bits: int = BITS) -> DataFrame:
-    """Per row of ``docs``: id, source, size, source_size, target, repeats, taken."""
-    sized = docs.select(
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return written(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), hash_of(F.col(id_col)).alias("hash"),
-        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
-    sized = written(sized, "sizes")
+        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size")), "sizes")
+
+
+def _plan(sized: DataFrame, bits: int) -> DataFrame:
+    """Per source: source_size, target, full (copies of every document), below (threshold of one more)."""
     goal = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = goal.withColumn("full", full)
     budget = goal.withColumn("extra", F.col("target") - F.col("full") * F.col("source_size")).select("source", "extra")
     cut = thresholds(sized.select("source", "hash", "size").filter("size > 0"), budget, bits)
-    plan = _same(goal, cut, ["source"], "left")
-    out = _same(sized, plan, ["source"], "left")
-    repeats = F.col("full") + F.coalesce((F.col("hash") < F.col("below")).cast("long"), F.lit(0).cast("long"))
-    return out.select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", repeats.alias("repeats"),
-                      (F.col("size") * repeats).alias("taken"))
+    return written(_same(goal, cut, ["source"], "left"), "plan")
+
+
+def _repeats(full: Column, below: Column, hash_col: Column) -> Column:
+    return full + F.coalesce((hash_col < below).cast("long"), F.lit(0).cast("long"))
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                bits: int = BITS) -> DataFrame:
+    """Per row of ``docs``: id, source, size, source_size, target, repeats, taken."""
+    sized = _sized(docs, id_col, text_col, source_col)
+    out = _same(sized, _plan(sized, bits), ["source"], "left")
+    out = out.withColumn("repeats", _repeats(F.col("full"), F.col("below"), F.col("hash")))
+    return out.select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", "repeats",
+                      (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               bits: int = BITS) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as the mix takes it, with the columns of ``docs``."""
+    plan = _plan(_sized(docs, id_col, text_col, source_col), bits).select(
+        F.col("source").alias("mix_source"), F.struct("full", "below").alias("mix_plan"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    given = rows.withColumn("given", F.col("row").getField(source_col).cast("string"))
+    joined = given.join(plan, F.col("given").eqNullSafe(F.col("mix_source")))
+    repeats = _repeats(F.col("mix_plan.full"), F.col("mix_plan.below"), hash_of(F.col("row").getField(id_col)))
+    times = joined.withColumn("times", repeats).filter("times > 0")
+    return times.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

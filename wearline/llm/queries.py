@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
+from .license_scan import op9_license_scan
 from .mixing import OP5_SQL, op5_mixing
 from .ngram_join import op1_ngram_jaccard_join
 from .quality_classifier import op8_quality_classifier
@@ -21,6 +22,7 @@ REGISTRY = {
     "op6_secret_scan": op6_secret_scan,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
