@@ -14,12 +14,17 @@ Such sets differ in at most k = (|A| + |B|) / 9 shingles, and |B| <= 5/4 |A|.
    leaves out the most expensive ones. The cost of a signature is how often the corpus holds
    it (counted over all documents; only the ``COST_ROWS`` most frequent are told apart), then
    its hash: an order on which both partners agree, so at least one common segment
-   is indexed by both whatever the costs are. Empty segments come last in that order.
+   is indexed by both whatever the costs are. Empty segments come last in that order. An exact
+   index has twice the segments it needs, so that those a shared passage fills can be left out.
 4. Documents that share a signature become candidates. Of a signature's documents, the
    one is verified against the others first, by turns the least and the greatest, as long as
    at least one in ``STAR_SHARE`` such pairs links; components of the links found so far then
-   leave only pairs across components, all of which are verified, so a group of
-   copies isn't expanded into all its pairs and no link between components is lost.
+   leave only pairs across components, so a group of copies isn't expanded into all its pairs.
+   Where at most ``CROWD`` documents share a signature, all pairs across are verified. The
+   documents of crowded signatures (sharing much, yet not enough) are indexed once more among
+   themselves, by single shingles: per narrow pair of bands the rarest ones of each set, of
+   which linked partners share at least one. Their pairs across are verified too, so no link
+   between components is lost.
 5. Verification: sizes and parities of ``PARITY_BITS`` bits rule pairs out (they bound the
    difference from below), then the two shingle sets are intersected in full.
 
@@ -38,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, python_ready, written
@@ -46,18 +51,21 @@ from .components import components
 from .shingles import blocks, mix, shingle_sets, sums
 
 BAND_RATIO = 1.5625
-COST_ROWS = 100_000
-MIN_COST = 16
-CHANCE = 0.02
+COST_ROWS = 1_000_000
+MIN_COST = 4
+CHANCE = 0.002
 SLOTS = 1 << 23
 PARITY_BITS = 1024
 STAR_SHARE = 5
+CROWD = 32
+FINE_RATIO = 1.05
+ANY, UPPER, LOWER = 0, 1, 2  # roles in an index: two UPPER or two LOWER meet in another one
 
 
-def band_starts(largest: int) -> list[int]:
+def band_starts(largest: int, ratio: float = BAND_RATIO) -> list[int]:
     out = [1]
     while out[-1] <= largest:
-        out.append(max(out[-1] + 1, int(out[-1] * BAND_RATIO)))
+        out.append(max(out[-1] + 1, int(out[-1] * ratio)))
     return out
 
 
@@ -67,7 +75,7 @@ def allocate(starts: list[int], counts: dict[int, int]) -> list[tuple[int, bool]
     for j in range(len(starts) - 1):
         top = starts[j + 1] - 1
         k, n = top // 4, counts.get(j, 0) + counts.get(j + 1, 0)
-        exact, near = k + 3 + k // 8, k // 2 + 1
+        exact, near = 2 * k + 3, k // 2 + 1
         lone = near * (1 + top / near) * math.exp(-top / near) if near > 1 else 0.0
         exact_cost = k + 1 + 4 * n * exact * CHANCE ** (top / exact)
         near_cost = near + top + 4 * n * (top * CHANCE ** max(top / near - 1, 0) + lone * lone)
@@ -89,13 +97,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], plan: list[tuple[int, bool]],
-               costs: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) rows of a block; without ``costs`` all segments, else the cheapest that suffice."""
+               costs: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, signature, role) rows of a block; without ``costs`` all segments, else the cheapest that suffice."""
     size = np.bincount(doc, minlength=n)
-    first = np.concatenate([[0], np.cumsum(size)])
     starts, seg_of, near_of = np.array(starts), np.array([p[0] for p in plan]), np.array([p[1] for p in plan])
     own = np.searchsorted(starts, size, "right") - 1
-    docs_out, sig_out = [], []
+    out = []
     for upper in (False, True):
         band = own - upper
         top = starts[np.clip(band + 1, 0, len(starts) - 1)] - 1
@@ -103,37 +110,71 @@ def signatures(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], plan:
         if upper:
             ok &= 4 * size <= 5 * top
         who = np.flatnonzero(ok)
-        if not len(who):
-            continue
-        g, k = band[who], np.minimum(size[who] // 4, (size[who] + top[who]) // 9) if upper else size[who] // 4
-        m, near = seg_of[g], near_of[g]
-        base = np.concatenate([[0], np.cumsum(m)])
-        rows = np.repeat(np.arange(len(who)), size[who])
-        x = s[np.arange(len(rows)) - np.repeat(np.cumsum(size[who]) - size[who], size[who]) + np.repeat(first[who], size[who])]
-        slot = base[rows] + (mix(x, 3) % m[rows].astype(np.uint64)).astype(np.int64)
-        total = sums(mix(x, 4), slot, int(base[-1]))
-        owner = np.repeat(np.arange(len(who)), m)
-        tag = mix((np.arange(len(owner)) - base[owner]).astype(np.uint64) + (g[owner].astype(np.uint64) << np.uint64(32)), 5)
-        sig = mix(total ^ tag, 6)
-        empty = np.bincount(slot, minlength=int(base[-1])) == 0
-        with np.errstate(over="ignore"):
-            lone = near[rows]
-            docs_out.append(who[rows[lone]])
-            sig_out.append(mix((total[slot[lone]] - mix(x[lone], 4)) ^ tag[slot[lone]], 6))
-        if costs is None:
-            take = ~empty | near[owner]
-        else:
-            cost = _costs(sig, costs)
-            cost[empty] = np.iinfo(np.int64).max
-            order = np.lexsort((sig, cost, owner))
-            rank = np.empty(len(owner), np.int64)
-            rank[order] = np.arange(len(owner)) - base[owner[order]]
-            take = near[owner] | (rank <= k[owner])
-        docs_out.append(who[owner[take]])
-        sig_out.append(sig[take])
-    if not docs_out:
+        k = np.minimum(size[who] // 4, (size[who] + top[who]) // 9) if upper else size[who] // 4
+        d, sig = _segments(s, size, who, band[who], k, seg_of[band[who]], near_of[band[who]], costs)
+        out.append((d, sig, np.full(len(d), UPPER if upper else ANY, np.int8)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: tuple[np.ndarray, np.ndarray],
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, signature, role) rows of single shingles: the rarest ones that any linked partner must meet.
+
+    For each pair of narrow bands, sets of s and at least t shingles link only with 4/9 (s + t) in
+    common, so they share one of the s - 4/9 (s + t) + 1 rarest of either.
+    """
+    size = np.bincount(doc, minlength=n)
+    edges = np.array(starts)
+    own = np.searchsorted(edges, size, "right") - 1
+    last = len(edges) - 2
+    first = np.cumsum(size) - size
+    order = np.lexsort((s, _costs(s, costs), doc))
+    x = s[order]
+    rank = np.arange(len(x)) - first[doc]
+    out = []
+    for apart in range(1 + math.ceil(math.log(1.25) / math.log(FINE_RATIO))):
+        for upper in (False, True) if apart else (False,):
+            other = own - apart if upper else own + apart
+            ok = (size > 0) & (other >= 0) & (other <= last)
+            least = np.maximum(edges[np.clip(other, 0, last)], -(-4 * size // 5))
+            ok &= (least <= edges[np.clip(other, 0, last) + 1] - 1) & (4 * least <= 5 * size)
+            keep = np.where(ok, size - -(-4 * (size + least) // 9) + 1, 0)
+            low = own - apart if upper else own
+            take = rank < keep[doc]
+            d = doc[take]
+            sig = mix(x[take] ^ mix((low[d] * 64 + apart).astype(np.uint64), 9), 10)
+            out.append((d, sig, np.full(len(d), (UPPER if upper else LOWER) if apart else ANY, np.int8)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _segments(s: np.ndarray, size: np.ndarray, who: np.ndarray, group: np.ndarray, k: np.ndarray, m: np.ndarray,
+              near: np.ndarray, costs) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of documents ``who`` in a group each, of m segments; exact ones are cut to the k + 1 cheapest."""
+    if not len(who):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(docs_out), np.concatenate(sig_out)
+    first = (np.cumsum(size) - size)[who]
+    base = np.concatenate([[0], np.cumsum(m)])
+    rows = np.repeat(np.arange(len(who)), size[who])
+    x = s[np.arange(len(rows)) - np.repeat(np.cumsum(size[who]) - size[who], size[who]) + np.repeat(first, size[who])]
+    slot = base[rows] + (mix(x, 3) % m[rows].astype(np.uint64)).astype(np.int64)
+    total = sums(mix(x, 4), slot, int(base[-1]))
+    owner = np.repeat(np.arange(len(who)), m)
+    tag = mix((np.arange(len(owner)) - base[owner]).astype(np.uint64) + (group[owner].astype(np.uint64) << np.uint64(32)), 5)
+    sig = mix(total ^ tag, 6)
+    empty = np.bincount(slot, minlength=int(base[-1])) == 0
+    if costs is None:
+        take = ~empty | near[owner]
+    else:
+        cost = _costs(sig, costs)
+        cost[empty] = np.iinfo(np.int64).max
+        order = np.lexsort((sig, cost, owner))
+        rank = np.empty(len(owner), np.int64)
+        rank[order] = np.arange(len(owner)) - base[owner[order]]
+        take = near[owner] | (rank <= k[owner])
+    lone = near[rows]
+    with np.errstate(over="ignore"):
+        without = mix((total[slot[lone]] - mix(x[lone], 4)) ^ tag[slot[lone]], 6)
+    return np.append(who[owner[take]], who[rows[lone]]), np.append(sig[take], without)
 
 
 def _costs(sig: np.ndarray, costs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -144,26 +185,44 @@ def _costs(sig: np.ndarray, costs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.where(known[at] == sig, count[at], 0)
 
 
-def _index_rows(batches, starts, plan, costs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(document id, signature) rows; of documents with one set, a task indexes the first."""
-    seen: set[tuple[int, int]] = set()
-    for b in batches:
-        for lo, hi, data, off in blocks(b.column(1)):
-            ids = b.column(0).slice(lo, hi - lo)
-            doc, s = shingle_sets(data, off)
-            _, h1, h2 = _classes(doc, s, hi - lo)
-            new = np.zeros(hi - lo, bool)
-            for i, key in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):
-                if key not in seen:
-                    seen.add(key)
-                    new[i] = True
-            new &= ~np.asarray(ids.is_null())
-            keep = new[doc]
-            d, sig = signatures(doc[keep], s[keep], hi - lo, starts, plan, costs)
-            yield np.asarray(ids.fill_null(0))[d], sig
-
-
-def _counter(starts, plan):
+def _text_rows(starts, plan):
+    """(document id, signature) rows of texts; of documents with one set, a task indexes the first."""
+    def rows(batches, costs) -> Iterator[tuple]:
+        seen: set[tuple[int, int]] = set()
+        for b in batches:
+            for lo, hi, data, off in blocks(b.column(1)):
+                ids = b.column(0).slice(lo, hi - lo)
+                doc, s = shingle_sets(data, off)
+                _, h1, h2 = _classes(doc, s, hi - lo)
+                new = np.zeros(hi - lo, bool)
+                for i, key in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        new[i] = True
+                new &= ~np.asarray(ids.is_null())
+                keep = new[doc]
+                d, sig, role = signatures(doc[keep], s[keep], hi - lo, starts, plan, costs)
+                yield np.asarray(ids.fill_null(0))[d], sig, role
+
+    return rows
+
+
+def _set_rows(starts):
+    """(document id, signature) rows of shingle sets by their prefixes; without costs, the shingles themselves."""
+    def rows(batches, costs) -> Iterator[tuple]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, min(256, b.num_rows - lo))
+                doc = np.repeat(np.arange(len(part)), np.diff(part.column(1).offsets.to_numpy()))
+                d, sig, role = doc, part.column(1).flatten().to_numpy().view(np.uint64), None
+                if costs is not None:
+                    d, sig, role = prefixes(doc, sig, len(part), starts, costs)
+                yield part.column(0).to_numpy()[d], sig, role
+
+    return rows
+
+
+def _counter(rows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
@@ -173,7 +232,7 @@ def _counter(starts, plan):
             return pa.RecordBatch.from_arrays(
                 [pa.array(sig[often].view(np.int64)), pa.array(count[often].astype(np.int64))], ["sig", "n"])
 
-        for _, sig in _index_rows(batches, starts, plan, None):
+        for _, sig, _ in rows(batches, None):
             held.append(sig)
             n += len(sig)
             if n > 4_000_000:
@@ -185,34 +244,48 @@ def _counter(starts, plan):
     return run
 
 
-def _indexer(starts, plan, costs):
+def _indexer(rows, costs):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sig in _index_rows(batches, starts, plan, costs.value):
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids.astype(np.int64))], ["sig", "doc_id"])
+        for ids, sig, role in rows(batches, costs.value):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig.view(np.int64)), pa.array(ids.astype(np.int64)), pa.array(role)], ["sig", "doc_id", "role"])
 
     return run
 
 
+_INDEX = "sig long, doc_id long, role byte"
+
+
+def _index(source: DataFrame, rows) -> DataFrame:
+    """(sig, doc_id) of signatures that at least two rows hold: costs over all rows, then the index."""
+    spark = source.sparkSession
+    often = (source.mapInArrow(_counter(rows), "sig long, n long").groupBy("sig").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") >= MIN_COST).orderBy(F.desc("n"), "sig").limit(COST_ROWS).toArrow())  # 16 bytes a row
+    known, count = (often.column(i).to_numpy() for i in (0, 1))
+    known = known.view(np.uint64)
+    by = np.argsort(known)
+    costs = spark.sparkContext.broadcast((known[by], count[by]))
+    index = source.mapInArrow(_indexer(rows, costs), _INDEX)
+    return written(index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, _INDEX), "shared")
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by signature, those whose signature occurs more than once."""
-    sig, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int8())], ["sig", "doc_id", "role"])
     carried = False  # the held last row's signature has occurred before
-
-    def out(keep):
-        return pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(ids[keep])], ["sig", "doc_id"])
-
     for b in batches:
         if not b.num_rows:
             continue
-        sig, ids = np.append(sig, b.column(0).to_numpy()), np.append(ids, b.column(1).to_numpy())
+        rows = pa.Table.from_batches([held, b.cast(held.schema)]).combine_chunks().to_batches()[0]
+        sig = rows.column(0).to_numpy()
         same = np.append(sig[1:] == sig[:-1], False)
         keep = same | np.append([carried], same[:-1])
         carried = bool(keep[-1])
         keep[-1] = False  # held until the next row is known
-        yield out(keep)
-        sig, ids = sig[-1:], ids[-1:]
-    if len(sig):
-        yield out(np.array([carried]))
+        yield rows.filter(pa.array(keep))
+        held = rows.slice(len(sig) - 1)
+    if carried:
+        yield held
 
 
 def _hits(bits: np.ndarray, ids: pa.Array) -> pa.Array:
@@ -308,34 +381,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     band = sum((F.col("n") >= F.lit(x)).cast("int") for x in starts) - 1
     counts = {r["band"]: r["count"] for r in classes.groupBy(band.alias("band")).count().collect()}  # one row per band
     plan = allocate(starts, counts)
-    often = (texts.mapInArrow(_counter(starts, plan), "sig long, n long").groupBy("sig").agg(F.sum("n").alias("n"))
-             .filter(F.col("n") >= MIN_COST).orderBy(F.desc("n"), "sig").limit(COST_ROWS).collect())
-    known = np.array([r["sig"] for r in often], np.int64).view(np.uint64)
-    by = np.argsort(known)
-    costs = spark.sparkContext.broadcast((known[by], np.array([r["n"] for r in often], np.int64)[by]))
-    index = texts.mapInArrow(_indexer(starts, plan, costs), "sig long, doc_id long")
-    shared = written(index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, "sig long, doc_id long"), "shared")
+    shared = _index(texts, _text_rows(starts, plan))
     member = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["h1", "h2"])
-    member = written(member.select("doc_id", "class_id"), "members")
-    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id")).distinct()
+    member = written(member.select("doc_id", "class_id", "n"), "members")
+    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id"), "role", "n").distinct()
     rows = _open_rows(written(shared, "shared"), None)
     bits = _bitmap(rows.select("doc_id"))
     sets = written(texts.mapInArrow(_sets(bits), "doc_id long, n int, parity array<long>, shingles array<long>"), "sets")
     links = member.filter("doc_id != class_id").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
     links = written(links.distinct(), "links")
-    tried, turn, across = None, 0, False
-    while True:
-        pairs = _across(rows) if across else _star(rows, turn % 2 == 0)
-        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        pairs = written(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+    tried, turn, linking = None, 0, True
+    label = None
+    while linking:  # stars, as long as they link
+        pairs = _pairs(_star(rows, turn % 2 == 0), tried)
         found = written(verify(pairs, sets, percent).distinct(), "found")
         links = written(links.unionByName(found), "links")
         label = components(links)
-        if across:
-            break
         turn, tried = turn + 1, pairs if tried is None else tried.unionByName(pairs)
-        across = found.count() * STAR_SHARE < pairs.count()
-        rows = _open_rows(rows.select("sig", "doc_id"), label)
+        linking = found.count() * STAR_SHARE >= pairs.count() > 0
+        rows = _open_rows(rows.select("sig", "doc_id", "role", "n"), label)
+    crowded = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).select("sig")
+    crowd = written(rows.join(crowded, "sig", "left_semi").select("doc_id").distinct(), "crowd")
+    pairs = _across(rows.join(crowded, "sig", "left_anti"))
+    if not crowd.isEmpty():
+        members = sets.select("doc_id", "shingles").mapInArrow(_only(_bitmap(crowd)), "doc_id long, shingles array<long>")
+        members = written(members.join(crowd, "doc_id", "left_semi"), "crowd-sets")
+        fine = _index(members, _set_rows(band_starts(largest, FINE_RATIO)))
+        sizes = members.select("doc_id", F.size("shingles").cast("long").alias("n")).dropDuplicates(["doc_id"])
+        fine = _open_rows(fine.join(sizes, "doc_id").distinct(), label)
+        pairs = pairs.unionByName(_across(fine))
+    found = verify(_pairs(pairs, tried), sets, percent).distinct()
+    label = components(written(links.unionByName(found), "links"))
     ids = member.select(F.col("doc_id").alias("node")).distinct().join(label, "node", "left")
     ids = ids.select(F.col("node").alias("doc_id"), F.coalesce("label", "node").alias("component_id"))
     out = profile.select("doc_id", "n_shingles", "h1", "h2").join(ids, "doc_id", "left")
@@ -344,26 +420,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return written(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+
+
 def _open_rows(shared: DataFrame, label: DataFrame | None) -> DataFrame:
     """Index rows of signatures that (still) meet in more than one component."""
     rows = shared.withColumn("label", F.col("doc_id"))
     if label is not None:
         rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        rows = rows.select("sig", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+        rows = rows.select("sig", "doc_id", "role", "n", F.coalesce("label", "doc_id").alias("label"))
     several = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
     return written(rows.join(several.select("sig"), "sig", "left_semi"), "open")
 
 
+def _near(n: str, other: str) -> Column:
+    """Sizes that linked sets can have."""
+    return (4 * F.col(n) <= 5 * F.col(other)) & (4 * F.col(other) <= 5 * F.col(n))
+
+
 def _star(rows: DataFrame, least: bool) -> DataFrame:
     """Of each signature, one document (of the least or greatest component) against those of other components."""
     pick, key = (F.min_by if least else F.max_by), F.struct("label", "doc_id")
-    hub = rows.groupBy("sig").agg(pick("doc_id", key).alias("v"), pick("label", key).alias("hub_label"))
-    return rows.join(hub, "sig").filter("label != hub_label").select(F.col("doc_id").alias("u"), "v").distinct()
+    hub = rows.groupBy("sig").agg(pick(F.struct("doc_id", "n", "label"), key).alias("hub"))
+    return (rows.join(hub, "sig").filter((F.col("label") != F.col("hub.label")) & _near("n", "hub.n"))
+            .select(F.col("doc_id").alias("u"), F.col("hub.doc_id").alias("v")).distinct())
 
 
 def _across(rows: DataFrame) -> DataFrame:
-    other = rows.select("sig", F.col("doc_id").alias("v"), F.col("label").alias("other"))
-    return rows.join(other, "sig").filter("label > other").select(F.col("doc_id").alias("u"), "v").distinct()
+    """Per signature, the documents of different components against each other (of one role, ANY only)."""
+    other = rows.select("sig", F.col("doc_id").alias("v"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("role").alias("part"))
+    meet = (F.col("label") > F.col("other")) & _near("n", "m") & ((F.col("role") == ANY) | (F.col("role") != F.col("part")))
+    return rows.join(other, "sig").filter(meet).select(F.col("doc_id").alias("u"), "v").distinct()
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
