@@ -188,3 +188,6 @@ TRUTH_SKIP = 10
 HASH_ID = 7919
 HASH_CYCLE = 104729
 HASH_MOD = 1000003
+
+# Why a window gets no forecast.
+BAD_READING = "reading missing or not finite"

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +17,15 @@ def is_missing(c: Column) -> Column:
     return c.isNull() | F.isnan(c)
 
 
+def not_finite(c: Column) -> Column:
+    """Null, NaN or infinite: such a reading must never be scored."""
+    return is_missing(c) | (F.abs(c) == F.lit(float("inf")))
+
+
+def any_not_finite(columns: Iterable[str]) -> Column:
+    return reduce(or_, [not_finite(F.col(c).cast("double")) for c in columns], F.lit(False))
+
+
 def cap_at(c: Column, cap: float) -> Column:
     """min(c, cap) that keeps null and NaN missing (``least`` would return cap)."""
     return F.when(~is_missing(c) & (c > F.lit(cap)), F.lit(float(cap))).otherwise(c)
@@ -23,10 +36,14 @@ def clamp_non_negative(c: Column) -> Column:
 
 
 def health_band(rul: Column, upper: bool = False) -> Column:
-    """>= 80 healthy, >= 40 warning, else critical (title or upper case)."""
+    """>= 80 healthy, >= 40 warning, else critical (title or upper case); null without a forecast.
+
+    Spark orders NaN above all numbers, so a missing forecast must be kept out first.
+    """
     names = ("HEALTHY", "WARNING", "CRITICAL") if upper else ("Healthy", "Warning", "Critical")
     return (
-        F.when(rul >= C.HEALTHY_MIN, F.lit(names[0]))
+        F.when(is_missing(rul), F.lit(None).cast("string"))
+        .when(rul >= C.HEALTHY_MIN, F.lit(names[0]))
         .when(rul >= C.WARNING_MIN, F.lit(names[1]))
         .otherwise(F.lit(names[2]))
     )
@@ -34,13 +51,13 @@ def health_band(rul: Column, upper: bool = False) -> Column:
 
 def life_percent(rul: Column, cap: float = C.RUL_CAP) -> Column:
     pct = rul / F.lit(float(cap)) * F.lit(100.0)
-    return F.when(pct > 100.0, F.lit(100.0)).otherwise(pct)
+    return F.when(is_missing(rul), F.lit(None).cast("double")).when(pct > 100.0, F.lit(100.0)).otherwise(pct)
 
 
 def confidence(rul: Column, cap: float = C.RUL_CAP) -> Column:
     """1 - min(|rul| / cap, 1): falls as the forecast rises (kept as specified)."""
     share = F.abs(rul) / F.lit(float(cap))
-    return F.lit(1.0) - F.when(share > 1.0, F.lit(1.0)).otherwise(share)
+    return F.when(~is_missing(rul), F.lit(1.0) - F.when(share > 1.0, F.lit(1.0)).otherwise(share))
 
 
 def action_for(status: Column, upper: bool = False) -> Column:

@@ -25,6 +25,11 @@ def linear_forecast(spec: FleetSpec, suffix: str = "_mean") -> Column:
 
 
 def forecast_windows(means: DataFrame, spec: FleetSpec, clamp: bool = False, out: str = "predicted_rul") -> DataFrame:
-    """Score rows holding ``<f>_mean`` window means; ``clamp`` = dashboard variant."""
+    """Score rows holding ``<f>_mean`` window means; ``clamp`` = dashboard variant.
+
+    Windows with a ``reason`` not to be scored get a null forecast (B10).
+    """
     pred = linear_forecast(spec)
+    if "reason" in means.columns:
+        pred = F.when(F.col("reason").isNull(), pred)
     return means.withColumn(out, clamp_non_negative(pred) if clamp else pred)

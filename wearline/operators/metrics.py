@@ -16,13 +16,14 @@ def pair_errors(pairs: DataFrame, pred: str = "predicted_rul", actual: str = "ac
 
 
 def forecast_metrics(pairs: DataFrame, pred: str = "predicted_rul", actual: str = "actual_rul") -> DataFrame:
-    """rmse, mae, asymmetric score and n in one aggregate."""
+    """rmse, mae and asymmetric score of labelled pairs, n = engines with a forecast."""
     err = F.col(pred) - F.col(actual)
     return pairs.agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
         F.sum(asymmetric_penalty(err)).alias("score"),
-        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.count(pred).cast("bigint").alias("n"),
+        F.count(err).cast("bigint").alias("n_labelled"),
     )
 
 

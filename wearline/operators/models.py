@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import FleetSpec
+from ..config import BAD_READING, FleetSpec
+from ..functions.scalar import any_not_finite
 from ..session import ship_package
 from .quality import guard_reason
 
@@ -36,7 +37,7 @@ def summary_columns(spec: FleetSpec) -> list[str]:
 
 
 def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", label: str = "rul",
-                   validation: str | None = "is_val", max_iter: int = 20) -> PipelineModel:
+                   validation: str | None = "is_val", max_iter: int = 20, solver: str = "normal") -> PipelineModel:
     """Fit on train windows; validation windows (``validation`` true) decide when
     a boosted model stops (``validationIndicatorCol``). Seeded (I1).
 
@@ -48,9 +49,7 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
     if kind == "linear":
         data = windows.filter(~F.col(validation)) if validation else windows
-        # few features: exact normal equations in one distributed pass
-        # (``max_iter`` applies to the iterative solver, used above 4096 features)
-        solver = "normal" if len(cols) <= 4096 else "l-bfgs"
+        # "normal": exact normal equations in one distributed pass; "l-bfgs" iterates
         est = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
                                maxIter=max_iter, standardization=True, solver=solver)
     elif kind == "gbt":
@@ -62,7 +61,7 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
         est = GBTRegressor(**params)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    data = data.fillna(0.0, subset=cols).persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.filter(~any_not_finite(cols)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[asm, est]).fit(data)
     finally:
@@ -70,7 +69,12 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
 
 
 def predict(model: PipelineModel, windows: DataFrame, spec: FleetSpec) -> DataFrame:
-    return model.transform(windows.fillna(0.0, subset=summary_columns(spec))).drop("features")
+    """Forecasts; a window with a feature that isn't finite gets none and a ``reason``."""
+    cols = summary_columns(spec)
+    bad = any_not_finite(cols)
+    out = model.transform(windows).drop("features")
+    out = out.withColumn("predicted_rul", F.when(~bad, F.col("predicted_rul")))
+    return out.withColumn("reason", F.when(bad, F.lit(BAD_READING)))
 
 
 def training_curve(model: PipelineModel, val: DataFrame, spec: FleetSpec, label: str = "rul") -> list[tuple[int, float]]:
@@ -79,7 +83,7 @@ def training_curve(model: PipelineModel, val: DataFrame, spec: FleetSpec, label:
     stage = model.stages[-1]
     if hasattr(stage, "summary") and hasattr(stage.summary, "objectiveHistory"):
         return [(i + 1, float(v)) for i, v in enumerate(stage.summary.objectiveHistory)]
-    assembled = model.stages[0].transform(val.fillna(0.0, subset=summary_columns(spec)))
+    assembled = model.stages[0].transform(val.filter(~any_not_finite(summary_columns(spec))))
     losses = stage.evaluateEachIteration(assembled, "squared")
     return [(i + 1, float(v)) for i, v in enumerate(losses)]
 

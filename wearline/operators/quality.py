@@ -21,14 +21,14 @@ Rule = tuple[str, Column]
 
 
 def raw_rules(features: Sequence[str]) -> list[Rule]:
-    """id >= 1, cycle >= 1, no missing required value."""
+    """id >= 1, cycle >= 1, no missing (null or NaN) required value."""
     rules: list[Rule] = [
         ("engine_id_missing", F.col("engine_id").isNull()),
         ("engine_id_below_1", F.col("engine_id") < 1),
         ("cycle_missing", F.col("cycle").isNull()),
         ("cycle_below_1", F.col("cycle") < 1),
     ]
-    rules += [(f"{f}_missing", F.col(f).isNull()) for f in features]
+    rules += [(f"{f}_missing", is_missing(F.col(f))) for f in features]
     return rules
 
 
@@ -79,6 +79,7 @@ def uninformative_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     equal the column's min or max. Two light aggregates replace a
     per-feature distinct count (which Spark plans as an Expand of the rows).
     """
+    df = df.select(*[F.when(~is_missing(F.col(f)), F.col(f)).alias(f) for f in features])  # missing values don't count
     mm = df.agg(*[x for f in features for x in (F.min(f).alias(f"{f}__lo"), F.max(f).alias(f"{f}__hi"))]).first()
     aggs = []
     for f in features:

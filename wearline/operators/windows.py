@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import FleetSpec
+from ..config import BAD_READING, FleetSpec
+from ..functions.scalar import any_not_finite
 from .labels import with_life
 
 
@@ -200,6 +201,7 @@ def last_window(
     Output per engine: n_rows, first_cycle, last_cycle, ``<f>_mean`` and, with
     ``arrays``, ``window`` = array<struct<cycle, features>> sorted by cycle;
     with ``last``, ``last`` = struct of the features at the last cycle (D4);
+    ``reason``: null, or why the window must not be scored (a reading that is null, NaN or infinite);
     every column in ``carry`` is taken from the last cycle too (e.g. its label).
     """
     if policy not in ("skip", "partial", "error"):
@@ -209,6 +211,7 @@ def last_window(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.min("cycle").alias("first_cycle"),
         F.max("cycle").alias("last_cycle"),
+        F.max(any_not_finite(spec.features)).alias("__bad"),
     ] + [F.avg(f).alias(f"{f}_mean") for f in spec.features]
     if arrays:
         reading = F.struct(F.col("cycle"), *[F.col(f) for f in spec.features])
@@ -219,6 +222,7 @@ def last_window(
         aggs += [F.max_by(F.col(f), F.col("cycle")).alias(f"__last_{f}") for f in spec.features]
     aggs += [F.max_by(F.col(c), F.col("cycle")).alias(c) for c in carry]
     out = rows.groupBy("engine_id").agg(*aggs)
+    out = out.withColumn("reason", F.when(F.col("__bad"), F.lit(BAD_READING))).drop("__bad")
     if last:
         out = out.withColumn("last", F.struct(*[F.col(f"__last_{f}").alias(f) for f in spec.features])).drop(
             *[f"__last_{f}" for f in spec.features])

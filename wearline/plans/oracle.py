@@ -271,7 +271,7 @@ def violations_sql(src: str, processed: bool) -> str:
         ("engine_id_below_1", "engine_id < 1"),
         ("cycle_missing", "cycle IS NULL"),
         ("cycle_below_1", "cycle < 1"),
-    ] + [(f"{f}_missing", f"{f} IS NULL") for f in F6]
+    ] + [(f"{f}_missing", f"{f} IS NULL OR isnan({f})") for f in F6]
     if processed:
         rules += [("rul_missing", "rul IS NULL OR isnan(rul)"),
                   ("rul_out_of_range", f"rul < 0 OR rul > {d(LI.cap)}")]
@@ -282,6 +282,24 @@ def violations_sql(src: str, processed: bool) -> str:
 
 
 ORACLE["raw_violations"] = with_(li_ctes(), violations_sql("f", False))
+
+
+def faulty_sql(name: str, src: str) -> str:
+    faults = {
+        "quantity": "CASE WHEN engine_id % 17 = 0 AND cycle % 50 = 3 THEN CAST('NaN' AS DOUBLE) ELSE quantity END",
+        "discount": "CASE WHEN engine_id % 19 = 0 AND cycle % 40 = 5 THEN NULL ELSE discount END",
+        "tax": "CASE WHEN engine_id % 23 = 0 AND cycle % 30 = 7 THEN CAST('Infinity' AS DOUBLE) ELSE tax END",
+    }
+    return f"{name} AS (SELECT * REPLACE ({sql_list(f'{v} AS {k}' for k, v in faults.items())}) FROM {src})"
+
+
+ORACLE["raw_violations_faulty"] = with_(
+    li_ctes() + [faulty_sql("ff", "f"), """fv AS (SELECT * REPLACE (
+        CASE WHEN engine_id % 29 = 0 AND cycle % 100 = 1 THEN NULL WHEN engine_id % 13 = 0 AND cycle % 90 = 2 THEN -engine_id
+             ELSE engine_id END AS engine_id,
+        CASE WHEN engine_id % 31 = 0 AND cycle % 70 = 1 THEN NULL WHEN engine_id % 11 = 0 AND cycle % 80 = 2 THEN 0
+             ELSE cycle END AS cycle) FROM ff)"""],
+    violations_sql("fv", False))
 ORACLE["processed_violations"] = with_(li_ctes(), violations_sql("tlab", True))
 
 
@@ -380,7 +398,7 @@ def last_win_cte(name: str, min_rows: int | None) -> str:
 PAIRS = [
     last_win_cte("g", L),
     "lastrow AS (SELECT engine_id, rul FROM ztst WHERE cycle = life)",
-    "pairs AS (SELECT g.engine_id, g.p, lastrow.rul AS a FROM g JOIN lastrow ON g.engine_id = lastrow.engine_id WHERE lastrow.rul IS NOT NULL)",
+    "pairs AS (SELECT g.engine_id, g.p, lastrow.rul AS a FROM g JOIN lastrow ON g.engine_id = lastrow.engine_id)",
 ]
 
 
@@ -391,7 +409,8 @@ def penalty_sql(e: str) -> str:
 
 METRICS = PAIRS + [
     f"""m AS (SELECT sqrt(avg((p - a) * (p - a))) AS rmse, avg(abs(p - a)) AS mae,
-              sum({penalty_sql('p - a')}) AS score, CAST(count(*) AS BIGINT) AS n FROM pairs)""",
+              sum({penalty_sql('p - a')}) AS score,
+              CAST(count(p) AS BIGINT) AS n, CAST(count(a) AS BIGINT) AS n_labelled FROM pairs)""",
 ]
 
 ORACLE["prediction_pairs"] = with_(
@@ -400,7 +419,7 @@ ORACLE["prediction_pairs"] = with_(
 )
 
 ORACLE["forecast_metrics"] = with_(
-    li_ctes() + METRICS, f"SELECT {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('score')} AS score, n FROM m"
+    li_ctes() + METRICS, f"SELECT {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('score')} AS score, n, n_labelled FROM m"
 )
 
 ORACLE["quality_gate"] = with_(
@@ -471,6 +490,20 @@ SCORED = full_ctes() + [
           FROM g JOIN ztst lr ON g.engine_id = lr.engine_id AND lr.cycle = lr.life CROSS JOIN zst)""",
 ]
 
+ORACLE["scored_records_faulty"] = with_(
+    li_ctes() + [faulty_sql("tf", "tlab"), f"""zf AS (SELECT engine_id, cycle, life,
+          {sql_list(f"({f} - sc.mu_{f}) / sc.sd_{f} AS {f}" for f in F6)} FROM tf CROSS JOIN sc)""",
+        f"""wf AS (SELECT engine_id, bool_or({" OR ".join(f"{f} IS NULL OR NOT isfinite({f})" for f in F6)}) AS bad,
+          {forecast_sql('avg({f})')} AS p FROM zf WHERE cycle > life - {L} GROUP BY engine_id HAVING count(*) >= {L})""",
+        "sf AS (SELECT engine_id, bad, CASE WHEN NOT bad THEN p END AS p FROM wf)"],
+    f"""SELECT engine_id, CASE WHEN NOT bad THEN {r6('p')} END AS predicted_rul, st AS health_status,
+          CASE WHEN NOT bad THEN {r6(f"least(p / {d(C.RUL_CAP)} * {d(100)}, {d(100)})")} END AS life_pct,
+          CASE {" ".join(f"WHEN st = '{k}' THEN '{v}'" for k, v in C.SERVICE_ACTIONS.items())} END AS action,
+          CASE WHEN bad THEN 'reading missing or not finite' END AS reason
+        FROM (SELECT *, CASE WHEN bad THEN NULL WHEN p >= {d(C.HEALTHY_MIN)} THEN 'Healthy' WHEN p >= {d(C.WARNING_MIN)} THEN 'Warning'
+                             ELSE 'Critical' END AS st FROM sf)""",
+)
+
 ORACLE["scored_records"] = with_(
     SCORED,
     f"""SELECT engine_id, {r6('p')} AS predicted_rul, {status_sql('p', False)} AS health_status,
@@ -801,11 +834,12 @@ ORACLE["request_violations"] = with_(
 
 _OF = C.ORDERS_FLEET
 ORACLE["guarded_windows"] = with_(
-    ORDERS_WIN,
+    ORDERS_WIN + [f"""osc AS (SELECT avg(totalprice) AS mu, stddev_pop(totalprice) AS sd FROM fo
+        WHERE engine_id BETWEEN 1 AND (SELECT CAST(floor({_OF.train_fraction} * max(engine_id)) AS BIGINT) FROM fo))"""],
     f"""SELECT engine_id, CASE WHEN n <> {_LO} THEN 'shape mismatch' END AS reason,
-          CASE WHEN n = {_LO} THEN {r6(f'{d(_OF.bias)} + {d(_OF.weight("totalprice"))} * m')} END AS predicted_rul,
+          CASE WHEN n = {_LO} THEN {r6(f'{d(_OF.bias)} + {d(_OF.weight("totalprice"))} * ((m - mu) / sd)')} END AS predicted_rul,
           CAST(NULL AS VARCHAR) AS output_reason
-        FROM ow""",
+        FROM ow CROSS JOIN osc""",
 )
 
 ORACLE["window_input_stats"] = with_(

@@ -167,6 +167,43 @@ def q_raw_violations(spark, sf_dir):
     return Q.violation_counts(run.rows, Q.raw_rules(run.features))
 
 
+def with_faults(rows: DataFrame) -> DataFrame:
+    """Readings with faults planted by id and cycle arithmetic (also written in the SQL oracle)."""
+    e, c = F.col("engine_id"), F.col("cycle")
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    return rows.withColumns({
+        "quantity": F.when((e % 17 == 0) & (c % 50 == 3), nan).otherwise(F.col("quantity")),
+        "discount": F.when((e % 19 == 0) & (c % 40 == 5), F.lit(None)).otherwise(F.col("discount")),
+        "tax": F.when((e % 23 == 0) & (c % 30 == 7), inf).otherwise(F.col("tax")),
+    })
+
+
+@query("raw_violations_faulty")
+def q_raw_violations_faulty(spark, sf_dir):
+    """The raw rules over readings with planted faults: NaN and null values, bad and missing ids and cycles."""
+    run = FleetRun(spark, sf_dir)
+    e, c = F.col("engine_id"), F.col("cycle")
+    rows = with_faults(run.rows)
+    rows = rows.select(
+        F.when((e % 29 == 0) & (c % 100 == 1), F.lit(None)).when((e % 13 == 0) & (c % 90 == 2), -e).otherwise(e).alias("engine_id"),
+        F.when((e % 31 == 0) & (c % 70 == 1), F.lit(None)).when((e % 11 == 0) & (c % 80 == 2), F.lit(0)).otherwise(c).alias("cycle"),
+        *run.features)
+    return Q.violation_counts(rows, Q.raw_rules(run.features))
+
+
+@query("scored_records_faulty")
+def q_scored_records_faulty(spark, sf_dir):
+    """Service records of a fleet with planted faults: a window with a bad reading has a reason and nothing else."""
+    run = FleetRun(spark, sf_dir)
+    win = W.last_window(run.scaled(with_faults(run.test)), run.spec, policy="skip")
+    p = F.col("predicted_rul")
+    scored = forecast_windows(win, run.spec)
+    status = X.health_band(p)
+    return finish(scored.select(
+        "engine_id", "predicted_rul", status.alias("health_status"), X.life_percent(p).alias("life_pct"),
+        X.action_for(status).alias("action"), "reason"))
+
+
 @query("processed_violations")
 def q_processed_violations(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
@@ -258,11 +295,10 @@ def q_window_features(spark, sf_dir):
 
 def prediction_pairs(run: FleetRun) -> DataFrame:
     """Service forecast (unclamped) of each engine's last full window beside the
-    label of its last reading; engines without a label cannot be scored (C4)."""
+    label of its last reading; an engine without a label keeps its forecast and has a
+    null label and null errors (C4)."""
     win = forecast_windows(run.last_windows("skip"), run.spec)
-    pairs = win.filter(F.col("rul").isNotNull()).select(
-        "engine_id", "predicted_rul", F.col("rul").alias("actual_rul")
-    )
+    pairs = win.select("engine_id", "predicted_rul", F.col("rul").alias("actual_rul"))
     return M.pair_errors(pairs)
 
 
@@ -713,7 +749,8 @@ def q_request_violations(spark, sf_dir):
 def q_guarded_windows(spark, sf_dir):
     """Shape and finiteness guard before scoring, finiteness after; rejected
     windows keep their reason and get no score (B10)."""
-    run, req = orders_requests(spark, sf_dir)
+    run = FleetRun(spark, sf_dir, "orders")
+    req = window_requests(W.last_window(run.scaled(run.rows), run.spec, policy="partial", arrays=True), run.features)
     w = F.col("sensor_window")
     reason = Q.guard_reason(w, run.spec.window, len(run.features))
     def column_of(i):
@@ -849,7 +886,7 @@ def q_stream_quarantine(spark, sf_dir):
 
     run = FleetRun(spark, sf_dir, "events")
     base = scratch_path(spark, f"streams/quarantine/{uuid.uuid4().hex}")
-    rules = [("engine_id_below_1", F.col("engine_id") < 1)] + [(f"{f}_missing", F.col(f).isNull()) for f in run.features]
+    rules = [("engine_id_below_1", F.col("engine_id") < 1)] + [(f"{f}_missing", X.is_missing(F.col(f))) for f in run.features]
     ST.run_available(ST.readings(ST.event_stream(spark, sf_dir)), "quarantine",
                      foreach=ST.quarantine_to(None, rules, f"{base}/good", f"{base}/bad"))
     from ..sources.store import _exists
