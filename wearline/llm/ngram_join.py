@@ -235,7 +235,7 @@ def _counter(rows):
         for _, sig, _ in rows(batches, None):
             held.append(sig)
             n += len(sig)
-            if n > 4_000_000:
+            if n > 1_000_000:
                 yield out()
                 held, n = [], 0
         if held:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.ones(1, np.uint64)
 
@@ -41,8 +41,10 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     """(first text, one past the last, bytes, offsets) of runs of whole texts; nulls are empty."""
     if len(texts) == 0:
         return
-    texts = texts.cast(pa.large_string()).fill_null("")
-    off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if texts.null_count:
+        texts = texts.fill_null("")
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    off = np.frombuffer(texts.buffers()[1], width)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     buf = texts.buffers()[2]
     data = np.frombuffer(buf, np.uint8) if buf is not None else np.zeros(0, np.uint8)
     lo = 0
