@@ -65,7 +65,8 @@ def _twice(keyed: str, field: str) -> Column:
 def _repeats(df: DataFrame) -> DataFrame:
     """``m_starts``: sorted starts of the windows of WINDOW words that occur at least twice in the row.
 
-    Each array is a column of its own, as a lambda evaluates what it holds once per element.
+    Each array is a column of its own, as a lambda evaluates what it holds once per element
+    (and ``slice`` reads its whole array each time, so windows are put together word by word).
     """
     win, key = F.col("m_windows"), F.col("m_keys")
     windows = F.when(F.size(key) >= WINDOW, F.transform(
@@ -80,7 +81,7 @@ def _repeats(df: DataFrame) -> DataFrame:
     df = df.withColumn("m_twice", _twice("m_sorted", "h"))
     words = F.col("m_words")
     df = df.withColumn("m_exact", F.sort_array(F.transform("m_twice", lambda x: F.struct(
-        F.array_join(F.slice(words, x["i"] + 1, F.lit(WINDOW)), " ").alias("w"), x["i"].alias("i")))))
+        F.concat_ws(" ", *[F.get(words, x["i"] + j) for j in range(WINDOW)]).alias("w"), x["i"].alias("i")))))
     df = df.withColumn("m_twice", _twice("m_exact", "w"))
     return df.withColumn("m_starts", F.sort_array(F.transform("m_twice", lambda x: x["i"])))
 
@@ -114,7 +115,8 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _chars(t, r"[A-Za-z]").alias("n_letters"),
         _size(F.filter(words, lambda w: w.isin(list(dict.fromkeys(STOP_WORDS))))).alias("n_stop_words"),
     )
-    return df.withColumn("m", m).select(*docs.columns, "m")
+    # a generator: filters on the result aren't pushed below it, into the inputs of lambdas
+    return df.select(*docs.columns, F.explode(F.array(m)).alias("m"))
 
 
 def compile_rules(rules: list[tuple] = RULES) -> Column:
