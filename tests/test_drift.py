@@ -95,3 +95,21 @@ def test_ranked_quantiles_equal_numpy_and_aggregate(spark):
         want = np.quantile(x, np.linspace(0, 1, 11))
         assert np.allclose(ranked[f], want, rtol=0, atol=1e-12)
         assert np.allclose(agg[f], want, rtol=0, atol=1e-12)
+
+
+def test_quantiles_of_constant_and_two_valued_features_over_many_ranges(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    n = 5000
+    data = [(float(x), 7.0, float(i % 2), None if i % 3 else float("nan"), float(i % 5) if i % 7 else None) for i, x in enumerate(rng.normal(size=n))]
+    df = spark.createDataFrame(data, "a double, k double, t double, z double, s double").repartition(7)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = D.quantile_edges(df, ["a", "k", "t", "z", "s"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for i, f in enumerate(["a", "k", "t", "z", "s"]):
+        x = [r[i] for r in data if r[i] is not None and r[i] == r[i]]
+        assert np.allclose(got[f], np.quantile(x, D.DECILES) if x else [], rtol=0, atol=1e-12), f

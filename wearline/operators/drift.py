@@ -18,72 +18,68 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import floor_share
+from ..session import ensure_checkpoint_dir
 
 DECILES = [i / C.PSI_BINS for i in range(C.PSI_BINS + 1)]
 # Standard-normal quantiles at 0.1 .. 0.9 (interior decile edges of N(0, 1)).
 NORMAL_DECILES = [NormalDist().inv_cdf(i / C.PSI_BINS) for i in range(1, C.PSI_BINS)]
 
 
-# Above this many rows the exact quantiles are found by ranking (no value map).
-EXACT_MAP_ROWS = 5_000_000
+def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float] = DECILES) -> DataFrame:
+    """(feature, pos, edge): exact quantiles with linear interpolation (numpy's default).
+
+    Values are counted per (feature, value) before anything else, so a constant or two-valued
+    feature is a few rows whatever the number of readings. The distinct values are cut
+    into ranges; only ranges that hold a needed rank are ranked, each within itself, from the
+    rows that all earlier ranges of the feature hold. No feature is ever in one task.
+    Null and NaN don't count; a feature without values has no rows.
+    """
+    spark = df.sparkSession
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    values = (df.select(F.inline(pairs)).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+              .groupBy("feature", "x").agg(F.count(F.lit(1)).alias("c")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    ranged = (values.repartitionByRange(n, "feature", "x").withColumn("part", F.spark_partition_id())).checkpoint(eager=True)
+    sums = ranged.groupBy("feature", "part").agg(F.sum("c").alias("held"))  # at most features x ranges
+    upto = Window.partitionBy("feature").orderBy("part")
+    sums = sums.withColumn("before", F.sum("held").over(upto) - F.col("held"))
+    sums = sums.withColumn("n", F.sum("held").over(Window.partitionBy("feature")))
+    place = F.array(*[F.struct(F.lit(i).alias("pos"), ((F.col("n") - 1) * F.lit(float(q))).alias("h")) for i, q in enumerate(probs)])
+    wanted = sums.select("feature", "part", "held", "before", F.inline(place))
+    needs = (F.floor("h") < F.col("before") + F.col("held")) & (F.ceil("h") >= F.col("before"))
+    wanted = wanted.filter(needs).select("feature", "part", "before", "pos", "h")
+    rows = ranged.join(wanted.select("feature", "part", "before").distinct(), ["feature", "part"])
+    within = Window.partitionBy("feature", "part").orderBy("x")
+    rows = rows.withColumn("last", F.col("before") + F.sum("c").over(within) - 1)  # ranks from 0
+    ranked = rows.withColumn("first", F.col("last") - F.col("c") + 1).select("feature", "part", "x", "first", "last")
+    hit = ranked.join(wanted.select("feature", "part", "pos", "h"), ["feature", "part"])
+    low = F.floor("h").between(F.col("first"), F.col("last"))
+    high = F.ceil("h").between(F.col("first"), F.col("last"))
+    edges = hit.groupBy("feature", "pos").agg(F.max("h").alias("h"), F.max(F.when(low, F.col("x"))).alias("a"),
+                                              F.max(F.when(high, F.col("x"))).alias("b"))
+    return edges.select("feature", "pos", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("edge"))
 
 
 def quantile_edges(df: DataFrame, features: Sequence[str], probs: Sequence[float] = DECILES,
-                   accuracy: int | None = None, method: str = "auto") -> dict[str, list[float]]:
-    """Quantiles per feature with linear interpolation (numpy's default).
-
-    ``method``:
-    * ``"aggregate"``: Spark's exact ``percentile``; its buffer is a value ->
-      count map per feature, merged in one task, so it is used only below
-      ``EXACT_MAP_ROWS`` rows (``"auto"`` checks the count).
-    * ``"ranked"``: exact and fully distributed. Values are ranked per feature
-      with the skew-safe range numbering (a feature is cut into many ranges),
-      and only the rows at the needed ranks (2 per probability) are kept.
-    * ``accuracy`` given: ``percentile_approx`` (bounded sketch).
+                   accuracy: int | None = None, method: str = "ranked") -> dict[str, list[float]]:
+    """Quantiles per feature as lists (bounded by features x probabilities).
+
+    ``method``: ``"ranked"`` is ``quantile_table``; ``"aggregate"`` is Spark's ``percentile``, whose buffer is a
+    value -> count map per feature in one task (for data known to be small). ``accuracy`` given:
+    ``percentile_approx`` (bounded sketch).
     """
-    if accuracy is not None:
-        p = F.array(*[F.lit(float(x)) for x in probs])
-        row = df.agg(*[F.percentile_approx(F.col(f), p, accuracy).alias(f) for f in features]).first()
-        return {f: [float(v) for v in (row[f] or [])] for f in features}
-    if method == "auto":
-        method = "aggregate" if df.limit(EXACT_MAP_ROWS + 1).count() <= EXACT_MAP_ROWS else "ranked"
-    if method == "aggregate":
+    if accuracy is not None or method == "aggregate":
         p = F.array(*[F.lit(float(x)) for x in probs])
-        row = df.agg(*[F.percentile(F.col(f), p).alias(f) for f in features]).first()
+        one = (lambda f: F.percentile_approx(F.col(f), p, accuracy)) if accuracy is not None else (lambda f: F.percentile(F.col(f), p))
+        row = df.agg(*[one(f).alias(f) for f in features]).first()
         return {f: [float(v) for v in (row[f] or [])] for f in features}
     if method != "ranked":
         raise ValueError(f"unknown quantile method {method!r}")
-    return _ranked_quantiles(df, features, probs)
-
-
-def _ranked_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    from .sequence import number_within
-
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
-    long = df.select(F.inline(pairs)).filter(F.col("x").isNotNull())
-    ranked = number_within(long, "feature", ["x"], out="rank", total="n")
-    pos = [F.floor((F.col("n") - 1) * F.lit(float(q))) for q in probs] + \
-          [F.ceil((F.col("n") - 1) * F.lit(float(q))) for q in probs]
-    picked = ranked.filter(F.array_contains(F.array(*pos), F.col("rank") - 1)).select("feature", "rank", "x", "n")
-    got: dict[str, dict[int, float]] = {f: {} for f in features}
-    sizes: dict[str, int] = {}
-    for r in picked.collect():
-        got[r["feature"]][int(r["rank"]) - 1] = float(r["x"])
-        sizes[r["feature"]] = int(r["n"])
-    out = {}
-    for f in features:
-        if f not in sizes:
-            out[f] = []
-            continue
-        n, vals = sizes[f], got[f]
-        edges = []
-        for q in probs:
-            h = (n - 1) * q
-            lo, hi = int(h // 1), int(-(-h // 1))
-            a, b = vals[lo], vals[hi]
-            edges.append(a if lo == hi else a + (b - a) * (h - lo))
-        out[f] = edges
-    return out
+    got: dict[str, list[float]] = {f: [] for f in features}
+    for r in quantile_table(df, features, probs).orderBy("feature", "pos").collect():
+        got[r["feature"]].append(float(r["edge"]))
+    return got
 
 
 def bin_of(x: Column, edges: Sequence[float]) -> Column:

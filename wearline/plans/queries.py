@@ -584,12 +584,11 @@ def q_explained_records(spark, sf_dir):
 
 @query("quantile_edges")
 def q_quantile_edges(spark, sf_dir):
-    """Decile edges of every standardised train feature (E7), found by the
-    size-selected exact method (value map when small, distributed ranks above)."""
+    """Decile edges of every standardised train feature (E7), straight from the plan."""
     run = FleetRun(spark, sf_dir)
-    q = run.train_deciles
-    rows = [(f, i + 1, k, float(v)) for i, f in enumerate(run.features) for k, v in enumerate(q[f])]
-    return finish(spark.createDataFrame(rows, "feature string, pos bigint, q int, edge double"))
+    edges = D.quantile_table(run.scaled(run.train), run.features)
+    pos = F.array_position(F.array(*[F.lit(f) for f in run.features]), F.col("feature")).cast("bigint")
+    return finish(edges.select("feature", pos.alias("pos"), F.col("pos").alias("q"), "edge"))
 
 
 @query("histogram_edges")
