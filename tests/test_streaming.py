@@ -57,3 +57,42 @@ def test_stream_drops_repeated_deliveries(spark, tmp_path):
     stream = spark.readStream.schema(ST.EVENTS_SCHEMA).parquet(path)
     out = ST.run_available(ST.drop_repeats(ST.readings(stream), watermark="3 days"), "test-dedup")
     assert spark.read.parquet(out).count() == len(df)
+
+
+def test_repeats_and_bad_readings_through_the_scoring_state(spark, tmp_path):
+    path, df = write_events(tmp_path, repeat=True)
+    bad = df["user_id"].eq(1) & df["event_id"].eq(df.loc[df["user_id"].eq(1), "event_id"].max())
+    extra = df[bad].assign(event_id=10_000, value=float("nan"))
+    extra.to_parquet(f"{path}/events_900.parquet", index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    scaler = {f: {"mu": 0.0, "sigma": 1.0} for f in SPEC.features}
+    stream = spark.readStream.schema(ST.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    out = ST.run_available(ST.score_stream(ST.standardise_stream(ST.readings(stream), scaler, SPEC.features), SPEC), "test-repeats")
+    got = {}
+    for r in spark.read.parquet(out).orderBy("n_seen").collect():
+        got[r.engine_id] = r.predicted_rul
+    for u, g in df.sort_values(["ts", "event_id"]).groupby("user_id"):
+        last = g.tail(SPEC.window)
+        k = last["props"].str.extract(r"(\d+)")[0].astype(float)
+        if u == 1:
+            assert got[u + 1] is None
+        else:
+            assert abs(got[u + 1] - (SPEC.bias + last["value"].mean() + k.mean() * 0.5)) < 1e-9
+
+
+def test_event_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    import shutil
+
+    path, df = write_events(tmp_path)
+    shutil.copytree(path, tmp_path / "sf" / "events.parquet")
+    out = ST.run_available(ST.readings(ST.event_stream(spark, str(tmp_path / "sf"), max_files=1)), "test-folder")
+    assert spark.read.parquet(out).count() == len(df)
+
+
+def test_quarantine_epochs_overwrite(spark, tmp_path):
+    rules = [("value_missing", F.col("value").isNull() | F.isnan("value"))]
+    write = ST.quarantine_to(rules, str(tmp_path / "good"), str(tmp_path / "bad"))
+    batch = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "engine_id long, value double")
+    for epoch in (0, 1, 1):  # the last batch is retried
+        write(batch, epoch)
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 4

@@ -887,7 +887,7 @@ def q_stream_quarantine(spark, sf_dir):
     base = scratch_path(spark, f"streams/quarantine/{uuid.uuid4().hex}")
     rules = [("engine_id_below_1", F.col("engine_id") < 1)] + [(f"{f}_missing", X.is_missing(F.col(f))) for f in run.features]
     ST.run_available(ST.readings(ST.event_stream(spark, sf_dir)), "quarantine",
-                     foreach=ST.quarantine_to(None, rules, f"{base}/good", f"{base}/bad"))
+                     foreach=ST.quarantine_to(rules, f"{base}/good", f"{base}/bad"))
     from ..sources.store import _exists
 
     routed = spark.read.parquet(f"{base}/good").select(F.lit(True).alias("ok"))

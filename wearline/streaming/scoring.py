@@ -25,6 +25,7 @@ from ..config import FleetSpec
 from ..operators import quality as Q
 from ..operators.drift import psi_against_reference
 from ..session import scratch_path, ship_package
+from ..sources.store import _fs
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -37,13 +38,18 @@ EVENTS_SCHEMA = T.StructType([
 
 
 def event_stream(spark: SparkSession, sf_dir: str, copies: int = 1, max_files: int | None = None) -> DataFrame:
-    """The events table as a file stream; ``copies`` > 1 delivers every event
-    several times (to exercise de-duplication)."""
+    """The events table as a file stream, be it one file or a folder of part files;
+    ``copies`` > 1 delivers every event several times (to exercise de-duplication).
+    ``max_files`` limits the files of a micro-batch, so a backfill is several batches."""
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    fs, path = _fs(spark, table)
+    folder = fs.getFileStatus(path).isDirectory()
+
     def one() -> DataFrame:
-        r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+        r = spark.readStream.schema(EVENTS_SCHEMA)
         if max_files:
             r = r.option("maxFilesPerTrigger", max_files)
-        return r.parquet(sf_dir)
+        return r.parquet(table) if folder else r.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     s = one()
     for _ in range(copies - 1):
         s = s.unionByName(one())
@@ -98,25 +104,24 @@ def _window_step(spec: FleetSpec):
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
             ts_us, ids, vals, n = state.get
-            old = pd.DataFrame({"ts_us": list(ts_us), "event_id": list(ids)})
-            old_vals = np.array(list(vals), dtype=float).reshape(len(old), len(feats))
+            at = np.array([list(ts_us), list(ids)], dtype=np.int64).T.reshape(-1, 2)
+            held = np.array(list(vals), dtype=float).reshape(len(at), len(feats))
         else:
-            n = 0
-            old = pd.DataFrame({"ts_us": [], "event_id": []})
-            old_vals = np.zeros((0, len(feats)))
-        new = pd.concat(list(pdfs), ignore_index=True)
-        n += len(new)
-        both = pd.concat([old, new[["ts_us", "event_id"]]], ignore_index=True)
-        both_vals = np.vstack([old_vals, new[feats].to_numpy(dtype=float)])
-        order = np.lexsort((both["event_id"].to_numpy(), both["ts_us"].to_numpy()))[-L:]
-        keep = both.iloc[order]
-        kv = both_vals[order]
-        state.update((keep["ts_us"].astype("int64").tolist(), keep["event_id"].astype("int64").tolist(),
-                      kv.tolist(), int(n)))
-        if len(keep) == L:
-            pred = float(spec.bias + kv.mean(axis=0) @ w)
-            yield pd.DataFrame({"engine_id": [int(key[0])], "n_seen": [int(n)],
-                                "last_ts_us": [int(keep["ts_us"].iloc[-1])], "predicted_rul": [pred]})
+            n, at, held = 0, np.zeros((0, 2), np.int64), np.zeros((0, len(feats)))
+        for new in pdfs:  # chunk by chunk: never more than a chunk and L readings at once
+            at = np.vstack([at, new[["ts_us", "event_id"]].to_numpy(dtype=np.int64)])
+            held = np.vstack([held, new[feats].to_numpy(dtype=float)])
+            before = len(at) - len(new)
+            _, first = np.unique(at, axis=0, return_index=True)  # by time, then id; a reading held already wins
+            n += len(first) - before
+            first = first[-L:]
+            at, held = at[first], held[first]
+        state.update((at[:, 0].tolist(), at[:, 1].tolist(), held.tolist(), int(n)))
+        if len(at) == L:
+            ok = bool(np.isfinite(held).all())  # a bad reading gives no forecast
+            pred = float(spec.bias + held.mean(axis=0) @ w) if ok else None
+            yield pd.DataFrame({"engine_id": [int(key[0])], "n_seen": [int(n)], "last_ts_us": [int(at[-1, 0])],
+                                "predicted_rul": pd.Series([pred], dtype="float64" if ok else object)})
 
     return step
 
@@ -133,12 +138,19 @@ def score_stream(scaled_readings: DataFrame, spec: FleetSpec) -> DataFrame:
 
 # --- K2 / K3: stateless validation, quarantine and range flags ------------------
 
-def quarantine_to(df: DataFrame, rules, good_path: str, bad_path: str):
-    """foreachBatch writer: clean rows to ``good_path``, tagged rejects to ``bad_path`` (K2)."""
+def quarantine_to(rules, good_path: str, bad_path: str):
+    """foreachBatch writer: clean rows to ``good_path``, tagged rejects to ``bad_path`` (K2).
+
+    Each batch has a folder of its own that a retry overwrites, so nothing is written twice.
+    """
     def write(batch: DataFrame, epoch: int) -> None:
-        tagged = Q.quarantine(batch, rules)
-        tagged.filter(F.size("violations") == 0).drop("violations").write.mode("append").parquet(good_path)
-        tagged.filter(F.size("violations") > 0).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(bad_path)
+        tagged = Q.quarantine(batch, rules).persist()
+        try:
+            good = tagged.filter(F.size("violations") == 0).drop("violations")
+            good.write.mode("overwrite").parquet(f"{good_path}/epoch={epoch}")
+            tagged.filter(F.size("violations") > 0).write.mode("overwrite").parquet(f"{bad_path}/epoch={epoch}")
+        finally:
+            tagged.unpersist()
     return write
 
 
