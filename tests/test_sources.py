@@ -128,3 +128,24 @@ def test_short_rows_pad_with_null_and_fail_validation(spark, tmp_path):
     df = TX.read_telemetry_text(spark, p)
     counts = {r.rule: r.n_violations for r in Q.violation_counts(df, Q.raw_rules(RAW_COLUMNS[2:])).collect()}
     assert counts["sensor_21_missing"] == 1 and counts["cycle_missing"] == 0
+
+
+def test_changed_source_or_spec_gives_a_new_table(spark, tmp_path):
+    from wearline.sources.store import written_path
+
+    folder = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(folder)
+    built = []
+
+    def path(spec):
+        def build():
+            built.append(spec)
+            return spark.read.parquet(folder)
+
+        return written_path(spark, "keyed", [folder], build, spec=spec)
+
+    first = path(30)
+    assert path(30) == first and path(31) != first
+    spark.range(5).write.mode("append").parquet(folder)  # one more file in the folder
+    again = path(30)
+    assert again != first and built == [30, 31, 30] and spark.read.parquet(again).count() == 8

@@ -20,13 +20,13 @@ from ..sources.views import FLEET_VIEWS, fleet_view_path
 # statistics, drift reference, background means, importance), kept per view
 # path for the life of the process, as the persisted scaler / statistics
 # artefacts are computed once and reused by every later step.
-_DERIVED: dict[tuple[str, str], object] = {}
+_DERIVED: dict[tuple[str, str, str], object] = {}
 
 
 def derived(fn):
-    """Memoise a FleetRun constant per written view path."""
+    """Memoise a FleetRun constant per written view path and spec."""
     def get(self):
-        key = (self.view_path, fn.__name__)
+        key = (self.view_path, repr(self.spec), fn.__name__)
         if key not in _DERIVED:
             _DERIVED[key] = fn(self)
         return _DERIVED[key]

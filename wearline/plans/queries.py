@@ -705,7 +705,7 @@ def q_splits_roundtrip(spark, sf_dir):
         test = run.test_z.withColumn("split", F.lit("test")).select(*cols)
         return trval.unionByName(test)
 
-    back = materialized(spark, "splits-lineitem", [_source(sf_dir, "lineitem")], build, partition_by=("split",))
+    back = materialized(spark, "splits-lineitem", [_source(sf_dir, "lineitem")], build, partition_by=("split",), spec=run.spec)
     return finish(back.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.countDistinct("engine_id").cast("bigint").alias("n_engines"),
@@ -721,7 +721,7 @@ def q_last_window_table(spark, sf_dir):
     def build():
         return W.last_window(run.test, run.spec, policy="partial")
 
-    back = materialized(spark, "last-windows-lineitem", [_source(sf_dir, "lineitem")], build)
+    back = materialized(spark, "last-windows-lineitem", [_source(sf_dir, "lineitem")], build, spec=run.spec)
     cols = ["engine_id", "n_rows", "first_cycle", "last_cycle"] + [f"{f}_mean" for f in run.features]
     return finish(back.select(*cols))
 

@@ -54,11 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, based on the shared ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is. Only
-    when nothing is set (local tests) a scratch folder is created here.
+    when nothing is set and the master is local (tests) a scratch folder is created here;
+    elsewhere a machine's own folder would be invisible to the executors.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_configured_dir(spark) or tempfile.mkdtemp(prefix="wearline-ckpt-"))
+        path = _configured_dir(spark)
+        if path is None and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="wearline-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -2,15 +2,14 @@
 
 A fleet view is derived once per source snapshot and written as parquet; every
 later query reads the written table, as the processed splits are read by all
-downstream steps. The table name carries the source files' size and mtime, so a
-changed source gives a new table. A write goes to a fresh folder first and is
+downstream steps. The table name carries the paths, lengths and modification times of all
+source files and the parameters of the step, so a change of either gives a new table. A write goes to a fresh folder first and is
 published by a marker file, so a half-written table is never read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from collections.abc import Callable
 
@@ -19,15 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 
-def _fingerprint(paths: list[str]) -> str:
-    h = hashlib.sha256()
+def _fingerprint(spark: SparkSession, paths: list[str], spec: object = None) -> str:
+    """Digest of every source file (path, length, modification time; any Hadoop filesystem) and of ``spec``."""
+    h = hashlib.sha256(repr(spec).encode())
     for p in sorted(paths):
-        h.update(os.path.abspath(p).encode())
-        try:
-            st = os.stat(p)
-            h.update(f"{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
+        h.update(p.encode())
+        fs, jpath = _fs(spark, p)
+        if not fs.exists(jpath):
             h.update(b"?")
+            continue
+        files, found = fs.listFiles(jpath, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        for line in sorted(found):
+            h.update(line.encode())
     return h.hexdigest()[:16]
 
 
@@ -49,9 +54,10 @@ def written_path(
     build: Callable[[], DataFrame],
     partition_by: tuple[str, ...] = (),
     fmt: str = "parquet",
+    spec: object = None,
 ) -> str:
-    """Path of table ``name`` for these sources, building and writing it if absent."""
-    root = scratch_path(spark, f"{name}-{_fingerprint(sources)}")
+    """Path of table ``name`` for these sources and this ``spec``, building and writing it if absent."""
+    root = scratch_path(spark, f"{name}-{_fingerprint(spark, sources, spec)}")
     pointer = f"{root}/_CURRENT"
     current = _read_pointer(spark, pointer)
     if current and _exists(spark, current):
@@ -71,9 +77,10 @@ def materialized(
     sources: list[str],
     build: Callable[[], DataFrame],
     partition_by: tuple[str, ...] = (),
+    spec: object = None,
 ) -> DataFrame:
-    """Read table ``name`` for these sources, building and writing it if absent."""
-    return spark.read.parquet(written_path(spark, name, sources, build, partition_by))
+    """Read table ``name`` for these sources and this ``spec``, building and writing it if absent."""
+    return spark.read.parquet(written_path(spark, name, sources, build, partition_by, spec=spec))
 
 
 def _read_pointer(spark: SparkSession, pointer: str) -> str | None:

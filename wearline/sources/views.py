@@ -83,14 +83,14 @@ FLEET_SOURCES = {
 
 def fleet_view_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Path of the fleet's written view (immutable; derived once per source snapshot)."""
-    _, fn = FLEET_VIEWS[name]
+    spec, fn = FLEET_VIEWS[name]
     source = f"{sf_dir.rstrip('/')}/{FLEET_SOURCES[name]}.parquet"
 
     def build() -> DataFrame:
         # sorted files give tight engine_id ranges per row group for pushdown
         return fn(spark, sf_dir).sortWithinPartitions("engine_id", "cycle")
 
-    return written_path(spark, f"fleet-{name}", [source], build)
+    return written_path(spark, f"fleet-{name}", [source], build, spec=spec)
 
 
 def fleet_view(spark: SparkSession, sf_dir: str, name: str) -> tuple[FleetSpec, DataFrame]:
