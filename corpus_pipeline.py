@@ -17,7 +17,7 @@ from wearline.llm.common import documents, lower_ascii, written
 from wearline.llm.exact_dedup import exact_dedup
 from wearline.llm.language_id import UNKNOWN, identify, train
 from wearline.llm.mixing import mixed_rows
-from wearline.llm.ngram_join import jaccard_components
+from wearline.llm.ngram_join import jaccard_components, without_ids
 from wearline.llm.sentencepiece_codec import encode
 
 
@@ -48,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component: the one with the smallest id; rows without an id stay."""
     parts = jaccard_components(docs.select("doc_id", "text"))
     gone = parts.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti").select(*docs.columns)
+    return without_ids(docs, gone)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

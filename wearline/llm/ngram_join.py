@@ -43,7 +43,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, python_ready, written
@@ -384,8 +385,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = _index(texts, _text_rows(starts, plan))
     member = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["h1", "h2"])
     member = written(member.select("doc_id", "class_id", "n"), "members")
-    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id"), "role", "n").distinct()
-    rows = _open_rows(written(shared, "shared"), None)
+    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id"), "role", "n")
+    rows = _open_rows(shared, None)
     bits = _bitmap(rows.select("doc_id"))
     sets = written(texts.mapInArrow(_sets(bits), "doc_id long, n int, parity array<long>, shingles array<long>"), "sets")
     links = member.filter("doc_id != class_id").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
@@ -408,7 +409,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         members = written(members.join(crowd, "doc_id", "left_semi"), "crowd-sets")
         fine = _index(members, _set_rows(band_starts(largest, FINE_RATIO)))
         sizes = members.select("doc_id", F.size("shingles").cast("long").alias("n")).dropDuplicates(["doc_id"])
-        fine = _open_rows(fine.join(sizes, "doc_id").distinct(), label)
+        fine = _open_rows(fine.join(sizes, "doc_id"), label)
         pairs = pairs.unionByName(_across(fine))
     found = verify(_pairs(pairs, tried), sets, percent).distinct()
     label = components(written(links.unionByName(found), "links"))
@@ -426,13 +427,14 @@ def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
 
 
 def _open_rows(shared: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Index rows of signatures that (still) meet in more than one component."""
+    """Index rows, once each, of signatures that (still) meet in more than one component."""
     rows = shared.withColumn("label", F.col("doc_id"))
     if label is not None:
         rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         rows = rows.select("sig", "doc_id", "role", "n", F.coalesce("label", "doc_id").alias("label"))
-    several = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    return written(rows.join(several.select("sig"), "sig", "left_semi"), "open")
+    of = Window.partitionBy("sig")
+    rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of))
+    return written(rows.filter("lo != hi").drop("lo", "hi").dropDuplicates(["sig", "doc_id"]), "open")
 
 
 def _near(n: str, other: str) -> Column:
@@ -455,5 +457,27 @@ def _across(rows: DataFrame) -> DataFrame:
     return rows.join(other, "sig").filter(meet).select(F.col("doc_id").alias("u"), "v").distinct()
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id isn't in ``ids`` (a column of ids); null ids stay.
+
+    A bitmap lets most rows pass where they are; only rows that it may hold are shuffled for the join.
+    """
+    bits = _bitmap(ids.toDF("doc_id").select(F.col("doc_id").cast("long")))
+    at = docs.columns.index(id_col)
+
+    def split(hit: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = _hits(bits.value, b.column(at).cast(pa.int64()))
+                yield b.filter(found if hit else pc.invert(found))
+
+        return run
+
+    apart = docs.mapInArrow(split(False), docs.schema)
+    maybe = docs.mapInArrow(split(True), docs.schema)
+    gone = ids.toDF("gone_id")
+    return apart.unionByName(maybe.join(gone, maybe[id_col] == gone["gone_id"], "left_anti"))
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
