@@ -28,7 +28,7 @@ def test_language_defined_cases(spark):
         assert got.setdefault((r["doc_id"]), (r["lang_pred"], r["score"])) == (r["lang_pred"], r["score"])
     assert [got[i][0] for i in (100, 101, 102, 103, 104, None)] == ["und", "und", "und", "de", "en", "en"]
     assert got[100][1] == 0.0 and len(got) == 86
-    assert {r["lang_pred"] for r in language_id(df.withColumn("lang", df["lang"].substr(9, 9).cast("int").cast("string"))).collect()} == {"und"}
+    assert {r["lang_pred"] for r in language_id(df.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
     assert language_id(df.limit(0)).count() == 0
 
 
@@ -67,7 +67,8 @@ def test_quality_defined_cases(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert sorted((str(r["doc_id"]), r["score"], r["predicted"]) for r in quality_scores(docs, none).collect()) == sorted(
         (str(i), 0.5, 1) for i in (1, 2, 3, 3, None, 5))
-    one = spark.createDataFrame([(3, 1), (None, 0), (2, None)], "doc_id long, quality int")
+    learned = next(i for i in (1, 2, 3, 5) if zlib.crc32(str(i).encode()) % 3 != 1)
+    one = spark.createDataFrame([(learned, 1), (None, 0), (2, None)], "doc_id long, quality int")
     assert {r["score"] for r in quality_scores(docs, one).collect()} == {1.0}
     assert quality_scores(docs.limit(0), none).count() == 0
 
