@@ -58,7 +58,7 @@ CHANCE = 0.002
 SLOTS = 1 << 23
 PARITY_BITS = 1024
 STAR_SHARE = 5
-CROWD = 32
+CROWD = 256
 FINE_RATIO = 1.05
 ANY, UPPER, LOWER = 0, 1, 2  # roles in an index: two UPPER or two LOWER meet in another one
 
