@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 from wearline.llm import queries
-from wearline.llm.ngram_join import allocate, band_starts, jaccard_components
+from wearline.llm.ngram_join import ANY, FINE_RATIO, allocate, band_starts, jaccard_components, prefixes
 from wearline.llm.shingles import blocks, shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -101,3 +101,27 @@ def test_segments_outnumber_differences():
         for j, (m, near) in enumerate(allocate(starts, dict.fromkeys(range(len(starts)), n))):
             k = (starts[j + 1] - 1) // 4
             assert 2 * m > k if near else m > k
+
+
+def test_linked_sets_of_all_sizes_share_a_prefix():
+    starts, none = band_starts(150, FINE_RATIO), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    rng = np.random.default_rng(5)
+    for a in range(4, 121):
+        for b in range(a, 5 * a // 4 + 1):
+            both = -(-4 * (a + b) // 9)  # the least that links
+            x = rng.integers(0, 2**63, a + b - both, dtype=np.uint64)
+            s = np.concatenate([np.sort(x[:a]), np.sort(x[a - both:])])
+            d, sig, role = prefixes(np.repeat([0, 1], [a, b]), s, 2, starts, none)
+            held = [set(zip(sig[d == i].tolist(), role[d == i].tolist(), strict=True)) for i in (0, 1)]
+            assert any((g, r if r == ANY else 3 - r) in held[1] for g, r in held[0]), (a, b)
+
+
+def test_all_sizes_by_the_finer_index(spark):
+    rng, rows = random.Random(8), []
+    passage = [f"p{i}" for i in range(18)]
+    for n in range(4, 121):  # texts that share a passage; one contains another that is a fifth shorter
+        words = passage[:n // 2] + [f"w{rng.randrange(10**9)}" for _ in range(n + 4 - n // 2)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words + [f"z{n}x{i}" for i in range(n // 4)]))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(jaccard_components(df, crowd_docs=2)) == brute(rows)

@@ -133,7 +133,9 @@ def prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: t
     x = s[order]
     rank = np.arange(len(x)) - first[doc]
     out = []
-    for apart in range(1 + math.ceil(math.log(1.25) / math.log(FINE_RATIO))):
+    # bands are cut at whole sizes, so how many lie between linked sizes follows from the edges, not from the ratio
+    farthest = int((np.searchsorted(edges, 5 * (edges[1:] - 1) // 4, "right") - 1 - np.arange(last + 1)).max())
+    for apart in range(1 + farthest):
         for upper in (False, True) if apart else (False,):
             other = own - apart if upper else own + apart
             ok = (size > 0) & (other >= 0) & (other <= last)
@@ -368,7 +370,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd_docs: int = CROWD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, class_id (least id with the same set)."""
     percent = 80  # the bands and segments above are those of 0.8
     spark = docs.sparkSession
@@ -401,7 +403,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         turn, tried = turn + 1, pairs if tried is None else tried.unionByName(pairs)
         linking = found.count() * STAR_SHARE >= pairs.count() > 0
         rows = _open_rows(rows.select("sig", "doc_id", "role", "n"), label)
-    crowded = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).select("sig")
+    crowded = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > crowd_docs).select("sig")
     crowd = written(rows.join(crowded, "sig", "left_semi").select("doc_id").distinct(), "crowd")
     pairs = _across(rows.join(crowded, "sig", "left_anti"))
     if not crowd.isEmpty():
