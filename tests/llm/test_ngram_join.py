@@ -125,3 +125,12 @@ def test_all_sizes_by_the_finer_index(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert result(jaccard_components(df, crowd_docs=2)) == brute(rows)
+
+
+def test_a_null_id_before_its_copy_hides_no_link(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(None, " ".join(words)), (1, " ".join(words)), (2, " ".join([*words, "more"])), (None, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert [r["doc_id"] for r in df.collect()] == [None, 1, 2, None]
+    got = [(r["doc_id"], r["component_id"]) for r in jaccard_components(df).collect()]
+    assert sorted(got, key=str) == [(1, 1), (2, 1), (None, None), (None, None)]

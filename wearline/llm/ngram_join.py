@@ -189,7 +189,7 @@ def _costs(sig: np.ndarray, costs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def _text_rows(starts, plan):
-    """(document id, signature) rows of texts; of documents with one set, a task indexes the first."""
+    """(document id, signature) rows of texts; of documents with one set, a task indexes the first that has an id."""
     def rows(batches, costs) -> Iterator[tuple]:
         seen: set[tuple[int, int]] = set()
         for b in batches:
@@ -197,12 +197,11 @@ def _text_rows(starts, plan):
                 ids = b.column(0).slice(lo, hi - lo)
                 doc, s = shingle_sets(data, off)
                 _, h1, h2 = _classes(doc, s, hi - lo)
-                new = np.zeros(hi - lo, bool)
+                new = ~np.asarray(ids.is_null())  # a row without an id never stands for its set
                 for i, key in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):
-                    if key not in seen:
+                    if new[i]:
+                        new[i] = key not in seen
                         seen.add(key)
-                        new[i] = True
-                new &= ~np.asarray(ids.is_null())
                 keep = new[doc]
                 d, sig, role = signatures(doc[keep], s[keep], hi - lo, starts, plan, costs)
                 yield np.asarray(ids.fill_null(0))[d], sig, role
