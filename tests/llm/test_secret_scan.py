@@ -39,3 +39,16 @@ def test_equals_plain_python(spark):
     assert got == want
     assert any(s[1] == "weak" for _, ss in got for s in ss)
     assert secret_scan(df.limit(0)).count() == 0
+
+
+def test_common_multipart_credentials(spark):
+    rows = [("user=admin password=hunter2 host=db1.local", ["identifier", "weak", "endpoint"]),
+            ("DB_USER=root\nDB_PASS=s3cr\nDB_HOST=10.0.0.1", ["identifier", "weak", "endpoint"]),
+            ("LOGIN: joe\nTOKEN=ab12c", ["identifier", "weak"]), ("Url = db.local passwd: \'abcd\'", ["endpoint", "weak"]),
+            ("HTTPS://db.local/x SECRET=abcdefg", ["endpoint", "weak"]), ("PWD=abcd USERNAME=abc", ["weak", "identifier"]),
+            ("API_KEY=abcd CLIENT_ID=abc", ["weak", "identifier"]), ("user=al password=abcdefgh1", ["assign"]),
+            ("user=alice password=abcdefgh1", ["identifier", "assign"]), ("password=hunter2 alone", []), ("user=alice token=abc", []),
+            ("user=alice secret: api_key = abcdefghij", ["identifier", "weak", "weak"])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_scan(df).collect()}
+    assert got == {i: k for i, (_, k) in enumerate(rows)}

@@ -2,7 +2,8 @@
 
 Base kinds (``assign``, ``access``, ``hex``) stand on their own. The parts of a multipart
 credential are weak alone: an ``identifier`` (user, client or key id), an ``endpoint`` (URL or
-host) and a ``weak`` secret (a short keyed value, a long mixed run). They are reported only
+host) and a ``weak`` secret (a keyed value too short for ``assign`` or
+of a weaker key, a long mixed run). They are reported only
 where complementary parts lie within one scope: a secret within ``SCOPE`` characters of an
 identifier or an endpoint, and those within ``SCOPE`` characters of a secret; base spans count
 as parts too. Weak parts that overlap a base span are left out.
@@ -29,14 +30,23 @@ from pyspark.sql import functions as F
 from .common import documents, written
 
 SCOPE = 200
+
+
+def _any(word: str) -> str:
+    """A word in either case; (?i) would also match letters like the long s in some engines."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
 #: Kind, role (identifier, endpoint or secret), pattern, what a match needs to stand.
 KINDS = [
     ("assign", "S", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "value8"),
     ("access", "I", r"AKIA[A-Z0-9]+", "length16"),
     ("hex", "S", r"[0-9a-f]+", "length32"),
-    ("identifier", "I", r"""(?:[Cc]lient_?[Ii][Dd]|[Aa]ccess_?[Kk]ey_?[Ii][Dd]|[Uu]ser(?:name)?|[Ll]ogin)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}""", "any"),
-    ("endpoint", "E", r"""(?:https?|jdbc|s3|postgres|mysql|mongodb|redis)://[^\x20\x09-\x0D"'<>]+|(?:[Hh]ost|[Ee]ndpoint|[Ss]erver|[Uu]rl)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]{4,}""", "any"),
-    ("weak", "S", r"""(?:[Pp]wd|[Pp]ass|[Kk]ey|[Aa]uth|[Cc]redential)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}|[A-Za-z0-9+/]{40,}""", "mixed"),
+    ("identifier", "I", rf"""(?:{_any("client")}_?{_any("id")}|{_any("access")}_?{_any("key")}_?{_any("id")}|{_any("user")}(?:{_any("name")})?|{_any("login")})["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{{3,}}""", "any"),
+    ("endpoint", "E", rf"""(?:{_any("https")}|{_any("http")}|{_any("jdbc")}|{_any("s3")}|{_any("postgres")}|{_any("mysql")}|{_any("mongodb")}|{_any("redis")})://[^\x20\x09-\x0D"'<>]+|(?:{_any("host")}|{_any("endpoint")}|{_any("server")}|{_any("url")})["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]{{4,}}""", "any"),
+    ("weak", "S", rf"""(?:{_any("pwd")}|{_any("pass")}|{_any("key")}|{_any("auth")}|{_any("credential")})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{4,}}|[A-Za-z0-9+/]{{40,}}""", "mixed"),
+    # the keys of ``assign`` with shorter values, apart from the above so that neither hides a match of the other
+    ("weak", "S", rf"""(?:{_any("password")}|{_any("passwd")}|{_any("secret")}|{_any("token")})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{4,7}}""", "any"),
 ]
 BASE = 3
 
