@@ -61,3 +61,16 @@ def test_guarded_scorer_equals_linear_expression(spark, wins):
         want = SPEC.bias + 2.0 * means[e].a_mean - 1.0 * means[e].b_mean
         assert got[e].reason is None and abs(got[e].predicted_rul - want) < 1e-9
     assert got[3].reason == "shape mismatch" and got[3].predicted_rul is None
+
+
+def test_gbt_waits_for_its_patience(spark, wins):
+    from wearline.plans import queries
+
+    assert (queries.MODEL_ROUNDS, queries.MODEL_PATIENCE) == (50, 10)
+    assert ML.best_round([(1, 5.0), (2, 6.0), (3, 4.0), (4, 4.5), (5, 4.0), (6, 1.0)], 2) == 3
+    whole = ML.fit_forecaster(wins.filter("NOT is_val"), SPEC, kind="gbt", validation=None, max_iter=12)
+    curve = ML.training_curve(whole, wins.filter("is_val"), SPEC)
+    model = ML.fit_forecaster(wins, SPEC, kind="gbt", max_iter=12, patience=4)
+    assert len(curve) == 12 and model.stages[-1].getNumTrees == ML.best_round(curve, 4)
+    assert ML.training_curve(model, wins.filter("is_val"), SPEC) == curve[:model.stages[-1].getNumTrees]
+    assert ML.predict(model, wins, SPEC).filter("predicted_rul IS NULL").isEmpty()

@@ -17,8 +17,8 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,11 @@ def summary_columns(spec: FleetSpec) -> list[str]:
 
 
 def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", label: str = "rul",
-                   validation: str | None = "is_val", max_iter: int = 20, solver: str = "normal") -> PipelineModel:
+                   validation: str | None = "is_val", max_iter: int = 20, solver: str = "normal",
+                   patience: int | None = None) -> PipelineModel:
     """Fit on train windows; validation windows (``validation`` true) decide when
-    a boosted model stops (``validationIndicatorCol``). Seeded (I1).
+    a boosted model stops (``validationIndicatorCol``: at the first round without
+    improvement; with ``patience``: after so many, back to the best round). Seeded (I1).
 
     The estimators pass over their input several times (statistics, splits,
     iterations), so the window features are persisted (memory and disk,
@@ -56,18 +58,46 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
         data = windows
         params = dict(featuresCol="features", labelCol=label, predictionCol="predicted_rul",
                       maxIter=max_iter, maxDepth=4, seed=spec.seed, stepSize=0.2)
-        if validation:
+        if validation and patience is None:
             params.update(validationIndicatorCol=validation, validationTol=0.001)
         est = GBTRegressor(**params)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     data = data.filter(~any_not_finite(cols)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[asm, est]).fit(data)
+        if kind != "gbt" or not validation or patience is None:
+            return Pipeline(stages=[asm, est]).fit(data)
+        model = Pipeline(stages=[asm, est]).fit(data.filter(~F.col(validation)))
+        if data.filter(F.col(validation)).isEmpty():
+            return model
+        rounds = best_round(training_curve(model, data.filter(F.col(validation)), spec, label), patience)
+        return PipelineModel([model.stages[0], _first_rounds(model.stages[1], rounds)])
     finally:
         data.unpersist()
 
 
+def best_round(curve: list[tuple[int, float]], patience: int) -> int:
+    """The step of the least loss up to where ``patience`` steps in a row brought no strict improvement."""
+    at, best = curve[0]
+    for step, loss in curve:
+        if loss < best:
+            at, best = step, loss
+        elif step - at >= patience:
+            break
+    return at
+
+
+def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The boosted model of the first ``rounds`` trees."""
+    java, gateway = model._java_obj, SparkSession.getActiveSession().sparkContext._gateway
+    ml, had, weighed = gateway.jvm.org.apache.spark.ml.regression, java.trees(), java.treeWeights()
+    trees, weights = gateway.new_array(ml.DecisionTreeRegressionModel, rounds), gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = had[i], weighed[i]
+    cut = ml.GBTRegressionModel(java.uid(), trees, weights)
+    return GBTRegressionModel(cut.copy(java.extractParamMap()))
+
+
 def predict(model: PipelineModel, windows: DataFrame, spec: FleetSpec) -> DataFrame:
     """Forecasts; a window with a feature that isn't finite gets none and a ``reason``."""
     cols = summary_columns(spec)

@@ -780,6 +780,10 @@ def q_window_input_stats(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
+#: The configured number of iterations and of iterations without improvement.
+MODEL_ROUNDS, MODEL_PATIENCE = 50, 10
+
+
 def _model_windows(run: FleetRun) -> tuple[DataFrame, DataFrame]:
     """Train/val windows (with ``is_val``) and each test engine's last full window."""
     lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
@@ -796,7 +800,8 @@ def _fitted(spark, sf_dir, kind):
 
     run = FleetRun(spark, sf_dir)
     wins, last = _model_windows(run)
-    model = ML.fit_forecaster(wins, run.spec, kind=kind, max_iter=20 if kind == "linear" else 10)
+    model = ML.fit_forecaster(wins, run.spec, kind=kind, max_iter=20 if kind == "linear" else MODEL_ROUNDS,
+                              patience=MODEL_PATIENCE)
     return finish(ML.predict(model, last, run.spec).select("engine_id", "cycle", "predicted_rul"))
 
 
@@ -971,7 +976,7 @@ def q_weighted_loss(spark, sf_dir):
 @query("training_curve")
 def q_training_curve(spark, sf_dir):
     """Validation loss after each boosting iteration, best so far, iterations
-    since the last strict improvement and the early-stop step at patience 3
+    since the last strict improvement and the early-stop step at the configured patience
     (I6, E12); the curve is also appended to the run log (A10)."""
     import uuid
 
@@ -982,10 +987,10 @@ def q_training_curve(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
     wins, _ = _model_windows(run)
     # a fixed number of trees on train windows; validation loss after each tree
-    model = ML.fit_forecaster(wins.filter(~F.col("is_val")), run.spec, kind="gbt", validation=None, max_iter=10)
+    model = ML.fit_forecaster(wins.filter(~F.col("is_val")), run.spec, kind="gbt", validation=None, max_iter=MODEL_ROUNDS)
     curve = ML.training_curve(model, wins.filter(F.col("is_val")), run.spec)
     run_id = uuid.uuid4().hex
     log_path = scratch_path(spark, f"runs/{run_id}")
     append_run_log(spark, [(run_id, step, "val_loss", loss) for step, loss in curve], log_path)
     losses = read_run_log(spark, log_path).select("step", F.col("value").alias("loss"))
-    return finish(M.early_stop_series(losses, patience=3))
+    return finish(M.early_stop_series(losses, patience=MODEL_PATIENCE))
