@@ -96,3 +96,13 @@ def test_quarantine_epochs_overwrite(spark, tmp_path):
         write(batch, epoch)
     assert spark.read.parquet(str(tmp_path / "good")).count() == 2
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 4
+
+
+def test_a_retried_drift_batch_counts_once(spark, tmp_path):
+    ref = {"value": {"edges": [0.0, 1.0], "ref_pct": [1.0]}}  # fewer than 2 shares: psi 0
+    write = ST.drift_to(ref, ["value"], str(tmp_path / "drift"), 0.2)
+    batch = spark.createDataFrame([(1.0,), (2.0,)], "value double")
+    for epoch in (0, 1, 1):
+        write(batch, epoch)
+    got = spark.read.parquet(f"{tmp_path}/drift/batch-*").collect()
+    assert sorted((r["epoch"], r["feature"], r["psi"], r["alarm"]) for r in got) == [(0, "value", 0.0, False), (1, "value", 0.0, False)]

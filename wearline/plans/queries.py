@@ -913,7 +913,7 @@ def q_stream_drift(spark, sf_dir):
     stream = ST.standardise_stream(ST.readings(ST.event_stream(spark, sf_dir)), run.scaler, run.features)
     path = scratch_path(spark, f"streams/drift/{uuid.uuid4().hex}/out")
     ST.run_available(stream, "drift", foreach=ST.drift_to(run.reference, run.features, path, C.PSI_ALARM))
-    return finish(spark.read.parquet(path).select("epoch", "feature", "psi", "alarm"))
+    return finish(spark.read.parquet(f"{path}/batch-*").select("epoch", "feature", "psi", "alarm"))
 
 
 def raw_text_path(spark, sf_dir, run: FleetRun) -> str:

@@ -177,11 +177,12 @@ def hourly_counters(readings_stream: DataFrame, watermark: str = "2 hours") -> D
 
 def drift_to(ref: dict, features: Sequence[str], path: str, threshold: float):
     """foreachBatch writer: PSI of each micro-batch against the stored reference,
-    appended with the batch id and an alarm flag (K5)."""
+    with the batch id and an alarm flag (K5). Each batch has a folder of its own that a
+    retry overwrites, so none counts twice."""
     def write(batch: DataFrame, epoch: int) -> None:
         psi = psi_against_reference(batch, ref, features)
         psi.withColumn("epoch", F.lit(epoch).cast("bigint")).withColumn("alarm", F.col("psi") > threshold) \
-            .write.mode("append").parquet(path)
+            .write.mode("overwrite").parquet(f"{path}/batch-{epoch}")
     return write
 
 
