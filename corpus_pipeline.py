@@ -10,6 +10,7 @@ follow the operators' docstrings.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +25,17 @@ from wearline.llm.sentencepiece_codec import encode
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops rows without a language (``und``): null texts, texts without a letter.
 
-    Without labelled rows there is no model, and nothing is rejected.
+    The same rows go with and without labelled rows; the network's class doesn't decide.
     """
     model = train(docs, "doc_id", "text", "lang")
     if model is None:
-        return docs
+        at = docs.columns.index("text")
+
+        def lettered(batches):  # what ``identify`` calls a letter
+            for b in batches:
+                yield b.filter(pa.array([any(map(str.isalpha, x or "")) for x in b.column(at).to_pylist()], pa.bool_()))
+
+        return docs.mapInArrow(lettered, docs.schema)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("text").alias("text"))
     return identify(rows, model).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
 

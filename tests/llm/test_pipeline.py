@@ -61,3 +61,12 @@ def test_defined_cases(spark):
     empty = docs.limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_letterless_texts_go_without_labels_too(spark):
+    import corpus_pipeline
+
+    rows = [(1, "some words", None), (2, "12 34 ...", None), (3, None, None), (4, "", None), (5, "é", None), (None, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = corpus_pipeline.language(spark, df, "")
+    assert got.columns == df.columns and sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 5, None]
