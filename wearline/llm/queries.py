@@ -12,6 +12,7 @@ from .quality_rules import OP2_SQL, op2_quality_rules
 from .secret_scan import OP6_SQL, op6_secret_scan
 from .sentencepiece_codec import op7_sentencepiece
 from .token_counts import op10_token_counts
+from .token_store import op11_token_ids
 
 REGISTRY = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -24,6 +25,7 @@ REGISTRY = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_token_ids": op11_token_ids,
 }
 ORACLE = {
     "op2_quality_rules": OP2_SQL,
