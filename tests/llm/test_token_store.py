@@ -98,7 +98,7 @@ def test_other_tokenizers_go_through_the_library():
     other = public_tokenizers.path("word_bpe_49k.json")
     texts = ["Some Words, here", "x", ""]
     encoder = S.Encoder(open(other, encoding="utf-8").read(), 0)
-    assert not encoder.by_runs
+    assert not encoder.by_rank
     ids, sizes = encoder.ids(texts)
     want = [[*Tokenizer.from_file(other).encode(t, add_special_tokens=False).ids, 0] for t in texts]
     assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
@@ -109,7 +109,8 @@ ENCODER = S.Encoder(SOURCE, 0)
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab Z's'll,.1 \n\té 😀"), max_size=40), max_size=5))
-def test_runs_equal_library(texts):
+def test_ranks_equal_library(texts):
+    assert ENCODER.by_rank
     ids, sizes = ENCODER.ids(texts)
     want = [[*LIBRARY.encode(t, add_special_tokens=False).ids, 0] for t in texts]
     assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))

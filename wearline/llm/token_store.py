@@ -13,11 +13,10 @@
 4. ``find`` and ``span`` read only what the metadata can't rule out: ``find`` by Bloom filters and
    statistics of ``doc_id``, ``span`` by the manifest and the statistics of offsets.
 
-Encoding: the merges of a byte-level BPE never cross pre-tokens, and a run of text between
-single blanks is cut into pre-tokens by itself. A task encodes each distinct run with the library
-once (its memory of runs is bounded) and puts texts together from these. Texts with other white
-space, characters outside ASCII and Latin letters, or special strings go through the library
-whole, and so does everything for files of other kinds of tokenizers.
+Encoding gives the ids of the tokenizers library. The library itself takes about 950 CPU seconds a GB of the
+check tool's input, so texts of ASCII and Latin letters (whose classes all Unicode versions share) are merged
+by rank, after a proof on the file that this gives the library's ids (see ``_bytes_by_rank``); all other
+texts, those with special strings, and all files without the proof go through the library.
 
 Defined cases: null and empty text: the end id alone; null ids come first; rows of one id are ordered by a hash
 of their text, then by the text; repeated rows are documents of their own; an empty table gives
@@ -29,13 +28,11 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -45,12 +42,12 @@ from .common import documents, python_ready, step_path
 CHUNK = 16_384
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-RUNS = 300_000
+STRETCH = 1_000
 BATCH_CHARS = 2_000_000
 SCHEMA = ("part int, doc_no long, chunk int, n_chunks int, doc_id long, `at` long, n int, ids array<int>")
 #: Fixed value: the pattern of byte-level BPE, as published with the vocabulary files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_SIMPLE = re.compile("[\n\x20-\x7eÀ-ſ]*")
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\u00c0-\u017f]*")
 _MADE: dict[int, Encoder] = {}
 
 
@@ -61,21 +58,37 @@ def _alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(0x100 + hidden.index(b)) for b in range(256)]
 
 
+def _bytes_by_rank(library: Tokenizer, made: dict) -> dict[bytes, int] | None:
+    """The bytes of each id, if merging by rank gives what the library's merges give.
+
+    That holds where the merges make ids in their order, and every entry of the vocabulary is encoded as itself:
+    then two neighbours whose bytes together are an entry are the pair that its merge names.
+    """
+    cut, model = made.get("pre_tokenizer") or {}, made["model"]
+    plain = (model["type"] == "BPE" and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+             and not any(made.get(k) for k in ("normalizer", "truncation", "padding"))
+             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+    if not plain:
+        return None
+    vocab, of = model["vocab"], {c: b for b, c in enumerate(_alphabet())}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    in_order = [vocab.get(a + b) for a, b in pairs] == list(range(256, 256 + len(pairs)))
+    tokens = [t for t in vocab if vocab[t] < 256 + len(pairs)]
+    if not in_order or sorted(map(vocab.get, tokens)) != list(range(len(tokens))) or not all(set(t) <= of.keys() for t in tokens):
+        return None
+    if any([x.id for x in library.model.tokenize(t)] != [vocab[t]] for t in tokens):
+        return None
+    return {bytes(of[c] for c in t): vocab[t] for t in tokens}
+
+
 class Encoder:
     """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, plus an end id."""
 
     def __init__(self, source: str, end_id: int):
-        self.library, self.end_id = Tokenizer.from_str(source), end_id
-        made = json.loads(source)
-        cut, model = made.get("pre_tokenizer") or {}, made["model"]
-        self.by_runs = (
-            model["type"] == "BPE" and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space")
-            and cut.get("use_regex", True) and not made.get("normalizer") and not made.get("truncation") and not made.get("padding")
-            and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+        self.library, self.end = Tokenizer.from_str(source), np.array([end_id], np.int32)
+        ranks = _bytes_by_rank(self.library, json.loads(source))
+        self.by_rank = ranks and tiktoken.Encoding("by rank", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.letters = _alphabet()
-        self.cut = regex.compile(PATTERN).findall
-        self.clear()
 
     @classmethod
     def made(cls, source: str, end_id: int) -> Encoder:
@@ -85,46 +98,20 @@ class Encoder:
             _MADE[key] = cls(source, end_id)
         return _MADE[key]
 
-    def clear(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
-        self.runs: dict[str, int] = {}
-        self.flat, self.at = array("i"), array("q", [0])
-
-    def _run(self, run: str) -> int:
-        for piece in self.cut(run):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                shown = "".join([self.letters[b] for b in piece.encode()])
-                ids = self.pieces[piece] = [t.id for t in self.library.model.tokenize(shown)]
-            self.flat.extend(ids)
-        self.at.append(len(self.flat))
-        self.runs[run] = n = len(self.runs)
-        return n
-
-    def _simple(self, text: str) -> bool:
-        return (self.by_runs and _SIMPLE.fullmatch(text) is not None and "  " not in text and " \n" not in text and "\n " not in text
-                and "\n\n\n" not in text and text[-1:] not in (" ", "\n") and not any(s in text for s in self.special))
+    def _plain(self, text: str) -> bool:
+        """ASCII and Latin letters, no special string, no long stretch without a blank (merges of one take long)."""
+        return (_PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+                and all(text.find(" ", i, i + STRETCH) >= 0 or text.find("\n", i, i + STRETCH) >= 0 for i in range(0, len(text) - STRETCH, STRETCH)))
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end id, and the number of ids of each text."""
-        if len(self.runs) > RUNS or len(self.flat) > 20 * RUNS:
-            self.clear()
-        known, parts, simple = self.runs, [], [self._simple(t) for t in texts]
-        for text, by_runs in zip(texts, simple, strict=True):
-            parts.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if by_runs else [])
-        each = np.fromiter(map(len, parts), np.int64, len(parts))
-        row = np.fromiter((known[r] if r in known else self._run(r) for r in chain.from_iterable(parts)), np.int64, int(each.sum()))
-        at, flat = np.frombuffer(self.at, np.int64), np.frombuffer(self.flat, np.int32) if self.flat else np.empty(0, np.int32)
-        lens = at[row + 1] - at[row]
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        got = flat[np.repeat(at[row] - ends[:-1], lens) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(each)])]
-        del at, flat  # the buffers may grow again
-        out, end = [], np.array([self.end_id], np.int32)
-        for i, by_runs in enumerate(simple):
-            whole = got[cuts[i]:cuts[i + 1]] if by_runs else np.array(
-                self.library.encode(texts[i], add_special_tokens=False).ids, np.int32)
-            out += [whole, end]
+        out = []
+        for text in texts:
+            if self.by_rank and self._plain(text):
+                own = self.by_rank.encode_to_numpy(text, disallowed_special=())
+            else:
+                own = self.library.encode(text, add_special_tokens=False).ids
+            out += [np.asarray(own).astype(np.int32), self.end]
         sizes = np.fromiter(map(len, out), np.int64, len(out)).reshape(-1, 2).sum(axis=1)
         return (np.concatenate(out) if out else np.empty(0, np.int32)), sizes
 
