@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .divergence import OP12_SQL, op12_source_divergence
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
 from .license_scan import op9_license_scan
@@ -26,10 +27,12 @@ REGISTRY = {
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
     "op11_token_ids": op11_token_ids,
+    "op12_source_divergence": op12_source_divergence,
 }
 ORACLE = {
     "op2_quality_rules": OP2_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op6_secret_scan": OP6_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
