@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import OP13_SQL, op13_collocations
 from .divergence import OP12_SQL, op12_source_divergence
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
@@ -28,6 +29,7 @@ REGISTRY = {
     "op10_token_counts": op10_token_counts,
     "op11_token_ids": op11_token_ids,
     "op12_source_divergence": op12_source_divergence,
+    "op13_collocations": op13_collocations,
 }
 ORACLE = {
     "op2_quality_rules": OP2_SQL,
@@ -35,4 +37,5 @@ ORACLE = {
     "op5_mixing": OP5_SQL,
     "op6_secret_scan": OP6_SQL,
     "op12_source_divergence": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
