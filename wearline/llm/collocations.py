@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
 BLOCK = 1_000_000
-SHARD = 500_000
+SHARD = 250_000
 BITS = 26
 SCALE = 1_000_000
 DIGITS = 3
@@ -239,37 +240,46 @@ def _digits(words: np.ndarray) -> np.ndarray:
 
 def _build(k: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """The trie of one shard: a row per phrase, and one with the arrays and the words."""
-        shard = key[0].as_py()
-        langs, phrases = table.column("lang").to_pylist(), table.column("phrase").cast(pa.binary()).to_pylist()
-        numbers: dict[tuple[str, bytes], int] = {}
-        ids = np.array([[numbers.setdefault((lang, w), len(numbers) + 1) for w in p.split(b" ")] for lang, p in zip(langs, phrases, strict=True)],
-                       np.int64).reshape(-1, k)
+        """The trie of one shard: a row per phrase, and one with the arrays and each lang's words, numbered from 1 on."""
+        table = table.combine_chunks()
+        lang, phrase = table.column("lang").combine_chunks(), table.column("phrase").combine_chunks()
+        n, upto = len(table), 1
+        words = pc.split_pattern(phrase, " ").flatten()
+        ids = np.empty((n, k), np.int64)
+        langs, names = pc.unique(lang).to_pylist(), []
+        for one in langs:
+            rows = np.flatnonzero(pc.equal(lang, one).to_numpy(zero_copy_only=False))
+            own = words.take(pa.array((rows[:, None] * k + np.arange(k)).ravel())).dictionary_encode()
+            ids[rows] = own.indices.to_numpy().reshape(-1, k) + upto
+            names.append(own.dictionary.cast(pa.binary()).to_pylist())
+            upto += len(own.dictionary)
         keys = _digits(ids)
         order = np.lexsort(keys.T[::-1])
         base, check = double_array(keys[order])
-        n = len(order)
-        words = pa.array([None] * n + [[w for _, w in numbers]], pa.list_(pa.binary()))
-        word_langs = pa.array([None] * n + [[lang for lang, _ in numbers]], pa.list_(pa.string()))
+        none, order = [None] * n, pa.array(order)
         return pa.table({
-            "shard": pa.array([shard] * (n + 1), pa.int32()), "idx": pa.array([*range(n), None], pa.int32()),
-            "lang": pa.array([*[langs[i] for i in order], None], pa.string()),
-            "phrase": pa.array([*[phrases[i] for i in order], None], pa.binary()).cast(pa.string()),
-            "base": pa.array([None] * n + [base.tobytes()], pa.binary()), "check": pa.array([None] * n + [check.tobytes()], pa.binary()),
-            "langs": word_langs, "words": words})
+            "shard": pa.array([key[0].as_py()] * (n + 1), pa.int32()), "idx": pa.array([*range(n), None], pa.int32()),
+            "lang": pa.concat_arrays([lang.take(order), pa.nulls(1, lang.type)]), "phrase": pa.concat_arrays([phrase.take(order), pa.nulls(1, phrase.type)]),
+            "base": pa.array([*none, base.tobytes()], pa.binary()), "check": pa.array([*none, check.tobytes()], pa.binary()),
+            "langs": pa.array([*none, langs], pa.list_(pa.string())), "words": pa.array([*none, names], pa.list_(pa.list_(pa.binary())))})
 
     return run
 
 
-_TRIE = "shard int, idx int, lang string, phrase string, base binary, `check` binary, langs array<string>, words array<binary>"
+_TRIE = "shard int, idx int, lang string, phrase string, base binary, `check` binary, langs array<string>, words array<array<binary>>"
 
 
 def _count(k: int, trie, shard: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, check, n, vocabulary = trie.value
-        counts = np.zeros(n, np.int64)
+        base, check, first, names = trie.value
+        base, check = np.frombuffer(base, np.int32), np.frombuffer(check, np.int32)
+        n = int(-base.min())
+        counts, numbers = np.zeros(n, np.int64), {}
         for lang, ids, words in _rows(batches):
-            known = vocabulary.get(lang, {})
+            if lang not in numbers:
+                held = names[lang].to_pylist() if lang in names else []
+                numbers[lang] = dict(zip(held, range(first.get(lang, 0), first.get(lang, 0) + len(held)), strict=True))
+            known = numbers[lang]
             number = np.fromiter((known.get(w, 0) for w in words), np.int32, len(words))
             own = number[ids]
             m = len(own) - k + 1
@@ -342,14 +352,13 @@ def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_
     tries = written(dealt.groupBy("shard").applyInArrow(_build(k), _TRIE), "tries")
     counts = None
     for shard in range(shards):
-        got = tries.filter((F.col("shard") == shard) & F.col("base").isNotNull()).select("base", "check", "langs", "words").first()
-        if got is None:
+        got = tries.filter((F.col("shard") == shard) & F.col("base").isNotNull()).select("base", "check", "langs", "words").toArrow()
+        if not got.num_rows:
             continue
-        vocabulary: dict[str, dict[bytes, int]] = {}
-        for i, (lang, w) in enumerate(zip(got["langs"], got["words"], strict=True), 1):
-            vocabulary.setdefault(lang, {})[bytes(w)] = i
-        base, check = np.frombuffer(got["base"], np.int32), np.frombuffer(got["check"], np.int32)
-        trie = sc.broadcast((base, check, int(-base.min()), vocabulary))  # at most about shard_size phrases
+        langs, words = got.column("langs")[0].as_py(), got.column("words")[0].values
+        first = np.cumsum([1, *[len(w) for w in words]]).tolist()
+        trie = sc.broadcast((got.column("base")[0].as_py(), got.column("check")[0].as_py(), dict(zip(langs, first, strict=False)),
+                             {x: pa.array(words[i].as_py(), pa.binary()) for i, x in enumerate(langs)}))  # about shard_size phrases
         part = blocks.mapInArrow(_count(k, trie, shard, shards), "shard int, idx int, n long")
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
