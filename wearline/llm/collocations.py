@@ -38,7 +38,7 @@ MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
-BLOCK = 1_000_000
+BLOCK = 500_000
 SHARD = 250_000
 BITS = 26
 SCALE = 1_000_000
@@ -342,10 +342,11 @@ def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_
     spark = blocks.sparkSession
     sc = spark.sparkContext
     frequent = sc.broadcast(_bitmap(shorter.select("lang", "phrase").mapInArrow(_phrase_places(bits), "at long"), bits))  # 2**bits bits
-    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    # distinct within their block already: dealt out before they are summed
+    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits), "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
     hashes = written(sums.filter(F.col("n") >= min_count).select("h"), "hashes")
     hopeful = sc.broadcast(_bitmap(hashes.mapInArrow(_hash_places(bits), "at long"), bits))  # 2**bits bits
-    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits), "lang string, phrase string, h long").distinct()
+    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits), "lang string, phrase string, h long").repartition("h").distinct()
     named = written(named.join(hashes, "h", "left_semi"), "named")
     shards = max(1, -(-named.count() // shard_size))
     dealt = named.withColumn("shard", (F.shiftrightunsigned("h", 8) % shards).cast("int"))
