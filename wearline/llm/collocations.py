@@ -1,7 +1,7 @@
 """Phrase collocations: candidates counted by double-array tries, Apriori level by level.
 
-1. Blocks: a task turns texts of one lang into blocks of at most ``BLOCK`` words: 32-bit numbers of the
-   block's own vocabulary, 0 where a piece ends. All later passes read these, in numpy.
+1. Blocks: a task turns texts of one lang into blocks of at most ``BLOCK`` words: numbers of the
+   block's own vocabulary (16 bits where it allows), 0 where a piece ends. All later passes read these, in numpy.
 2. Words: counted per block by ``bincount`` and summed; those with ``min_count`` are level 1.
 3. Candidates of k words: a position counts only if both its phrases of k-1 words are frequent, told by
    a bitmap of fixed size (``BITS``; a false hit only adds candidates). The 64-bit hashes of its k words are
@@ -38,7 +38,7 @@ MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
-BLOCK = 500_000
+BLOCK = 250_000
 SHARD = 250_000
 BITS = 26
 SCALE = 1_000_000
@@ -51,6 +51,10 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)  # any odd number
 _BLOCKS = "lang string, n_words long, ids binary, words array<binary>"
 
 
+def _width(words: int) -> str:
+    return "<u2" if words < 1 << 16 else "<i4"
+
+
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self) - 1
@@ -76,9 +80,10 @@ class _Open:
 
     def row(self, lang: str) -> pa.RecordBatch:
         ids = np.concatenate(self.parts)
-        words = pa.array([[w for w, n in self.numbers.items() if n > 0]], pa.list_(pa.binary()))
+        names = [w for w, n in self.numbers.items() if n > 0]
+        words = pa.array([names], pa.list_(pa.binary()))
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([int((ids > 0).sum())]), pa.array([ids.astype("<i4").tobytes()], pa.binary()), words],
+            [pa.array([lang]), pa.array([int((ids > 0).sum())]), pa.array([ids.astype(_width(len(names))).tobytes()], pa.binary()), words],
             ["lang", "n_words", "ids", "words"])
 
 
@@ -104,7 +109,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
     """(lang, ids, words by number; number 0 is a piece's end) of each block."""
     for b in batches:
         for lang, ids, words in zip(b.column("lang").to_pylist(), b.column("ids"), b.column("words"), strict=True):
-            yield lang, np.frombuffer(ids.as_buffer(), "<i4"), [b"", *words.as_py()]
+            yield lang, np.frombuffer(ids.as_buffer(), _width(len(words))).astype(np.int32, copy=False), [b"", *words.as_py()]
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
