@@ -23,12 +23,12 @@ result; extra columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
 BLOCK = 250_000
-SHARD = 250_000
+SHARD = 500_000
 BITS = 26
 SCALE = 1_000_000
 DIGITS = 3
@@ -105,23 +105,41 @@ def _to_blocks(limit: int):
     return run
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
-    """(lang, ids, words by number; number 0 is a piece's end) of each block."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, pa.Array]]:
+    """(lang, ids, words from number 1 on; number 0 is a piece's end) of each block."""
     for b in batches:
         for lang, ids, words in zip(b.column("lang").to_pylist(), b.column("ids"), b.column("words"), strict=True):
-            yield lang, np.frombuffer(ids.as_buffer(), _width(len(words))).astype(np.int32, copy=False), [b"", *words.as_py()]
+            yield lang, np.frombuffer(ids.as_buffer(), _width(len(words))).astype(np.int32, copy=False), words.values
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, ids, words in _rows(batches):
-        n = np.bincount(ids, minlength=len(words))[1:].astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(words[1:], pa.binary()).cast(pa.string()), pa.array(n)],
+        n = np.bincount(ids, minlength=len(words) + 1)[1:].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), words.cast(pa.string()), pa.array(n)],
                                          ["lang", "phrase", "n"])
 
 
-def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit polynomials over the bytes of each word (none is empty)."""
+    if not len(words):
+        return np.empty(0, np.uint64)
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[at[0]:at[-1]]
+    at -= at[0]
+    lens = np.diff(at)
+    powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(int(lens.max()), _STEP))])
+    h = np.add.reduceat((data + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(at[:-1], lens)], at[:-1])
+    return (h ^ (h >> np.uint64(32))) * _STEP
+
+
+def _seeds(langs: list[str]) -> np.ndarray:
+    return np.array([zlib.crc32(x.encode()) for x in langs], np.uint64) * _STEP
+
+
+def _hashes(lang: str, words: pa.Array) -> np.ndarray:
+    """By word number; number 0 is no word."""
+    h = np.concatenate([np.zeros(1, np.uint64), _word_hashes(words) ^ _seeds([lang])])
+    return h ^ (h >> np.uint64(31))
 
 
 def _extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -146,7 +164,7 @@ def _grams(ids: np.ndarray, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return out, ok
 
 
-def _hopeful(lang: str, ids: np.ndarray, words: list[bytes], k: int, frequent: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _hopeful(lang: str, ids: np.ndarray, words: pa.Array, k: int, frequent: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of k words whose first and last k-1 words are both frequent, and the hashes there."""
     h = _hashes(lang, words)
     if len(ids) < k:
@@ -179,7 +197,8 @@ def _named(k: int, frequent, hopeful, bits: int):
             first = np.unique(np.column_stack([ids[at + j] for j in range(k)]), axis=0, return_index=True)[1] if k > 2 else np.unique(
                 ids[at].astype(np.int64) << 32 | ids[at + 1], return_index=True)[1]
             at, gram = at[first], gram[first]
-            columns = [[words[i] for i in ids[at + j].tolist()] for j in range(k)]
+            names = [b"", *words.to_pylist()]
+            columns = [[names[i] for i in ids[at + j].tolist()] for j in range(k)]
             phrases = list(map(b" ".join, zip(*columns, strict=True)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(at), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(gram.view(np.int64))], ["lang", "phrase", "h"])
@@ -205,7 +224,7 @@ def double_array(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     nodes = len(symbol)
     children = np.bincount(parent[1:], minlength=nodes)
     first_child = np.searchsorted(parent[1:], np.arange(nodes), "left") + 1  # nodes go level by level: children lie together
-    rng, size = np.random.default_rng(0), 4 * nodes + 1024
+    rng, size = np.random.default_rng(0), 2 * nodes + 1024
     taken = np.zeros(size + 256, bool)
     taken[0] = True  # the root's own slot
     base = np.zeros(nodes, np.int64)
@@ -285,7 +304,7 @@ def _count(k: int, trie, shard: int, shards: int):
                 held = names[lang].to_pylist() if lang in names else []
                 numbers[lang] = dict(zip(held, range(first.get(lang, 0), first.get(lang, 0) + len(held)), strict=True))
             known = numbers[lang]
-            number = np.fromiter((known.get(w, 0) for w in words), np.int32, len(words))
+            number = np.array([0, *[known.get(w, 0) for w in words.to_pylist()]], np.int32)
             own = number[ids]
             m = len(own) - k + 1
             if m <= 0:
@@ -319,17 +338,16 @@ def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
     return out.astype("<i8").view(np.uint8)
 
 
-def _phrase_places(bits: int):
+def _phrase_places(k: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = []
-            for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                h = _hashes(lang, phrase.split(b" "))
-                out = h[:1]
-                for w in h[1:]:
-                    out = _extended(out, w)
-                at.append(out[0])
-            yield pa.RecordBatch.from_arrays([pa.array(_place(np.array(at, np.uint64), bits))], ["at"])
+            words = pc.split_pattern(b.column(1), " ").flatten()
+            h = _word_hashes(words).reshape(-1, k) ^ _seeds(b.column(0).to_pylist())[:, None]
+            h ^= h >> np.uint64(31)
+            out = h[:, 0]
+            for j in range(1, k):
+                out = _extended(out, h[:, j])
+            yield pa.RecordBatch.from_arrays([pa.array(_place(out, bits))], ["at"])
 
     return run
 
@@ -346,7 +364,7 @@ def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_
     """Phrases of k words with their counts: lang, phrase, n (at least ``min_count``)."""
     spark = blocks.sparkSession
     sc = spark.sparkContext
-    frequent = sc.broadcast(_bitmap(shorter.select("lang", "phrase").mapInArrow(_phrase_places(bits), "at long"), bits))  # 2**bits bits
+    frequent = sc.broadcast(_bitmap(shorter.select("lang", "phrase").mapInArrow(_phrase_places(k - 1, bits), "at long"), bits))  # 2**bits bits
     # distinct within their block already: dealt out before they are summed
     sums = blocks.mapInArrow(_hash_counts(k, frequent, bits), "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
     hashes = written(sums.filter(F.col("n") >= min_count).select("h"), "hashes")
