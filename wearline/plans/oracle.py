@@ -900,6 +900,18 @@ FROM events GROUP BY date_trunc('hour', ts)"""
 
 ORACLE["stream_dedup"] = "SELECT CAST(user_id + 1 AS BIGINT) AS engine_id, CAST(count(*) AS BIGINT) AS n_readings FROM events GROUP BY user_id"
 
+ORACLE["stream_late"] = """
+WITH e AS (SELECT event_id, CAST(user_id + 1 AS BIGINT) AS engine_id, ts,
+                  [3, 1, 0, 2, 5, 4, 8, 9, 7, 6][CAST(least(floor((day(ts) - 1) / 3), 9) AS INT) + 1] AS b FROM events),
+del AS (SELECT *, false AS again FROM e UNION ALL SELECT event_id, engine_id, ts, b + 1, true FROM e WHERE event_id % 3 = 0),
+seen AS (SELECT b, max(epoch_ms(max(ts))) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ms FROM del GROUP BY b),
+r AS (SELECT engine_id, CASE WHEN epoch_us(ts) < 1000 * greatest(coalesce(ms - 5 * 24 * 3600 * 1000, 0), 0) THEN 'late'
+                             WHEN again THEN 'repeat' ELSE 'kept' END AS route FROM del JOIN seen USING (b))
+SELECT engine_id, CAST(count(*) FILTER (WHERE route = 'kept') AS BIGINT) AS n_kept,
+       CAST(count(*) FILTER (WHERE route = 'late') AS BIGINT) AS n_late,
+       CAST(count(*) FILTER (WHERE route = 'repeat') AS BIGINT) AS n_repeat, CAST(count(*) AS BIGINT) AS n_delivered
+FROM r GROUP BY engine_id"""
+
 ORACLE["stream_quarantine"] = "SELECT CAST(count(*) AS BIGINT) AS n_good, CAST(0 AS BIGINT) AS n_rejected FROM events"
 
 ORACLE["telemetry_scan"] = with_(

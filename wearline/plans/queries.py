@@ -782,6 +782,8 @@ def q_window_input_stats(spark, sf_dir):
 
 #: The configured number of iterations and of iterations without improvement.
 MODEL_ROUNDS, MODEL_PATIENCE = 50, 10
+LATE_ORDER = (3, 1, 0, 2, 5, 4, 8, 9, 7, 6)  # the delivery of each three days
+LATE_MINUTES = 5 * 24 * 60
 
 
 def _model_windows(run: FleetRun) -> tuple[DataFrame, DataFrame]:
@@ -881,6 +883,30 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).groupBy("engine_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_readings"))
 
 
+@query("stream_late")
+def q_stream_late(spark, sf_dir):
+    """Events delivered in ten parts that are out of order, every third event again one part later: each
+    reading is kept, late or a repeat, and the three add up to what was delivered (K6)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.tables import read_table
+    from ..streaming import late as LT
+    from ..streaming import scoring as ST
+
+    path = scratch_path(spark, f"streams/deliveries/{uuid.uuid4().hex}")
+    events = read_table(spark, sf_dir, "events", *[f.name for f in ST.EVENTS_SCHEMA])
+    days = F.least(F.floor((F.dayofmonth("ts") - 1) / 3), F.lit(9)).cast("int")  # three days a part
+    first = events.withColumn("part", F.element_at(F.array(*[F.lit(x) for x in LATE_ORDER]), days + 1))
+    again = first.filter("event_id % 3 = 0").withColumn("part", F.col("part") + 1)
+    LT.deliver(first.unionByName(again), "part", path, batches=11, files=2)
+    stream = spark.readStream.schema(ST.EVENTS_SCHEMA).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", "true").parquet(path)
+    out = LT.run_routed(LT.route_readings(ST.readings(stream).select("engine_id", "event_id", "ts"), delay_minutes=LATE_MINUTES), "late")
+    rows = spark.read.schema("engine_id long, event_id long, route string").parquet(out)
+    count = {r: F.count_if(F.col("route") == r).cast("bigint").alias(f"n_{r}") for r in (LT.KEPT, LT.LATE, LT.REPEAT)}
+    return rows.groupBy("engine_id").agg(*count.values(), F.count(F.lit(1)).cast("bigint").alias("n_delivered"))
+
+
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
     """Stateless validation routing clean and rejected readings to two sinks (K2)."""
