@@ -47,3 +47,14 @@ def test_weighted_loss(spark):
     df = spark.createDataFrame([(1, 2.0, 10), (1, 4.0, 30), (2, 1.0, 0)], "step long, loss double, n long")
     got = {r.step: r.loss for r in M.weighted_loss(df).collect()}
     assert got[1] == pytest.approx(3.5) and got[2] == 0.0
+
+
+def test_early_stop_keeps_runs_and_metrics_apart(spark):
+    curves = {("r1", "a"): [5.0, 4.0, 4.0, 4.5, 3.0, 9.0, 9.0, 9.0, 1.0], ("r1", "b"): [1.0, 2.0, 3.0, 4.0], ("r2", "a"): [float("nan"), None, 2.0, 2.0],
+              ("r2", "b"): [3.0, 2.0, 1.0]}
+    rows = [(r, s * 10, m, v) for (r, m), vs in curves.items() for s, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "run_id string, step long, metric string, value double").repartition(3)
+    got = {(r.run_id, r.metric): (r.n_steps, r.stop_step, r.best_step, r.best_value) for r in M.early_stop_points(df, patience=3).collect()}
+    assert got == {("r1", "a"): (9, 70, 40, 3.0), ("r1", "b"): (4, 30, 0, 1.0), ("r2", "a"): (4, None, 20, 2.0), ("r2", "b"): (3, None, 20, 1.0)}
+    series = M.early_stop_series(df.filter("run_id = 'r1' AND metric = 'a'"), 3, value="value").orderBy("step").collect()
+    assert [r.since_improvement for r in series] == [0, 0, 1, 2, 0, 1, 2, 3, 0] and [r.step for r in series if r.stop] == [70]

@@ -149,3 +149,17 @@ def test_changed_source_or_spec_gives_a_new_table(spark, tmp_path):
     spark.range(5).write.mode("append").parquet(folder)  # one more file in the folder
     again = path(30)
     assert again != first and built == [30, 31, 30] and spark.read.parquet(again).count() == 8
+
+
+def test_digests_are_read_in_chunks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    names = {"empty.bin": b"", "one chunk+.bin": b"x" * 100, "binary.bin": bytes(range(256)) * 50_000}
+    for name, data in names.items():
+        (tmp_path / name).write_bytes(data)
+    paths = [f"file:{tmp_path}/{n}" for n in names]
+    got = {os.path.basename(r.path): (r.actual, r.n_bytes) for r in TX.file_digests(spark, paths).collect()}
+    assert got == {n: (hashlib.sha256(x).hexdigest(), len(x)) for n, x in names.items()}
+    TX.publish_checksums(spark, paths)
+    assert {r.status for r in TX.checksum_manifest(spark, paths).collect()} == {"ok"}
+    assert TX.list_files(spark, str(tmp_path), ".bin") == sorted(f"file:{tmp_path}/{n}" for n in names)

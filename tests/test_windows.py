@@ -29,7 +29,7 @@ def test_blocks_and_methods_agree(spark):
     df = history(spark, {1: 300, 2: 75})
     small = replace(SPEC, block=32)
     a = W.window_features(df, SPEC, method="frames").orderBy("engine_id", "cycle").collect()
-    for spec, method in ((small, "frames"), (SPEC, "numpy"), (small, "numpy"), (small, "lags")):
+    for spec, method in ((small, "frames"), (SPEC, "numpy"), (small, "numpy"), (small, "lags"), (SPEC, "sums"), (small, "sums")):
         b = W.window_features(df, spec, method=method).orderBy("engine_id", "cycle").collect()
         assert len(a) == len(b) == (300 - 29) + (75 - 29)
         for x, y in zip(a, b):
@@ -53,3 +53,24 @@ def test_last_rows_without_life_uses_group_limit(spark):
     assert {r.engine_id: r.lo for r in got} == {1: 46, 2: 6}
     plan = W.last_rows(df, 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "Window" in plan
+
+
+def test_running_sums_with_bad_readings_and_levels(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = 1e6 + rng.normal(size=170)
+    x[::7] = 1e6
+    bad = {40: float("nan"), 41: None, 120: float("inf")}
+    rows = [(9, c, bad.get(c, float(x[c - 1])), 0.1) for c in range(1, 171)] + [(8, c, None, 1.0) for c in range(1, 32)]
+    spec = replace(SPEC, window=12, block=32)
+    df = spark.createDataFrame(rows, "engine_id long, cycle long, a double, b double")
+    got = {(r.engine_id, r.cycle): r for r in W.window_features(df, spec, reason=True).collect()}
+    assert set(got) == {(9, c) for c in range(12, 171)} | {(8, c) for c in range(12, 32)}
+    for (e, c), r in got.items():
+        if e == 8 or any(c - 12 < k <= c for k in bad):
+            assert r.reason and r.a_mean is None and r.a_std is None and r.a_slope is None and r.b_mean is None and r.a_last is None
+            continue
+        w, t = x[c - 12:c], np.arange(c - 11, c + 1)
+        assert r.reason is None and r.b_std == 0.0 and abs(r.b_mean - 0.1) < 1e-12
+        assert abs(r.a_mean - w.mean()) < 1e-8 and abs(r.a_std - w.std()) < 1e-8 and abs(r.a_slope - np.polyfit(t - t.mean(), w - 1e6, 1)[0]) < 1e-9

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.scalar import asymmetric_penalty
+from ..functions.scalar import asymmetric_penalty, is_missing
 
 
 def pair_errors(pairs: DataFrame, pred: str = "predicted_rul", actual: str = "actual_rul") -> DataFrame:
@@ -49,18 +49,34 @@ def weighted_loss(log: DataFrame, by: str = "step") -> DataFrame:
     )
 
 
-def early_stop_series(losses: DataFrame, patience: int, by: str = "step") -> DataFrame:
-    """Best-so-far loss, steps since the last strict improvement and the stop flag.
+def early_stop_series(losses: DataFrame, patience: int, by: str = "step", value: str = "loss", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Best-so-far value, rows since the last strict improvement and the stop flag, per ``keys``.
 
-    ``losses`` has one row per step (a training curve: bounded by the step
-    count), so the ordered frames here run over a small table.
+    Gaps and islands: a strict improvement opens an island, and a row's place in its island is its count
+    without improvement. ``stop`` marks the first row whose count reaches ``patience``. Null and NaN
+    values improve nothing. Curves of different runs and metrics lie in one log; each is ordered
+    by itself, so a task holds single curves, whose rows are the run's iterations.
     """
-    w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_best = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    d = losses.withColumn("best", F.min("loss").over(w)).withColumn(
-        "improved", F.coalesce(F.col("loss") < F.min("loss").over(prev_best), F.lit(True))
-    )
-    d = d.withColumn("last_improved", F.max(F.when(F.col("improved"), F.col(by))).over(w))
-    d = d.withColumn("since_improvement", (F.col(by) - F.col("last_improved")).cast("bigint"))
-    first_stop = F.min(F.when(F.col("since_improvement") >= patience, F.col(by))).over(Window.partitionBy(F.lit(1)))
-    return d.withColumn("stop", F.coalesce(F.col(by) == first_stop, F.lit(False))).drop("last_improved")
+    curve = Window.partitionBy(*keys).orderBy(by)
+    good = F.when(~is_missing(F.col(value)), F.col(value))
+    so_far = F.min(good).over(curve.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.min(good).over(curve.rowsBetween(Window.unboundedPreceding, -1))
+    d = losses.withColumn("best", so_far).withColumn("improved", F.coalesce(good < before, good.isNotNull() & before.isNull()))
+    island = F.sum(F.col("improved").cast("long")).over(curve.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumn("_island", island)
+    place = F.row_number().over(Window.partitionBy(*keys, "_island").orderBy(by)).cast("bigint")
+    d = d.withColumn("since_improvement", F.when(F.col("_island") > 0, place - 1).otherwise(place))
+    reached = F.col("since_improvement") >= patience
+    first = F.min(F.when(reached, F.col(by))).over(Window.partitionBy(*keys))
+    return d.withColumn("stop", F.coalesce(F.col(by) == first, F.lit(False))).drop("_island")
+
+
+def early_stop_points(log: DataFrame, patience: int, keys: tuple[str, ...] = ("run_id", "metric")) -> DataFrame:
+    """Per curve of a run log: steps, the step that stops it (null: none), and the best step and value up to there."""
+    series = early_stop_series(log, patience, value="value", keys=keys)
+    ahead = F.max(F.col("stop").cast("int")).over(Window.partitionBy(*keys).orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    used = series.withColumn("used", F.coalesce(ahead, F.lit(0)) == 0)
+    best = F.max_by(F.struct("step", "best"), F.when(F.col("used") & F.col("improved"), F.col("step")))
+    return used.groupBy(*keys).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_steps"), F.min(F.when(F.col("stop"), F.col("step"))).alias("stop_step"),
+        best["step"].alias("best_step"), best["best"].alias("best_value"))

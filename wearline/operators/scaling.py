@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import not_finite
+
 SCALED_META = "wearline.scaled"
 
 
@@ -28,6 +30,11 @@ def _long(wide: DataFrame, features: Sequence[str], fields: Sequence[str]) -> Da
     return wide.select(F.inline(F.array(*rows)))
 
 
+def finite(feature: str) -> Column:
+    """The reading, or null where it is NaN or infinite: one bad reading must not spoil a statistic."""
+    return F.when(~not_finite(F.col(feature).cast("double")), F.col(feature))
+
+
 def scaler_fit(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, pos, mu, sigma): mean and population std on train rows only.
 
@@ -37,7 +44,7 @@ def scaler_fit(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """
     aggs = []
     for f in features:
-        aggs += [F.avg(f).alias(f"{f}__mu"), F.stddev_pop(f).alias(f"{f}__sd")]
+        aggs += [F.avg(finite(f)).alias(f"{f}__mu"), F.stddev_pop(finite(f)).alias(f"{f}__sd")]
     long = _long(train.agg(*aggs), features, ["mu", "sd"])
     tiny = F.col("sd") <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(F.col("mu")))
     sigma = F.when(F.col("sd").isNull() | tiny, F.lit(1.0)).otherwise(F.col("sd"))
@@ -49,10 +56,10 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     aggs = []
     for f in features:
         aggs += [
-            F.avg(f).alias(f"{f}__mean"),
-            F.stddev_samp(f).alias(f"{f}__std"),
-            F.min(f).alias(f"{f}__min"),
-            F.max(f).alias(f"{f}__max"),
+            F.avg(finite(f)).alias(f"{f}__mean"),
+            F.stddev_samp(finite(f)).alias(f"{f}__std"),
+            F.min(finite(f)).alias(f"{f}__min"),
+            F.max(finite(f)).alias(f"{f}__max"),
         ]
     return _long(df.agg(*aggs), features, ["mean", "std", "min", "max"])
 

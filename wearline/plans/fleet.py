@@ -66,14 +66,17 @@ class FleetRun:
         aggs = []
         for f in self.features:
             aggs += [
-                F.avg(f).alias(f"{f}__mean"), F.stddev_pop(f).alias(f"{f}__sdp"),
-                F.stddev_samp(f).alias(f"{f}__sds"), F.min(f).alias(f"{f}__min"),
-                F.max(f).alias(f"{f}__max"),
+                F.avg(S.finite(f)).alias(f"{f}__mean"), F.stddev_pop(S.finite(f)).alias(f"{f}__sdp"),
+                F.stddev_samp(S.finite(f)).alias(f"{f}__sds"), F.min(S.finite(f)).alias(f"{f}__min"),
+                F.max(S.finite(f)).alias(f"{f}__max"),
             ]
         r = self.train.agg(*aggs).first()
         out = {}
         for f in self.features:
             mu, sdp = r[f"{f}__mean"], r[f"{f}__sdp"]
+            if mu is None:  # no good reading in train: nothing to scale by, no range to leave
+                out[f] = {"mu": 0.0, "sigma": 1.0, "mean": 0.0, "std": None, "min": float("-inf"), "max": float("inf")}
+                continue
             sigma = 1.0 if sdp is None or sdp <= 1e-9 * max(1.0, abs(mu)) else sdp
             sds = r[f"{f}__sds"]
             out[f] = {

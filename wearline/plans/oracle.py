@@ -936,3 +936,92 @@ ORACLE["stream_drift"] = with_(
     ] + cohort_psi_sql("zfe", None, train="zfe_tr", feats=EVF),
     f"SELECT CAST(0 AS BIGINT) AS epoch, feature, {r6('psi')} AS psi, psi > {d(C.PSI_ALARM)} AS alarm FROM cp",
 )
+
+
+# --- planted faults on further paths -----------------------------------------------
+
+BAD_F6 = " OR ".join(f"{f} IS NULL OR NOT isfinite({f})" for f in F6)
+BAD_WINDOW = f"coalesce(max(CASE WHEN {BAD_F6} THEN 1 ELSE 0 END) OVER w, 0) = 1"
+FRAME = f"WINDOW w AS (PARTITION BY engine_id ORDER BY cycle ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW)"
+
+
+def fine(f: str) -> str:
+    return f"CASE WHEN isfinite({f}) THEN {f} END"
+
+
+def faulty_z(name: str, src: str, extra: str = "") -> list[str]:
+    return [faulty_sql(f"{name}_f", src),
+            f"{name} AS (SELECT engine_id, cycle, life, rul{extra}, {sql_list(f'({f} - sc.mu_{f}) / sc.sd_{f} AS {f}' for f in F6)} FROM {name}_f CROSS JOIN sc)"]
+
+
+ORACLE["degradation_curve_faulty"] = with_(
+    li_ctes() + faulty_z("zf", "tlab"),
+    f"""SELECT engine_id, cycle, {r6('rul')} AS true_rul, CASE WHEN NOT bad THEN {r6('p')} END AS predicted_rul,
+          CASE WHEN bad THEN 'reading missing or not finite' END AS reason FROM (
+          SELECT engine_id, cycle, rul, {BAD_WINDOW} AS bad, {forecast_sql(f"avg({fine('{f}')}) OVER w")} AS p FROM zf {FRAME}) q
+        WHERE cycle >= {L}""",
+)
+
+ORACLE["most_critical_faulty"] = with_(
+    li_ctes() + faulty_z("zf", "tlab") + [
+        f"""g AS (SELECT engine_id, {forecast_sql('avg({f})')} AS p FROM zf WHERE cycle > life - {L} GROUP BY engine_id
+              HAVING NOT bool_or({BAD_F6}))"""],
+    f"""SELECT engine_id, {r6('pc')} AS predicted_rul FROM (SELECT engine_id, CASE WHEN p < 0 THEN {d(0)} ELSE p END AS pc FROM g) q
+        ORDER BY pc, engine_id LIMIT 1""",
+)
+
+ORACLE["weighted_loss_faulty"] = with_(
+    li_ctes() + faulty_z("zl", "lab", ", split") + [
+        f"""fr AS (SELECT split, engine_id, cycle, rul, {BAD_WINDOW} AS bad, {forecast_sql(f"avg({fine('{f}')}) OVER w")} AS p
+              FROM zl WHERE split IS NOT NULL {FRAME})""",
+        "ok AS (SELECT split, (p - rul) * (p - rul) AS e FROM fr WHERE cycle >= %d AND NOT bad)" % L],
+    f"SELECT split, {r6('avg(e)')} AS loss, CAST(count(*) AS BIGINT) AS n FROM ok GROUP BY split",
+)
+
+ORACLE["scaler_fit_faulty"] = with_(
+    li_ctes() + [faulty_sql("trf", "tr"), "scf AS (SELECT " + sql_list(
+        x for f in F6 for x in (f"avg({fine(f)}) AS mu_{f}", f"CASE WHEN stddev_pop({fine(f)}) IS NULL OR stddev_pop({fine(f)}) <= 1e-9 * "
+                                f"greatest(1, abs(avg({fine(f)}))) THEN {d(1)} ELSE stddev_pop({fine(f)}) END AS sd_{f}")) + " FROM trf)"],
+    unpivot_sql("scf", {"mu": "mu_{f}", "sigma": "sd_{f}"}))
+
+
+def window_features_faulty_sql() -> str:
+    cols, out = [], []
+    for f in F6:
+        g = fine(f)
+        cols += [f"{f} AS {f}_last", f"avg({g}) OVER w AS {f}_mean", f"stddev_pop({g}) OVER w AS {f}_std",
+                 f"regr_slope({g}, CAST(cycle AS DOUBLE)) OVER w AS {f}_slope"]
+        out += [f"CASE WHEN NOT bad THEN {r6(f'{f}_{k}')} END AS {f}_{k}" for k in ("last", "mean", "std", "slope")]
+    return with_(li_ctes() + [faulty_sql("lf", "lab"), f"wf AS (SELECT engine_id, cycle, rul, {BAD_WINDOW} AS bad, {sql_list(cols)} FROM lf {FRAME})"],
+                 f"""SELECT engine_id, cycle, {sql_list(out)}, {r6('rul')} AS rul, CASE WHEN bad THEN 'reading missing or not finite' END AS reason
+                     FROM wf WHERE cycle >= {L}""")
+
+
+ORACLE["window_features_faulty"] = window_features_faulty_sql()
+
+ORACLE["early_stop_point"] = with_(
+    li_ctes() + [
+        f"zl AS (SELECT engine_id, cycle, life, rul, split, {sql_list(f'({f} - sc.mu_{f}) / sc.sd_{f} AS {f}' for f in F6)} FROM lab CROSS JOIN sc WHERE split IS NOT NULL)",
+        f"""fr AS (SELECT split, engine_id, cycle, rul, {forecast_sql('avg({f}) OVER w')} AS p FROM zl {FRAME})""",
+        f"""ls AS (SELECT split AS run_id, (engine_id * {C.HASH_ID} + cycle * {C.HASH_CYCLE} + {LI.seed}) % {C.HASH_MOD} % 64 AS step,
+              round(avg((p - rul) * (p - rul)), 6) AS mse, round(avg(abs(p - rul)), 6) AS mae FROM fr WHERE cycle >= {L} GROUP BY ALL)""",
+        "lg AS (SELECT run_id, step, 'mse' AS metric, mse AS value FROM ls UNION ALL SELECT run_id, step, 'mae', mae FROM ls)",
+        """b AS (SELECT *, min(value) OVER (PARTITION BY run_id, metric ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb,
+              min(value) OVER (PARTITION BY run_id, metric ORDER BY step) AS best FROM lg)""",
+        "im AS (SELECT *, pb IS NULL OR value < pb AS improved FROM b)",
+        "il AS (SELECT *, sum(CASE WHEN improved THEN 1 ELSE 0 END) OVER (PARTITION BY run_id, metric ORDER BY step) AS island FROM im)",
+        "si AS (SELECT *, row_number() OVER (PARTITION BY run_id, metric, island ORDER BY step) - 1 AS since FROM il)",
+        "sp AS (SELECT run_id, metric, min(step) FILTER (WHERE since >= 5) AS stop_step FROM si GROUP BY ALL)",
+    ],
+    f"""SELECT run_id, metric, CAST(count(*) AS BIGINT) AS n_steps, any_value(stop_step) AS stop_step,
+          max(step) FILTER (WHERE improved AND step <= coalesce(stop_step, step)) AS best_step,
+          {r6('min(value) FILTER (WHERE step <= coalesce(stop_step, step))')} AS best_value
+        FROM si JOIN sp USING (run_id, metric) GROUP BY run_id, metric""",
+)
+
+ORACLE["checksum_statuses"] = with_(
+    li_ctes() + ["""fl AS (SELECT engine_id, string_agg(engine_id || ' ' || cycle || ' ' || CAST(quantity AS BIGINT) || chr(10), '' ORDER BY cycle) AS content
+              FROM f GROUP BY engine_id)"""],
+    """SELECT engine_id, CASE engine_id % 10 WHEN 3 THEN 'missing' WHEN 7 THEN 'mismatch' ELSE 'ok' END AS status,
+          sha256(content) AS actual, CAST(strlen(content) AS BIGINT) AS n_bytes FROM fl""",
+)

@@ -128,6 +128,20 @@ def q_scaler_fit(spark, sf_dir):
     return finish(S.scaler_fit(run.train, run.features))
 
 
+@query("scaler_fit_faulty")
+def q_scaler_fit_faulty(spark, sf_dir):
+    """The scaler over train rows with planted faults: missing and infinite readings don't count."""
+    run = FleetRun(spark, sf_dir)
+    return finish(S.scaler_fit(with_faults(run.train), run.features))
+
+
+@query("window_features_faulty")
+def q_window_features_faulty(spark, sf_dir):
+    """Window statistics of a fleet with planted faults: null, with a reason, while one lies in the window."""
+    run = FleetRun(spark, sf_dir)
+    return finish(W.window_features(with_faults(run.labelled), run.spec, reason=True))
+
+
 @query("feature_stats")
 def q_feature_stats(spark, sf_dir):
     run = FleetRun(spark, sf_dir)
@@ -328,12 +342,23 @@ def q_batch_forecast(spark, sf_dir):
 def q_degradation_curve(spark, sf_dir):
     """Forecast and true label at every cycle >= L of every test engine."""
     run = FleetRun(spark, sf_dir)
-    w = W.frame(run.spec)
-    frames = W.with_frames(run.test_z, run.spec, {f"{f}_mean": F.avg(f).over(w) for f in run.features})
-    scored = forecast_windows(frames, run.spec)
+    scored = trajectory(run.test_z, run.spec)
     return finish(scored.select("engine_id", "cycle", F.col("rul").alias("true_rul"), "predicted_rul"))
 
 
+def trajectory(scaled: DataFrame, spec) -> DataFrame:
+    """Every full window's forecast; none, but a ``reason``, where it holds a bad reading."""
+    return forecast_windows(W.frame_stats(scaled, spec), spec)
+
+
+@query("degradation_curve_faulty")
+def q_degradation_curve_faulty(spark, sf_dir):
+    """The trajectory of a fleet with planted faults: no forecast while a bad reading lies in the window."""
+    run = FleetRun(spark, sf_dir)
+    scored = trajectory(run.scaled(with_faults(run.test)), run.spec)
+    return finish(scored.select("engine_id", "cycle", F.col("rul").alias("true_rul"), "predicted_rul", "reason"))
+
+
 def dashboard_forecasts(run: FleetRun) -> DataFrame:
     """Clamped forecasts on the last, possibly partial, window of every engine."""
     return forecast_windows(run.last_windows("partial"), run.spec, clamp=True)
@@ -342,9 +367,21 @@ def dashboard_forecasts(run: FleetRun) -> DataFrame:
 @query("most_critical")
 def q_most_critical(spark, sf_dir):
     """Engine with the lowest forecast; the lower id wins a tie."""
+    return finish(most_critical(dashboard_forecasts(FleetRun(spark, sf_dir))))
+
+
+def most_critical(forecasts: DataFrame) -> DataFrame:
+    """Of the engines that have a forecast."""
+    top = forecasts.filter("predicted_rul IS NOT NULL").orderBy("predicted_rul", "engine_id").limit(1)
+    return top.select("engine_id", "predicted_rul")
+
+
+@query("most_critical_faulty")
+def q_most_critical_faulty(spark, sf_dir):
+    """Engines whose last window holds a planted fault have no forecast and are not the most critical."""
     run = FleetRun(spark, sf_dir)
-    top = dashboard_forecasts(run).orderBy("predicted_rul", "engine_id").limit(1)
-    return finish(top.select("engine_id", "predicted_rul"))
+    win = W.last_window(run.scaled(with_faults(run.test)), run.spec, policy="partial")
+    return finish(most_critical(forecast_windows(win, run.spec, clamp=True)))
 
 
 @query("engine_sample")
@@ -790,9 +827,10 @@ def _model_windows(run: FleetRun) -> tuple[DataFrame, DataFrame]:
     """Train/val windows (with ``is_val``) and each test engine's last full window."""
     lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
     val_lo, val_hi = run.ranges[1]
-    wins = W.window_features(lab, run.spec).withColumn("is_val", F.col("engine_id").between(val_lo, val_hi))
+    wins = W.window_features(lab, run.spec, reason=True).filter("reason IS NULL").drop("reason")
+    wins = wins.withColumn("is_val", F.col("engine_id").between(val_lo, val_hi))
     # only the last L readings feed an engine's last full window
-    test = W.window_features(W.last_rows(run.test_z, run.spec.window), run.spec)
+    test = W.window_features(W.last_rows(run.test_z, run.spec.window), run.spec, reason=True).filter("reason IS NULL").drop("reason")
     last = test.join(run.test_z.filter(F.col("cycle") == F.col("life")).select("engine_id", "cycle"), ["engine_id", "cycle"])
     return wins, last
 
@@ -983,20 +1021,75 @@ def q_checksum_manifest(spark, sf_dir):
                     (F.col("expected") == F.col("actual")).alias("verified"))
 
 
+@query("checksum_statuses")
+def q_checksum_statuses(spark, sf_dir):
+    """Raw text files, one per engine, against sidecars of which every tenth is left out and every tenth is wrong (A4)."""
+    from ..sources.store import _exists, written_path
+    from ..sources.telemetry import checksum_manifest, file_digests, list_files, write_sidecar
+
+    run = FleetRun(spark, sf_dir)
+    line = F.concat_ws(" ", "engine_id", "cycle", F.col("quantity").cast("bigint"))
+
+    def build():
+        return run.rows.repartition("engine_id").sortWithinPartitions("engine_id", "cycle").select(line.alias("value"), "engine_id")
+
+    folder = written_path(spark, "text-engines", [_source(sf_dir, "lineitem")], build, partition_by=("engine_id",), fmt="text")
+    engine = F.regexp_extract("path", r"engine_id=(\d+)/", 1).cast("bigint")
+    files = list_files(spark, folder, suffix=".txt")
+    wanted = [p for p in files if not _exists(spark, f"{p}.sha256")]
+    if wanted:  # one line a file
+        planted = F.when(engine % 10 == 7, F.repeat(F.lit("0"), 64)).otherwise(F.col("actual"))
+        for r in file_digests(spark, wanted).filter(engine % 10 != 3).select("path", planted.alias("digest")).collect():
+            write_sidecar(spark, r.path, r.digest)
+    return checksum_manifest(spark, files).select(engine.alias("engine_id"), "status", "actual", "n_bytes")
+
+
+def loss_log(scaled: DataFrame, spec) -> DataFrame:
+    """Squared loss of the given forecaster per split and batch of full windows (64 hash batches); n = scored windows."""
+    scored = trajectory(scaled, spec)
+    batch = X.sample_hash(F.col("engine_id"), F.col("cycle"), spec.seed) % F.lit(64)
+    err = F.col("predicted_rul") - F.col("rul")
+    return scored.filter(err.isNotNull()).groupBy("split", batch.alias("step")).agg(
+        F.avg(err * err).alias("loss"), F.count(err).cast("bigint").alias("n"))
+
+
 @query("weighted_loss")
 def q_weighted_loss(spark, sf_dir):
-    """Squared loss of the given forecaster per batch of full windows (64 hash
-    batches), combined per split as sum(loss * n) / max(sum(n), 1) (E10, A10 form)."""
+    """Batch losses combined per split as sum(loss * n) / max(sum(n), 1) (E10, A10 form)."""
+    run = FleetRun(spark, sf_dir)
+    lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
+    return finish(M.weighted_loss(loss_log(lab, run.spec), by="split"))
+
+
+@query("weighted_loss_faulty")
+def q_weighted_loss_faulty(spark, sf_dir):
+    """The loss over windows without a planted fault only."""
+    run = FleetRun(spark, sf_dir)
+    lab = run.scaled(with_faults(run.labelled.filter(F.col("split").isNotNull())))
+    return finish(M.weighted_loss(loss_log(lab, run.spec), by="split"))
+
+
+@query("early_stop_point")
+def q_early_stop_point(spark, sf_dir):
+    """Where each of four curves in one run log stops at a patience of 5: batch losses of two runs (train and
+    validation engines) and two metrics, appended run by run and read back (E12, A10)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.artefacts import append_run_log, read_run_log
+
     run = FleetRun(spark, sf_dir)
     lab = run.scaled(run.labelled.filter(F.col("split").isNotNull()))
-    w = W.frame(run.spec)
-    frames = W.with_frames(lab, run.spec, {f"{f}_mean": F.avg(f).over(w) for f in run.features})
-    scored = forecast_windows(frames, run.spec)
-    batch = X.sample_hash(F.col("engine_id"), F.col("cycle"), run.spec.seed) % F.lit(64)
+    scored = trajectory(lab, run.spec)
+    step = X.sample_hash(F.col("engine_id"), F.col("cycle"), run.spec.seed) % F.lit(64)
     err = F.col("predicted_rul") - F.col("rul")
-    log = scored.groupBy("split", batch.alias("step")).agg(
-        F.avg(err * err).alias("loss"), F.count(F.lit(1)).cast("bigint").alias("n"))
-    return finish(M.weighted_loss(log, by="split"))
+    losses = scored.groupBy(F.col("split").alias("run_id"), step.alias("step")).agg(
+        F.round(F.avg(err * err), 6).alias("mse"), F.round(F.avg(F.abs(err)), 6).alias("mae"))
+    path = scratch_path(spark, f"runs/{uuid.uuid4().hex}")
+    curves = losses.unpivot(["run_id", "step"], ["mse", "mae"], "metric", "value")
+    for run_id in ("train", "val"):
+        append_run_log(spark, curves.filter(F.col("run_id") == run_id), path)
+    return finish(M.early_stop_points(read_run_log(spark, path), patience=5))
 
 
 @query("training_curve")

@@ -86,9 +86,10 @@ def window_requests(last_windows: DataFrame, features) -> DataFrame:
     )
 
 
-def append_run_log(spark: SparkSession, rows: list[tuple], path: str) -> None:
-    """Append (run_id, step, metric, value) rows to the run log (A10)."""
-    spark.createDataFrame(rows, RUN_LOG_SCHEMA).write.mode("append").parquet(path)
+def append_run_log(spark: SparkSession, rows: DataFrame | list[tuple], path: str) -> None:
+    """Append (run_id, step, metric, value) rows to the run log (A10): a table, or the few rows of one curve."""
+    log = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+    log.select(*[F.col(c).cast(kind).alias(c) for c, kind in (f.split() for f in RUN_LOG_SCHEMA.split(", "))]).write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -7,13 +7,19 @@ tokens, which are dropped (``trim`` does not strip tabs).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pa_fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RAW_COLUMNS
 from ..operators.sequence import number_within
+from ..session import ship_package
 
 
 class DataLoadError(ValueError):
@@ -79,68 +85,118 @@ def read_truth_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     return numbered.select("source", "engine_id", F.col("value").try_cast("double").alias("final_rul"))
 
 
+CHUNK_BYTES = 4 << 20
+
+
+def _digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path -> SHA-256 of its bytes and their number, read in chunks: a task holds one chunk, whatever the file's size."""
+    for b in batches:
+        paths = b.column(0).to_pylist()
+        digests, sizes = [], []
+        for path in paths:
+            if re.match("file:|/", path):
+                fs, name = pa_fs.LocalFileSystem(), re.sub("^(file:)?/+", "/", path)
+            else:
+                fs, name = pa_fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            h, n = hashlib.sha256(), 0
+            with fs.open_input_stream(name) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    h.update(chunk)
+                    n += len(chunk)
+            digests.append(h.hexdigest())
+            sizes.append(n)
+        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(digests), pa.array(sizes, pa.int64())], ["path", "actual", "n_bytes"])
+
+
+def file_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, actual, n_bytes) of each file, one task per file or few.
+
+    Files of stores that Arrow opens are streamed; those of other Hadoop file systems go through
+    Spark's ``binaryFile`` reader, which holds a file in one row (2 GiB at most).
+    """
+    opens = [p for p in paths if re.match(r"(file|s3|gs|abfs|hdfs):|/", p)]
+    rest = [p for p in paths if p not in set(opens)]
+    out = spark.createDataFrame([], "path string, actual string, n_bytes long")
+    if opens:
+        ship_package(spark)
+        listed = spark.createDataFrame([(p,) for p in opens], "path string")
+        listed = listed.repartition(min(len(opens), max(spark.sparkContext.defaultParallelism, len(opens) // 16)))
+        out = out.unionByName(listed.mapInArrow(_digest_files, "path string, actual string, n_bytes long"))
+    if rest:
+        out = out.unionByName(spark.read.format("binaryFile").load(rest).select(
+            "path", F.sha2("content", 256).alias("actual"), F.col("length").alias("n_bytes")))
+    return out
+
+
 def checksum_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, expected, actual, status) with status ok / missing / mismatch (A4).
+    """(path, expected, actual, n_bytes, status) with status ok / missing / mismatch (A4).
 
     The digest is SHA-256 of the file bytes; the sidecar ``<file>.sha256`` holds
     it as its first token. Missing sidecar and mismatch are distinct outcomes.
     """
-    data = spark.read.format("binaryFile").load(list(paths)).select(
-        F.col("path"), F.sha2(F.col("content"), 256).alias("actual")
-    )
+    data = file_digests(spark, paths)
     from .store import _exists
 
     side_paths = [f"{p}.sha256" for p in paths]
     existing = [p for p in side_paths if _exists(spark, p)]
     if existing:
         side = spark.read.text(existing, wholetext=True).select(
-            F.regexp_replace(F.col("_metadata.file_path"), r"\.sha256$", "").alias("path"),
+            _plain(F.regexp_replace(F.col("_metadata.file_path"), r"\.sha256$", "")).alias("name"),
             F.lower(F.split(F.trim(F.col("value")), r"\s+")[0]).alias("expected"),
         )
     else:
-        side = spark.createDataFrame([], "path string, expected string")
-    j = data.join(side, "path", "left")
+        side = spark.createDataFrame([], "name string, expected string")
+    j = data.withColumn("name", _plain(F.col("path"))).join(side, "name", "left")
     status = (F.when(F.col("expected").isNull(), F.lit("missing"))
               .when(F.col("expected") == F.col("actual"), F.lit("ok")).otherwise(F.lit("mismatch")))
-    return j.select("path", "expected", "actual", status.alias("status"))
+    return j.select("path", "expected", "actual", "n_bytes", status.alias("status"))
+
+
+def _plain(path: Column) -> Column:
+    """file:/x, file:///x and /x are one path; names in reports are URL-encoded."""
+    return F.regexp_replace(F.try_url_decode(path), r"^file:/+", "/")
 
 
 def verify_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
     """Raise on the first missing sidecar or mismatch (ingest gate)."""
-    for r in checksum_manifest(spark, paths).collect():
-        if r.status == "missing":
-            raise DataLoadError(f"missing checksum sidecar for {r.path}")
-        if r.status == "mismatch":
-            raise ChecksumError(f"checksum mismatch for {r.path}")
+    bad = checksum_manifest(spark, paths).filter("status != 'ok'").orderBy("path").first()
+    if bad and bad.status == "missing":
+        raise DataLoadError(f"missing checksum sidecar for {bad.path}")
+    if bad:
+        raise ChecksumError(f"checksum mismatch for {bad.path}")
 
 
 def publish_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
     """Write a ``<file>.sha256`` sidecar ("<hex>  <name>") next to every file
-    that has none; digests are computed by Spark, one task per file."""
-    from .store import _exists, _fs
+    that has none; digests are computed in tasks, sidecars named by the driver (one line a file)."""
+    from .store import _exists
 
     missing = [p for p in paths if not _exists(spark, f"{p}.sha256")]
     if not missing:
         return
-    digests = spark.read.format("binaryFile").load(missing).select(
-        "path", F.sha2(F.col("content"), 256).alias("d")).collect()
-    for r in digests:
-        fs, jpath = _fs(spark, f"{r.path}.sha256")
-        out = fs.create(jpath, True)
-        try:
-            out.write(bytearray(f"{r.d}  {r.path.rsplit('/', 1)[-1]}\n".encode()))
-        finally:
-            out.close()
+    for r in file_digests(spark, missing).select("path", "actual").collect():
+        write_sidecar(spark, r.path, r.actual)
+
+
+def write_sidecar(spark: SparkSession, path: str, digest: str) -> None:
+    from .store import _fs
+
+    fs, jpath = _fs(spark, f"{path}.sha256")
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(f"{digest}  {path.rsplit('/', 1)[-1]}\n".encode()))
+    finally:
+        out.close()
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
-    """Data files of a written table (driver-side listing of metadata only)."""
+    """Data files of a written table, also of its partition folders (driver-side listing of metadata only)."""
     from .store import _fs
 
     fs, jpath = _fs(spark, folder)
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
-            out.append(st.getPath().toString())
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if not path.getName().startswith(("_", ".")) and path.getName().endswith(suffix):
+            out.append(path.toString())
     return sorted(out)
