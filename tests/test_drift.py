@@ -113,3 +113,20 @@ def test_quantiles_of_constant_and_two_valued_features_over_many_ranges(spark):
     for i, f in enumerate(["a", "k", "t", "z", "s"]):
         x = [r[i] for r in data if r[i] is not None and r[i] == r[i]]
         assert np.allclose(got[f], np.quantile(x, D.DECILES) if x else [], rtol=0, atol=1e-12), f
+
+
+def test_psi_per_engine_takes_one_exchange(spark):
+    rng = np.random.default_rng(4)
+    ref = {"a": {"edges": [-1.0, 0.0, 1.0], "ref_pct": [0.16, 0.34, 0.34, 0.16]}, "c": {"edges": [], "ref_pct": [1.0]}}
+    rows = [(e, float(x), 1.0) for e in (1, 2, 3) for x in rng.normal(e - 1, 1, 300)] + [(4, float("nan"), 1.0), (4, None, 1.0)]
+    df = spark.createDataFrame(rows, "engine_id long, a double, c double")
+    out = D.psi_against_reference(df, ref, ["a", "c"], by=("engine_id",))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+    got = {(r.engine_id, r.feature): r.psi for r in out.collect()}
+    for e in (1, 2, 3):
+        x = np.array([r[1] for r in rows if r[0] == e])
+        p = np.maximum(np.bincount(np.searchsorted(ref["a"]["edges"], x, "right"), minlength=4) / len(x), 1e-6)
+        q = np.array(ref["a"]["ref_pct"])
+        assert abs(got[e, "a"] - ((p - q) * np.log(p / q)).sum()) < 1e-9 and got[e, "c"] == 0.0
+    assert got[4, "a"] > 5 and len(got) == 8

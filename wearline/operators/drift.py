@@ -114,6 +114,16 @@ def count_bins(df: DataFrame, bins: dict[str, tuple[Column, int]], by: Sequence[
     Bin indices are projected once, so the aggregate holds only small
     ``count_if(bin == k)`` terms and stays inside generated code.
     """
+    wide = _wide_counts(df, bins, by, when)
+    rows = [
+        F.struct(F.lit(f).alias("feature"), F.lit(k).alias("bin"), F.col(f"c{fi}_{k}").cast("bigint").alias("n"))
+        for fi, f in enumerate(bins) for k in range(bins[f][1])
+    ]
+    return wide.select(*by, F.inline(F.array(*rows)))
+
+
+def _wide_counts(df: DataFrame, bins: dict[str, tuple[Column, int]], by: Sequence[str] = (), when: Column | None = None) -> DataFrame:
+    """One row per ``by``: count ``c<feature number>_<bin>`` of every bin of every feature."""
     names = list(bins)
     proj = [F.col(c) for c in by] + [b.alias(f"_b{fi}") for fi, (b, _) in enumerate(bins.values())]
     if when is not None:
@@ -126,12 +136,7 @@ def count_bins(df: DataFrame, bins: dict[str, tuple[Column, int]], by: Sequence[
             if when is not None:
                 cond = cond & F.col("_w")
             aggs.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{fi}_{k}"))
-    wide = binned.groupBy(*by).agg(*aggs) if by else binned.agg(*aggs)
-    rows = [
-        F.struct(F.lit(f).alias("feature"), F.lit(k).alias("bin"), F.col(f"c{fi}_{k}").cast("bigint").alias("n"))
-        for fi, f in enumerate(names) for k in range(bins[f][1])
-    ]
-    return wide.select(*by, F.inline(F.array(*rows)))
+    return binned.groupBy(*by).agg(*aggs) if by else binned.agg(*aggs)
 
 
 def shares(counts: DataFrame, by: Sequence[str] = (), col: str = "n", out: str = "p") -> DataFrame:
@@ -238,22 +243,22 @@ def psi_against_reference(actual: DataFrame, ref: dict[str, dict], features: Seq
     All cohorts (the whole fleet, or every engine) come from one grouped pass.
     """
     live = [f for f in features if len(ref[f]["ref_pct"]) >= 2]
-    out = None
-    if live:
-        bins = {f: (bin_on_interior(F.col(f), ref[f]["edges"]), len(ref[f]["ref_pct"])) for f in live}
-        counts = shares(count_bins(actual, bins, by=by), by=by, col="n", out="p_act")
-        ref_p = F.lit(None).cast("double")
-        for f in live:
-            arr = F.array(*[F.lit(float(p)) for p in ref[f]["ref_pct"]])
-            ref_p = F.when(F.col("feature") == f, F.element_at(arr, F.col("bin") + 1)).otherwise(ref_p)
-        out = psi_sum(counts.withColumn("p_exp", ref_p), by=by)
-    dead = [f for f in features if f not in live]
-    if dead:
-        base = actual.select(*by).distinct() if by else actual.sparkSession.range(1).select()
-        zeros = base.select(*by, F.explode(F.array(*[F.lit(f) for f in dead])).alias("feature"),
-                            F.lit(0.0).alias("psi"))
-        out = zeros if out is None else out.unionByName(zeros)
-    return out
+    if not live and not by:
+        return actual.sparkSession.createDataFrame([(f, 0.0) for f in features], "feature string, psi double")
+    bins = {f: (bin_on_interior(F.col(f), ref[f]["edges"]), len(ref[f]["ref_pct"])) for f in live}
+    counts = _wide_counts(actual, bins, by) if live else actual.select(*by).distinct()
+    # the counts of a cohort lie in one row: no shuffle and no window after the one aggregate
+    packed = counts.select(*by, *[F.array(*[F.col(f"c{i}_{k}") for k in range(bins[f][1])]).alias(f"n{i}") for i, f in enumerate(live)])
+    packed = packed.select(*by, *[F.struct(F.col(f"n{i}").alias("n"), F.aggregate(f"n{i}", F.lit(0).cast("long"), lambda t, n: t + n).alias("all"))
+                                  .alias(f"n{i}") for i in range(len(live))])
+
+    def psi(i: int, shares: Sequence[float]) -> Column:
+        terms = F.zip_with(F.col(f"n{i}.n"), F.lit([float(e) for e in shares]), lambda n, e: (
+            floor_share(n, F.col(f"n{i}.all")) - e) * F.log(floor_share(n, F.col(f"n{i}.all")) / e))
+        return F.aggregate(terms, F.lit(0.0), lambda t, x: t + x)
+
+    rows = [F.struct(F.lit(f).alias("feature"), (psi(live.index(f), ref[f]["ref_pct"]) if f in bins else F.lit(0.0)).alias("psi")) for f in features]
+    return packed.select(*by, F.inline(F.array(*rows)))
 
 
 def gaussian_reference(stats: dict[str, dict], features: Sequence[str]) -> dict[str, dict]:
