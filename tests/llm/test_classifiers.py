@@ -76,3 +76,16 @@ def test_quality_defined_cases(spark):
 def test_isotonic_is_monotone_and_pools():
     x, y = isotonic(np.array([0.1, 0.2, 0.3, 0.4, 0.5]), np.array([0, 1, 0, 1, 1]))
     assert np.all(np.diff(y) > 0) and np.allclose(y, [0, 0.5, 1]) and np.allclose(x, [0.1, 0.25, 0.45])
+
+
+def test_held_out_labels_dont_reach_the_language_model(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from wearline.llm import language_id as LI
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang").limit(120)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    held = LI.held_out(F.col("doc_id")) if hasattr(LI, "held_out") else F.crc32(F.col("doc_id").cast("string")) % LI.FOLDS == LI.HELD_OUT
+    other = docs.withColumn("lang", F.when(held, F.lit("zz")).otherwise(F.col("lang")))
+    a, b = (LI.train(d, "doc_id", "text", "lang") for d in (docs, other))
+    assert a.languages == b.languages and all((a.p[k] == b.p[k]).all() for k in a.p)

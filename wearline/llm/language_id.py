@@ -134,8 +134,9 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> ByteNet
     """Fit on a bounded, hashed sample of the labelled rows outside the held-out fold."""
     base = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"),
                        F.col(lang_col).cast("string").alias("y"))
-    base = base.filter(F.col("t").rlike(r"\p{L}") & F.col("y").isNotNull() & (F.crc32("i") % FOLDS != HELD_OUT))
-    counts = {r["y"]: r["count"] for r in docs.groupBy(F.col(lang_col).cast("string").alias("y")).count().collect() if r["y"] is not None}
+    base = base.filter(F.col("y").isNotNull() & (F.crc32("i") % FOLDS != HELD_OUT))
+    counts = {r["y"]: r["count"] for r in base.groupBy("y").count().collect()}  # of learnable rows only; reads no text
+    base = base.filter(F.col("t").rlike(r"\p{L}"))
     if not counts:
         return None
     share = F.coalesce(*[F.when(F.col("y") == y, F.lit(2.0 * SAMPLE_DOCS / n)) for y, n in sorted(counts.items())])
