@@ -293,12 +293,24 @@ def _build(k: int):
 _TRIE = "shard int, idx int, lang string, phrase string, base binary, `check` binary, langs array<string>, words array<array<binary>>"
 
 
+def _advanced(base: np.ndarray, check: np.ndarray, at: np.ndarray, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States one word further, byte by byte; positions whose state has no such next drop out."""
+    for d in range(DIGITS):
+        to = base[state] + (word >> (8 * (DIGITS - 1 - d)) & 255)
+        valid = check[to] == state
+        at, state, word = at[valid], to[valid], word[valid]
+    return at, state
+
+
 def _count(k: int, trie, shard: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, check, first, names = trie.value
         base, check = np.frombuffer(base, np.int32), np.frombuffer(check, np.int32)
-        n = int(-base.min())
+        n, size = int(-base.min()), 1 + sum(map(len, names.values()))
         counts, numbers = np.zeros(n, np.int64), {}
+        after = np.full(size, -1, np.int32)  # the state that each word leads to from the root: the first level of all positions
+        first_words, to = _advanced(base, check, np.arange(size), np.zeros(size, np.int32), np.arange(size, dtype=np.int32))
+        after[first_words] = to
         for lang, ids, words in _rows(batches):
             if lang not in numbers:
                 held = names[lang].to_pylist() if lang in names else []
@@ -313,15 +325,17 @@ def _count(k: int, trie, shard: int, shards: int):
             for j in range(1, k):
                 ok &= own[j:m + j] > 0
             at = np.flatnonzero(ok)
+            state = after[own[at]]
+            at, state = at[state >= 0], state[state >= 0]
             if shards > 1:
-                gram = _grams(ids, _hashes(lang, words), k)[0][at]
-                at = at[(gram >> np.uint64(8)) % np.uint64(shards) == shard]
-            state = np.zeros(len(at), np.int32)
-            for j in range(k):
-                for d in range(DIGITS):
-                    to = base[state] + (own[at + j] >> (8 * (DIGITS - 1 - d)) & 255)
-                    valid = check[to] == state
-                    at, state = at[valid], to[valid]
+                h = _hashes(lang, words)
+                gram = h[ids[at]]
+                for j in range(1, k):
+                    gram = _extended(gram, h[ids[at + j]])
+                mine = (gram >> np.uint64(8)) % np.uint64(shards) == shard
+                at, state = at[mine], state[mine]
+            for j in range(1, k):
+                at, state = _advanced(base, check, at, state, own[at + j])
             counts += np.bincount(-1 - base[state], minlength=n)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])],
