@@ -39,7 +39,7 @@ MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
 BLOCK = 250_000
-SHARD = 500_000
+SHARD = 300_000
 BITS = 26
 SCALE = 1_000_000
 DIGITS = 3
