@@ -3,13 +3,14 @@
 import random
 import re
 import string
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from wearline.llm import queries
-from wearline.llm.ngram_join import ANY, FINE_RATIO, allocate, band_starts, jaccard_components, prefixes
+from wearline.llm.ngram_join import ANY, FINE_RATIO, _parity, allocate, band_starts, jaccard_components, prefixes
 from wearline.llm.shingles import blocks, shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -124,7 +125,7 @@ def test_all_sizes_by_the_finer_index(spark):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words + [f"z{n}x{i}" for i in range(n // 4)]))]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert result(jaccard_components(df, crowd_docs=2)) == brute(rows)
+    assert result(jaccard_components(df, pair_rows=10**6)) == brute(rows)
 
 
 def test_a_null_id_before_its_copy_hides_no_link(spark):
@@ -134,3 +135,31 @@ def test_a_null_id_before_its_copy_hides_no_link(spark):
     assert [r["doc_id"] for r in df.collect()] == [None, 1, 2, None]
     got = [(r["doc_id"], r["component_id"]) for r in jaccard_components(df).collect()]
     assert sorted(got, key=str) == [(1, 1), (2, 1), (None, None), (None, None)]
+
+
+@pytest.mark.parametrize("pair_rows", [1, 10**6])
+def test_an_id_has_the_links_of_all_its_texts(spark, pair_rows):
+    rows, expected = [], set()
+    for g, order in enumerate(permutations([1, 1, 2, 4])):  # every order of a group's rows
+        short, long, seen = [f"s{g}x{i}" for i in range(60)], [f"l{g}x{i}" for i in range(400)], 0
+        for i in order:
+            words = {2: [*short, "x"], 4: [*long, "x"], 1: (short, long)[seen]}[i]
+            seen ^= i == 1
+            rows.append((10 * g + i, " ".join(words)))
+        expected |= {(10 * g + i, 10 * g + 1) for i in (1, 2, 4)}
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_components(df, pair_rows=pair_rows).collect()} == expected
+
+
+def test_folded_parities_bound_the_difference():
+    rng = np.random.default_rng(7)
+    for a, b, both in ((3, 3, 1), (30, 37, 20), (500, 530, 300), (1000, 1100, 950), (3000, 3700, 2000)):
+        x = np.unique(rng.integers(0, 2**63, 2 * (a + b), dtype=np.uint64))[:a + b - both]
+        rng.shuffle(x)
+        at, words = _parity(np.repeat([0, 1], [a, b]), np.concatenate([x[:a], x[a - both:]]), 2)
+        p, q = words[at[0]:at[1]], words[at[1]:at[2]]
+        assert len(q) in (len(p), 2 * len(p))
+        if len(q) > len(p):
+            q = q[:len(p)] ^ q[len(p):]
+        apart = sum(int(v).bit_count() for v in (p ^ q).view(np.uint64))
+        assert 0.6 * (a + b - 2 * both) < apart <= a + b - 2 * both

@@ -20,19 +20,20 @@ Such sets differ in at most k = (|A| + |B|) / 9 shingles, and |B| <= 5/4 |A|.
    one is verified against the others first, by turns the least and the greatest, as long as
    at least one in ``STAR_SHARE`` such pairs links; components of the links found so far then
    leave only pairs across components, so a group of copies isn't expanded into all its pairs.
-   Where at most ``CROWD`` documents share a signature, all pairs across are verified. The
-   documents of crowded signatures (sharing much, yet not enough) are indexed once more among
+   Where the pairs of a signature's documents cost less than indexing their shingles (a pair
+   counts as ``PAIR_ROWS`` index rows), all pairs across are verified. The
+   documents of the other, crowded signatures (sharing much, yet not enough) are indexed once more among
    themselves, by single shingles: per narrow pair of bands the rarest ones of each set, of
    which linked partners share at least one. Their pairs across are verified too, so no link
    between components is lost.
-5. Verification: sizes and parities of ``PARITY_BITS`` bits rule pairs out (they bound the
+5. Verification: sizes and parities of two to four bits a shingle rule pairs out (they bound the
    difference from below), then the two shingle sets are intersected in full.
 
 Identical sets are one class from the start. A bitmap of 2**23 bits (fixed size) tells tasks
 which texts may be candidates before their sets are shuffled; a join on the id decides.
 
 Defined cases: null or blank text gives an empty set, linked with nothing; rows that
-carry one id are one node of the graph; a null id gets a null component; an empty table
+carry one id are one node of the graph, with the links of each of its texts; a null id gets a null component; an empty table
 gives an empty result; extra columns are not read.
 """
 
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, python_ready, written
@@ -56,9 +57,8 @@ COST_ROWS = 1_000_000
 MIN_COST = 4
 CHANCE = 0.002
 SLOTS = 1 << 23
-PARITY_BITS = 1024
 STAR_SHARE = 5
-CROWD = 256
+PAIR_ROWS = 16
 FINE_RATIO = 1.05
 ANY, UPPER, LOWER = 0, 1, 2  # roles in an index: two UPPER or two LOWER meet in another one
 
@@ -297,11 +297,17 @@ def _hits(bits: np.ndarray, ids: pa.Array) -> pa.Array:
     return pa.array(hit & ~np.asarray(ids.is_null()))
 
 
-def _parity(doc: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
-    """Per text PARITY_BITS bits: whether an odd number of its shingles falls on the bit."""
-    spot = doc * PARITY_BITS + (mix(s, 8) % np.uint64(PARITY_BITS)).astype(np.int64)
-    odd = (np.bincount(spot, minlength=n * PARITY_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.int64)
+def _parity(doc: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and words of a bit set per text: whether an odd number of its shingles falls on the bit.
+
+    A set of n shingles has the least power of two of bits from 2 n on, at least 64. The shingle's low bits choose
+    the bit, so the two halves of a set of bits, XORed, are the set of half as many.
+    """
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * np.bincount(doc, minlength=n), 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(bits)])
+    spot = first[doc] + (mix(s, 8) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=int(first[-1])) & 1).astype(np.uint8)
+    return (first // 64).astype(np.int32), np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def _sets(bitmap):
@@ -312,10 +318,10 @@ def _sets(bitmap):
                 doc, s = shingle_sets(data, off)
                 n = hi - lo
                 at = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-                words = np.arange(n + 1, dtype=np.int32) * (PARITY_BITS // 64)
+                first, words = _parity(doc, s, n)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n).cast(pa.int64()), pa.array(np.diff(at)),
-                     pa.ListArray.from_arrays(pa.array(words), pa.array(_parity(doc, s, n))),
+                     pa.ListArray.from_arrays(pa.array(first), pa.array(words)),
                      pa.ListArray.from_arrays(pa.array(at), pa.array(s.view(np.int64)))],
                     ["doc_id", "n", "parity", "shingles"])
 
@@ -351,16 +357,24 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that link.
 
     Sizes and parities settle most pairs: sets differ at least in as many shingles as
-    parity bits, and linked sets in few enough. The others have their whole sets intersected.
+    parity bits, and linked sets in few enough. Near sizes have as many bits or twice as many,
+    which are then folded. The others have their whole sets intersected.
     """
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
+    def folded(own: str, other: str) -> Column:
+        half = F.floor(F.size(own) / 2).cast("int")
+        halves = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > F.size(other), halves).otherwise(F.col(own))
+
     sized = pairs.join(side("u", "n", "parity"), "u").join(side("v", "n", "parity"), "v")
-    apart = F.aggregate(F.zip_with("u_parity", "v_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    sized = sized.filter((percent * F.col("u_n") <= 100 * F.col("v_n")) & (percent * F.col("v_n") <= 100 * F.col("u_n")))
+    differ = F.zip_with(folded("u_parity", "v_parity"), folded("v_parity", "u_parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda a, x: a + x)
     total = F.col("u_n") + F.col("v_n")  # |A| + |B| - apart >= 2 |A n B|, and linked: |A n B| >= total * p / (100 + p)
     maybe = (100 + percent) * (total - apart) >= 2 * percent * total
-    left = written(sized.filter(maybe).select("u", "v"), "pairs")
+    left = written(sized.filter(maybe).select("u", "v").distinct(), "pairs")
     bits = _bitmap(left.select("u").union(left.select("v")))
     whole = sets.select("doc_id", "shingles").mapInArrow(_only(bits), "doc_id long, shingles array<long>")
     a = whole.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
@@ -369,7 +383,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd_docs: int = CROWD) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pair_rows: int = PAIR_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, class_id (least id with the same set)."""
     percent = 80  # the bands and segments above are those of 0.8
     spark = docs.sparkSession
@@ -386,8 +400,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = _index(texts, _text_rows(starts, plan))
     member = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["h1", "h2"])
     member = written(member.select("doc_id", "class_id", "n"), "members")
-    shared = shared.join(member, "doc_id").select("sig", F.col("class_id").alias("doc_id"), "role", "n")
-    rows = _open_rows(shared, None)
+    shared = shared.join(member.distinct(), "doc_id").select("sig", F.col("class_id").alias("doc_id"), "role", "n")
+    rows = _open_rows(written(shared.distinct(), "rows"), None)
     bits = _bitmap(rows.select("doc_id"))
     sets = written(texts.mapInArrow(_sets(bits), "doc_id long, n int, parity array<long>, shingles array<long>"), "sets")
     links = member.filter("doc_id != class_id").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
@@ -402,15 +416,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         turn, tried = turn + 1, pairs if tried is None else tried.unionByName(pairs)
         linking = found.count() * STAR_SHARE >= pairs.count() > 0
         rows = _open_rows(rows.select("sig", "doc_id", "role", "n"), label)
-    crowded = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > crowd_docs).select("sig")
+    of = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    crowded = written(of.filter(pair_rows * F.col("c") * (F.col("c") - 1) / 2 > F.col("n")).select("sig"), "crowded")
     crowd = written(rows.join(crowded, "sig", "left_semi").select("doc_id").distinct(), "crowd")
     pairs = _across(rows.join(crowded, "sig", "left_anti"))
     if not crowd.isEmpty():
         members = sets.select("doc_id", "shingles").mapInArrow(_only(_bitmap(crowd)), "doc_id long, shingles array<long>")
         members = written(members.join(crowd, "doc_id", "left_semi"), "crowd-sets")
         fine = _index(members, _set_rows(band_starts(largest, FINE_RATIO)))
-        sizes = members.select("doc_id", F.size("shingles").cast("long").alias("n")).dropDuplicates(["doc_id"])
-        fine = _open_rows(fine.join(sizes, "doc_id"), label)
+        sizes = members.select("doc_id", F.size("shingles").cast("long").alias("n")).distinct()
+        fine = _open_rows(fine.join(sizes, "doc_id").select("sig", "doc_id", "role", "n").distinct(), label)
         pairs = pairs.unionByName(_across(fine))
     found = verify(_pairs(pairs, tried), sets, percent).distinct()
     label = components(written(links.unionByName(found), "links"))
@@ -428,14 +443,16 @@ def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
 
 
 def _open_rows(shared: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Index rows, once each, of signatures that (still) meet in more than one component."""
+    """Of distinct index rows, those of signatures that (still) meet in more than one component.
+
+    An aggregate and a join on the signature, so that a frequent one is summed in part and its rows can be split.
+    """
     rows = shared.withColumn("label", F.col("doc_id"))
     if label is not None:
         rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         rows = rows.select("sig", "doc_id", "role", "n", F.coalesce("label", "doc_id").alias("label"))
-    of = Window.partitionBy("sig")
-    rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of))
-    return written(rows.filter("lo != hi").drop("lo", "hi").dropDuplicates(["sig", "doc_id"]), "open")
+    apart = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("sig")
+    return written(rows.join(apart, "sig", "left_semi"), "open")
 
 
 def _near(n: str, other: str) -> Column:
