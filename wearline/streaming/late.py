@@ -108,7 +108,7 @@ def run_routed(routed: DataFrame, name: str) -> str:
     return f"{base}/out"
 
 
-def deliver(events: DataFrame, batch: str, path: str, batches: int, files: int = 2) -> None:
-    """Writes rows as ``batches`` deliveries of ``files`` files each, in order of ``batch`` (0 first)."""
-    for i in range(batches):
+def deliver(events: DataFrame, batch: str, path: str, batches: int, files: int = 2, start: int = 0) -> None:
+    """Writes rows as deliveries of ``files`` files each, in order of ``batch``: ``start`` first, ``batches`` - 1 last."""
+    for i in range(start, batches):
         events.filter(F.col(batch) == i).drop(batch).repartition(files).write.parquet(f"{path}/delivery={i:04d}")

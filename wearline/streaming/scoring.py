@@ -96,10 +96,12 @@ def _state_schema(k: int) -> T.StructType:
     ])
 
 
-def _window_step(spec: FleetSpec):
+def _window_step(spec: FleetSpec, ranges: dict | None = None):
     L = spec.window
     feats = list(spec.features)
     w = np.array([spec.weight(f) for f in feats])
+    if ranges is not None:
+        low, high = (np.array([ranges[f][k] for f in feats], dtype=float) for k in ("min", "max"))
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
@@ -120,18 +122,23 @@ def _window_step(spec: FleetSpec):
         if len(at) == L:
             ok = bool(np.isfinite(held).all())  # a bad reading gives no forecast
             pred = float(spec.bias + held.mean(axis=0) @ w) if ok else None
-            yield pd.DataFrame({"engine_id": [int(key[0])], "n_seen": [int(n)], "last_ts_us": [int(at[-1, 0])],
-                                "predicted_rul": pd.Series([pred], dtype="float64" if ok else object)})
+            record = {"engine_id": [int(key[0])], "n_seen": [int(n)], "last_ts_us": [int(at[-1, 0])],
+                      "predicted_rul": pd.Series([pred], dtype="float64" if ok else object)}
+            if ranges is not None:  # of the last reading; NaN lies in no order, so it isn't flagged
+                record["any_flag"] = [bool(((held[-1] < low) | (held[-1] > high)).any())]
+            yield pd.DataFrame(record)
 
     return step
 
 
-def score_stream(scaled_readings: DataFrame, spec: FleetSpec) -> DataFrame:
-    """Emit (engine_id, n_seen, last_ts_us, predicted_rul) when an engine's full window changes (K1)."""
+def score_stream(scaled_readings: DataFrame, spec: FleetSpec, ranges: dict | None = None) -> DataFrame:
+    """Emit (engine_id, n_seen, last_ts_us, predicted_rul) when an engine's full window changes (K1).
+    With ``ranges`` (feature -> min, max) also ``any_flag``: the last reading leaves a range."""
     ship_package(scaled_readings.sparkSession)
     src = scaled_readings.withColumn("ts_us", F.unix_micros("ts"))
+    out = SCORED_SCHEMA if ranges is None else T.StructType([*SCORED_SCHEMA, T.StructField("any_flag", T.BooleanType())])
     return src.groupBy("engine_id").applyInPandasWithState(
-        _window_step(spec), SCORED_SCHEMA, _state_schema(len(spec.features)), "append",
+        _window_step(spec, ranges), out, _state_schema(len(spec.features)), "append",
         GroupStateTimeout.NoTimeout,
     )
 
@@ -196,13 +203,13 @@ def drop_repeats(readings_stream: DataFrame, keys: Sequence[str] = ("event_id",)
 # --- running a stream to completion over what is available ---------------------------
 
 def run_available(stream: DataFrame, name: str, mode: str = "append", sink: str = "parquet",
-                  foreach=None) -> str:
+                  foreach=None, run_id: str | None = None) -> str:
     """Run ``stream`` with trigger(availableNow) into a fresh table in the shared
-    folder (checkpointed there too); return the sink path."""
+    folder (checkpointed there too); return the sink path. A ``run_id`` used before goes on from its checkpoint."""
     import uuid
 
     spark = stream.sparkSession
-    run_id = uuid.uuid4().hex
+    run_id = run_id or uuid.uuid4().hex
     out = scratch_path(spark, f"streams/{name}/{run_id}/out")
     ckpt = scratch_path(spark, f"streams/{name}/{run_id}/checkpoint")
     w = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
