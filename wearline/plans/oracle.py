@@ -850,6 +850,9 @@ ORACLE["window_input_stats"] = with_(
     f"SELECT engine_id, {r6('avg(x)')} AS mean, {r6('stddev_pop(x)')} AS std FROM vals GROUP BY engine_id",
 )
 
+ORACLE["forecaster_saved"] = with_(
+    li_ctes(), f"SELECT engine_id, max(cycle) AS cycle, true AS same FROM tst GROUP BY engine_id HAVING count(*) >= {L}")
+
 ORACLE["pluggable_scorer"] = with_(
     li_ctes() + [last_win_cte("g", None)],
     f"""SELECT engine_id, CASE WHEN n_rows <> {L} THEN 'shape mismatch' END AS reason,

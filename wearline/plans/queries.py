@@ -857,6 +857,29 @@ def q_forecast_gbt(spark, sf_dir):
     return _fitted(spark, sf_dir, "gbt")
 
 
+@query("forecaster_saved")
+def q_forecaster_saved(spark, sf_dir):
+    """The forecaster as a pipeline stage: fitted on train windows, saved, loaded, and both applied to every test
+    engine's last full window; ``same`` tells whether the two forecasts are equal (I4, I5)."""
+    import uuid
+
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..operators.estimator import WindowForecaster
+    from ..operators.models import summary_columns
+    from ..session import scratch_path
+
+    run = FleetRun(spark, sf_dir)
+    wins, last = _model_windows(run)
+    stage = WindowForecaster(featureCols=summary_columns(run.spec), kind="linear", validationCol="is_val")
+    model = Pipeline(stages=[stage]).fit(wins.drop("reason"))
+    path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
+    model.save(path)
+    fitted = model.transform(last).select("engine_id", "cycle", F.col("predicted_rul").alias("fitted"))
+    both = PipelineModel.load(path).transform(last).select("engine_id", "cycle", "predicted_rul").join(fitted, ["engine_id", "cycle"])
+    return both.select("engine_id", "cycle", (F.col("predicted_rul") == F.col("fitted")).alias("same"))
+
+
 @query("pluggable_scorer")
 def q_pluggable_scorer(spark, sf_dir):
     """Any vectorised scorer over window arrays, guarded before and after (L1)."""
