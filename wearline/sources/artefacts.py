@@ -49,6 +49,13 @@ def read_stats_object(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(m).alias("feature", "s")).select("feature", "s.*")
 
 
+def write_stats_object(stats: DataFrame, path: str) -> None:
+    """Feature statistics as one JSON object keyed by feature, in order of the names; its size is that of the feature list."""
+    values = F.struct("mean", "std", "min", "max")
+    entries = F.sort_array(F.collect_list(F.struct("feature", values.alias("s"))))
+    stats.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_report(metrics: DataFrame, per_engine: DataFrame, path: str) -> None:
     """Evaluation report: the metrics row and the per-engine rows as JSON lines.
 
@@ -64,6 +71,34 @@ def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
             spark.read.schema(REPORT_ROW_SCHEMA).json(f"{path}/per_engine"))
 
 
+METRIC_FIELDS = ("rmse", "mae", "nasa_score")
+REPORT_ROWS = "array<struct<engine_id: bigint, predicted_rul: double, actual_rul: double, abs_error: double>>"
+REPORT_SCHEMA = f"rmse double, mae double, nasa_score double, test_set_size bigint, per_engine_predictions {REPORT_ROWS}"
+
+
+def write_nested_report(metrics: DataFrame, per_engine: DataFrame, path: str, engines: int = 1000) -> None:
+    """Nested documents, one a line: the metrics and ``per_engine_predictions`` sorted by engine.
+
+    ``metrics`` is one row of ``METRIC_FIELDS`` and test_set_size. A document holds the engines of one range of ``engines`` ids, so a
+    fleet of up to that many gives one document and a larger one gives many, each of bounded size and
+    written by the task that gathers its range. Every document repeats the metrics; a fleet without rows has one with an empty array.
+    """
+    fields = [f.split()[0] for f in REPORT_ROW_SCHEMA.split(", ")]
+    row = metrics.select(*METRIC_FIELDS, "test_set_size").first()  # one row
+    head = [F.lit(row[m]).cast("double").alias(m) for m in METRIC_FIELDS] + [F.lit(row["test_set_size"]).cast("bigint").alias("test_set_size")]
+    block = F.floor((F.col("engine_id") - 1) / F.lit(engines))
+    docs = per_engine.select(*fields).groupBy(block.alias("block")).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("per_engine_predictions"))
+    if docs.isEmpty():
+        docs = per_engine.sparkSession.range(1).select(F.lit(0).alias("block"), F.array().cast(REPORT_ROWS).alias("per_engine_predictions"))
+    docs.orderBy("block").select(*head, "per_engine_predictions").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_report_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(metrics, per-engine rows) of nested documents, one a line; the metrics are one row a report."""
+    docs = spark.read.schema(REPORT_SCHEMA).json(path)
+    return docs.drop("per_engine_predictions").distinct(), docs.select(F.inline("per_engine_predictions"))
+
+
 def read_nested_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Read a nested single-document report (metrics + per_engine_predictions array)."""
     doc = spark.read.option("multiLine", True).json(path)
