@@ -1,6 +1,9 @@
 """Op 10 against the tokenizer library itself."""
 
+import json
+
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from wearline.llm import queries
@@ -9,8 +12,8 @@ from wearline.llm.token_counts import token_counts
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def brute(rows):
-    t = Tokenizer.from_file(FILE)
+def brute(rows, file=FILE):
+    t = Tokenizer.from_file(file)
     return sorted(((i, len((x or "").encode()), len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in rows), key=str)
 
 
@@ -33,3 +36,40 @@ def test_defined_cases(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, piece string, n_bytes long").repartition(3)
     assert got(token_counts(df, FILE)) == brute([(r[0], r[1]) for r in rows])
     assert token_counts(df.limit(0), FILE).count() == 0
+
+
+TEXTS = ["", None, "It's we'LL 'S 12345 ٣ !!?? ", "Cafe\u0301 CAFÉ  \n\t x", "é😀 　x\x85y\x1fz İstanbul", "zq" * 4_000, "ab " * 7_000, "a<|endoftext|> b",
+         "A<|ENDOFTEXT|>b", "<|startoftext|>x <|endoftext|>  y", "Hello, World! hello, world!", "\x00\x01 \ufeff", "日本語 テキスト 한국어"]
+
+
+def other_files(tmp_path):
+    """The second public file, and the first one with settings that change its pre-tokens."""
+    yield public_tokenizers.path("word_bpe_49k.json")
+    with open(FILE, encoding="utf-8") as f:
+        made = json.load(f)
+    changes = {"prefix": {"pre_tokenizer": made["pre_tokenizer"] | {"add_prefix_space": True}}, "lower": {"normalizer": {"type": "Lowercase"}},
+               "strip": {"added_tokens": [t | {"lstrip": True, "rstrip": True} for t in made["added_tokens"]]},
+               "cut": {"truncation": {"direction": "Right", "max_length": 5, "strategy": "LongestFirst", "stride": 0}}}
+    for name, change in changes.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(made | change), encoding="utf-8")
+        yield str(path)
+
+
+def test_other_kinds_of_files(spark, tmp_path):
+    rows = list(enumerate(TEXTS))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for file in other_files(tmp_path):
+        t = Tokenizer.from_file(file)
+        t.no_truncation()
+        want = sorted(((i, len((x or "").encode()), len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in rows), key=str)
+        assert got(token_counts(df, file)) == want, file
+
+
+def test_dropout_is_refused(spark, tmp_path):
+    with open(FILE, encoding="utf-8") as f:
+        made = json.load(f)
+    made["model"]["dropout"] = 0.1
+    (tmp_path / "dropout.json").write_text(json.dumps(made), encoding="utf-8")
+    with pytest.raises(ValueError, match="dropout"):
+        token_counts(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "dropout.json"))

@@ -1,4 +1,4 @@
-"""Token counts of a byte-level BPE tokenizer, without materialising ids.
+"""Token counts of a tokenizer file, without materialising ids.
 
 Merges never cross pre-tokens, so a document has the sum of its pre-tokens' counts.
 
@@ -15,6 +15,9 @@ characters whose classes all Unicode versions share (ASCII and Latin letters), e
 the library's own pre-tokenizer; both give the same pieces.
 
 Special strings inside a text are single tokens, as the library handles them by default.
+Files of another kind than plain byte-level BPE (a normaliser, another pre-tokenizer, special strings that
+take blanks along) are cut by the library's own normaliser and pre-tokenizer, and their texts with a special
+string are counted by the library as a whole. A file with dropout has no definite counts and is refused.
 The tokenizer file is a parameter; a task reads it from its own installation, or the
 file's content is broadcast (a fixed size).
 
@@ -24,6 +27,7 @@ a null id keeps its row; an empty table gives an empty result; extra columns are
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -57,17 +61,31 @@ def _alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(0x100 + hidden.index(b)) for b in range(256)]
 
 
+def _byte_level(made: dict) -> bool:
+    """Whether the published pattern and byte alphabet give the file's pre-tokens."""
+    cut = made.get("pre_tokenizer") or {}
+    takes_more = any(t.get(k) for t in made.get("added_tokens") or [] for k in ("lstrip", "rstrip", "single_word"))
+    return (cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+            and not made.get("normalizer") and not takes_more)
+
+
 class _Pieces:
     """Cuts texts into pre-tokens and counts the tokens of a pre-token."""
 
     def __init__(self, source: str):
         self.tokenizer = Tokenizer.from_str(source)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.byte_level = _byte_level(json.loads(source))
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.letters = _alphabet()
         self.cut = regex.compile(PATTERN).findall
         of = {c: b for b, c in enumerate(self.letters)}
         self.single: dict[str, int] = {}  # entries of the vocabulary, each counted when it is first met
+        if not self.byte_level:
+            self.single = dict.fromkeys(self.tokenizer.get_vocab(with_added_tokens=False), 0)
+            return
         for token in self.tokenizer.get_vocab(with_added_tokens=False):
             try:
                 self.single[bytes(of[c] for c in token).decode()] = 0
@@ -83,10 +101,14 @@ class _Pieces:
         return _MADE[key]
 
     def count(self, piece: str) -> int:
+        if not self.byte_level:
+            return len(self.tokenizer.model.tokenize(piece))
         return len(self.tokenizer.model.tokenize("".join([self.letters[b] for b in piece.encode()])))
 
     def of(self, text: str) -> tuple[Counter, int]:
         """Pre-tokens that aren't vocabulary entries, and the number of all other tokens."""
+        if not self.byte_level:
+            return self._of_any(text)
         parts = self.special.split(text) if self.special else [text]
         pieces: list[str] = []
         for part in parts:
@@ -94,7 +116,18 @@ class _Pieces:
                 pieces += self.cut(part)
             else:
                 pieces += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
-        found, known, single = Counter(pieces), len(parts) - 1, self.single
+        return self._split(Counter(pieces), len(parts) - 1)
+
+    def _of_any(self, text: str) -> tuple[Counter, int]:
+        normaliser, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        shown = normaliser.normalize_str(text) if normaliser else text
+        if self.special and (self.special.search(text) or self.special.search(shown)):
+            return Counter(), len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        pieces = [p for p, _ in cut.pre_tokenize_str(shown)] if cut else [shown]
+        return self._split(Counter(p for p in pieces if p), 0)
+
+    def _split(self, found: Counter, known: int) -> tuple[Counter, int]:
+        single = self.single
         for piece in [p for p in found if p in single]:
             if not single[piece]:
                 single[piece] = self.count(piece)
@@ -257,7 +290,10 @@ def token_counts(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", t
     spark = docs.sparkSession
     python_ready(spark)
     with open(tokenizer_file, encoding="utf-8") as f:  # the driver's installation; its content has a fixed size
-        source = spark.sparkContext.broadcast(f.read())
+        content = f.read()
+    if json.loads(content)["model"].get("dropout"):
+        raise ValueError(f"{tokenizer_file} has dropout, so its counts vary")
+    source = spark.sparkContext.broadcast(content)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     turned = texts.mapInArrow(_turn(source), "piece string, is_docs boolean, block long, packed binary")
     sums = turned.repartition("piece").sortWithinPartitions("piece").mapInArrow(
