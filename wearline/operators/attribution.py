@@ -74,22 +74,20 @@ def importance_baseline(window_rows: DataFrame, spec: FleetSpec, means: dict[str
     return raw.select(F.inline(F.array(*rows)))
 
 
-def window_attribution(window_rows: DataFrame, spec: FleetSpec, means: dict[str, list[float]]) -> DataFrame:
-    """Per window (engine_id): mean |phi| over steps, normalised per window.
-
-    Output long: engine_id, feature, pos, attribution.
-    """
+def wide_attribution(window_rows: DataFrame, spec: FleetSpec, means: dict[str, list[float]]) -> DataFrame:
+    """Per window (engine_id): mean |phi| over steps, normalised per window, a column a feature."""
     per = window_rows.groupBy("engine_id").agg(
         *[F.avg(F.abs(_phi(spec, means, f))).alias(f) for f in spec.features]
     )
     total = sum((F.col(f) for f in spec.features), F.lit(0.0))
     denom = F.greatest(total, F.lit(C.ATTRIBUTION_FLOOR))
-    rows = [
-        F.struct(F.lit(f).alias("feature"), F.lit(i + 1).cast("bigint").alias("pos"),
-                 (F.col(f) / denom).alias("attribution"))
-        for i, f in enumerate(spec.features)
-    ]
-    return per.select("engine_id", F.inline(F.array(*rows)))
+    return per.select("engine_id", *[(F.col(f) / denom).alias(f) for f in spec.features])
+
+
+def window_attribution(window_rows: DataFrame, spec: FleetSpec, means: dict[str, list[float]]) -> DataFrame:
+    """``wide_attribution`` as rows: engine_id, feature, pos, attribution."""
+    wide = wide_attribution(window_rows, spec, means)
+    return long_scores(wide, spec, {f: F.col(f) for f in spec.features}, name="attribution")
 
 
 def warning_score_columns(spec: FleetSpec, stats: dict, importance: dict, prefix: str = "") -> dict[str, Column]:
@@ -113,6 +111,16 @@ def long_scores(df: DataFrame, spec: FleetSpec, scores: dict[str, Column], name:
     return df.select("engine_id", F.inline(F.array(*rows)))
 
 
+def ranked_features(spec: FleetSpec, scores: dict[str, Column], name: str = "score") -> Column:
+    """All features of a row by falling score, ties in feature order: array of (rank, feature, pos, score).
+
+    Sorted within the row, so ranking needs no shuffle. NaN scores come first and nulls last, as in a descending sort.
+    """
+    items = [F.struct(scores[f].alias("s"), F.lit(-(i + 1)).alias("p"), F.lit(f).alias("f")) for i, f in enumerate(spec.features)]
+    return F.transform(F.sort_array(F.array(*items), asc=False), lambda x, i: F.struct(
+        (i + 1).cast("bigint").alias("rank"), x["f"].alias("feature"), (-x["p"]).cast("bigint").alias("pos"), x["s"].alias(name)))
+
+
 def top_feature(spec: FleetSpec, scores: dict[str, Column]) -> Column:
     """Feature with the highest score; ties go to the earlier feature.
 

@@ -58,7 +58,9 @@ class FleetRun:
 
     @property
     def train(self) -> DataFrame:
-        return self.labelled.filter(F.col("split") == "train")
+        """Labelled readings of the train engines; the range of ids reaches the scan, which skips other row groups."""
+        rows = self.rows.filter(F.col("engine_id").between(*self.ranges[0]))
+        return LB.label_train_rul(rows, self.spec.cap).withColumn("split", F.lit("train"))
 
     @derived
     def profile(self) -> dict[str, dict]:

@@ -609,10 +609,11 @@ ORACLE["explained_records"] = with_(
                   min(CASE WHEN rn = 1 THEN feature END) AS top1
                 FROM (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY attribution DESC, pos) AS rn FROM att) q
                 WHERE rn <= 3 GROUP BY engine_id)""",
+        f"aw AS (SELECT engine_id, {sql_list(f"max(CASE WHEN feature = '{f}' THEN attribution END) AS {f}" for f in F6)} FROM att GROUP BY engine_id)",
     ],
-    f"""SELECT g.engine_id, {r6('g.p')} AS predicted_rul, t3.top_features,
+    f"""SELECT g.engine_id, {r6('g.p')} AS predicted_rul, {sql_list(f"{r6(f'aw.{f}')} AS attribution_{f}" for f in F6)}, t3.top_features,
           {sentence_sql('g.engine_id', 'g.p', status_sql('g.p', False), 't3.top1')} AS nl_summary
-        FROM g JOIN t3 ON g.engine_id = t3.engine_id""",
+        FROM g JOIN t3 ON g.engine_id = t3.engine_id JOIN aw ON g.engine_id = aw.engine_id""",
 )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -520,13 +520,14 @@ def q_top_signal(spark, sf_dir):
     return last.select("engine_id", top.alias("feature"), A.display_name(run.spec, top).alias("signal"))
 
 
+def signal_ranks(run: FleetRun) -> DataFrame:
+    """(engine_id, ranked): every test engine's features ranked by warning score, within the engine's last reading."""
+    return W.last_reading(run.test_z).select("engine_id", A.ranked_features(run.spec, run.warning_scores(prefix="")).alias("ranked"))
+
+
 def ranked_signals(run: FleetRun) -> DataFrame:
-    """Every engine's features ranked by warning score, ties in feature order.
-    An engine has one row per feature, so the per-engine window is bounded."""
-    long = warning_long(run)
-    w = Window.partitionBy("engine_id").orderBy(F.col("score").desc(), F.col("pos"))
-    peak = F.max("score").over(Window.partitionBy("engine_id"))
-    return long.withColumn("rank", F.row_number().over(w).cast("bigint")).withColumn("peak", peak)
+    """``signal_ranks`` as rows, with the engine's highest score."""
+    return signal_ranks(run).select("engine_id", F.col("ranked")[0]["score"].alias("peak"), F.inline("ranked"))
 
 
 @query("top3_signals")
@@ -562,8 +563,8 @@ def q_signal_trend(spark, sf_dir):
     3 values by name, so readings are never exploded before a shuffle.
     """
     run = FleetRun(spark, sf_dir)
-    top3 = ranked_signals(run).filter(F.col("rank") <= 3).groupBy("engine_id").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "feature"))).alias("top3"))
+    top3 = signal_ranks(run).select("engine_id", F.transform(
+        F.slice("ranked", 1, 3), lambda x: F.struct(x["rank"].alias("rank"), x["feature"].alias("feature"))).alias("top3"))
     joined = join_lookup(run.test_z, top3, "engine_id")
     picked = joined.select("engine_id", "cycle", *run.features, F.inline("top3"))
     value = F.lit(None).cast("double")
@@ -594,24 +595,30 @@ def q_linear_attribution(spark, sf_dir):
     return finish(last_full_window_attribution(FleetRun(spark, sf_dir)))
 
 
-@query("explained_records")
-def q_explained_records(spark, sf_dir):
-    """Forecast, attribution top-3 and sentence with the top signal per engine (I8)."""
-    run = FleetRun(spark, sf_dir)
-    attr = last_full_window_attribution(run)
-    top3 = attr.groupBy("engine_id").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("attribution")).alias("a"), "pos", "feature"))), 1, 3).alias("t")
-    ).select("engine_id", F.transform("t", lambda x: x["feature"]).alias("top_features"))
+def explained_records(run: FleetRun) -> DataFrame:
+    """Per engine with a full window: forecast, ``attribution`` (map feature -> share), the three strongest features and the
+    sentence with the strongest (I8). Shares are ranked within the engine's row."""
+    rows = run.last_window_rows(run.test_z).filter(F.col("life") >= run.spec.window)
+    shares = A.wide_attribution(rows, run.spec, run.step_means)
+    columns = {f: F.col(f) for f in run.features}
+    explained = shares.select(
+        "engine_id", F.map_from_arrays(F.array(*[F.lit(f) for f in run.features]), F.array(*columns.values())).alias("attribution"),
+        F.transform(F.slice(A.ranked_features(run.spec, columns), 1, 3), lambda x: x["feature"]).alias("top_features"))
     win = forecast_windows(run.last_windows("skip"), run.spec)
-    j = win.select("engine_id", "predicted_rul").join(top3, "engine_id")
     p = F.col("predicted_rul")
     status = X.health_band(p)
-    top = F.col("top_features")[0]
-    return finish(j.select(
-        "engine_id", p.alias("predicted_rul"),
-        F.array_join("top_features", ",").alias("top_features"),
-        X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status), top).alias("nl_summary"),
-    ))
+    return win.select("engine_id", "predicted_rul").join(explained, "engine_id").select(
+        "engine_id", "predicted_rul", "attribution", "top_features",
+        X.maintenance_sentence(F.col("engine_id"), p, status, X.action_for(status), F.col("top_features")[0]).alias("nl_summary"))
+
+
+@query("explained_records")
+def q_explained_records(spark, sf_dir):
+    """The explained records with the attribution map as one column a feature (I8)."""
+    run = FleetRun(spark, sf_dir)
+    return finish(explained_records(run).select(
+        "engine_id", "predicted_rul", *[F.col("attribution")[f].alias(f"attribution_{f}") for f in run.features],
+        F.array_join("top_features", ",").alias("top_features"), "nl_summary"))
 
 
 # --------------------------------------------------------------------------
