@@ -169,7 +169,7 @@ ORACLE["fleet_health"] = with_(
         {status_sql('fc.p', True)} AS health_status,
         {r6(f'least(fc.p / {d(C.RUL_CAP)} * 100, 100)')} AS life_pct,
         {display_sql('top.feature')} AS top_signal,
-        {action_sql(status_sql('fc.p', True), True)} AS action
+        {action_sql(status_sql('fc.p', True), True)} AS action, CAST(NULL AS VARCHAR) AS reason
     FROM fc JOIN top ON fc.engine_id = top.engine_id""",
 )
 
@@ -509,7 +509,7 @@ ORACLE["scored_records"] = with_(
     f"""SELECT engine_id, {r6('p')} AS predicted_rul, {status_sql('p', False)} AS health_status,
           {r6(f'1 - least(abs(p) / {d(C.RUL_CAP)}, 1)')} AS confidence,
           {sentence_sql('engine_id', 'p', status_sql('p', False))} AS nl_summary,
-          flagged_features, any_flag FROM rec""",
+          flagged_features, any_flag, CAST(NULL AS VARCHAR) AS reason FROM rec""",
 )
 
 _n2, _names2, _any2 = flags_sql("z")
@@ -966,6 +966,24 @@ ORACLE["degradation_curve_faulty"] = with_(
         WHERE cycle >= {L}""",
 )
 
+_PF = forecast_sql(f"avg({fine('{f}')})")
+ORACLE["fleet_health_faulty"] = with_(
+    li_ctes() + li_importance_ctes() + [li_stats_cte()] + faulty_z("zf", "tlab") + [
+        f"""fc AS (SELECT engine_id, count(*) AS window_rows, bool_or({BAD_F6}) AS bad, CASE WHEN {_PF} < 0 THEN {d(0)} ELSE {_PF} END AS p
+            FROM zf WHERE cycle > life - {L} GROUP BY engine_id)""",
+        "lastz AS (SELECT * FROM zf WHERE cycle = life)",
+        f"ws AS ({warning_long_sql('lastz')})",
+        "top AS (SELECT engine_id, feature FROM (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY score DESC, pos) AS rn FROM ws) WHERE rn = 1)",
+    ],
+    f"""SELECT fc.engine_id, CAST(fc.window_rows AS BIGINT) AS window_rows, CASE WHEN NOT bad THEN {r6('fc.p')} END AS predicted_rul,
+        CASE WHEN NOT bad THEN {status_sql('fc.p', True)} END AS health_status,
+        CASE WHEN NOT bad THEN {r6(f'least(fc.p / {d(C.RUL_CAP)} * 100, 100)')} END AS life_pct,
+        CASE WHEN NOT bad THEN {display_sql('top.feature')} END AS top_signal,
+        CASE WHEN NOT bad THEN {action_sql(status_sql('fc.p', True), True)} END AS action,
+        CASE WHEN bad THEN '{C.BAD_READING}' END AS reason
+    FROM fc JOIN top ON fc.engine_id = top.engine_id""",
+)
+
 ORACLE["most_critical_faulty"] = with_(
     li_ctes() + faulty_z("zf", "tlab") + [
         f"""g AS (SELECT engine_id, {forecast_sql('avg({f})')} AS p FROM zf WHERE cycle > life - {L} GROUP BY engine_id

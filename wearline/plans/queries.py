@@ -44,11 +44,12 @@ def query(name: str):
 # --------------------------------------------------------------------------
 
 
-def health_cards(run: FleetRun) -> DataFrame:
+def health_cards(run: FleetRun, test: DataFrame | None = None) -> DataFrame:
     """Per engine: clamped forecast on its last (possibly partial) window, band,
-    life percent, strongest warning signal (display name) and action (I9)."""
+    life percent, strongest warning signal (display name) and action (I9). A window with a
+    bad reading has a ``reason`` and nothing else."""
     spec = run.spec
-    test_z = run.scaled(run.test)
+    test_z = run.scaled(run.test if test is None else test)
     win = W.last_window(test_z, spec, policy="partial", last=True)
     scored = forecast_windows(win, spec, clamp=True)
     scores = A.warning_score_columns(spec, run.stats, run.importance, prefix="last.")
@@ -59,8 +60,9 @@ def health_cards(run: FleetRun) -> DataFrame:
         "predicted_rul",
         status.alias("health_status"),
         X.life_percent(F.col("predicted_rul"), C.RUL_CAP).alias("life_pct"),
-        A.display_name(spec, A.top_feature(spec, scores)).alias("top_signal"),
+        F.when(F.col("reason").isNull(), A.display_name(spec, A.top_feature(spec, scores))).alias("top_signal"),
         X.action_for(status, upper=True).alias("action"),
+        "reason",
     )
 
 
@@ -69,6 +71,13 @@ def q_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(health_cards(FleetRun(spark, sf_dir)))
 
 
+@query("fleet_health_faulty")
+def q_fleet_health_faulty(spark, sf_dir):
+    """The cards of a fleet with planted faults."""
+    run = FleetRun(spark, sf_dir)
+    return finish(health_cards(run, with_faults(run.test)))
+
+
 # --------------------------------------------------------------------------
 # Labels and splits
 # --------------------------------------------------------------------------
@@ -445,6 +454,7 @@ def scored_records(run: FleetRun) -> DataFrame:
         fl["drift_flags"].alias("drift_flags"),
         fl["flagged"].alias("flagged"),
         fl["any_flag"].alias("any_flag"),
+        "reason",
     )
 
 
@@ -453,7 +463,7 @@ def q_scored_records(spark, sf_dir):
     rec = scored_records(FleetRun(spark, sf_dir))
     return finish(rec.select(
         "engine_id", "predicted_rul", "health_status", "confidence", "nl_summary",
-        F.array_join("flagged", ",").alias("flagged_features"), "any_flag",
+        F.array_join("flagged", ",").alias("flagged_features"), "any_flag", "reason",
     ))
 
 
