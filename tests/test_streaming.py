@@ -106,3 +106,31 @@ def test_a_retried_drift_batch_counts_once(spark, tmp_path):
         write(batch, epoch)
     got = spark.read.parquet(f"{tmp_path}/drift/batch-*").collect()
     assert sorted((r["epoch"], r["feature"], r["psi"], r["alarm"]) for r in got) == [(0, "value", 0.0, False), (1, "value", 0.0, False)]
+
+
+class _State:
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_engines_share_a_state_row_and_keep_their_own_windows():
+    rng, state, step = np.random.default_rng(2), _State(), ST._window_step(SPEC, {f: {"min": -1.0, "max": 1.0} for f in SPEC.features})
+    rows = pd.DataFrame({"engine_id": rng.integers(1, 9, 160), "ts_us": rng.integers(0, 60, 160), "event_id": rng.integers(0, 3, 160)})
+    for f in SPEC.features:
+        rows[f] = rows["ts_us"] * 0.05 + rows["event_id"] - 1.5 + rows["engine_id"] * 0.01
+    rows.loc[rows["engine_id"] == 5, "value"] = np.nan
+    got = {}
+    rows = rows.drop_duplicates(["engine_id", "ts_us", "event_id"])
+    for part in np.array_split(rows, 4):  # two chunks a micro-batch, out of order, every reading twice
+        for out in step((0,), (pd.concat([x, x]) for x in np.array_split(part, 2)), state):
+            got.update({int(r["engine_id"]): r for r in out.to_dict("records")})
+    once = rows.sort_values(["engine_id", "ts_us", "event_id"])
+    for e, g in once.groupby("engine_id"):
+        last, r = g.tail(SPEC.window), got.get(e)
+        assert r["n_seen"] == len(g) and r["last_ts_us"] == last["ts_us"].iloc[-1]
+        want = SPEC.bias + last["value"].mean() + 0.5 * last["k"].mean()
+        assert pd.isna(r["predicted_rul"]) if e == 5 else abs(r["predicted_rul"] - want) < 1e-9
+        assert r["any_flag"] == any(abs(last[f].iloc[-1]) > 1 for f in SPEC.features)
+    assert len(state.get[0]) == 8 * len(got) * SPEC.window  # eight bytes a reading held

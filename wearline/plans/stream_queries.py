@@ -96,7 +96,9 @@ def q_stream_scored_counters(spark, sf_dir):
     ranges = {r["feature"]: {"min": r["min"], "max": r["max"]} for r in narrow}
     scaled = ST.standardise_stream(ST.readings(part_stream(spark, f"{base}/in")), run.scaler, run.features)
     records = ST.run_available(ST.score_stream(scaled, run.spec, ranges), "scored")
-    arrived = spark.readStream.schema(spark.read.parquet(records).schema).option("maxFilesPerTrigger", 8).parquet(records)
+    # the files of one part, at most one a state partition, are one micro-batch
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrived = spark.readStream.schema(spark.read.parquet(records).schema).option("maxFilesPerTrigger", files).parquet(records)
     ts = F.timestamp_micros("last_ts_us")
     end = F.date_trunc("month", "ts") + F.make_interval(days=(part_of(F.col("ts")) + 1) * 5 + F.when(part_of(F.col("ts")) == PARTS - 1, 1).otherwise(0))
     arrived = arrived.withColumn("ts", ts).withColumn("latency_s", (F.unix_micros(end) - F.col("last_ts_us")) / F.lit(1e6))

@@ -7,7 +7,7 @@ read as TIMESTAMP_NTZ and are cast with the session zone set to UTC.
 K1 keeps, per engine, the last L readings in state (ordered by event time and
 id, so out-of-order delivery is tolerated) and the count of readings seen; a
 record is emitted whenever a full window changes. State per engine is bounded
-by L readings, so a hot engine costs one bounded state row, not its history.
+by L readings, so a hot engine costs its bounded share of a state row, not its history.
 """
 
 from __future__ import annotations
@@ -87,45 +87,57 @@ SCORED_SCHEMA = T.StructType([
 ])
 
 
-def _state_schema(k: int) -> T.StructType:
-    return T.StructType([
-        T.StructField("ts_us", T.ArrayType(T.LongType())),
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("vals", T.ArrayType(T.ArrayType(T.DoubleType()))),
-        T.StructField("n", T.LongType()),
-    ])
+GROUP_ENGINES = 64  # engines that share a state row, so a group's call and its state are paid once for all of them
+
+#: Per reading held: engine, time, id and features; per engine: the count of readings seen. Arrays as bytes.
+STATE_SCHEMA = T.StructType([T.StructField(c, T.BinaryType()) for c in ("held_by", "at", "vals", "engines", "n")])
 
 
 def _window_step(spec: FleetSpec, ranges: dict | None = None):
     L = spec.window
     feats = list(spec.features)
+    k = len(feats)
     w = np.array([spec.weight(f) for f in feats])
     if ranges is not None:
-        low, high = (np.array([ranges[f][k] for f in feats], dtype=float) for k in ("min", "max"))
+        low, high = (np.array([ranges[f][x] for f in feats], dtype=float) for x in ("min", "max"))
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        missing = pd.isna(key[0])  # the group of readings without an engine: one window
         if state.exists:
-            ts_us, ids, vals, n = state.get
-            at = np.array([list(ts_us), list(ids)], dtype=np.int64).T.reshape(-1, 2)
-            held = np.array(list(vals), dtype=float).reshape(len(at), len(feats))
+            by, at, held, engines, n = (np.frombuffer(x, t) for x, t in zip(state.get, (np.int64, np.int64, float, np.int64, np.int64), strict=True))
+            at, held = at.reshape(-1, 2), held.reshape(-1, k)
+            seen = dict(zip(engines.tolist(), n.tolist(), strict=True))
         else:
-            n, at, held = 0, np.zeros((0, 2), np.int64), np.zeros((0, len(feats)))
-        for new in pdfs:  # chunk by chunk: never more than a chunk and L readings at once
+            by, at, held, seen = np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros((0, k)), {}
+        changed = set()
+        for new in pdfs:  # chunk by chunk: never more than a chunk and L readings an engine at once
+            own = np.zeros(len(new), np.int64) if missing else new["engine_id"].to_numpy(dtype=np.int64)
+            before, by = len(by), np.concatenate([by, own])
             at = np.vstack([at, new[["ts_us", "event_id"]].to_numpy(dtype=np.int64)])
             held = np.vstack([held, new[feats].to_numpy(dtype=float)])
-            before = len(at) - len(new)
-            _, first = np.unique(at, axis=0, return_index=True)  # by time, then id; a reading held already wins
-            n += len(first) - before
-            first = first[-L:]
-            at, held = at[first], held[first]
-        state.update((at[:, 0].tolist(), at[:, 1].tolist(), held.tolist(), int(n)))
-        if len(at) == L:
-            ok = bool(np.isfinite(held).all())  # a bad reading gives no forecast
-            pred = float(spec.bias + held.mean(axis=0) @ w) if ok else None
-            record = {"engine_id": [int(key[0])], "n_seen": [int(n)], "last_ts_us": [int(at[-1, 0])],
-                      "predicted_rul": pd.Series([pred], dtype="float64" if ok else object)}
+            order = np.lexsort((at[:, 1], at[:, 0], by))  # by engine, time, then id; a reading held already wins
+            by, at = by[order], at[order]
+            fresh = np.ones(len(by), bool)
+            fresh[1:] = (by[1:] != by[:-1]) | (at[1:] != at[:-1]).any(axis=1)
+            for e, c in zip(*np.unique(by[fresh & (order >= before)], return_counts=True), strict=True):
+                seen[int(e)] = seen.get(int(e), 0) + int(c)
+            changed.update(own.tolist())
+            by, at, held = by[fresh], at[fresh], held[order][fresh]
+            left = np.searchsorted(by, by, side="right") - np.arange(len(by))
+            by, at, held = by[left <= L], at[left <= L], held[left <= L]
+        counts = np.array(list(seen.values()), np.int64)
+        state.update((by.tobytes(), at.tobytes(), held.tobytes(), np.array(list(seen), np.int64).tobytes(), counts.tobytes()))
+        engines, start, size = np.unique(by, return_index=True, return_counts=True)
+        full = (size == L) & np.isin(engines, list(changed))
+        if full.any():
+            window = held[start[full][:, None] + np.arange(L)]
+            ok = np.isfinite(window).all(axis=(1, 2))  # a bad reading gives no forecast
+            pred = spec.bias + window.mean(axis=1) @ w
+            record = {"engine_id": pd.Series(engines[full] if not missing else [None], dtype="Int64"), "n_seen": [seen[int(e)] for e in engines[full]],
+                      "last_ts_us": at[start[full] + L - 1, 0], "predicted_rul": pd.Series(pd.array(np.where(ok, pred, 0.0), "Float64")).mask(~ok)}
             if ranges is not None:  # of the last reading; NaN lies in no order, so it isn't flagged
-                record["any_flag"] = [bool(((held[-1] < low) | (held[-1] > high)).any())]
+                last = window[:, -1]
+                record["any_flag"] = ((last < low) | (last > high)).any(axis=1)
             yield pd.DataFrame(record)
 
     return step
@@ -133,14 +145,13 @@ def _window_step(spec: FleetSpec, ranges: dict | None = None):
 
 def score_stream(scaled_readings: DataFrame, spec: FleetSpec, ranges: dict | None = None) -> DataFrame:
     """Emit (engine_id, n_seen, last_ts_us, predicted_rul) when an engine's full window changes (K1).
-    With ``ranges`` (feature -> min, max) also ``any_flag``: the last reading leaves a range."""
+    With ``ranges`` (feature -> min, max) also ``any_flag``: the last reading leaves a range.
+
+    ``GROUP_ENGINES`` neighbouring ids share one state row of at most so many windows; each engine has its own window."""
     ship_package(scaled_readings.sparkSession)
-    src = scaled_readings.withColumn("ts_us", F.unix_micros("ts"))
+    src = scaled_readings.withColumn("ts_us", F.unix_micros("ts")).withColumn("_group", F.floor(F.col("engine_id") / GROUP_ENGINES))
     out = SCORED_SCHEMA if ranges is None else T.StructType([*SCORED_SCHEMA, T.StructField("any_flag", T.BooleanType())])
-    return src.groupBy("engine_id").applyInPandasWithState(
-        _window_step(spec, ranges), out, _state_schema(len(spec.features)), "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    return src.groupBy("_group").applyInPandasWithState(_window_step(spec, ranges), out, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
 # --- K2 / K3: stateless validation, quarantine and range flags ------------------
