@@ -163,3 +163,24 @@ def test_digests_are_read_in_chunks(spark, tmp_path, monkeypatch):
     TX.publish_checksums(spark, paths)
     assert {r.status for r in TX.checksum_manifest(spark, paths).collect()} == {"ok"}
     assert TX.list_files(spark, str(tmp_path), ".bin") == sorted(f"file:{tmp_path}/{n}" for n in names)
+
+
+def test_sidecars_are_read_and_written_by_the_tasks(spark, tmp_path, monkeypatch):
+    from wearline.sources import store
+
+    def driver(*_):
+        raise AssertionError("a call of the driver for each file")
+
+    for i in range(5):
+        (tmp_path / f"e={i}").mkdir()
+        (tmp_path / f"e={i}" / "a b.txt").write_text(str(i))
+    paths = TX.list_files(spark, str(tmp_path), suffix=".txt")
+    assert paths == [f"file:{tmp_path}/e={i}/a b.txt" for i in range(5)]
+    monkeypatch.setattr(store, "_exists", driver)
+    monkeypatch.setattr(TX, "write_sidecar", driver)
+    (tmp_path / "e=2" / "a b.txt.sha256").write_text("ABC  a b.txt")
+    TX.publish_checksums(spark, paths)
+    got = {r.path: (r.expected, r.status) for r in TX.checksum_manifest(spark, paths).collect()}
+    want = {p: hashlib.sha256(str(i).encode()).hexdigest() for i, p in enumerate(paths)}
+    assert got == {p: ("abc", "mismatch") if "e=2" in p else (h, "ok") for p, h in want.items()}
+    assert (tmp_path / "e=1" / "a b.txt.sha256").read_text() == f"{want[paths[1]]}  a b.txt\n"

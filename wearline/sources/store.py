@@ -65,7 +65,8 @@ def written_path(
     target = f"{root}/{uuid.uuid4().hex}"
     writer = build().write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # tasks move their own files into place: the marker below publishes, not the committer
+        writer = writer.partitionBy(*partition_by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     writer.format(fmt).save(target)
     _write_pointer(spark, pointer, target)
     return target

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator, Sequence
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pa_fs
@@ -88,16 +89,24 @@ def read_truth_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 CHUNK_BYTES = 4 << 20
 
 
+DIGESTS = "path string, actual string, n_bytes long, expected string"
+OPENS = r"(file|s3|gs|abfs|hdfs):|/"  # stores that Arrow opens
+
+
+def _opened(path: str) -> tuple[pa_fs.FileSystem, str]:
+    if re.match("file:|/", path):
+        return pa_fs.LocalFileSystem(), re.sub("^(file:)?/+", "/", path)
+    return pa_fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+
 def _digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """path -> SHA-256 of its bytes and their number, read in chunks: a task holds one chunk, whatever the file's size."""
+    """path -> SHA-256 of its bytes, their number and the first token of its sidecar (null if there is none). Files are
+    read in chunks: a task holds one chunk, whatever the file's size."""
     for b in batches:
         paths = b.column(0).to_pylist()
-        digests, sizes = [], []
+        digests, sizes, expected = [], [], []
         for path in paths:
-            if re.match("file:|/", path):
-                fs, name = pa_fs.LocalFileSystem(), re.sub("^(file:)?/+", "/", path)
-            else:
-                fs, name = pa_fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            fs, name = _opened(path)
             h, n = hashlib.sha256(), 0
             with fs.open_input_stream(name) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
@@ -105,51 +114,59 @@ def _digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     n += len(chunk)
             digests.append(h.hexdigest())
             sizes.append(n)
-        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(digests), pa.array(sizes, pa.int64())], ["path", "actual", "n_bytes"])
+            try:
+                with fs.open_input_stream(f"{name}.sha256") as stream:
+                    expected.append(re.split(r"[ \t\n\x0B\f\r]+", stream.read().decode("utf-8", "replace").strip(" "))[0].lower())
+            except FileNotFoundError:
+                expected.append(None)
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(digests, pa.string()), pa.array(sizes, pa.int64()),
+                                          pa.array(expected, pa.string())], ["path", "actual", "n_bytes", "expected"])
+
+
+def _dealt(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """One row a file, dealt over the tasks."""
+    ship_package(spark)
+    return spark.createDataFrame(rows, schema).repartition(min(len(rows), max(spark.sparkContext.defaultParallelism, len(rows) // 256)))
 
 
 def file_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, actual, n_bytes) of each file, one task per file or few.
+    """(path, actual, n_bytes, expected) of each file, ``expected`` from its sidecar; one task per file or few.
 
     Files of stores that Arrow opens are streamed; those of other Hadoop file systems go through
     Spark's ``binaryFile`` reader, which holds a file in one row (2 GiB at most).
     """
-    opens = [p for p in paths if re.match(r"(file|s3|gs|abfs|hdfs):|/", p)]
-    rest = [p for p in paths if p not in set(opens)]
-    out = spark.createDataFrame([], "path string, actual string, n_bytes long")
+    opens = [p for p in paths if re.match(OPENS, p)]
+    rest = [p for p in paths if not re.match(OPENS, p)]
+    out = spark.createDataFrame([], DIGESTS)
     if opens:
-        ship_package(spark)
-        listed = spark.createDataFrame([(p,) for p in opens], "path string")
-        listed = listed.repartition(min(len(opens), max(spark.sparkContext.defaultParallelism, len(opens) // 16)))
-        out = out.unionByName(listed.mapInArrow(_digest_files, "path string, actual string, n_bytes long"))
+        out = out.unionByName(_dealt(spark, [(p,) for p in opens], "path string").mapInArrow(_digest_files, DIGESTS))
     if rest:
-        out = out.unionByName(spark.read.format("binaryFile").load(rest).select(
-            "path", F.sha2("content", 256).alias("actual"), F.col("length").alias("n_bytes")))
+        data = spark.read.format("binaryFile").load(rest).select("path", F.sha2("content", 256).alias("actual"), F.col("length").alias("n_bytes"))
+        out = out.unionByName(data.withColumn("name", _plain(F.col("path"))).join(_sidecars(spark, rest), "name", "left").drop("name"))
     return out
 
 
+def _sidecars(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(name, expected) of the sidecars that exist."""
+    from .store import _exists
+
+    existing = [p for p in (f"{p}.sha256" for p in paths) if _exists(spark, p)]
+    if not existing:
+        return spark.createDataFrame([], "name string, expected string")
+    return spark.read.text(existing, wholetext=True).select(
+        _plain(F.regexp_replace(F.col("_metadata.file_path"), r"\.sha256$", "")).alias("name"),
+        F.lower(F.split(F.trim(F.col("value")), r"\s+")[0]).alias("expected"))
+
+
 def checksum_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, expected, actual, n_bytes, status) with status ok / missing / mismatch (A4).
 
     The digest is SHA-256 of the file bytes; the sidecar ``<file>.sha256`` holds
     it as its first token. Missing sidecar and mismatch are distinct outcomes.
     """
-    data = file_digests(spark, paths)
-    from .store import _exists
-
-    side_paths = [f"{p}.sha256" for p in paths]
-    existing = [p for p in side_paths if _exists(spark, p)]
-    if existing:
-        side = spark.read.text(existing, wholetext=True).select(
-            _plain(F.regexp_replace(F.col("_metadata.file_path"), r"\.sha256$", "")).alias("name"),
-            F.lower(F.split(F.trim(F.col("value")), r"\s+")[0]).alias("expected"),
-        )
-    else:
-        side = spark.createDataFrame([], "name string, expected string")
-    j = data.withColumn("name", _plain(F.col("path"))).join(side, "name", "left")
     status = (F.when(F.col("expected").isNull(), F.lit("missing"))
               .when(F.col("expected") == F.col("actual"), F.lit("ok")).otherwise(F.lit("mismatch")))
-    return j.select("path", "expected", "actual", "n_bytes", status.alias("status"))
+    return file_digests(spark, paths).select("path", "expected", "actual", "n_bytes", status.alias("status"))
 
 
 def _plain(path: Column) -> Column:
@@ -167,15 +184,29 @@ def verify_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
 
 
 def publish_checksums(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Write a ``<file>.sha256`` sidecar ("<hex>  <name>") next to every file
-    that has none; digests are computed in tasks, sidecars named by the driver (one line a file)."""
-    from .store import _exists
+    """Write a ``<file>.sha256`` sidecar ("<hex>  <name>") next to every file that has none."""
+    write_sidecars(spark, file_digests(spark, paths).filter("expected IS NULL").select("path", F.col("actual").alias("digest")))
 
-    missing = [p for p in paths if not _exists(spark, f"{p}.sha256")]
-    if not missing:
-        return
-    for r in file_digests(spark, missing).select("path", "actual").collect():
-        write_sidecar(spark, r.path, r.actual)
+
+def _write_sidecars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A sidecar per (path, digest), which appears by a rename; tells how many."""
+    for b in batches:
+        for path, digest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            fs, name = _opened(path)
+            folder, file = name.rsplit("/", 1)
+            draft = f"{folder}/_{uuid.uuid4().hex}.draft"
+            with fs.open_output_stream(draft) as out:
+                out.write(f"{digest}  {path.rsplit('/', 1)[-1]}\n".encode())
+            fs.move(draft, f"{folder}/{file}.sha256")
+        yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+
+def write_sidecars(spark: SparkSession, digests: DataFrame) -> None:
+    """The sidecars of (path, digest), written by the tasks where Arrow opens the store, else by the driver."""
+    ship_package(spark)
+    digests.filter(F.col("path").rlike(f"^({OPENS})")).mapInArrow(_write_sidecars, "n long").agg(F.sum("n")).collect()
+    for r in digests.filter(~F.col("path").rlike(f"^({OPENS})")).toLocalIterator():
+        write_sidecar(spark, r.path, r.digest)
 
 
 def write_sidecar(spark: SparkSession, path: str, digest: str) -> None:
@@ -190,13 +221,6 @@ def write_sidecar(spark: SparkSession, path: str, digest: str) -> None:
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
-    """Data files of a written table, also of its partition folders (driver-side listing of metadata only)."""
-    from .store import _fs
-
-    fs, jpath = _fs(spark, folder)
-    out, files = [], fs.listFiles(jpath, True)
-    while files.hasNext():
-        path = files.next().getPath()
-        if not path.getName().startswith(("_", ".")) and path.getName().endswith(suffix):
-            out.append(path.toString())
-    return sorted(out)
+    """Data files of a written table, also of its partition folders (names only, many folders are listed by tasks)."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(folder).inputFiles()
+    return sorted(re.sub("^file:/+", "file:/", unquote(p)) for p in found)
