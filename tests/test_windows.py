@@ -74,3 +74,22 @@ def test_running_sums_with_bad_readings_and_levels(spark):
         w, t = x[c - 12:c], np.arange(c - 11, c + 1)
         assert r.reason is None and r.b_std == 0.0 and abs(r.b_mean - 0.1) < 1e-12
         assert abs(r.a_mean - w.mean()) < 1e-8 and abs(r.a_std - w.std()) < 1e-8 and abs(r.a_slope - np.polyfit(t - t.mean(), w - 1e6, 1)[0]) < 1e-9
+
+
+def test_window_sums_sort_twice_and_are_dealt_by_rows(spark, monkeypatch):
+    import contextlib
+    import io
+
+    from wearline.config import FleetSpec
+    from wearline.operators import windows as W
+
+    spec = FleetSpec(name="t", features=("x",), window=4, weights={"x": 1.0}, block=8)
+    rows = spark.range(120).selectExpr("1 + id % 3 AS engine_id", "1 + id DIV 3 AS cycle", "CAST(pmod(id * 7, 11) AS DOUBLE) AS x")
+    want = sorted(map(tuple, W.window_features(rows, spec).collect()))
+    monkeypatch.setattr(W, "ROWS_PER_TASK", 10)
+    got = W.window_features(rows, spec)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 3 * 37
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        W.window_features(rows, spec).explain()
+    assert text.getvalue().count("Sort [") == 2 and ", 12), REPARTITION_BY_NUM" in text.getvalue()

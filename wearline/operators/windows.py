@@ -27,6 +27,16 @@ def _blocked(df: DataFrame, spec: FleetSpec) -> DataFrame:
     return df.withColumn("_home", home).withColumn("_blk", F.explode(blocks))
 
 
+ROWS_PER_TASK = 250_000  # a task's sorts and buffers stay of one size while the table grows
+
+
+def _dealt(df: DataFrame, blocked: DataFrame) -> DataFrame:
+    """``blocked`` by (engine, block) over as many tasks as its rows need; a small table is left to the planner."""
+    tasks = -(-df.count() // ROWS_PER_TASK)
+    few = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocked if tasks <= few else blocked.repartition(tasks, "engine_id", "_blk")
+
+
 def frame(spec: FleetSpec) -> Window:
     """The L-row frame ending at the current cycle, inside one (engine, block)."""
     return (
@@ -80,7 +90,7 @@ def frame_stats(df: DataFrame, spec: FleetSpec, stats: tuple[str, ...] = ("mean"
     whole = block.rowsBetween(*everything)
     segment = Window.partitionBy("engine_id", "_blk", "_seg").orderBy("cycle")
     good = {f: F.when(~not_finite(F.col(f)), F.col(f)) for f in feats}
-    d = _blocked(df, spec)
+    d = _dealt(df, _blocked(df, spec))
     d = d.select("*", (F.col("cycle") - F.first("cycle").over(whole)).alias("_i"),
                  *[F.first(good[f], ignorenulls=True).over(whole).alias(f"_c_{f}") for f in feats])
     d = d.select("*", F.floor(F.col("_i") / L).alias("_seg"), (F.col("_i") % L).alias("_j"), any_not_finite(feats).cast("long").alias("_bad"),
@@ -96,6 +106,8 @@ def frame_stats(df: DataFrame, spec: FleetSpec, stats: tuple[str, ...] = ("mean"
     upto, total = segment.rowsBetween(Window.unboundedPreceding, Window.currentRow), segment.rowsBetween(*everything)
     d = d.select("*", *[F.sum(c).over(upto).alias(f"_b_{k}") for k, c in sums.items()],
                  *[F.sum(c).over(total).alias(f"_t_{k}") for k, c in sums.items()])
+    # segments ascend with the cycle: this is the block's order by cycle, and the one the rows are sorted in already
+    block = Window.partitionBy("engine_id", "_blk").orderBy("_seg", "cycle")
     before = {k: F.lag(F.col(f"_t_{k}") - F.col(f"_b_{k}"), L).over(block) for k in sums}
     d = d.select("*", *[F.coalesce(c, F.lit(0)).alias(f"_a_{k}") for k, c in before.items()])
     d = d.filter((F.col("_blk") == F.col("_home")) & (F.col("cycle") >= L))
