@@ -184,3 +184,11 @@ def test_sidecars_are_read_and_written_by_the_tasks(spark, tmp_path, monkeypatch
     want = {p: hashlib.sha256(str(i).encode()).hexdigest() for i, p in enumerate(paths)}
     assert got == {p: ("abc", "mismatch") if "e=2" in p else (h, "ok") for p, h in want.items()}
     assert (tmp_path / "e=1" / "a b.txt.sha256").read_text() == f"{want[paths[1]]}  a b.txt\n"
+
+
+def test_positions_are_decided_by_all_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(TX, "FIRST_LINES", 2)
+    (tmp_path / "t.txt").write_text("1 1 NaN NaN\n1\t2  NaN\x0bNaN \n1 3 x 5.5\n1 4 NaN NaN 7\n")
+    got = TX.read_telemetry_text(spark, str(tmp_path / "t.txt"), names=("engine_id", "cycle", "a", "b")).orderBy("cycle")
+    assert [(r["cycle"], None if r["a"] is None or r["a"] != r["a"] else r["a"], r["b"]) for r in got.collect()] == [
+        (1, None, None), (2, None, None), (3, 5.5, None), (4, None, 7.0)]

@@ -14,14 +14,14 @@ def with_life(df: DataFrame, key: str = "engine_id", cycle: str = "cycle") -> Da
     """Attach ``life`` = the engine's last cycle.
 
     Fleet views already carry it. Otherwise it is a grouped max (partial
-    aggregation, so a hot engine costs one row per map task) joined back; the
-    join is left to AQE, which broadcasts the per-engine table when it is
-    measured small and splits a skewed engine's partition otherwise.
+    aggregation, so a hot engine costs one row per map task) joined back: broadcast
+    when measured small, so the readings are not shuffled for it, else left to AQE,
+    which splits a skewed engine's partition.
     """
     if "life" in df.columns:
         return df
     lives = df.groupBy(key).agg(F.max(cycle).cast("bigint").alias("life"))
-    return df.join(lives, key)
+    return join_lookup(df, lives, key)
 
 
 def label_train_rul(df: DataFrame, cap: float = C.RUL_CAP, out: str = "rul") -> DataFrame:

@@ -31,8 +31,12 @@ class ChecksumError(ValueError):
     """A file does not match its checksum sidecar."""
 
 
+FIRST_LINES = 200
+
+
 def _tokens(lines: DataFrame) -> DataFrame:
-    toks = F.filter(F.split(F.col("value"), r"\s+"), lambda x: x != "")
+    # white space to blanks first: a split at one plain character needs no pattern
+    toks = F.filter(F.split(F.translate("value", "\t\n\x0B\f\r", " " * 5), " "), lambda x: x != "")
     return lines.select("source", toks.alias("t")).filter(F.size("t") > 0)
 
 
@@ -43,7 +47,7 @@ def read_telemetry_text(spark: SparkSession, paths: str | Sequence[str],
     Columns missing (null or NaN) in every row are dropped; exactly
     ``len(names)`` must remain. ``engine_id``/``cycle`` become bigint (a value
     that is not a whole number becomes null and fails validation), the rest
-    double. One aggregate decides the width and the all-missing positions.
+    double. One aggregate decides the width and which positions that are missing in the first lines are so in all.
     Short rows are padded with null (and then fail validation). ``glob``
     restricts a folder to its data files (e.g. "*.txt", leaving sidecars out).
     """
@@ -51,10 +55,22 @@ def read_telemetry_text(spark: SparkSession, paths: str | Sequence[str],
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     lines = reader.text(paths).select(F.col("_metadata.file_path").alias("source"), "value")
     toks = _tokens(lines)
-    width = toks.agg(F.max(F.size("t"))).first()[0] or 0
-    vals = [F.get(F.col("t"), i).try_cast("double") for i in range(width)]
-    present = toks.agg(*[F.count_if(v.isNotNull() & ~F.isnan(v)).alias(f"p{i}") for i, v in enumerate(vals)]).first()
-    keep = [i for i in range(width) if present[f"p{i}"] > 0]
+
+    def value(i: int) -> Column:
+        return F.get(F.col("t"), i).try_cast("double")
+
+    def measured(rows: DataFrame, positions: Sequence[int]) -> tuple[int, set[int]]:
+        """The width, and those of ``positions`` that hold a value in some row."""
+        got = rows.agg(F.max(F.size("t")).alias("width"), *[F.count_if(value(i).isNotNull() & ~F.isnan(value(i))).alias(f"p{i}") for i in positions]).first()
+        return got["width"] or 0, {i for i in positions if got[f"p{i}"]}
+
+    first = toks.limit(FIRST_LINES)
+    near, _ = measured(first, [])
+    _, held = measured(first, range(near))
+    width, late = measured(toks, [i for i in range(near) if i not in held])  # all lines, positions not decided yet
+    held |= late | (measured(toks, range(near, width))[1] if width > near else set())
+    vals = [value(i) for i in range(width)]
+    keep = sorted(held)
     if len(keep) != len(names):
         raise DataLoadError(f"expected {len(names)} cols after NaN drop, got {len(keep)}")
     cols = []
