@@ -53,3 +53,14 @@ def test_notices_wrapped_over_lines(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, family string")
     got = {r["doc_id"]: [(x["line_no"], x["family"]) for x in r["licences"]] for r in license_scan(df).collect()}
     assert got == {i: [(3 if t.startswith("/*") else 2, f)] for i, (f, t) in enumerate(WRAPPED)}
+
+
+def test_the_fit_learns_from_all_lines(spark, monkeypatch):
+    from wearline.llm import license_scan as L
+
+    kept, real = {}, L.written
+    monkeypatch.setattr(L, "written", lambda df, name, *by: kept.setdefault(name, real(df, name, *by)))
+    rows = [(i, f"The end of the story.\nItem {i} of the list.\n\nx{i}") for i in range(3000)] + [(9000, "SPDX-License-Identifier: MIT\nMore of it.")]
+    license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert kept["licence-lines"].agg({"n": "sum"}).first()[0] == 9000  # the line beside the notice is left out
+    assert abs(kept["licence-training"].filter("y = 0 AND n > 100").agg({"weight": "sum"}).first()[0] - L.CORPUS_WEIGHT) < 1

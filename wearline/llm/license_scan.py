@@ -8,13 +8,12 @@ looked up in literal tables of a fixed size. Punctuation is no part of a word, s
 
 1. Paragraphs without ``CONFIRM`` percent of the pairs of any template are left out: no line of theirs has more.
 2. Training rows: templates, alone, with surrounding words and in halves, by licence
-   family; the class ``unknown`` is learned from everyday sentences about licences and from a
-   sample of the corpus's lines (about ``SAMPLE_LINES``, by a threshold on their hash), without those of step 1's
-   paragraphs.
+   family; the class ``unknown`` is learned from everyday sentences about licences and from all
+   lines of the corpus, without those of step 1's paragraphs; these lines together weigh ``CORPUS_WEIGHT`` rows at most.
 3. Sparse multinomial logistic regression (L1) in Spark ML; its weights (pairs x families) enter
    one projection as literals.
 4. Calibration, by family: a prediction counts only if its probability is above the ``QUANTILE`` of that family's
-   among the held-back ``unknown`` rows (0 for rows predicted otherwise) and above one half; all else is ``unknown``.
+   among the held-back ``unknown`` rows, the corpus's by their number (0 for rows predicted otherwise) and above one half; all else is ``unknown``.
 5. Confirmation: a predicted paragraph or line must hold ``CONFIRM`` percent of the pairs of a template of that family.
 6. Confirmed ones (few) are summed up by (id, hash of the text) and joined back to all rows. A whole paragraph has its
    first line's number and counts only where none of its lines has the same family.
@@ -36,7 +35,7 @@ from .common import documents, written
 
 UNKNOWN = "unknown"
 SLOTS = 1 << 16
-SAMPLE_LINES = 2_000
+CORPUS_WEIGHT = 2_000
 CONFIRM = 60
 QUANTILE = 0.99
 #: Line numbers are marked with private-use digits, which are no words, letters or digits.
@@ -201,29 +200,35 @@ class Model:
 
 
 def fit(spark: SparkSession, paragraphs: DataFrame) -> Model:
-    """Train on the templates, everyday sentences and a bounded sample of the lines of ``paragraphs``."""
+    """Train on the templates, everyday sentences and all lines of ``paragraphs`` that hold no notice.
+
+    Only the features of a line count, so lines with the same features are one row with their number. All of them
+    together weigh as much as ``CORPUS_WEIGHT`` rows, so the classes' balance does not hang on the corpus's size.
+    """
     known, everyday = _training()
-    fixed = spark.createDataFrame(known + everyday, "line string, y int, held boolean").coalesce(1)
+    fixed = _found(spark, spark.createDataFrame(known + everyday, "line string, y int, held boolean").coalesce(1))
+    fixed = fixed.groupBy("f", "y", "held").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.col("n").cast("double"))
     lines = F.filter(F.transform(_lines(F.col("paragraph")), _unmarked), lambda x: (F.char_length(x) > 0) & ~x.rlike(
         "(?i)licen[cs]|copyright|redistribut|spdx|cc ?by|public domain|rights"))
-    n = paragraphs.agg(F.sum(F.size(lines))).first()[0]
-    share = SAMPLE_LINES / max(1, n or 0)  # a threshold on the hash: no sort, and a repeated line counts once
-    chosen = F.filter(lines, lambda x: F.pmod(F.xxhash64(x), F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40)))
-    chosen = paragraphs.select(F.explode(chosen).alias("plain"), F.col("paragraph").alias("line"))
-    notice = F.greatest(*_shares()) >= CONFIRM  # of the whole paragraph: a line may hold just a part of its notice
-    sample = _found(spark, chosen).groupBy(F.col("plain").alias("line")).agg(F.max(notice).alias("notice")).filter("NOT notice")
-    sample = sample.select("line", F.lit(0).alias("y"), (F.pmod(F.xxhash64("line"), F.lit(3)) == 0).alias("held"))
-    rows = _found(spark, fixed.unionByName(sample)).select("f", "y", "held")
-    rows = written(rows.coalesce(1), "licence-training")
+    # of the whole paragraph: a line may hold just a part of its notice
+    found = _found(spark, paragraphs.select(F.col("paragraph").alias("line"), lines.alias("lines")))
+    notice = (F.size("f") > 1) & (F.greatest(*_shares()) >= CONFIRM)
+    plain = _only(found.select("lines", notice.alias("notice")), lambda x: ~x["notice"]).select(F.explode("lines").alias("line"))
+    sample = _found(spark, plain).groupBy("f", (F.pmod(F.xxhash64("line"), F.lit(3)) == 0).alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    sample = written(sample, "licence-lines")
+    total = sample.agg(F.sum("n")).first()[0] or 0
+    sample = sample.select("f", F.lit(0).alias("y"), "held", "n", (F.col("n") * F.lit(min(1.0, CORPUS_WEIGHT / max(1, total)))).alias("weight"))
+    rows = fixed.select("f", "y", "held", "n", "weight").unionByName(sample)
+    rows = written(rows, "licence-training")
     vector = array_to_vector(F.transform(F.sequence(F.lit(1), F.lit(len(FEATURES))),
                                          lambda i: F.array_contains("f", i).cast("double")))
-    train = rows.filter("NOT held").select(vector.alias("features"), F.col("y").cast("double").alias("label"))
-    lr = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=1.0, maxIter=60, standardization=False)
+    train = rows.filter("NOT held").select(vector.alias("features"), F.col("y").cast("double").alias("label"), "weight")
+    lr = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=1.0, maxIter=60, standardization=False)
     got = lr.fit(train.cache())
     train.unpersist()
     model = Model(got.coefficientMatrix.toArray().tolist(), [float(x) for x in got.interceptVector], [0.5] * len(FAMILIES))
     scored = model.score(rows.filter("held AND y = 0"))
-    high = scored.agg(*[F.percentile(F.when(F.col("best") == i, F.col("p")).otherwise(0.0), F.lit(QUANTILE)) for i in range(len(FAMILIES))]).first()
+    high = scored.agg(*[F.percentile(F.when(F.col("best") == i, F.col("p")).otherwise(0.0), F.lit(QUANTILE), F.col("n")) for i in range(len(FAMILIES))]).first()
     model.thresholds = [max(0.5, x or 0.0) for x in high]
     return model
 
