@@ -74,3 +74,21 @@ def test_gbt_waits_for_its_patience(spark, wins):
     assert len(curve) == 12 and model.stages[-1].getNumTrees == ML.best_round(curve, 4)
     assert ML.training_curve(model, wins.filter("is_val"), SPEC) == curve[:model.stages[-1].getNumTrees]
     assert ML.predict(model, wins, SPEC).filter("predicted_rul IS NULL").isEmpty()
+
+
+def test_curve_of_all_rounds_in_one_pass(spark, wins):
+    val = wins.filter("is_val").persist()
+    model = ML.fit_forecaster(wins.filter("NOT is_val"), SPEC, kind="gbt", validation=None, max_iter=12)
+    want = model.stages[-1].evaluateEachIteration(model.stages[0].transform(val), "squared")
+    sc = spark.sparkContext
+    sc.setJobGroup("curve", "curve")
+    try:
+        got = ML.training_curve(model, val, SPEC)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("curve"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        val.unpersist()
+    assert [i for i, _ in got] == list(range(1, 13)) and np.allclose([v for _, v in got], want, rtol=1e-9)
+    assert jobs < 6  # was a job per round
+    with pytest.raises(ValueError, match="no row"):
+        ML.training_curve(model, val.limit(0), SPEC)

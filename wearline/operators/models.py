@@ -44,8 +44,10 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
     improvement; with ``patience``: after so many, back to the best round). Seeded (I1).
 
     The estimators pass over their input several times (statistics, splits,
-    iterations), so the window features are persisted (memory and disk,
-    recomputed from lineage if an executor is lost) for the fit only.
+    iterations), so the window features are persisted (recomputed from lineage
+    if an executor is lost) for the fit only, before they are tested: a test on
+    their expressions would compute each several times. Boosting holds its own binned rows
+    in memory, so its window features, read a few times, stay on disk.
     """
     cols = summary_columns(spec)
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
@@ -63,7 +65,9 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
         est = GBTRegressor(**params)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    data = data.filter(~any_not_finite(cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    level = StorageLevel.DISK_ONLY if kind == "gbt" else StorageLevel.MEMORY_AND_DISK
+    held = data.select(*dict.fromkeys([*cols, label, *([validation] if validation else [])])).persist(level)
+    data = held.filter(~any_not_finite(cols))
     try:
         if kind != "gbt" or not validation or patience is None:
             return Pipeline(stages=[asm, est]).fit(data)
@@ -73,7 +77,7 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
         rounds = best_round(training_curve(model, data.filter(F.col(validation)), spec, label), patience)
         return PipelineModel([model.stages[0], _first_rounds(model.stages[1], rounds)])
     finally:
-        data.unpersist()
+        held.unpersist()
 
 
 def best_round(curve: list[tuple[int, float]], patience: int) -> int:
@@ -114,8 +118,40 @@ def training_curve(model: PipelineModel, val: DataFrame, spec: FleetSpec, label:
     if hasattr(stage, "summary") and hasattr(stage.summary, "objectiveHistory"):
         return [(i + 1, float(v)) for i, v in enumerate(stage.summary.objectiveHistory)]
     assembled = model.stages[0].transform(val.filter(~any_not_finite(summary_columns(spec))))
-    losses = stage.evaluateEachIteration(assembled, "squared")
-    return [(i + 1, float(v)) for i, v in enumerate(losses)]
+    return boosting_curve(stage, assembled, label)
+
+
+def boosting_curve(model: GBTRegressionModel, rows: DataFrame, label: str) -> list[tuple[int, float]]:
+    """(trees, mean squared error of the first so many trees), in one pass over ``rows`` (with the feature vector).
+
+    Each task sums up its rows; the sums of the tasks (a row of one number per tree each) are added in their order.
+    """
+    ship_package(rows.sparkSession)
+    features, weights = model.getFeaturesCol(), np.array(model.treeWeights)
+    names = [f"_tree_{i}" for i in range(len(weights))]
+    rows = rows.select(F.col(label).cast("double").alias("_label"), features)
+    for name, tree in zip(names, model.trees, strict=True):
+        rows = tree.copy({tree.featuresCol: features, tree.predictionCol: name}).transform(rows)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        n, total = 0, np.zeros(len(weights))
+        for b in batches:
+            trees = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(weights))
+            err = np.cumsum(trees * weights, axis=1) - b.column(0).to_numpy(zero_copy_only=False)[:, None]
+            n, total = n + b.num_rows, total + (err * err).sum(axis=0)
+        if n:
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([n]), pa.array([total.tolist()])], ["task", "n", "total"])
+
+    parts = rows.select("_label", F.array(*names).alias("trees")).mapInArrow(run, "task int, n long, total array<double>").collect()
+    if not parts:
+        raise ValueError("no row to evaluate the rounds on")
+    parts = sorted(parts)
+    n = sum(r["n"] for r in parts)
+    return [(i + 1, float(v) / n) for i, v in enumerate(sum(np.array(r["total"]) for r in parts))]
 
 
 def save_forecaster(model: PipelineModel, path: str) -> None:

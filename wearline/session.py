@@ -17,6 +17,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles a method of more bytecode than this: such stages run faster without whole-stage codegen
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
