@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..config import BAD_READING
 from ..functions.scalar import any_not_finite, is_missing
 from ..sources.store import _exists
-from .models import ModelNotFoundError, best_round
+from .models import ModelNotFoundError, best_round, boosting_curve
 
 KINDS = {"linear": LinearRegressionModel, "gbt": GBTRegressionModel}
 VECTOR = "_features"
@@ -80,7 +80,10 @@ class WindowForecaster(Estimator, _ForecasterParams, DefaultParamsReadable, Defa
         self._check(dataset)
         usable = ~any_not_finite(self.getOrDefault("featureCols")) & ~is_missing(F.col(label).cast("double"))
         held = F.coalesce(F.col(val), F.lit(False)) if val else F.lit(False)
-        rows = self._assembled(dataset.filter(usable).withColumn("_held", held)).select(VECTOR, label, "_held").persist(StorageLevel.MEMORY_AND_DISK)
+        # persisted before they are tested: a test on the features' expressions would compute each several times
+        level = StorageLevel.DISK_ONLY if kind == "gbt" else StorageLevel.MEMORY_AND_DISK
+        kept = dataset.withColumn("_held", held).select(*dict.fromkeys([*self.getOrDefault("featureCols"), label]), "_held").persist(level)
+        rows = self._assembled(kept.filter(usable)).select(VECTOR, label, "_held")
         try:
             train = rows.filter("NOT _held")
             if train.isEmpty():
@@ -91,13 +94,12 @@ class WindowForecaster(Estimator, _ForecasterParams, DefaultParamsReadable, Defa
             fitted = GBTRegressor(**common, maxDepth=4, stepSize=0.2, seed=self.getOrDefault("seed")).fit(train)
             rounds, chosen_by = fitted.getNumTrees, rows.filter("_held")
             if not chosen_by.isEmpty():
-                losses = fitted.evaluateEachIteration(chosen_by, "squared")
-                rounds = best_round([(i + 1, float(v)) for i, v in enumerate(losses)], self.getOrDefault("patience"))
+                rounds = best_round(boosting_curve(fitted, chosen_by, label), self.getOrDefault("patience"))
             model = self._copyValues(WindowForecasterModel(fitted))
             model._set(rounds=rounds)
             return model
         finally:
-            rows.unpersist()
+            kept.unpersist()
 
 
 class WindowForecasterModel(Model, _ForecasterParams, MLReadable, MLWritable):

@@ -892,6 +892,7 @@ def q_forecaster_saved(spark, sf_dir):
     model = Pipeline(stages=[stage]).fit(wins.drop("reason"))
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
     model.save(path)
+    last = last.checkpoint()  # one row per engine, read by both models
     fitted = model.transform(last).select("engine_id", "cycle", F.col("predicted_rul").alias("fitted"))
     both = PipelineModel.load(path).transform(last).select("engine_id", "cycle", "predicted_rul").join(fitted, ["engine_id", "cycle"])
     return both.select("engine_id", "cycle", (F.col("predicted_rul") == F.col("fitted")).alias("same"))
