@@ -64,3 +64,15 @@ def test_the_fit_learns_from_all_lines(spark, monkeypatch):
     license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
     assert kept["licence-lines"].agg({"n": "sum"}).first()[0] == 9000  # the line beside the notice is left out
     assert abs(kept["licence-training"].filter("y = 0 AND n > 100").agg({"weight": "sum"}).first()[0] - L.CORPUS_WEIGHT) < 1
+
+
+def test_the_texts_are_cut_once(spark, monkeypatch):
+    from wearline.llm import license_scan as L
+
+    cut, real = [], L.written
+    monkeypatch.setattr(L, "written", lambda df, name, *by: (cut.append((name, "rem|dnl" in df._jdf.queryExecution().optimizedPlan().toString())), real(df, name, *by))[1])
+    rows = [(1, "Released under the MIT License.\n\nThe end of the story."), (1, "Released under the MIT License.\n\nThe end of the story."), (None, "x")]
+    got = license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [name for name, cuts in cut if cuts] == ["licence-paragraphs"]  # training and scan read what this step wrote
+    assert "rem|dnl" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((str(r["doc_id"]), [x["family"] for x in r["licences"]]) for r in got.collect()) == [("1", ["MIT"]), ("1", ["MIT"]), ("None", [])]

@@ -199,22 +199,40 @@ class Model:
         return df.withColumn("p", F.lit(1.0) / F.aggregate("e", F.lit(0.0), lambda a, x: a + x)).drop("z", "e")
 
 
-def fit(spark: SparkSession, paragraphs: DataFrame) -> Model:
-    """Train on the templates, everyday sentences and all lines of ``paragraphs`` that hold no notice.
+def _read(spark: SparkSession, paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One pass over the paragraphs: the lines of those without a notice, for ``fit``, and the others.
 
-    Only the features of a line count, so lines with the same features are one row with their number. All of them
-    together weigh as much as ``CORPUS_WEIGHT`` rows, so the classes' balance does not hang on the corpus's size.
+    Only the features of a line count there, so lines with the same features are one row (f, held) with their number.
+    The others are rows of doc_id, key and paragraph.
     """
-    known, everyday = _training()
-    fixed = _found(spark, spark.createDataFrame(known + everyday, "line string, y int, held boolean").coalesce(1))
-    fixed = fixed.groupBy("f", "y", "held").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.col("n").cast("double"))
     lines = F.filter(F.transform(_lines(F.col("paragraph")), _unmarked), lambda x: (F.char_length(x) > 0) & ~x.rlike(
         "(?i)licen[cs]|copyright|redistribut|spdx|cc ?by|public domain|rights"))
     # of the whole paragraph: a line may hold just a part of its notice
-    found = _found(spark, paragraphs.select(F.col("paragraph").alias("line"), lines.alias("lines")))
+    found = _found(spark, paragraphs.withColumn("line", F.col("paragraph")))
     notice = (F.size("f") > 1) & (F.greatest(*_shares()) >= CONFIRM)
-    plain = _only(found.select("lines", notice.alias("notice")), lambda x: ~x["notice"]).select(F.explode("lines").alias("line"))
-    sample = _found(spark, plain).groupBy("f", (F.pmod(F.xxhash64("line"), F.lit(3)) == 0).alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    found = found.select("doc_id", "key", "paragraph", notice.alias("notice"))
+    none = F.lit(None)
+    whole = F.struct(F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("paragraph").alias("paragraph"), F.lit("").alias("line"))
+    plain = F.transform("lines", lambda x: F.struct(none.cast(found.schema["doc_id"].dataType).alias("doc_id"), none.cast("long").alias("key"),
+                                                    none.cast("string").alias("paragraph"), x.alias("line")))
+    # the lines of a notice's paragraph are left out of the training rows, and not cut
+    found = found.withColumn("lines", F.when(~F.col("notice"), lines).otherwise(F.array().cast("array<string>")))
+    # the outer form: for the plain one the optimizer adds a test of the array, which computes all of it again
+    units = found.select(F.explode_outer(F.when(F.col("notice"), F.array(whole)).otherwise(plain)).alias("unit")).filter("unit IS NOT NULL").select("unit.*")
+    units = _found(spark, units.withColumn("held", F.pmod(F.xxhash64("line"), F.lit(3)) == 0))
+    both = units.groupBy("doc_id", "key", "paragraph", "f", "held").agg(F.count(F.lit(1)).alias("n"))
+    both = written(both, "licence-paragraphs")
+    return both.filter("paragraph IS NULL").select("f", "held", "n"), both.filter("paragraph IS NOT NULL").select("doc_id", "key", "paragraph")
+
+
+def fit(spark: SparkSession, sample: DataFrame) -> Model:
+    """Train on the templates, everyday sentences and all lines of the corpus that hold no notice (``sample``, see ``_read``).
+
+    All lines together weigh as much as ``CORPUS_WEIGHT`` rows, so the classes' balance does not hang on the corpus's size.
+    """
+    known, everyday = _training()
+    fixed = _found(spark, spark.createDataFrame(known + everyday, "line string, y int, held boolean").coalesce(1))
+    fixed = fixed.groupBy("f", "y", "held").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.col("n").cast("double"))
     sample = written(sample, "licence-lines")
     total = sample.agg(F.sum("n")).first()[0] or 0
     sample = sample.select("f", F.lit(0).alias("y"), "held", "n", (F.col("n") * F.lit(min(1.0, CORPUS_WEIGHT / max(1, total)))).alias("weight"))
@@ -238,10 +256,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("text"))
-    paragraphs = _paragraphs(rows)
-    model = fit(spark, paragraphs)
-    found = _only(_found(spark, paragraphs.withColumnRenamed("paragraph", "line")), lambda x: F.size(x["f"]) > 1)
-    found = found.filter(F.greatest(*_shares()) >= CONFIRM).select("doc_id", "key", F.col("line").alias("paragraph"))
+    sample, found = _read(spark, _paragraphs(rows))
+    model = fit(spark, sample)
     number = F.translate(F.regexp_extract("line", f"^\n?([{MARKED}]+){END}", 1), MARKED, DIGITS).cast("int")
     whole = F.when(F.size(_lines(F.col("paragraph"))) > 1, F.array("paragraph")).otherwise(F.array().cast("array<string>"))
     units = F.concat(F.transform(_lines(F.col("paragraph")), lambda x: F.struct(x.alias("line"), F.lit(False).alias("whole"))),
