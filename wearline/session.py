@@ -19,6 +19,8 @@ PLAN_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # HotSpot never compiles a method of more bytecode than this: such stages run faster without whole-stage codegen
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # a batch for Python is cut by its bytes, not only by its rows: long texts, blocks and sets come in small batches
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
