@@ -163,3 +163,12 @@ def test_folded_parities_bound_the_difference():
             q = q[:len(p)] ^ q[len(p):]
         apart = sum(int(v).bit_count() for v in (p ^ q).view(np.uint64))
         assert 0.6 * (a + b - 2 * both) < apart <= a + b - 2 * both
+
+
+def test_the_finer_index_has_fewer_rows_than_shingles():
+    sizes = np.arange(40, 2_000, 37)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    s = np.random.default_rng(2).integers(0, 2**63, len(doc), dtype=np.uint64)
+    d, sig, _ = prefixes(doc, s[np.lexsort((s, doc))], len(sizes), band_starts(2_000, FINE_RATIO), (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    rows = np.bincount(d, minlength=len(sizes))
+    assert (rows > sizes // 9).all() and (rows <= 6 * sizes // 10 + 4).all()

@@ -23,9 +23,9 @@ Such sets differ in at most k = (|A| + |B|) / 9 shingles, and |B| <= 5/4 |A|.
    Where the pairs of a signature's documents cost less than indexing their shingles (a pair
    counts as ``PAIR_ROWS`` index rows), all pairs across are verified. The
    documents of the other, crowded signatures (sharing much, yet not enough) are indexed once more among
-   themselves, by single shingles: per narrow pair of bands the rarest ones of each set, of
-   which linked partners share at least one. Their pairs across are verified too, so no link
-   between components is lost.
+   themselves, by single shingles: the rarest ones of each set, of which linked partners share at
+   least one, about half as many rows as the set has shingles. Their pairs across are verified
+   too, so no link between components is lost.
 5. Verification: sizes and parities of two to four bits a shingle rule pairs out (they bound the
    difference from below), then the two shingle sets are intersected in full.
 
@@ -59,8 +59,8 @@ CHANCE = 0.002
 SLOTS = 1 << 23
 STAR_SHARE = 5
 PAIR_ROWS = 16
-FINE_RATIO = 1.05
-ANY, UPPER, LOWER = 0, 1, 2  # roles in an index: two UPPER or two LOWER meet in another one
+FINE_RATIO = 1.25
+ANY, UPPER, LOWER = 0, 1, 2  # roles in an index: two UPPER or two LOWER meet elsewhere; LOWER is the smaller one
 
 
 def band_starts(largest: int, ratio: float = BAND_RATIO) -> list[int]:
@@ -121,32 +121,30 @@ def prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: t
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, signature, role) rows of single shingles: the rarest ones that any linked partner must meet.
 
-    For each pair of narrow bands, sets of s and at least t shingles link only with 4/9 (s + t) in
-    common, so they share one of the s - 4/9 (s + t) + 1 rarest of either.
+    Sets of s and at least t shingles link only with 4/9 (s + t) in common, so they share one of the
+    s - 4/9 (s + t) + 1 rarest of either. The smaller set of a pair (LOWER) has one list, under its band; the
+    larger one (UPPER) a list for every band where a smaller partner can lie: with bands of 5/4, its own and the one below.
     """
     size = np.bincount(doc, minlength=n)
     edges = np.array(starts)
     own = np.searchsorted(edges, size, "right") - 1
-    last = len(edges) - 2
     first = np.cumsum(size) - size
     order = np.lexsort((s, _costs(s, costs), doc))
     x = s[order]
     rank = np.arange(len(x)) - first[doc]
-    out = []
     # bands are cut at whole sizes, so how many lie between linked sizes follows from the edges, not from the ratio
-    farthest = int((np.searchsorted(edges, 5 * (edges[1:] - 1) // 4, "right") - 1 - np.arange(last + 1)).max())
-    for apart in range(1 + farthest):
-        for upper in (False, True) if apart else (False,):
-            other = own - apart if upper else own + apart
-            ok = (size > 0) & (other >= 0) & (other <= last)
-            least = np.maximum(edges[np.clip(other, 0, last)], -(-4 * size // 5))
-            ok &= (least <= edges[np.clip(other, 0, last) + 1] - 1) & (4 * least <= 5 * size)
-            keep = np.where(ok, size - -(-4 * (size + least) // 9) + 1, 0)
-            low = own - apart if upper else own
-            take = rank < keep[doc]
-            d = doc[take]
-            sig = mix(x[take] ^ mix((low[d] * 64 + apart).astype(np.uint64), 9), 10)
-            out.append((d, sig, np.full(len(d), (UPPER if upper else LOWER) if apart else ANY, np.int8)))
+    farthest = int((np.searchsorted(edges, 5 * (edges[1:] - 1) // 4, "right") - 1 - np.arange(len(edges) - 1)).max())
+    lists = [(LOWER, own, size)] + [(UPPER, own - apart, np.maximum(edges[np.maximum(own - apart, 0)], -(-4 * size // 5))) for apart in range(1 + farthest)]
+    out = []
+    for role, band, least in lists:  # ``least``: of the partner's size
+        ok = (size > 0) & (band >= 0)
+        if role == UPPER:
+            ok &= least <= np.minimum(size, edges[np.clip(band + 1, 0, len(edges) - 1)] - 1)
+        keep = np.where(ok, size - -(-4 * (size + least) // 9) + 1, 0)
+        take = rank < keep[doc]
+        d = doc[take]
+        sig = mix(x[take] ^ mix(band[d].astype(np.uint64), 9), 10)
+        out.append((d, sig, np.full(len(d), role, np.int8)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -471,7 +469,10 @@ def _star(rows: DataFrame, least: bool) -> DataFrame:
 def _across(rows: DataFrame) -> DataFrame:
     """Per signature, the documents of different components against each other (of one role, ANY only)."""
     other = rows.select("sig", F.col("doc_id").alias("v"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("role").alias("part"))
-    meet = (F.col("label") > F.col("other")) & _near("n", "m") & ((F.col("role") == ANY) | (F.col("role") != F.col("part")))
+    role, part = F.col("role"), F.col("part")
+    roles = ((role == ANY) | (part == ANY) | ((role == LOWER) & (part == UPPER) & (F.col("n") <= F.col("m")))
+             | ((role == UPPER) & (part == LOWER) & (F.col("n") >= F.col("m"))))
+    meet = (F.col("label") > F.col("other")) & _near("n", "m") & roles
     return rows.join(other, "sig").filter(meet).select(F.col("doc_id").alias("u"), "v").distinct()
 
 
