@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from wearline.llm import collocations as C
@@ -115,3 +117,50 @@ def test_double_array(n, width, values):
     held = {r.tobytes() for r in keys}
     for r in rng.integers(0, values, (3_000, width)).astype(np.uint8):
         assert (walk(r) is not None) == (r.tobytes() in held)
+
+
+class Held:
+    """A broadcast's value."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_hashes_are_summed_over_the_blocks_of_a_task():
+    rng, blocks = np.random.default_rng(4), []
+    for _ in range(12):  # blocks that share most pairs
+        texts = [" ".join(f"w{i}" for i in rng.integers(0, 30, 200)) + "." for _ in range(20)]
+        rows = pa.RecordBatch.from_arrays([pa.array(["en"] * 20), pa.array(texts, pa.binary())], ["lang", "text"])
+        blocks += [b.select(["lang", "ids", "ends", "words"]) for b in C._to_blocks(10**6)(iter([rows]))]
+    every = Held(np.full(1 << 5, 255, np.uint8))  # all words are frequent
+    out = list(C._hash_counts(2, every, 8, 8, 10)(iter(blocks)))
+    rows = pa.Table.from_batches(out)
+    assert sum(len(x.as_buffer()) for x in rows.column("low")) // 4 == sum(len(x.as_buffer()) for x in rows.column("n")) <= 900  # pairs of 30 words
+    codes = {}
+    for bucket, low, n in zip(*(rows.column(c).to_pylist() for c in ("bucket", "low", "n")), strict=True):
+        for c, m in zip(np.frombuffer(low, "<u4").tolist(), n, strict=True):
+            codes[bucket << 32 | c] = codes.get(bucket << 32 | c, 0) + m
+    whole = Counter()
+    for lang, ids, words in C._rows(iter(blocks)):
+        whole.update(C._codes(C._hopeful(lang, ids, words, 2, every.value, 8)[1], 8).tolist())
+    assert codes == {c: min(n, 10) for c, n in whole.items()}
+
+
+def test_a_trie_counts_only_its_own_shards_phrases_and_looks_up_few_words():
+    texts = ["a b a b c " * 30 + " ".join(f"u{i}" for i in range(500))]
+    rows = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(texts, pa.binary())], ["lang", "text"])
+    blocks = [b.select(["lang", "ids", "ends", "words"]) for b in C._to_blocks(10**6)(iter([rows]))]
+    lang, ids, words = next(C._rows(iter(blocks)))
+    every = Held(np.full(1 << 5, 255, np.uint8))
+    named = pa.Table.from_batches(list(C._named(2, every, every, 8, 8)(iter(blocks))))
+    true, got = Counter(zip(texts[0].split(), texts[0].split()[1:])), Counter()
+    assert sorted(named.column("phrase").to_pylist()) == sorted(map(" ".join, true))
+    for shard in range(3):
+        own = named.filter(pa.array(named.column("h").to_numpy() % 3 == shard))
+        trie = C._build(2)((pa.scalar(shard),), own)
+        top = trie.filter(pc.is_valid(trie["base"]))
+        value = (top["base"][0].as_py(), top["check"][0].as_py(), {"en": 1}, {"en": pa.array(top["words"][0].as_py()[0], pa.binary())})
+        for b in C._count(2, Held(value), shard, 3, every, 8, 8)(iter(blocks)):
+            phrases = trie["phrase"].to_pylist()
+            got.update({tuple(phrases[i].split()): n for i, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)})
+    assert got == true

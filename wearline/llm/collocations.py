@@ -2,16 +2,19 @@
 
 1. Blocks: a task turns texts of one lang into blocks of at most ``BLOCK`` words: numbers of the
    block's own vocabulary (16 bits where it allows), 0 where a piece ends. All later passes read these, in numpy.
-2. Words: counted per block by ``bincount`` and summed; those with ``min_count`` are level 1.
+2. Words: the counts of their hashes are summed over the corpus as in 3; words whose hash reaches ``min_count``
+   are named, and their own counts summed. Those with ``min_count`` are level 1.
 3. Candidates of k words: a position counts only if both its phrases of k-1 words are frequent, told by
-   a bitmap of fixed size (``BITS``; a false hit only adds candidates). The 64-bit hashes of its k words are
+   a bitmap of fixed size (``BITS``; a false hit only adds candidates). The hashes of its k words are
    summed over the corpus: no less than the phrase's count, so every phrase whose hash stays below
-   ``min_count`` is safely out. The other hashes, again as a bitmap, tell the blocks which phrases to name.
+   ``min_count`` is safely out. A task sums the hashes of several blocks and packs them by their first bits: a row is a bucket
+   with the next 32 bits of its hashes and their counts, five bytes each; ``_buckets`` takes so many that a bucket's
+   hashes fit a task whatever the corpus. The hashes left, again as a bitmap, tell the blocks which phrases to name.
 4. Tries: candidates are dealt by hash to shards of about ``SHARD`` phrases at most, and a task builds each
    shard's double array: a word is three byte steps, a state's next is ``base[state] + byte``, valid if its
    ``check`` is the state. A shard's trie is broadcast (its size is bounded by ``SHARD``, whatever the
-   corpus); numpy advances the states of all positions of a block together, byte by byte, word by
-   word, and counts accepting states with ``bincount``. Sums over tasks give the counts of level k.
+   corpus); numpy advances the states of a block's positions (those whose hash is the shard's and a candidate's)
+   together, byte by byte, word by word, and counts accepting states with ``bincount``. Sums over tasks give the counts of level k.
 5. Scores: every cut of a candidate joins the counts of its two parts; the lowest score stays, decimals keep
    it exact. Candidates that lie mostly inside a longer one go, then each lang's first are ranked.
 
@@ -41,6 +44,8 @@ INSIDE_PERCENT = 50
 BLOCK = 250_000
 SHARD = 300_000
 BITS = 26
+HELD = 1 << 19
+BUCKET = 1 << 19
 SCALE = 1_000_000
 DIGITS = 3
 NO_LANG = "und"
@@ -48,7 +53,7 @@ _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(10 if b in _SEPARATORS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SLICE = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # any odd number
-_BLOCKS = "lang string, n_words long, ids binary, words array<binary>"
+_BLOCKS = "lang string, n_words long, ids binary, ends binary, words binary"  # a block's words are one value: Spark copies it whole
 
 
 def _width(words: int) -> str:
@@ -81,10 +86,9 @@ class _Open:
     def row(self, lang: str) -> pa.RecordBatch:
         ids = np.concatenate(self.parts)
         names = [w for w, n in self.numbers.items() if n > 0]
-        words = pa.array([names], pa.list_(pa.binary()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([int((ids > 0).sum())]), pa.array([ids.astype(_width(len(names))).tobytes()], pa.binary()), words],
-            ["lang", "n_words", "ids", "words"])
+        ends = np.cumsum(np.fromiter(map(len, names), np.int32, len(names)), dtype="<i4")
+        binary = (pa.array([x], pa.binary()) for x in (ids.astype(_width(len(names))).tobytes(), ends.tobytes(), b"".join(names)))
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int((ids > 0).sum())]), *binary], ["lang", "n_words", "ids", "ends", "words"])
 
 
 def _to_blocks(limit: int):
@@ -108,15 +112,10 @@ def _to_blocks(limit: int):
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, pa.Array]]:
     """(lang, ids, words from number 1 on; number 0 is a piece's end) of each block."""
     for b in batches:
-        for lang, ids, words in zip(b.column("lang").to_pylist(), b.column("ids"), b.column("words"), strict=True):
-            yield lang, np.frombuffer(ids.as_buffer(), _width(len(words))).astype(np.int32, copy=False), words.values
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, ids, words in _rows(batches):
-        n = np.bincount(ids, minlength=len(words) + 1)[1:].astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), words.cast(pa.string()), pa.array(n)],
-                                         ["lang", "phrase", "n"])
+        for lang, ids, ends, words in zip(b.column("lang").to_pylist(), *(b.column(c) for c in ("ids", "ends", "words")), strict=True):
+            offsets = np.append(np.int32(0), np.frombuffer(ends.as_buffer(), "<i4"))
+            names = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), words.as_buffer()])
+            yield lang, np.frombuffer(ids.as_buffer(), _width(len(names))).astype(np.int32, copy=False), names
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
@@ -178,30 +177,121 @@ def _hopeful(lang: str, ids: np.ndarray, words: pa.Array, k: int, frequent: np.n
     return at, gram[at]
 
 
-def _hash_counts(k: int, frequent, bits: int):
+def _codes(h: np.ndarray, first: int) -> np.ndarray:
+    """The bits of hashes that are summed: ``first`` for the bucket and 32 more."""
+    return _place(h, first + 32)
+
+
+def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(codes)
+    codes = codes[order]
+    new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
+    return codes[new], np.add.reduceat(n[order], new) if len(codes) else n
+
+
+def _hash_counts(k: int, frequent, bits: int, first: int, min_count: int):
+    """(bucket, low, n): the hashes of a bucket and their counts, cut to ``min_count`` and to a byte: enough to be kept."""
+    most = min(min_count, 255)
+
+    def packed(held: list) -> pa.RecordBatch:
+        codes, n = _summed(*map(np.concatenate, zip(*held, strict=True)))
+        at = np.flatnonzero(np.append(True, codes[1:] >> 32 != codes[:-1] >> 32)) if len(codes) else np.empty(0, np.int64)
+        ends = np.append(at, len(codes)).astype(np.int32)
+        low, n8 = (codes & 0xFFFFFFFF).astype("<u4"), np.minimum(n, most).astype(np.uint8)
+
+        def lists(values: np.ndarray) -> pa.Array:
+            offsets = (ends * values.itemsize).astype(np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+        return pa.RecordBatch.from_arrays([pa.array((codes[at] >> 32).astype(np.int32)), lists(low), lists(n8)], ["bucket", "low", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for lang, ids, words in _rows(batches):
-            gram, n = np.unique(_hopeful(lang, ids, words, k, frequent.value, bits)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+            if k == 1:
+                n = np.bincount(ids, minlength=len(words) + 1)[1:].astype(np.int64)
+                held.append((_codes(_hashes(lang, words)[1:], first), n))
+            else:
+                held.append(np.unique(_codes(_hopeful(lang, ids, words, k, frequent.value, bits)[1], first), return_counts=True))
+            size += len(held[-1][0])
+            if size >= HELD:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
 
-def _named(k: int, frequent, hopeful, bits: int):
+def _kept(min_count: int):
+    enough = min(min_count, 255)  # above a byte this only keeps more candidates
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """The hashes of one bucket that reach ``min_count``."""
+        low, n = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)] or [np.empty(0, kind)])
+                  for c, kind in (("low", "<u4"), ("n", np.uint8)))
+        codes, n = _summed(low, n.astype(np.int64))
+        return pa.table({"h": pa.array((np.int64(key[0].as_py()) << 32) + codes[n >= enough].astype(np.int64))})
+
+    return run
+
+
+def _buckets(n_words: int) -> int:
+    """Bits of the bucket: about ``BUCKET`` hashes each at most, were no two positions' equal."""
+    return min(30, max(8, (n_words // BUCKET).bit_length()))
+
+
+def _unique_at(ids: np.ndarray, at: np.ndarray, k: int, n: int) -> np.ndarray:
+    """One of the positions of every distinct phrase of k word numbers up to n."""
+    wide = n.bit_length()
+    if k * wide > 63:
+        return np.unique(np.column_stack([ids[at + j] for j in range(k)]), axis=0, return_index=True)[1]
+    packed = np.zeros(len(at), np.int64)
+    for j in range(k):
+        packed = packed << wide | ids[at + j]
+    return np.unique(packed, return_index=True)[1]
+
+
+def _named(k: int, frequent, hopeful, bits: int, first: int):
+    """(lang, phrase, h) of phrases whose hash may be frequent, once for several blocks."""
+    names = ["lang", "phrase", "h"]
+
+    def merged(held: list) -> list:
+        return pa.Table.from_batches(held).group_by(names).aggregate([]).select(names).combine_chunks().to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for lang, ids, words in _rows(batches):
             at, gram = _hopeful(lang, ids, words, k, frequent.value, bits)
             some = _has(hopeful.value, gram, bits)
             at, gram = at[some], gram[some]
             # phrases of a block by their word numbers: equal hashes of two phrases keep both
-            first = np.unique(np.column_stack([ids[at + j] for j in range(k)]), axis=0, return_index=True)[1] if k > 2 else np.unique(
-                ids[at].astype(np.int64) << 32 | ids[at + 1], return_index=True)[1]
-            at, gram = at[first], gram[first]
-            names = [b"", *words.to_pylist()]
-            columns = [[names[i] for i in ids[at + j].tolist()] for j in range(k)]
-            phrases = list(map(b" ".join, zip(*columns, strict=True)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(gram.view(np.int64))], ["lang", "phrase", "h"])
+            one = _unique_at(ids, at, k, len(words))
+            at, gram = at[one], gram[one]
+            columns = [words.take(pa.array(ids[at + j] - 1)).cast(pa.binary()) for j in range(k)]
+            phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())).cast(pa.string())
+            held.append(pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), phrases, pa.array(_codes(gram, first))], names))
+            size += len(at)
+            if size >= HELD:
+                held = merged(held)
+                size = sum(b.num_rows for b in held)
+                if size >= HELD // 2:
+                    yield from held
+                    held, size = [], 0
+        if held:
+            yield from merged(held)
+
+    return run
+
+
+def _word_counts(hopeful, bits: int):
+    """(lang, phrase, n) of words whose hash may be frequent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, ids, words in _rows(batches):
+            at = np.flatnonzero(_has(hopeful.value, _hashes(lang, words)[1:], bits))
+            n = np.bincount(ids, minlength=len(words) + 1)[1:].astype(np.int64)[at]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), words.take(pa.array(at)).cast(pa.string()), pa.array(n)],
+                                             ["lang", "phrase", "n"])
 
     return run
 
@@ -302,9 +392,9 @@ def _advanced(base: np.ndarray, check: np.ndarray, at: np.ndarray, state: np.nda
     return at, state
 
 
-def _count(k: int, trie, shard: int, shards: int):
+def _count(k: int, trie, shard: int, shards: int, hopeful, bits: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, check, first, names = trie.value
+        base, check, first_number, names = trie.value
         base, check = np.frombuffer(base, np.int32), np.frombuffer(check, np.int32)
         n, size = int(-base.min()), 1 + sum(map(len, names.values()))
         counts, numbers = np.zeros(n, np.int64), {}
@@ -312,30 +402,27 @@ def _count(k: int, trie, shard: int, shards: int):
         first_words, to = _advanced(base, check, np.arange(size), np.zeros(size, np.int32), np.arange(size, dtype=np.int32))
         after[first_words] = to
         for lang, ids, words in _rows(batches):
-            if lang not in numbers:
-                held = names[lang].to_pylist() if lang in names else []
-                numbers[lang] = dict(zip(held, range(first.get(lang, 0), first.get(lang, 0) + len(held)), strict=True))
-            known = numbers[lang]
-            number = np.array([0, *[known.get(w, 0) for w in words.to_pylist()]], np.int32)
-            own = number[ids]
-            m = len(own) - k + 1
-            if m <= 0:
+            if lang not in names or len(ids) < k:
                 continue
-            ok = own[:m] > 0
-            for j in range(1, k):
-                ok &= own[j:m + j] > 0
+            if lang not in numbers:
+                held = names[lang].to_pylist()
+                numbers[lang] = dict(zip(held, range(first_number[lang], first_number[lang] + len(held)), strict=True))
+            gram, ok = _grams(ids, _hashes(lang, words), k)
             at = np.flatnonzero(ok)
-            state = after[own[at]]
+            at = at[_codes(gram[at], first) % shards == shard]
+            at = at[_has(hopeful.value, gram[at], bits)]  # all positions of the shard's phrases, and few others
+            used = np.zeros(len(words) + 1, bool)
+            for j in range(k):
+                used[ids[at + j]] = True
+            used = np.flatnonzero(used)
+            own = np.zeros(len(words) + 1, np.int32)
+            own[used] = [numbers[lang].get(w, 0) for w in words.take(pa.array(used - 1)).to_pylist()]
+            at = at[own[ids[at]] > 0]
+            state = after[own[ids[at]]]
             at, state = at[state >= 0], state[state >= 0]
-            if shards > 1:
-                h = _hashes(lang, words)
-                gram = h[ids[at]]
-                for j in range(1, k):
-                    gram = _extended(gram, h[ids[at + j]])
-                mine = (gram >> np.uint64(8)) % np.uint64(shards) == shard
-                at, state = at[mine], state[mine]
             for j in range(1, k):
-                at, state = _advanced(base, check, at, state, own[at + j])
+                word = own[ids[at + j]]
+                at, state = _advanced(base, check, at[word > 0], state[word > 0], word[word > 0])
             counts += np.bincount(-1 - base[state], minlength=n)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])],
@@ -366,27 +453,38 @@ def _phrase_places(k: int, bits: int):
     return run
 
 
-def _hash_places(bits: int):
+def _hash_places(bits: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_place(b.column(0).to_numpy().view(np.uint64), bits))], ["at"])
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy() >> (first + 32 - bits))], ["at"])
 
     return run
 
 
-def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_size: int, bits: int) -> DataFrame:
+def _hashes_kept(blocks: DataFrame, k: int, frequent, min_count: int, bits: int, first: int) -> tuple[DataFrame, object]:
+    """The hashes of k words with at least ``min_count`` positions, and a broadcast bitmap of them."""
+    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits, first, min_count), "bucket int, low binary, n binary")
+    hashes = written(sums.groupBy("bucket").applyInArrow(_kept(min_count), "h long"), "hashes")
+    return hashes, blocks.sparkSession.sparkContext.broadcast(_bitmap(hashes.mapInArrow(_hash_places(bits, first), "at long"), bits))  # 2**bits bits
+
+
+def _words(blocks: DataFrame, min_count: int, bits: int, first: int) -> DataFrame:
+    """Words with their counts: lang, phrase, n (at least ``min_count``)."""
+    hopeful = _hashes_kept(blocks, 1, None, min_count, bits, first)[1]
+    words = blocks.mapInArrow(_word_counts(hopeful, bits), "lang string, phrase string, n long")
+    return written(words.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "words")
+
+
+def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_size: int, bits: int, first: int) -> DataFrame:
     """Phrases of k words with their counts: lang, phrase, n (at least ``min_count``)."""
     spark = blocks.sparkSession
     sc = spark.sparkContext
     frequent = sc.broadcast(_bitmap(shorter.select("lang", "phrase").mapInArrow(_phrase_places(k - 1, bits), "at long"), bits))  # 2**bits bits
-    # distinct within their block already: dealt out before they are summed
-    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits), "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
-    hashes = written(sums.filter(F.col("n") >= min_count).select("h"), "hashes")
-    hopeful = sc.broadcast(_bitmap(hashes.mapInArrow(_hash_places(bits), "at long"), bits))  # 2**bits bits
-    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits), "lang string, phrase string, h long").repartition("h").distinct()
+    hashes, hopeful = _hashes_kept(blocks, k, frequent, min_count, bits, first)
+    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits, first), "lang string, phrase string, h long").repartition("h").distinct()
     named = written(named.join(hashes, "h", "left_semi"), "named")
     shards = max(1, -(-named.count() // shard_size))
-    dealt = named.withColumn("shard", (F.shiftrightunsigned("h", 8) % shards).cast("int"))
+    dealt = named.withColumn("shard", (F.col("h") % shards).cast("int"))
     tries = written(dealt.groupBy("shard").applyInArrow(_build(k), _TRIE), "tries")
     counts = None
     for shard in range(shards):
@@ -394,10 +492,10 @@ def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_
         if not got.num_rows:
             continue
         langs, words = got.column("langs")[0].as_py(), got.column("words")[0].values
-        first = np.cumsum([1, *[len(w) for w in words]]).tolist()
-        trie = sc.broadcast((got.column("base")[0].as_py(), got.column("check")[0].as_py(), dict(zip(langs, first, strict=False)),
+        numbers = np.cumsum([1, *[len(w) for w in words]]).tolist()
+        trie = sc.broadcast((got.column("base")[0].as_py(), got.column("check")[0].as_py(), dict(zip(langs, numbers, strict=False)),
                              {x: pa.array(words[i].as_py(), pa.binary()) for i, x in enumerate(langs)}))  # about shard_size phrases
-        part = blocks.mapInArrow(_count(k, trie, shard, shards), "shard int, idx int, n long")
+        part = blocks.mapInArrow(_count(k, trie, shard, shards, hopeful, bits, first), "shard int, idx int, n long")
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         return spark.createDataFrame([], "lang string, phrase string, n long")
@@ -413,11 +511,11 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
     blocks = written(texts.mapInArrow(_to_blocks(block), _BLOCKS), "blocks")
-    words = blocks.select("lang", "ids", "words").mapInArrow(_word_counts, "lang string, phrase string, n long")
-    words = words.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    levels = [written(words.filter(F.col("n") >= min_count), "words")]
+    first = _buckets(blocks.agg(F.sum("n_words")).first()[0] or 0)
+    coded = blocks.select("lang", "ids", "ends", "words")
+    levels = [_words(coded, min_count, bits, first)]
     for k in range(2, max_words + 1):
-        levels.append(_level(blocks.select("lang", "ids", "words"), levels[-1], k, min_count, shard_size, bits))
+        levels.append(_level(coded, levels[-1], k, min_count, shard_size, bits, first))
     return levels, blocks.groupBy("lang").agg(F.sum("n_words").alias("n_all"))
 
 

@@ -64,10 +64,12 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a step as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, and rows computed
-    once are the same for every later step.
+    once are the same for every later step. Parquet looks at a page's size only every 100 rows; of rows as large as
+    blocks, such pages (and the codec's buffers outside the heap, which are as large) take hundreds of MB.
     """
     path = step_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    to = df.write.option("parquet.page.size.row.check.min", 1)
+    to.partitionBy(*partition_by).parquet(path) if partition_by else to.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
