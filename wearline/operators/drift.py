@@ -10,6 +10,7 @@ count tables are then reshaped into PSI with ordinary DataFrame operations.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from statistics import NormalDist
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import floor_share
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 DECILES = [i / C.PSI_BINS for i in range(C.PSI_BINS + 1)]
 # Standard-normal quantiles at 0.1 .. 0.9 (interior decile edges of N(0, 1)).
@@ -35,12 +36,15 @@ def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float
     Null and NaN don't count; a feature without values has no rows.
     """
     spark = df.sparkSession
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    # features go by their number: shorter keys to hash, shuffle and sort than names
+    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f).cast("double").alias("x")) for i, f in enumerate(features)])
     values = (df.select(F.inline(pairs)).filter(F.col("x").isNotNull() & ~F.isnan("x"))
               .groupBy("feature", "x").agg(F.count(F.lit(1)).alias("c")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ranged = (values.repartitionByRange(n, "feature", "x").withColumn("part", F.spark_partition_id())).checkpoint(eager=True)
+    # a written step: a reliable checkpoint would compute its rows twice
+    path = scratch_path(spark, f"quantiles/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
+    values.repartitionByRange(n, "feature", "x").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema("feature int, x double, c long, part int").parquet(path)
     sums = ranged.groupBy("feature", "part").agg(F.sum("c").alias("held"))  # at most features x ranges
     upto = Window.partitionBy("feature").orderBy("part")
     sums = sums.withColumn("before", F.sum("held").over(upto) - F.col("held"))
@@ -58,7 +62,8 @@ def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float
     high = F.ceil("h").between(F.col("first"), F.col("last"))
     edges = hit.groupBy("feature", "pos").agg(F.max("h").alias("h"), F.max(F.when(low, F.col("x"))).alias("a"),
                                               F.max(F.when(high, F.col("x"))).alias("b"))
-    return edges.select("feature", "pos", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("edge"))
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
+    return edges.select(name.alias("feature"), "pos", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("edge"))
 
 
 def quantile_edges(df: DataFrame, features: Sequence[str], probs: Sequence[float] = DECILES,
