@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from wearline.llm import queries
-from wearline.llm.ngram_join import ANY, FINE_RATIO, _parity, allocate, band_starts, jaccard_components, prefixes
+from wearline.llm.ngram_join import ANY, FINE_RATIO, _across, _parity, allocate, band_starts, jaccard_components, placed_prefixes, prefixes
 from wearline.llm.shingles import blocks, shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -172,3 +172,17 @@ def test_the_finer_index_has_fewer_rows_than_shingles():
     d, sig, _ = prefixes(doc, s[np.lexsort((s, doc))], len(sizes), band_starts(2_000, FINE_RATIO), (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
     rows = np.bincount(d, minlength=len(sizes))
     assert (rows > sizes // 9).all() and (rows <= 6 * sizes // 10 + 4).all()
+
+
+def test_texts_around_one_passage_make_no_pairs_in_the_finer_index(spark):
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 2**63, 130, dtype=np.uint64)
+    # the lists of both kinds reach the passage; two of the smaller ones link, one of either kind doesn't
+    sets = [np.append(passage, rng.integers(0, 2**63, 14 if i % 2 else 26, dtype=np.uint64)) for i in range(60)]
+    doc, s = np.repeat(np.arange(60), [len(x) for x in sets]), np.concatenate([np.sort(x) for x in sets])
+    found = placed_prefixes(doc, s, 60, band_starts(300, FINE_RATIO), (np.sort(passage), np.full(130, 60)))
+    rows = [(int(g), int(i), int(r), len(sets[i]), int(x), int(i)) for i, g, r, x in zip(found[0], found[1].view(np.int64), *found[2:], strict=True)]
+    df = spark.createDataFrame(rows, "sig long, doc_id long, role byte, n long, rest int, label long")
+    linked = {(u, v) for u, v in combinations(range(60), 2) if u % 2 and v % 2}
+    assert {tuple(sorted(r)) for r in _across(df).collect()} == linked
+    assert len({tuple(sorted(r)) for r in _across(df.drop("rest")).collect()}) == len(linked) + 900

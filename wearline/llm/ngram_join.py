@@ -24,8 +24,9 @@ Such sets differ in at most k = (|A| + |B|) / 9 shingles, and |B| <= 5/4 |A|.
    counts as ``PAIR_ROWS`` index rows), all pairs across are verified. The
    documents of the other, crowded signatures (sharing much, yet not enough) are indexed once more among
    themselves, by single shingles: the rarest ones of each set, of which linked partners share at
-   least one, about half as many rows as the set has shingles. Their pairs across are verified
-   too, so no link between components is lost.
+   least one, about half as many rows as the set has shingles. A row knows how much of its set is not rarer: where linked
+   partners first meet, that is enough on both sides to link, and other meetings (over a passage behind shingles of
+   their own) make no pair. The pairs across that are left are verified too, so no link between components is lost.
 5. Verification: sizes and parities of two to four bits a shingle rule pairs out (they bound the
    difference from below), then the two shingle sets are intersected in full.
 
@@ -119,11 +120,19 @@ def signatures(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], plan:
 
 def prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: tuple[np.ndarray, np.ndarray],
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, signature, role) rows of single shingles: the rarest ones that any linked partner must meet.
+    """The (document, signature, role) of ``placed_prefixes``."""
+    return placed_prefixes(doc, s, n, starts, costs)[:3]
+
+
+def placed_prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: tuple[np.ndarray, np.ndarray],
+                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, signature, role, rest) rows of single shingles: the rarest ones that any linked partner must meet.
 
     Sets of s and at least t shingles link only with 4/9 (s + t) in common, so they share one of the
     s - 4/9 (s + t) + 1 rarest of either. The smaller set of a pair (LOWER) has one list, under its band; the
     larger one (UPPER) a list for every band where a smaller partner can lie: with bands of 5/4, its own and the one below.
+    ``rest``: how many shingles of the set are not rarer than the row's. Where two sets first meet, they have no more in common
+    than the lesser rest, so of linked sets that row has a rest of at least 4/9 (s + t) on both sides.
     """
     size = np.bincount(doc, minlength=n)
     edges = np.array(starts)
@@ -144,7 +153,7 @@ def prefixes(doc: np.ndarray, s: np.ndarray, n: int, starts: list[int], costs: t
         take = rank < keep[doc]
         d = doc[take]
         sig = mix(x[take] ^ mix(band[d].astype(np.uint64), 9), 10)
-        out.append((d, sig, np.full(len(d), role, np.int8)))
+        out.append((d, sig, np.full(len(d), role, np.int8), (size[doc] - rank)[take]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -202,7 +211,7 @@ def _text_rows(starts, plan):
                         seen.add(key)
                 keep = new[doc]
                 d, sig, role = signatures(doc[keep], s[keep], hi - lo, starts, plan, costs)
-                yield np.asarray(ids.fill_null(0))[d], sig, role
+                yield np.asarray(ids.fill_null(0))[d], sig, role, None
 
     return rows
 
@@ -214,10 +223,10 @@ def _set_rows(starts):
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, min(256, b.num_rows - lo))
                 doc = np.repeat(np.arange(len(part)), np.diff(part.column(1).offsets.to_numpy()))
-                d, sig, role = doc, part.column(1).flatten().to_numpy().view(np.uint64), None
+                d, sig, role, rest = doc, part.column(1).flatten().to_numpy().view(np.uint64), None, None
                 if costs is not None:
-                    d, sig, role = prefixes(doc, sig, len(part), starts, costs)
-                yield part.column(0).to_numpy()[d], sig, role
+                    d, sig, role, rest = placed_prefixes(doc, sig, len(part), starts, costs)
+                yield part.column(0).to_numpy()[d], sig, role, rest
 
     return rows
 
@@ -232,7 +241,7 @@ def _counter(rows):
             return pa.RecordBatch.from_arrays(
                 [pa.array(sig[often].view(np.int64)), pa.array(count[often].astype(np.int64))], ["sig", "n"])
 
-        for _, sig, _ in rows(batches, None):
+        for _, sig, _, _ in rows(batches, None):
             held.append(sig)
             n += len(sig)
             if n > 1_000_000:
@@ -246,17 +255,20 @@ def _counter(rows):
 
 def _indexer(rows, costs):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sig, role in rows(batches, costs.value):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(ids.astype(np.int64)), pa.array(role)], ["sig", "doc_id", "role"])
+        for ids, sig, role, rest in rows(batches, costs.value):
+            columns = {"sig": sig.view(np.int64), "doc_id": ids.astype(np.int64), "role": role}
+            if rest is not None:
+                columns["rest"] = rest.astype(np.int32)
+            yield pa.RecordBatch.from_pydict({c: pa.array(x) for c, x in columns.items()})
 
     return run
 
 
 _INDEX = "sig long, doc_id long, role byte"
+_PLACED = f"{_INDEX}, rest int"
 
 
-def _index(source: DataFrame, rows) -> DataFrame:
+def _index(source: DataFrame, rows, schema: str = _INDEX) -> DataFrame:
     """(sig, doc_id) of signatures that at least two rows hold: costs over all rows, then the index."""
     spark = source.sparkSession
     often = (source.mapInArrow(_counter(rows), "sig long, n long").groupBy("sig").agg(F.sum("n").alias("n"))
@@ -265,18 +277,17 @@ def _index(source: DataFrame, rows) -> DataFrame:
     known = known.view(np.uint64)
     by = np.argsort(known)
     costs = spark.sparkContext.broadcast((known[by], count[by]))
-    index = source.mapInArrow(_indexer(rows, costs), _INDEX)
-    return written(index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, _INDEX), "shared")
+    index = source.mapInArrow(_indexer(rows, costs), schema)
+    return written(index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, schema), "shared")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by signature, those whose signature occurs more than once."""
-    held = pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int8())], ["sig", "doc_id", "role"])
-    carried = False  # the held last row's signature has occurred before
+    held, carried = None, False  # the last row so far; its signature has occurred before
     for b in batches:
         if not b.num_rows:
             continue
-        rows = pa.Table.from_batches([held, b.cast(held.schema)]).combine_chunks().to_batches()[0]
+        rows = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
         sig = rows.column(0).to_numpy()
         same = np.append(sig[1:] == sig[:-1], False)
         keep = same | np.append([carried], same[:-1])
@@ -421,9 +432,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not crowd.isEmpty():
         members = sets.select("doc_id", "shingles").mapInArrow(_only(_bitmap(crowd)), "doc_id long, shingles array<long>")
         members = written(members.join(crowd, "doc_id", "left_semi"), "crowd-sets")
-        fine = _index(members, _set_rows(band_starts(largest, FINE_RATIO)))
+        fine = _index(members, _set_rows(band_starts(largest, FINE_RATIO)), _PLACED)
         sizes = members.select("doc_id", F.size("shingles").cast("long").alias("n")).distinct()
-        fine = _open_rows(fine.join(sizes, "doc_id").select("sig", "doc_id", "role", "n").distinct(), label)
+        fine = _open_rows(fine.join(sizes, "doc_id").select("sig", "doc_id", "role", "n", "rest").distinct(), label)
         pairs = pairs.unionByName(_across(fine))
     found = verify(_pairs(pairs, tried), sets, percent).distinct()
     label = components(written(links.unionByName(found), "links"))
@@ -448,7 +459,7 @@ def _open_rows(shared: DataFrame, label: DataFrame | None) -> DataFrame:
     rows = shared.withColumn("label", F.col("doc_id"))
     if label is not None:
         rows = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        rows = rows.select("sig", "doc_id", "role", "n", F.coalesce("label", "doc_id").alias("label"))
+        rows = rows.select(*shared.columns, F.coalesce("label", "doc_id").alias("label"))
     apart = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("sig")
     return written(rows.join(apart, "sig", "left_semi"), "open")
 
@@ -467,12 +478,19 @@ def _star(rows: DataFrame, least: bool) -> DataFrame:
 
 
 def _across(rows: DataFrame) -> DataFrame:
-    """Per signature, the documents of different components against each other (of one role, ANY only)."""
-    other = rows.select("sig", F.col("doc_id").alias("v"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("role").alias("part"))
+    """Per signature, the documents of different components against each other (of one role, ANY only).
+
+    Rows with a ``rest`` meet only where it leaves enough in common to link.
+    """
+    placed = "rest" in rows.columns
+    other = rows.select("sig", F.col("doc_id").alias("v"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("role").alias("part"),
+                        *[F.col("rest").alias("left")] * placed)
     role, part = F.col("role"), F.col("part")
     roles = ((role == ANY) | (part == ANY) | ((role == LOWER) & (part == UPPER) & (F.col("n") <= F.col("m")))
              | ((role == UPPER) & (part == LOWER) & (F.col("n") >= F.col("m"))))
     meet = (F.col("label") > F.col("other")) & _near("n", "m") & roles
+    if placed:
+        meet &= 9 * F.least("rest", "left") >= 4 * (F.col("n") + F.col("m"))
     return rows.join(other, "sig").filter(meet).select(F.col("doc_id").alias("u"), "v").distinct()
 
 
