@@ -164,3 +164,44 @@ def test_a_trie_counts_only_its_own_shards_phrases_and_looks_up_few_words():
             phrases = trie["phrase"].to_pylist()
             got.update({tuple(phrases[i].split()): n for i, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)})
     assert got == true
+
+
+def blocks_of(texts):
+    """One block a text."""
+    out = []
+    for text in texts:
+        rows = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text], pa.binary())], ["lang", "text"])
+        out += [b.select(["lang", "ids", "ends", "words"]) for b in C._to_blocks(10**6)(iter([rows]))]
+    return out
+
+
+def test_a_phrase_is_named_by_the_blocks_that_its_hash_was_given():
+    rng = np.random.default_rng(6)
+    blocks = blocks_of(" ".join(f"w{i}" for i in rng.integers(0, 20, 4_000)) for _ in range(16))  # all hold the 400 pairs
+    every = Held(np.full(1 << 5, 255, np.uint8))
+    sums = pa.concat_tables([pa.Table.from_batches(list(C._hash_counts(2, every, 8, 8, 10)(iter([b])))) for b in blocks])
+    kept = [C._kept(10)((x,), sums.filter(pc.equal(sums["bucket"], x))) for x in pc.unique(sums["bucket"])]
+    hashes = pa.concat_tables(kept)
+    bits, holders = 20, np.zeros(1 << 17, np.uint8)
+    for b in hashes.to_batches():
+        for at in next(C._holder_places(bits)(iter([b]))).column(0).to_pylist():
+            holders[at >> 3] |= 1 << (at & 7)
+    full = Held(np.full(1 << 17, 255, np.uint8))
+    named = [pa.Table.from_batches(list(C._named(2, full, full, bits, 8, Held(holders))(iter([b])))) for b in blocks]
+    phrases = [p for t in named for p in t.column("phrase").to_pylist()]
+    assert len(hashes) == len(set(phrases)) == 400
+    assert len(phrases) <= 420  # 6,400 if each block names what it holds
+    assert max(map(len, named)) < 100  # dealt over the blocks
+
+
+def test_a_phrase_that_shares_a_hash_with_the_named_one_is_counted(monkeypatch):
+    blocks = blocks_of(["a b " * 20 + ". " + "c d " * 30])
+    every = Held(np.full(1 << 5, 255, np.uint8))
+    monkeypatch.setattr(C, "_codes", lambda h, first: np.zeros(len(h), np.int64))  # one hash for all
+    named = pa.table({"lang": ["en", "en"], "phrase": ["a b", "b a"], "h": pa.array([0, 0], pa.int64())})
+    trie = C._build(2)((pa.scalar(0),), named)
+    top = trie.filter(pc.is_valid(trie["base"]))
+    value = (top["base"][0].as_py(), top["check"][0].as_py(), {"en": 1}, {"en": pa.array(top["words"][0].as_py()[0], pa.binary())}, top["codes"][0].as_py())
+    out = pa.Table.from_batches(list(C._count(2, Held(value), 0, 1, every, 8, 8)(iter(blocks)))).to_pylist()
+    phrases = trie["phrase"].to_pylist()
+    assert {(phrases[r["idx"]] if r["stray"] is None else r["stray"]["phrase"]): r["n"] for r in out} == {"a b": 20, "b a": 19, "c d": 30, "d c": 29}

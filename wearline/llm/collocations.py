@@ -9,12 +9,16 @@
    summed over the corpus: no less than the phrase's count, so every phrase whose hash stays below
    ``min_count`` is safely out. A task sums the hashes of several blocks and packs them by their first bits: a row is a bucket
    with the next 32 bits of its hashes and their counts, five bytes each; ``_buckets`` takes so many that a bucket's
-   hashes fit a task whatever the corpus. The hashes left, again as a bitmap, tell the blocks which phrases to name.
+   hashes fit a task whatever the corpus. The hashes left, again as a bitmap, tell the blocks which phrases to name. With its
+   count a hash carries the number (two bytes, of the block's own content) of one block that holds it, and only blocks
+   of that number name its phrases: each is named about once, not once for every task that meets it.
 4. Tries: candidates are dealt by hash to shards of about ``SHARD`` phrases at most, and a task builds each
    shard's double array: a word is three byte steps, a state's next is ``base[state] + byte``, valid if its
    ``check`` is the state. A shard's trie is broadcast (its size is bounded by ``SHARD``, whatever the
    corpus); numpy advances the states of a block's positions (those whose hash is the shard's and a candidate's)
    together, byte by byte, word by word, and counts accepting states with ``bincount``. Sums over tasks give the counts of level k.
+   A position whose hash is in the shard but whose phrase isn't (two phrases of one hash, the other one was named) is
+   counted by its phrase, so equal hashes lose nothing.
 5. Scores: every cut of a candidate joins the counts of its two parts; the lowest score stays, decimals keep
    it exact. Candidates that lie mostly inside a longer one go, then each lang's first are ranked.
 
@@ -27,6 +31,7 @@ result; extra columns are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,24 +182,39 @@ def _hopeful(lang: str, ids: np.ndarray, words: pa.Array, k: int, frequent: np.n
     return at, gram[at]
 
 
+def _number(ids: np.ndarray) -> np.uint16:
+    """A block's number: two bytes that follow from its content, the same in every pass."""
+    return np.uint16(zlib.crc32(np.ascontiguousarray(ids, np.int32)) & 0xFFFF)
+
+
+def _held_by(codes: np.ndarray, holder: np.ndarray) -> np.ndarray:
+    """The hash of a phrase's code with the number of a block."""
+    return _extended(codes.astype(np.uint64), np.atleast_1d(holder).astype(np.uint64) * _STEP)
+
+
 def _codes(h: np.ndarray, first: int) -> np.ndarray:
     """The bits of hashes that are summed: ``first`` for the bucket and 32 more."""
     return _place(h, first + 32)
 
 
-def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summed(codes: np.ndarray, n: np.ndarray, holder: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes, the sum of their counts, and one of their holders (by a turn that follows from the code)."""
+    if not len(codes):
+        return codes, n, holder
     order = np.argsort(codes)
     codes = codes[order]
-    new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
-    return codes[new], np.add.reduceat(n[order], new) if len(codes) else n
+    new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    turn = (codes & 0xFFFF).astype(np.uint16)
+    return codes[new], np.add.reduceat(n[order], new), np.minimum.reduceat(holder[order] ^ turn, new) ^ turn[new]
 
 
 def _hash_counts(k: int, frequent, bits: int, first: int, min_count: int):
-    """(bucket, low, n): the hashes of a bucket and their counts, cut to ``min_count`` and to a byte: enough to be kept."""
+    """(bucket, low, n, holder): the hashes of a bucket, their counts, cut to ``min_count`` and to a byte: enough to be kept, and
+    of each the number of a block that holds it."""
     most = min(min_count, 255)
 
     def packed(held: list) -> pa.RecordBatch:
-        codes, n = _summed(*map(np.concatenate, zip(*held, strict=True)))
+        codes, n, holder = _summed(*map(np.concatenate, zip(*held, strict=True)))
         at = np.flatnonzero(np.append(True, codes[1:] >> 32 != codes[:-1] >> 32)) if len(codes) else np.empty(0, np.int64)
         ends = np.append(at, len(codes)).astype(np.int32)
         low, n8 = (codes & 0xFFFFFFFF).astype("<u4"), np.minimum(n, most).astype(np.uint8)
@@ -203,16 +223,18 @@ def _hash_counts(k: int, frequent, bits: int, first: int, min_count: int):
             offsets = (ends * values.itemsize).astype(np.int32)
             return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
-        return pa.RecordBatch.from_arrays([pa.array((codes[at] >> 32).astype(np.int32)), lists(low), lists(n8)], ["bucket", "low", "n"])
+        return pa.RecordBatch.from_arrays([pa.array((codes[at] >> 32).astype(np.int32)), lists(low), lists(n8), lists(holder.astype("<u2"))],
+                                          ["bucket", "low", "n", "holder"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for lang, ids, words in _rows(batches):
             if k == 1:
                 n = np.bincount(ids, minlength=len(words) + 1)[1:].astype(np.int64)
-                held.append((_codes(_hashes(lang, words)[1:], first), n))
+                held.append((_codes(_hashes(lang, words)[1:], first), n, np.zeros(len(n), np.uint16)))  # words have no holders
             else:
-                held.append(np.unique(_codes(_hopeful(lang, ids, words, k, frequent.value, bits)[1], first), return_counts=True))
+                codes, n = np.unique(_codes(_hopeful(lang, ids, words, k, frequent.value, bits)[1], first), return_counts=True)
+                held.append((codes, n, np.full(len(codes), _number(ids))))
             size += len(held[-1][0])
             if size >= HELD:
                 yield packed(held)
@@ -227,11 +249,12 @@ def _kept(min_count: int):
     enough = min(min_count, 255)  # above a byte this only keeps more candidates
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """The hashes of one bucket that reach ``min_count``."""
-        low, n = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)] or [np.empty(0, kind)])
-                  for c, kind in (("low", "<u4"), ("n", np.uint8)))
-        codes, n = _summed(low, n.astype(np.int64))
-        return pa.table({"h": pa.array((np.int64(key[0].as_py()) << 32) + codes[n >= enough].astype(np.int64))})
+        """The hashes of one bucket that reach ``min_count``, and a holder of each."""
+        low, n, holder = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)] or [np.empty(0, kind)])
+                          for c, kind in (("low", "<u4"), ("n", np.uint8), ("holder", "<u2")))
+        codes, n, holder = _summed(low, n.astype(np.int64), holder)
+        kept = n >= enough
+        return pa.table({"h": pa.array((np.int64(key[0].as_py()) << 32) + codes[kept].astype(np.int64)), "holder": pa.array(holder[kept].astype(np.int32))})
 
     return run
 
@@ -252,8 +275,8 @@ def _unique_at(ids: np.ndarray, at: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.unique(packed, return_index=True)[1]
 
 
-def _named(k: int, frequent, hopeful, bits: int, first: int):
-    """(lang, phrase, h) of phrases whose hash may be frequent, once for several blocks."""
+def _named(k: int, frequent, hopeful, bits: int, first: int, holders=None):
+    """(lang, phrase, h) of phrases whose hash may be frequent, once for several blocks; with ``holders`` by the hash's own blocks."""
     names = ["lang", "phrase", "h"]
 
     def merged(held: list) -> list:
@@ -265,6 +288,9 @@ def _named(k: int, frequent, hopeful, bits: int, first: int):
             at, gram = _hopeful(lang, ids, words, k, frequent.value, bits)
             some = _has(hopeful.value, gram, bits)
             at, gram = at[some], gram[some]
+            if holders is not None:
+                own = _has(holders.value, _held_by(_codes(gram, first), _number(ids)), bits)
+                at, gram = at[own], gram[own]
             # phrases of a block by their word numbers: equal hashes of two phrases keep both
             one = _unique_at(ids, at, k, len(words))
             at, gram = at[one], gram[one]
@@ -375,12 +401,14 @@ def _build(k: int):
             "shard": pa.array([key[0].as_py()] * (n + 1), pa.int32()), "idx": pa.array([*range(n), None], pa.int32()),
             "lang": pa.concat_arrays([lang.take(order), pa.nulls(1, lang.type)]), "phrase": pa.concat_arrays([phrase.take(order), pa.nulls(1, phrase.type)]),
             "base": pa.array([*none, base.tobytes()], pa.binary()), "check": pa.array([*none, check.tobytes()], pa.binary()),
-            "langs": pa.array([*none, langs], pa.list_(pa.string())), "words": pa.array([*none, names], pa.list_(pa.list_(pa.binary())))})
+            "langs": pa.array([*none, langs], pa.list_(pa.string())), "words": pa.array([*none, names], pa.list_(pa.list_(pa.binary()))),
+            "codes": pa.array([*none, np.unique(table.column("h").to_numpy()).astype("<i8").tobytes()], pa.binary())})
 
     return run
 
 
-_TRIE = "shard int, idx int, lang string, phrase string, base binary, `check` binary, langs array<string>, words array<array<binary>>"
+_TRIE = "shard int, idx int, lang string, phrase string, base binary, `check` binary, langs array<string>, words array<array<binary>>, codes binary"
+_COUNTS = "shard int, idx int, n long, stray struct<lang: string, phrase: string>"  # stray: a phrase that has no idx
 
 
 def _advanced(base: np.ndarray, check: np.ndarray, at: np.ndarray, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -394,7 +422,9 @@ def _advanced(base: np.ndarray, check: np.ndarray, at: np.ndarray, state: np.nda
 
 def _count(k: int, trie, shard: int, shards: int, hopeful, bits: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, check, first_number, names = trie.value
+        base, check, first_number, names, *more = trie.value
+        codes = np.frombuffer(more[0], "<i8") if more else np.empty(0, np.int64)  # of the shard's phrases
+        strays: Counter = Counter()
         base, check = np.frombuffer(base, np.int32), np.frombuffer(check, np.int32)
         n, size = int(-base.min()), 1 + sum(map(len, names.values()))
         counts, numbers = np.zeros(n, np.int64), {}
@@ -411,6 +441,7 @@ def _count(k: int, trie, shard: int, shards: int, hopeful, bits: int, first: int
             at = np.flatnonzero(ok)
             at = at[_codes(gram[at], first) % shards == shard]
             at = at[_has(hopeful.value, gram[at], bits)]  # all positions of the shard's phrases, and few others
+            every = at
             used = np.zeros(len(words) + 1, bool)
             for j in range(k):
                 used[ids[at + j]] = True
@@ -424,9 +455,19 @@ def _count(k: int, trie, shard: int, shards: int, hopeful, bits: int, first: int
                 word = own[ids[at + j]]
                 at, state = _advanced(base, check, at[word > 0], state[word > 0], word[word > 0])
             counts += np.bincount(-1 - base[state], minlength=n)
+            if len(codes):  # positions of the shard's hashes but of none of its phrases
+                other = np.setdiff1d(every, at, assume_unique=True)
+                own = _codes(gram[other], first)
+                other = other[codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own]
+                for i in other.tolist():
+                    strays[lang, b" ".join(words.take(pa.array(ids[i:i + k] - 1)).to_pylist()).decode()] += 1
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])],
-                                         ["shard", "idx", "n"])
+        rest = len(strays)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(some) + rest, shard, np.int32)), pa.array([*some.tolist(), *[None] * rest], pa.int32()),
+             pa.array(np.append(counts[some], np.fromiter(strays.values(), np.int64, rest))),
+             pa.array([*[None] * len(some), *[{"lang": x, "phrase": p} for x, p in strays]], pa.struct([("lang", pa.string()), ("phrase", pa.string())]))],
+            ["shard", "idx", "n", "stray"])
 
     return run
 
@@ -453,6 +494,14 @@ def _phrase_places(k: int, bits: int):
     return run
 
 
+def _holder_places(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place(_held_by(b.column(0).to_numpy(), b.column(1).to_numpy()), bits))], ["at"])
+
+    return run
+
+
 def _hash_places(bits: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -462,10 +511,11 @@ def _hash_places(bits: int, first: int):
 
 
 def _hashes_kept(blocks: DataFrame, k: int, frequent, min_count: int, bits: int, first: int) -> tuple[DataFrame, object]:
-    """The hashes of k words with at least ``min_count`` positions, and a broadcast bitmap of them."""
-    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits, first, min_count), "bucket int, low binary, n binary")
-    hashes = written(sums.groupBy("bucket").applyInArrow(_kept(min_count), "h long"), "hashes")
-    return hashes, blocks.sparkSession.sparkContext.broadcast(_bitmap(hashes.mapInArrow(_hash_places(bits, first), "at long"), bits))  # 2**bits bits
+    """The hashes of k words with at least ``min_count`` positions (and a holder), and a broadcast bitmap of them."""
+    sums = blocks.mapInArrow(_hash_counts(k, frequent, bits, first, min_count), "bucket int, low binary, n binary, holder binary")
+    hashes = written(sums.groupBy("bucket").applyInArrow(_kept(min_count), "h long, holder int"), "hashes")
+    places = hashes.select("h").mapInArrow(_hash_places(bits, first), "at long")
+    return hashes, blocks.sparkSession.sparkContext.broadcast(_bitmap(places, bits))  # 2**bits bits
 
 
 def _words(blocks: DataFrame, min_count: int, bits: int, first: int) -> DataFrame:
@@ -481,27 +531,30 @@ def _level(blocks: DataFrame, shorter: DataFrame, k: int, min_count: int, shard_
     sc = spark.sparkContext
     frequent = sc.broadcast(_bitmap(shorter.select("lang", "phrase").mapInArrow(_phrase_places(k - 1, bits), "at long"), bits))  # 2**bits bits
     hashes, hopeful = _hashes_kept(blocks, k, frequent, min_count, bits, first)
-    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits, first), "lang string, phrase string, h long").repartition("h").distinct()
+    holders = sc.broadcast(_bitmap(hashes.select("h", "holder").mapInArrow(_holder_places(bits), "at long"), bits))  # 2**bits bits
+    named = blocks.mapInArrow(_named(k, frequent, hopeful, bits, first, holders), "lang string, phrase string, h long").repartition("h").distinct()
     named = written(named.join(hashes, "h", "left_semi"), "named")
     shards = max(1, -(-named.count() // shard_size))
     dealt = named.withColumn("shard", (F.col("h") % shards).cast("int"))
     tries = written(dealt.groupBy("shard").applyInArrow(_build(k), _TRIE), "tries")
-    counts = None
+    parts = None
     for shard in range(shards):
-        got = tries.filter((F.col("shard") == shard) & F.col("base").isNotNull()).select("base", "check", "langs", "words").toArrow()
+        got = tries.filter((F.col("shard") == shard) & F.col("base").isNotNull()).select("base", "check", "langs", "words", "codes").toArrow()
         if not got.num_rows:
             continue
         langs, words = got.column("langs")[0].as_py(), got.column("words")[0].values
         numbers = np.cumsum([1, *[len(w) for w in words]]).tolist()
         trie = sc.broadcast((got.column("base")[0].as_py(), got.column("check")[0].as_py(), dict(zip(langs, numbers, strict=False)),
-                             {x: pa.array(words[i].as_py(), pa.binary()) for i, x in enumerate(langs)}))  # about shard_size phrases
-        part = blocks.mapInArrow(_count(k, trie, shard, shards, hopeful, bits, first), "shard int, idx int, n long")
-        counts = part if counts is None else counts.unionByName(part)
-    if counts is None:
+                             {x: pa.array(words[i].as_py(), pa.binary()) for i, x in enumerate(langs)},
+                             got.column("codes")[0].as_py()))  # about shard_size phrases
+        part = blocks.mapInArrow(_count(k, trie, shard, shards, hopeful, bits, first), _COUNTS)
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
         return spark.createDataFrame([], "lang string, phrase string, n long")
-    counts = counts.groupBy("shard", "idx").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    counts = written(parts.groupBy("shard", "idx", "stray").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "counts")
     phrases = tries.filter("idx IS NOT NULL").select("shard", "idx", "lang", "phrase")
-    return written(counts.join(phrases, ["shard", "idx"]).select("lang", "phrase", "n"), "level")
+    found = counts.join(phrases, ["shard", "idx"]).select("lang", "phrase", "n")
+    return written(found.unionByName(counts.filter("idx IS NULL").select("stray.lang", "stray.phrase", "n")), "level")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, text_col: str = "text", lang_col: str = "lang",
