@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import documents, lower_ascii, written
+from wearline.llm.common import documents, lower_ascii, python_ready, written
 from wearline.llm.exact_dedup import exact_dedup
 from wearline.llm.language_id import UNKNOWN, identify, train
 from wearline.llm.mixing import mixed_rows
@@ -27,6 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The same rows go with and without labelled rows; the network's class doesn't decide.
     """
+    python_ready(spark)
     model = train(docs, "doc_id", "text", "lang")
     if model is None:
         at = docs.columns.index("text")

@@ -10,6 +10,7 @@ from test_mixing import brute as mix_brute
 from test_ngram_join import brute as near_brute
 
 import corpus_pipeline as C
+from wearline.session import BATCH_BYTES, PLAN_CONF
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -70,3 +71,14 @@ def test_letterless_texts_go_without_labels_too(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = corpus_pipeline.language(spark, df, "")
     assert got.columns == df.columns and sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 5, None]
+
+
+def test_a_stage_called_alone_has_its_batches_cut_by_bytes(spark):
+    docs = spark.createDataFrame([(1, "a text of words", None, "s"), (2, "one more", None, "s")], "doc_id long, text string, lang string, source string")
+    try:
+        for stage in (C.language, C.near_dedup, C.sentencepiece):
+            spark.conf.unset(BATCH_BYTES)  # no entry has set it
+            assert stage(spark, docs, "").count() == 2
+            assert spark.conf.get(BATCH_BYTES) == PLAN_CONF[BATCH_BYTES]
+    finally:
+        spark.conf.set(BATCH_BYTES, PLAN_CONF[BATCH_BYTES])

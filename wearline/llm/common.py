@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path, ship_package
+from ..session import BATCH_BYTES, PLAN_CONF, ensure_checkpoint_dir, scratch_path, ship_package
 from ..sources.tables import read_table
 
 BLANKS = " \t\n\x0b\f\r"
@@ -74,8 +74,12 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Python workers can import this package (see ``session.ship_package``)."""
+    """Python workers can import this package (see ``session.ship_package``) and get batches cut by their bytes.
+
+    The operators see to it themselves: a stage of the pipeline may be called without the entry's settings.
+    """
     ship_package(spark)
+    spark.conf.set(BATCH_BYTES, PLAN_CONF[BATCH_BYTES])
 
 
 def spare_name(df: DataFrame, base: str) -> str:

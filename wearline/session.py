@@ -10,6 +10,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Settings every plan in this package relies on (safe on a cluster too).
 PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -20,7 +22,7 @@ PLAN_CONF = {
     # HotSpot never compiles a method of more bytecode than this: such stages run faster without whole-stage codegen
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # a batch for Python is cut by its bytes, not only by its rows: long texts, blocks and sets come in small batches
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    BATCH_BYTES: "8m",
 }
 
 
