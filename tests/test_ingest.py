@@ -72,3 +72,22 @@ def test_stats_object(spark, tmp_path):
     stats = spark.createDataFrame([("b", 0.5, None, -1.0, 2.0), ("a", 1.0, 2.0, 3.0, 4.0)], AR.STATS_SCHEMA)
     AR.write_stats_object(stats, str(tmp_path / "stats"))
     assert sorted(map(tuple, AR.read_stats_object(spark, str(tmp_path / "stats")).collect())) == sorted(map(tuple, stats.collect()))
+
+
+def test_raw_text_is_compressed_in_small_files(spark, sf_small, monkeypatch, tmp_path):
+    from wearline.plans import ingest_queries as IQ
+    from wearline.session import SCAN_BYTES
+
+    paths, had, write = [], spark.conf.get(SCAN_BYTES), IQ.written_path
+    monkeypatch.setitem(IQ.TEXT, "maxRecordsPerFile", 700)
+    monkeypatch.setattr(IQ, "written_path", lambda *a, **k: paths.append(write(*a, **k)) or paths[-1])
+    splits, rejects = IQ.ingested(spark, sf_small)
+    files = [f for f in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths[0]).inputFiles() if "/part-" in f]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    lines = spark.read.text(paths[0])
+    assert all(r["count"] <= 700 for r in lines.groupBy(F.input_file_name()).count().collect())
+    assert splits.count() + rejects.count() == lines.count()  # every line is read back
+    plain = lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(files).agg(F.sum("length")).first()[0]
+    assert packed < plain / 2
+    assert spark.conf.get(SCAN_BYTES) == had

@@ -192,3 +192,11 @@ def test_positions_are_decided_by_all_lines(spark, tmp_path, monkeypatch):
     got = TX.read_telemetry_text(spark, str(tmp_path / "t.txt"), names=("engine_id", "cycle", "a", "b")).orderBy("cycle")
     assert [(r["cycle"], None if r["a"] is None or r["a"] != r["a"] else r["a"], r["b"]) for r in got.collect()] == [
         (1, None, None), (2, None, None), (3, 5.5, None), (4, None, 7.0)]
+
+
+def test_a_line_is_split_once(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("\n \t\x0b\f \n 1\t2  3 \n\x0b\n4 x\f6\n")
+    toks = TX._tokens(spark.read.text(str(tmp_path / "t.txt")).withColumn("source", F.lit("")))
+    assert [list(r["t"]) for r in toks.collect()] == [["1", "2", "3"], ["4", "x", "6"]]
+    plan = toks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1  # was once more below, for the test of its size

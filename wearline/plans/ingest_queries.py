@@ -13,6 +13,8 @@ from .common import finish
 from .fleet import FleetRun
 from .queries import _source, query
 
+# Raw text takes most of the ingest's disk: compressed, in files of few lines each, as a compressed file is read by one task.
+TEXT = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 200_000}
 TRUTH_ENGINES = 32  # engines of one truth file: the n-th line is the n-th of them
 
 
@@ -57,10 +59,10 @@ def ingested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         return raw_lines(run.rows, "train").unionByName(raw_lines(run.test, "test"))
 
     source = [_source(sf_dir, "lineitem")]
-    folder = written_path(spark, "text-telemetry", source, lines, partition_by=("kind",), fmt="text")
+    folder = written_path(spark, "text-telemetry", source, lines, partition_by=("kind",), fmt="text", spec=TEXT, options=TEXT)
     out = f"{folder}-ingested"
     if not _exists(spark, f"{out}/splits/_SUCCESS"):
-        ingest_fleet(spark, f"{folder}/kind=train", f"{folder}/kind=test", truth_table(spark, sf_dir, run), C.TELEMETRY_FLEET, out, glob="*.txt")
+        ingest_fleet(spark, f"{folder}/kind=train", f"{folder}/kind=test", truth_table(spark, sf_dir, run), C.TELEMETRY_FLEET, out, glob="*.txt.gz")
     return read_ingested(spark, out)
 
 

@@ -7,9 +7,12 @@ The library never creates a cluster session itself; callers pass their own
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # Settings every plan in this package relies on (safe on a cluster too).
@@ -56,6 +59,17 @@ def _configured_dir(spark: SparkSession) -> str | None:
     return sc.getConf().get("spark.checkpoint.dir", None) or None
 
 
+@contextmanager
+def scan_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Inside, a task scans ``most`` bytes of files at most: those of compressed text are many rows, and a task's sort grows with them."""
+    had = spark.conf.get(SCAN_BYTES)
+    spark.conf.set(SCAN_BYTES, min(most, spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(had)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SCAN_BYTES, had)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, based on the shared ``spark.checkpoint.dir``.
 

@@ -21,9 +21,11 @@ from ..functions.scalar import is_missing
 from ..operators import labels as LB
 from ..operators import quality as Q
 from ..operators import scaling as S
+from ..session import scan_bytes
 from .artefacts import read_splits, write_splits
 from .telemetry import DataLoadError, read_telemetry_text
 
+TASK_BYTES = 32 << 20  # of text, which may be compressed
 KEYS = ("engine_id", "cycle")
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -47,11 +49,12 @@ def _types(values: Sequence[str], **others: T.DataType) -> dict[str, T.DataType]
 def check_raw(spark: SparkSession, fleets: dict[str, str | Sequence[str]], out: str, glob: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) readings of ``fleets`` (kind -> paths), each text scanned once into the written table ``out``."""
     values = RAW_COLUMNS[2:]
-    for i, (kind, paths) in enumerate(fleets.items()):
-        raw = require_schema(read_telemetry_text(spark, paths, glob=glob), _types(values, source=T.StringType()))
-        tagged = Q.quarantine(raw, Q.raw_rules(values)).withColumn("kind", F.lit(kind)).withColumn(
-            "verdict", F.when(F.size("violations") == 0, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
-        tagged.write.mode("overwrite" if i == 0 else "append").partitionBy("verdict", "kind").parquet(out)
+    with scan_bytes(spark, TASK_BYTES):
+        for i, (kind, paths) in enumerate(fleets.items()):
+            raw = require_schema(read_telemetry_text(spark, paths, glob=glob), _types(values, source=T.StringType()))
+            tagged = Q.quarantine(raw, Q.raw_rules(values)).withColumn("kind", F.lit(kind)).withColumn(
+                "verdict", F.when(F.size("violations") == 0, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
+            tagged.write.mode("overwrite" if i == 0 else "append").partitionBy("verdict", "kind").parquet(out)
     return read_checked(spark, out, ACCEPTED).drop("violations", "source"), read_checked(spark, out, REJECTED)
 
 

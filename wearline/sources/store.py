@@ -55,15 +55,16 @@ def written_path(
     partition_by: tuple[str, ...] = (),
     fmt: str = "parquet",
     spec: object = None,
+    options: dict[str, object] | None = None,
 ) -> str:
-    """Path of table ``name`` for these sources and this ``spec``, building and writing it if absent."""
+    """Path of table ``name`` for these sources and this ``spec``, building and writing it (with the writer's ``options``) if absent."""
     root = scratch_path(spark, f"{name}-{_fingerprint(spark, sources, spec)}")
     pointer = f"{root}/_CURRENT"
     current = _read_pointer(spark, pointer)
     if current and _exists(spark, current):
         return current
     target = f"{root}/{uuid.uuid4().hex}"
-    writer = build().write.mode("overwrite")
+    writer = build().write.mode("overwrite").options(**(options or {}))
     if partition_by:
         # tasks move their own files into place: the marker below publishes, not the committer
         writer = writer.partitionBy(*partition_by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")

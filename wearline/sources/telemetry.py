@@ -11,6 +11,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -36,8 +37,9 @@ FIRST_LINES = 200
 
 def _tokens(lines: DataFrame) -> DataFrame:
     # white space to blanks first: a split at one plain character needs no pattern
-    toks = F.filter(F.split(F.translate("value", "\t\n\x0B\f\r", " " * 5), " "), lambda x: x != "")
-    return lines.select("source", toks.alias("t")).filter(F.size("t") > 0)
+    plain = reduce(lambda c, blank: F.replace(c, F.lit(blank), F.lit(" ")), "\t\n\x0B\f\r", F.col("value"))
+    # lines without a token go by their text: a test on the tokens would be pushed below them and split each line twice
+    return lines.filter(F.col("value").rlike(r"[^ \t\n\x0B\f\r]")).select("source", F.array_remove(F.split(plain, " "), "").alias("t"))
 
 
 def read_telemetry_text(spark: SparkSession, paths: str | Sequence[str],
