@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from ..config import BAD_READING, FleetSpec
 from ..functions.scalar import any_not_finite
 from ..session import ship_package
+from .boosting import fit_boosted
 from .quality import guard_reason
 
 
@@ -47,7 +49,7 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
     iterations), so the window features are persisted (recomputed from lineage
     if an executor is lost) for the fit only, before they are tested: a test on
     their expressions would compute each several times. Boosting holds its own binned rows
-    in memory, so its window features, read a few times, stay on disk.
+    in memory (``fit_boosted``), so its window features, read a few times, stay on disk.
     """
     cols = summary_columns(spec)
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
@@ -69,9 +71,11 @@ def fit_forecaster(windows: DataFrame, spec: FleetSpec, kind: str = "linear", la
     held = data.select(*dict.fromkeys([*cols, label, *([validation] if validation else [])])).persist(level)
     data = held.filter(~any_not_finite(cols))
     try:
-        if kind != "gbt" or not validation or patience is None:
+        if kind != "gbt" or (validation and patience is None):
             return Pipeline(stages=[asm, est]).fit(data)
-        model = Pipeline(stages=[asm, est]).fit(data.filter(~F.col(validation)))
+        model = PipelineModel([asm, fit_boosted(est, data.filter(~F.col(validation)) if validation else data, cols)])
+        if not validation:
+            return model
         if data.filter(F.col(validation)).isEmpty():
             return model
         rounds = best_round(training_curve(model, data.filter(F.col(validation)), spec, label), patience)
@@ -121,32 +125,48 @@ def training_curve(model: PipelineModel, val: DataFrame, spec: FleetSpec, label:
     return boosting_curve(stage, assembled, label)
 
 
+def tree_nodes(node) -> tuple | float:
+    """A tree model's node as (feature, threshold or categories on the left, left, right), or a leaf's forecast."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        return node.prediction()
+    split = node.split()
+    by = split.threshold() if split.getClass().getSimpleName() == "ContinuousSplit" else tuple(split.leftCategories())
+    return split.featureIndex(), by, tree_nodes(node.leftChild()), tree_nodes(node.rightChild())
+
+
+def apply_tree(node: tuple | float, x: np.ndarray) -> np.ndarray | float:
+    """The forecasts for the rows of ``x`` (features by rows)."""
+    if not isinstance(node, tuple):
+        return node
+    feature, by, left, right = node
+    return np.where(np.isin(x[feature], by) if isinstance(by, tuple) else x[feature] <= by, apply_tree(left, x), apply_tree(right, x))
+
+
 def boosting_curve(model: GBTRegressionModel, rows: DataFrame, label: str) -> list[tuple[int, float]]:
     """(trees, mean squared error of the first so many trees), in one pass over ``rows`` (with the feature vector).
 
-    Each task sums up its rows; the sums of the tasks (a row of one number per tree each) are added in their order.
+    Each task applies the trees to whole columns and sums up its rows; the sums of the tasks (a row of one number per tree each) are added in their order.
     """
     ship_package(rows.sparkSession)
-    features, weights = model.getFeaturesCol(), np.array(model.treeWeights)
-    names = [f"_tree_{i}" for i in range(len(weights))]
-    rows = rows.select(F.col(label).cast("double").alias("_label"), features)
-    for name, tree in zip(names, model.trees, strict=True):
-        rows = tree.copy({tree.featuresCol: features, tree.predictionCol: name}).transform(rows)
+    weights = np.array(model.treeWeights)
+    roots = [tree_nodes(tree._java_obj.rootNode()) for tree in model.trees]
+    rows = rows.select(F.col(label).cast("double").alias("_label"), vector_to_array(model.getFeaturesCol()).alias("_x"))
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         n, total = 0, np.zeros(len(weights))
-        for b in batches:
-            trees = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(weights))
+        for b in (b for b in batches if b.num_rows):
+            x = np.ascontiguousarray(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).T)
+            trees = np.stack([np.broadcast_to(apply_tree(root, x), b.num_rows) for root in roots], axis=1)
             err = np.cumsum(trees * weights, axis=1) - b.column(0).to_numpy(zero_copy_only=False)[:, None]
             n, total = n + b.num_rows, total + (err * err).sum(axis=0)
         if n:
             task = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([n]), pa.array([total.tolist()])], ["task", "n", "total"])
 
-    parts = rows.select("_label", F.array(*names).alias("trees")).mapInArrow(run, "task int, n long, total array<double>").collect()
+    parts = rows.mapInArrow(run, "task int, n long, total array<double>").collect()
     if not parts:
         raise ValueError("no row to evaluate the rounds on")
     parts = sorted(parts)
